@@ -152,6 +152,22 @@ class Words:
         first = np.flatnonzero(own[n - 1 :] == own[: len(own) - n + 1])
         return first, combine(self.hashes, n)[first]
 
+    def lines(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Start, end and text of each line (cut at 0x0A) that has a word."""
+        edges = np.union1d(self.offsets, np.flatnonzero(self.data == 0x0A))
+        s, e = runs(self.data != 0x0A, edges)
+        has = np.searchsorted(self.starts, e) > np.searchsorted(self.starts, s)
+        s, e = s[has], e[has]
+        return s, e, np.searchsorted(self.offsets, s, "right") - 1
+
+
+def ordered_sums(h: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of the values in each range, which depends on their order."""
+    n = len(h)
+    sums = np.zeros(n + 1, U64)
+    np.cumsum(h * _power(_BASE, n)[:n], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * _power(_INVERSE, n)[starts])
+
 
 def list_array(values: np.ndarray, lengths: np.ndarray, kind: pa.DataType) -> pa.Array:
     """A list column from all values in a row and the length of each list."""
