@@ -142,6 +142,12 @@ def contaminated(
     return out.select(F.col("id").alias(id_col), "key", F.col("item").alias(item_id), "similarity", "first_word", "last_word")
 
 
+def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kwargs) -> DataFrame:
+    """The rows of ``docs`` whose text leaks no item."""
+    leaks = contaminated(docs, items, id_col=id_col, text_col=text_col, **kwargs).select(F.col("key").alias("__key")).distinct()
+    return docs.withColumn("__key", F.xxhash64(id_col, text_col)).join(leaks, "__key", "left_anti").drop("__key")
+
+
 def _contaminated(source: DataFrame, ids: list[int], texts: list[str], seed_words: int, similarity: float) -> DataFrame:
     seeds = Seeds(ids, texts, seed_words)
     plain = [b" ".join(t.encode("utf-8", "replace").lower().split()).decode("utf-8", "replace") for t in texts]

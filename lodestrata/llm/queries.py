@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import quality_rules, simhash
+from . import decontaminate, line_templates, pieces, quality_rules, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,14 +20,32 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, item_id, similarity, first_word, last_word: a row for each text and item that it leaks."""
+    return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("key")
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, the text left, n_lines, n_template_lines, dropped_lines."""
+    return line_templates.deduplicate(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, counts, base_failed, ratio, kept."""
     docs = quality_rules.rules(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels"))
     return docs.drop("text")
 
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_pieces, ids, and whether the ids decode to the text."""
+    vocabulary = pieces.Pieces()
+    both = pieces.decode(pieces.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary), vocabulary)
+    same = F.coalesce("text", F.lit("")) == F.col("decoded")
+    return both.select("doc_id", F.size("ids").alias("n_pieces"), "ids", same.alias("round_trip"))
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_simhash": op1_simhash, "op8_quality_rules": op8_quality_rules}
+    return {f.__name__: f for f in (op1_simhash, op3_decontamination, op5_line_dedup, op8_quality_rules, op10_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:

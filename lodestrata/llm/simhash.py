@@ -17,6 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from .components import components
+from .storage import cut
 from .tokens import slices
 
 SHINGLE = 3
@@ -58,16 +59,16 @@ def _bit_counts(h: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """(id, fp): the fingerprint of each whole text as a signed long. Null and wordless texts have 0."""
+    """(id, key, fp): the fingerprint of each whole text as a signed long; 0 for null and wordless texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 fp = np.array([fingerprint(t, shingle, seed) for t in part.column("text").to_pylist()], np.uint64)
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(fp.view(np.int64))], names=["id", "fp"])
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("key"), pa.array(fp.view(np.int64))], names=["id", "key", "fp"])
 
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return source.mapInArrow(run, "id long, fp long")
+    source = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(id_col, text_col).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return source.mapInArrow(run, "id long, key long, fp long")
 
 
 def _segment(fp, i: int):
@@ -97,17 +98,22 @@ def links(fps: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """(id, fingerprint, component_id, links): one row per row of ``docs``.
+    """(id, key, fingerprint, component_id): one row per row of ``docs``; key is xxhash64(id, text).
 
     Copies are folded into one fingerprint before anything is joined, so a group of copies of any size adds one row to the
-    search. component_id is the smallest id that can be reached over links; links counts the other fingerprints within
-    distance. An empty table gives no rows; repeated ids give repeated rows; extra columns are ignored.
+    search. component_id is the smallest id that can be reached over links. An empty table gives no rows; repeated rows
+    give repeated rows; extra columns are ignored.
     """
-    from .storage import cut
-
     fps = cut(fingerprints(docs, id_col, text_col, shingle, seed))
-    distinct = fps.groupBy("fp").agg(F.min("id").alias("least"))
-    near = cut(links(distinct))
-    label = components(near, distinct)
+    distinct = cut(fps.groupBy("fp").agg(F.min("id").alias("least")))
+    label = components(cut(links(distinct)), distinct)
     out = fps.join(label, "fp")
-    return out.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
+    return out.select(F.col("id").alias(id_col), "key", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
+    """The rows of ``docs`` less near duplicates: of each component the text with the smallest id stays, in one row."""
+    groups = near_duplicates(docs, id_col, text_col, shingle, seed)
+    first = groups.groupBy("component_id").agg(F.min(F.struct(id_col, "key")).alias("first")).select(F.col("first.key").alias("__key"))
+    keyed = docs.withColumn("__key", F.xxhash64(id_col, text_col))
+    return keyed.join(first, "__key", "left_semi").dropDuplicates(["__key"]).drop("__key")

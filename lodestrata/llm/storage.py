@@ -3,22 +3,29 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` computed and stored under spark.checkpoint.dir, so that a lost executor costs a read, not a recompute.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by spark.checkpoint.dir; where none is set (a local session, as in tests), a temporary one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
+        folder = spark.sparkContext.getCheckpointDir()
+    return folder
+
 
-    Where no folder is set (a local session, as in tests) a temporary one is made.
-    """
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet to a new path in the shared folder and read again."""
     spark: SparkSession = df.sparkSession
-    context = spark.sparkContext
-    if not spark.conf.get("spark.checkpoint.dir", None) and context.getCheckpointDir() is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
-    return df.checkpoint()
+    path = f"{shared_folder(spark).rstrip('/')}/{uuid.uuid4().hex}.parquet"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, *columns: str) -> DataFrame:
-    """``df`` with only ``columns``, which a caller's other columns then can't clash with."""
-    return df.select(*columns)
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` computed and stored under spark.checkpoint.dir, so that a lost executor costs a read, not a recompute."""
+    shared_folder(df.sparkSession)
+    return df.checkpoint()
