@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, line_templates, pieces, quality_rules, simhash
+from . import decontaminate, line_templates, pieces, pii, quality_rules, sharding, simhash
+
+SHARDS = 40
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,11 +27,27 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("key")
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, size, text_crc32, law, shard, slot, grown_shard."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"))
+    placed = sharding.shard(docs, SHARDS)
+    return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, the text left, n_lines, n_template_lines, dropped_lines."""
     return line_templates.deduplicate(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, counts of the base kinds, base_sha256, all spans, and their scores."""
+    found = pii.find(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("pii", lambda s: s["kind"].isin(*pii.BASE))
+    count = lambda kind: F.size(F.filter("pii", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    scores = F.array_join(F.transform("pii", lambda s: s["score"].cast("string")), ",")
+    return found.select("doc_id", *map(count, pii.BASE), F.sha2(pii.digest(base), 256).alias("base_sha256"), pii.digest(F.col("pii")).alias("spans"), scores.alias("scores"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, counts, base_failed, ratio, kept."""
     docs = quality_rules.rules(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels"))
@@ -45,7 +63,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_simhash, op3_decontamination, op5_line_dedup, op8_quality_rules, op10_sentencepiece)}
+    return {f.__name__: f for f in (op1_simhash, op3_decontamination, op4_sharding, op5_line_dedup, op6_pii, op8_quality_rules, op10_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
