@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, line_templates, pieces, pii, quality_rules, sharding, simhash
+from . import compression, decontaminate, language_model, line_templates, pieces, pii, quality_rules, sharding, simhash, urls
 
 SHARDS = 40
 
@@ -22,6 +22,12 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, host, path, rule, block_odds, verdict."""
+    labelled = spark.createDataFrame(urls.LABELLED, "url string, label int")
+    return urls.judge(_table(spark, sf_dir, "pages"), urls.fit(labelled))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, item_id, similarity, first_word, last_word: a row for each text and item that it leaks."""
     return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("key")
@@ -48,12 +54,23 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *map(count, pii.BASE), F.sha2(pii.digest(base), 256).alias("base_sha256"), pii.digest(F.col("pii")).alias("spans"), scores.alias("scores"))
 
 
+def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
+    return language_model.score(_table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, counts, base_failed, ratio, kept."""
     docs = quality_rules.rules(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels"))
     return docs.drop("text")
 
 
+def op9_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, score, predicted."""
+    docs = _table(spark, sf_dir, "documents")
+    return compression.score(docs, compression.fit(docs, _table(spark, sf_dir, "labels")))
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_pieces, ids, and whether the ids decode to the text."""
     vocabulary = pieces.Pieces()
@@ -63,7 +80,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_simhash, op3_decontamination, op4_sharding, op5_line_dedup, op6_pii, op8_quality_rules, op10_sentencepiece)}
+    return {f.__name__: f for f in (op1_simhash, op2_url_filters, op3_decontamination, op4_sharding, op5_line_dedup, op6_pii, op7_language_model, op8_quality_rules, op9_compression, op10_sentencepiece)}
 
 
 def oracle_sql() -> dict[str, str]:
