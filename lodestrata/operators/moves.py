@@ -37,8 +37,8 @@ class Arrangement:
         """Close the gap that ``key`` leaves; what it contained goes to the end of the root, one by one."""
         self.shift(scope, position, -1, key)
         for k in [k for k, (s, _) in self.at.items() if s == key]:
-            self.at[k][1] = self.last(ROOT, k) + 1 if self.at[k][0] == ROOT else self.last(ROOT) + 1
             self.at[k][0] = ROOT
+            self.at[k][1] = self.last(ROOT) + 1  # its own old position counts
 
     def move(self, key: str, scope: str, position: int, strict: bool) -> None:
         old_scope, old_position = self.at[key]
