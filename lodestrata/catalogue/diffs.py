@@ -186,7 +186,7 @@ def tree_moves(spark, sf_dir):
     row = lambda scope, position: talk.select(F.col("conv_id").alias("grp"), F.col("turn").cast("string").alias("key"), scope.alias("scope"), position.cast("int").alias("position"), F.col("turn").alias("ord"))
     odd = F.col("turn") % 2 == 1
     new = row(F.when(odd, (F.col("turn") - 1).cast("string")).otherwise(""), F.when(odd, 1).otherwise(F.floor(F.col("turn") / 2) + 1))
-    return moves.plan_groups(row(F.lit(""), F.col("turn") + 1), new, strict=False).withColumnRenamed("grp", "conv_id")
+    return moves.plan_groups(row(F.lit(""), F.col("turn") + 1), new).withColumnRenamed("grp", "conv_id")
 
 
 def topo_destroy(spark, sf_dir):

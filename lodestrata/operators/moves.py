@@ -13,7 +13,7 @@ SCOPE_WEIGHT = 100
 
 
 class IllegalMove(Exception):
-    """A step would leave a gap."""
+    """A step would leave a gap, or the steps end elsewhere."""
 
 
 class Arrangement:
@@ -49,11 +49,11 @@ class Arrangement:
         self.shift(scope, position, 1, key)
 
 
-def plan(old: dict[str, tuple[str, int]], new: dict[str, tuple[str, int]], strict: bool = True, first: str = "") -> list[tuple[str, str, int]]:
+def plan(old: dict[str, tuple[str, int]], new: dict[str, tuple[str, int]], first: str = "") -> list[tuple[str, str, int]]:
     """Steps (key, scope, position) that turn ``old`` into ``new``; both map keys to (scope, position), in the catalog's order.
 
-    Far movers go first, which takes fewer steps; if that runs into an illegal move, all go by position. Of the created, keys
-    with the prefix ``first`` (containers) are appended before the others.
+    Far movers go first, which takes fewer steps; if that runs into an illegal move or misses the goal, all go by position,
+    which always arrives. Of the created, keys with the prefix ``first`` (containers) are appended before the others.
     """
     by_position = lambda keys, of: sorted(keys, key=lambda k: of[k][1])
     start = Arrangement({k: old[k] for k in by_position([k for k in old if k in new], old)})
@@ -70,6 +70,8 @@ def plan(old: dict[str, tuple[str, int]], new: dict[str, tuple[str, int]], stric
             if tuple(state.at[k]) != tuple(new[k]):
                 steps.append((k, *new[k]))
                 state.move(k, *new[k], strict)
+        if strict and any(tuple(v) != tuple(new[k]) for k, v in state.at.items()):
+            raise IllegalMove
         return steps
 
     def weight(k: str) -> int:
@@ -77,9 +79,9 @@ def plan(old: dict[str, tuple[str, int]], new: dict[str, tuple[str, int]], stric
         return abs(new[k][1] - position) + (SCOPE_WEIGHT if scope != new[k][0] else 0)
 
     try:
-        return run(sorted(new, key=lambda k: -weight(k)), strict)
+        return run(sorted(new, key=lambda k: -weight(k)), True)
     except IllegalMove:
-        return run(by_position(new, new), strict)
+        return run(by_position(new, new), False)
 
 
 def replay(old: dict[str, tuple[str, int]], new: dict[str, tuple[str, int]], steps: list[tuple[str, str, int]], first: str = "") -> dict[str, tuple[str, int]]:
@@ -95,13 +97,13 @@ def replay(old: dict[str, tuple[str, int]], new: dict[str, tuple[str, int]], ste
     return {k: tuple(v) for k, v in state.at.items()}
 
 
-def plan_groups(old: DataFrame, new: DataFrame, strict: bool = True) -> DataFrame:
+def plan_groups(old: DataFrame, new: DataFrame) -> DataFrame:
     """(grp, step, key, scope, position) for every group of ``old`` and ``new`` (grp, key, scope, position, ord)."""
     kind = dict(new.dtypes)["grp"]
 
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         side = lambda df: {k: (s, int(p)) for k, s, p in df.sort_values("ord")[["key", "scope", "position"]].itertuples(index=False)}
-        steps = plan(side(left), side(right), strict)
+        steps = plan(side(left), side(right))
         return pd.DataFrame([(key[0], n, *s) for n, s in enumerate(steps, 1)], columns=["grp", "step", "key", "scope", "position"])
 
     return old.groupBy("grp").cogroup(new.groupBy("grp")).applyInPandas(run, f"grp {kind}, step long, key string, scope string, position long")
