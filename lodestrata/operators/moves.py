@@ -60,7 +60,7 @@ def plan(old: dict[str, tuple[str, int]], new: dict[str, tuple[str, int]], first
     created = by_position([k for k in new if k not in old], new)
     for k in [k for k in created if k.startswith(first)] + [k for k in created if not k.startswith(first)] if first else created:
         start.append(k, new[k][0])
-    for k in by_position([k for k in old if k not in new], old):
+    for k in reversed(by_position([k for k in old if k not in new], old)):  # from the last, so that positions before it hold
         start.remove(k, *old[k])
 
     def run(order: list[str], strict: bool) -> list[tuple[str, str, int]]:
@@ -90,7 +90,7 @@ def replay(old: dict[str, tuple[str, int]], new: dict[str, tuple[str, int]], ste
     created = sorted((k for k in new if k not in old), key=lambda k: new[k][1])
     for k in [k for k in created if k.startswith(first)] + [k for k in created if not k.startswith(first)] if first else created:
         state.append(k, new[k][0])
-    for k in sorted((k for k in old if k not in new), key=lambda k: old[k][1]):
+    for k in sorted((k for k in old if k not in new), key=lambda k: -old[k][1]):
         state.remove(k, *old[k])
     for k, scope, position in steps:
         state.move(k, scope, position, False)
