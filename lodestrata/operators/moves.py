@@ -33,12 +33,12 @@ class Arrangement:
     def append(self, key: str, scope: str) -> None:
         self.at[key] = [scope, self.last(scope) + 1]
 
-    def remove(self, key: str, scope: str, position: int) -> None:
-        """Close the gap that ``key`` leaves; what it contained goes to the end of the root, one by one."""
+    def remove(self, key: str) -> None:
+        """Take ``key`` out and close its gap; what it contained goes to the end of the root, one by one."""
+        scope, position = self.at.pop(key)
         self.shift(scope, position, -1, key)
         for k in [k for k, (s, _) in self.at.items() if s == key]:
-            self.at[k][0] = ROOT
-            self.at[k][1] = self.last(ROOT) + 1  # its own old position counts
+            self.at[k] = [ROOT, self.last(ROOT) + 1]
 
     def move(self, key: str, scope: str, position: int, strict: bool) -> None:
         old_scope, old_position = self.at[key]
@@ -49,22 +49,28 @@ class Arrangement:
         self.shift(scope, position, 1, key)
 
 
+def start(old: dict[str, tuple[str, int]], new: dict[str, tuple[str, int]], first: str = "") -> Arrangement:
+    """Where things are once what is new has been created (at the ends, containers first) and what is gone destroyed (from the last)."""
+    by_position = lambda keys, of: sorted(keys, key=lambda k: of[k][1])
+    state = Arrangement({k: old[k] for k in by_position(old, old)})
+    created = by_position([k for k in new if k not in old], new)
+    for k in sorted(created, key=lambda k: not k.startswith(first)) if first else created:
+        state.append(k, new[k][0])
+    for k in reversed(by_position([k for k in old if k not in new], old)):
+        state.remove(k)
+    return state
+
+
 def plan(old: dict[str, tuple[str, int]], new: dict[str, tuple[str, int]], first: str = "") -> list[tuple[str, str, int]]:
     """Steps (key, scope, position) that turn ``old`` into ``new``; both map keys to (scope, position), in the catalog's order.
 
     Far movers go first, which takes fewer steps; if that runs into an illegal move or misses the goal, all go by position,
-    which always arrives. Of the created, keys with the prefix ``first`` (containers) are appended before the others.
+    which always arrives where positions run from 1 without gaps. Keys with the prefix ``first`` are containers.
     """
-    by_position = lambda keys, of: sorted(keys, key=lambda k: of[k][1])
-    start = Arrangement({k: old[k] for k in by_position([k for k in old if k in new], old)})
-    created = by_position([k for k in new if k not in old], new)
-    for k in [k for k in created if k.startswith(first)] + [k for k in created if not k.startswith(first)] if first else created:
-        start.append(k, new[k][0])
-    for k in reversed(by_position([k for k in old if k not in new], old)):  # from the last, so that positions before it hold
-        start.remove(k, *old[k])
+    before = start(old, new, first)
 
     def run(order: list[str], strict: bool) -> list[tuple[str, str, int]]:
-        state = Arrangement({k: tuple(v) for k, v in start.at.items()})
+        state = Arrangement({k: tuple(v) for k, v in before.at.items()})
         steps = []
         for k in order:
             if tuple(state.at[k]) != tuple(new[k]):
@@ -75,23 +81,18 @@ def plan(old: dict[str, tuple[str, int]], new: dict[str, tuple[str, int]], first
         return steps
 
     def weight(k: str) -> int:
-        scope, position = start.at[k]
+        scope, position = before.at[k]
         return abs(new[k][1] - position) + (SCOPE_WEIGHT if scope != new[k][0] else 0)
 
     try:
         return run(sorted(new, key=lambda k: -weight(k)), True)
     except IllegalMove:
-        return run(by_position(new, new), False)
+        return run(sorted(new, key=lambda k: new[k][1]), False)
 
 
 def replay(old: dict[str, tuple[str, int]], new: dict[str, tuple[str, int]], steps: list[tuple[str, str, int]], first: str = "") -> dict[str, tuple[str, int]]:
     """Where the entities of ``new`` are after the steps."""
-    state = Arrangement({k: old[k] for k in sorted((k for k in old if k in new), key=lambda k: old[k][1])})
-    created = sorted((k for k in new if k not in old), key=lambda k: new[k][1])
-    for k in [k for k in created if k.startswith(first)] + [k for k in created if not k.startswith(first)] if first else created:
-        state.append(k, new[k][0])
-    for k in sorted((k for k in old if k not in new), key=lambda k: -old[k][1]):
-        state.remove(k, *old[k])
+    state = start(old, new, first)
     for k, scope, position in steps:
         state.move(k, scope, position, False)
     return {k: tuple(v) for k, v in state.at.items()}
@@ -103,7 +104,7 @@ def plan_groups(old: DataFrame, new: DataFrame) -> DataFrame:
 
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         side = lambda df: {k: (s, int(p)) for k, s, p in df.sort_values("ord")[["key", "scope", "position"]].itertuples(index=False)}
-        steps = plan(side(left), side(right))
+        steps = plan(side(left), side(right), "fieldset:")
         return pd.DataFrame([(key[0], n, *s) for n, s in enumerate(steps, 1)], columns=["grp", "step", "key", "scope", "position"])
 
     return old.groupBy("grp").cogroup(new.groupBy("grp")).applyInPandas(run, f"grp {kind}, step long, key string, scope string, position long")
