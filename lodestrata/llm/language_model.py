@@ -25,8 +25,8 @@ from .tokens import U64, Words, combine, list_array
 FOLDS = 7
 HELD_OUT_FOLD = 2
 DELETED = 16
-BLOCK_BYTES = 8 << 20
-RANGE_BYTES = 24 << 20
+BLOCK_BYTES = 6 << 20
+RANGE_BYTES = 8 << 20
 STEPS = 8
 ROUNDS = 60
 _START, _END = U64(0x5851F42D4C957F2D), U64(0x14057B7EF767814F)
@@ -118,7 +118,7 @@ def ask(rows: DataFrame, ranges: int) -> DataFrame:
                     out += [list_array(keys.view(np.int64), sizes, pa.int64()), list_array(count, sizes, pa.int64())]
                 yield pa.RecordBatch.from_arrays(out, names=["range", "block", "em", "words", "word_n", "pairs", "pair_n"])
 
-    return rows.mapInArrow(run, _ASK)
+    return rows.mapInArrow(run, _ASK).where("size(words) + size(pairs) > 0")
 
 
 def _flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:

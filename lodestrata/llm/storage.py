@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir; where none is set (a local session, as in tests), a temporary one."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -18,10 +21,15 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """``df`` written as Parquet to a new path in the shared folder and read again."""
+    """``df`` written as Parquet to a new path in the shared folder and read again; what was shuffled for it is let go."""
     spark: SparkSession = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/{uuid.uuid4().hex}.parquet"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
