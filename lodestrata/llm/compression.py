@@ -57,8 +57,8 @@ def _dictionary(body: bytes) -> zstandard.ZstdCompressionDict:
 
 
 def held_out(id_col: Column) -> Column:
-    """True for the ids that nothing is learned from."""
-    return F.crc32(id_col.cast("string").cast("binary")) % HELD_OUT == 0
+    """True for the ids that nothing is learned from; a null id counts as an empty one."""
+    return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % HELD_OUT == 0
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, id_col: str = "doc_id", text_col: str = "text") -> Model:

@@ -1,8 +1,8 @@
 """SimHash near-duplicates: 64-bit fingerprints, linked within a Hamming distance by the pigeonring principle.
 
-A fingerprint is cut into ``segments`` equal segments on a ring. If two fingerprints differ in at most t bits, then there
-is a start from which every chain of l consecutive segments differs in at most l * t / segments bits. With four segments
-and t = 3 that is: 0 bits in the first, at most 1 in two, at most 2 in three, at most 3 in all. The first two links of the
+A fingerprint is cut into t + 1 segments on a ring. If two fingerprints differ in at most t bits, then there is a start
+from which every chain of l consecutive segments differs in at most l * t / (t + 1) bits. With four segments and t = 3 that
+is: 0 bits in the first, at most 1 in two, at most 2 in three, at most 3 in all. The first two links of the
 chain are an equi-join (the second segment is probed with each of its one-bit variants), the third is checked on the joined
 row, and what is left gets the full Hamming check.
 """
@@ -17,35 +17,44 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from .components import components
-from .storage import cut
-from .tokens import slices
+from .storage import cut, stored
+from .tokens import U64, list_array, mix, slices
 
 SHINGLE = 3
 SEED = 42
 DISTANCE = 3
-SEGMENTS = 4
-BITS = 64 // SEGMENTS
+FEATURE = 2
+WIDE = 4
+ROUNDS = 8
 _BLOCK = 255
+_REMIX = 0x9E3779B97F4A7C15
+MASK = (1 << 64) - 1
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
-    """The unsigned fingerprint of one text; 0 if it has no words."""
+def shingle_hashes(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> Iterator[np.ndarray]:
+    """XXH64 of each shingle of the lower-cased words (all words, if they are fewer), repeats included, in parts."""
     words = (text or "").encode("utf-8", "replace").lower().split()
     if not words:
-        return 0
+        return
     line = b" ".join(words)
     gaps = np.flatnonzero(np.frombuffer(line, np.uint8) == 32)
-    starts = np.concatenate(([0], gaps + 1)) if len(words) >= shingle else np.zeros(1, np.int64)
-    ends = np.concatenate((gaps, [len(line)]))
+    starts, ends = np.concatenate(([0], gaps + 1)), np.concatenate((gaps, [len(line)]))
     n = max(1, len(words) - shingle + 1)
+    ends = ends[shingle - 1 :] if len(words) >= shingle else ends[-1:]
     digest = xxhash.xxh64_intdigest
-    counts = np.zeros(64, np.int64)
     for at in range(0, n, 1 << 16):
         to = min(n, at + (1 << 16))
-        last = ends[at + shingle - 1 : to + shingle - 1] if len(words) >= shingle else ends[-1:]
-        h = np.array([digest(line[s:e], seed) for s, e in zip(starts[at:to].tolist(), last.tolist(), strict=True)], "<u8")
-        counts += _bit_counts(h)
-    return int(np.packbits(counts * 2 > n, bitorder="little").view("<u8")[0])
+        yield np.array([digest(line[s:e], seed) for s, e in zip(starts[at:to].tolist(), ends[at:to].tolist(), strict=True)], "<u8")
+
+
+def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED, more: int = 0) -> list[int]:
+    """The unsigned fingerprint of one text, and ``more`` from remixed hashes; 0 if it has no words."""
+    counts, n = np.zeros((1 + more, 64), np.int64), 0
+    for h in shingle_hashes(text, shingle, seed):
+        n += len(h)
+        for k in range(1 + more):
+            counts[k] += _bit_counts(mix(h + U64(k * _REMIX & MASK)) if k else h)
+    return np.packbits(counts * 2 > n, axis=1, bitorder="little").view("<u8").ravel().tolist()
 
 
 def _bit_counts(h: np.ndarray) -> np.ndarray:
@@ -58,43 +67,50 @@ def _bit_counts(h: np.ndarray) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """(id, key, fp): the fingerprint of each whole text as a signed long; 0 for null and wordless texts."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, seed: int = SEED, more: int = 0) -> DataFrame:
+    """(id, key, node, fp, fps): the fingerprint of each whole text as a signed long, 0 for null and wordless texts; fps has ``more`` others.
+
+    key is a hash of id and text, node one of the text.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                fp = np.array([fingerprint(t, shingle, seed) for t in part.column("text").to_pylist()], np.uint64)
-                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("key"), pa.array(fp.view(np.int64))], names=["id", "key", "fp"])
+                made = [fingerprint(t, shingle, seed, more) for t in part.column("text").to_pylist()]
+                fp = np.array(made, np.uint64).reshape(len(made), 1 + more).view(np.int64)
+                others = list_array(fp[:, 1:].ravel(), np.full(len(made), more), pa.int64())
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("id", "key", "node")), pa.array(fp[:, 0]), others], names=["id", "key", "node", "fp", "fps"])
 
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(id_col, text_col).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return source.mapInArrow(run, "id long, key long, fp long")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    source = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(id_col, text_col).alias("key"), F.xxhash64(text).alias("node"), text.alias("text"))
+    return source.mapInArrow(run, "id long, key long, node long, fp long, fps array<long>")
 
 
-def _segment(fp, i: int):
-    """Segment i of a fingerprint, counted on the ring."""
-    return F.shiftrightunsigned(fp, BITS * (i % SEGMENTS)).bitwiseAND(F.lit((1 << BITS) - 1))
+def _ring(distance: int) -> list[tuple[int, int]]:
+    """Offset and width in bits of distance + 1 segments."""
+    cuts = [64 * k // (distance + 1) for k in range(distance + 2)]
+    return [(a, b - a) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
-def links(fps: DataFrame) -> DataFrame:
-    """(a, b), a < b: the pairs of *different* fingerprints in column fp that differ in at most three bits.
+def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """(a, b), a < b: the pairs of *different* fingerprints in column fp that differ in at most ``distance`` bits.
 
-    The probe side has 1 + 16 variants for each of the four starts. Different fingerprints only: copies share one.
+    The probe side has a row for each start and each variant of the second segment. Copies share one fingerprint.
     """
-    fp = F.col("fp")
-    index = fps.select(
-        F.col("fp").alias("b"),
-        F.posexplode(F.array(*[(_segment(fp, i) * F.lit(1 << BITS) + _segment(fp, i + 1)) for i in range(SEGMENTS)])).alias("start", "key"),
-    )
-    variants = F.array(*[F.lit(x).cast("long") for x in (0, *(1 << k for k in range(BITS)))])
-    probe = index.select("start", F.col("b").alias("a"), "key", F.explode(variants).alias("flip")).select(
-        "start", "a", F.col("key").bitwiseXOR(F.col("flip")).alias("key")
-    )
+    ring = _ring(distance)
+    turn = [ring[i:] + ring[:i] for i in range(len(ring))]
+    bits = lambda x, at, n: F.shiftrightunsigned(x, at).bitwiseAND(F.lit((1 << n) - 1).cast("long"))
+    keys = [bits(F.col("fp"), *r[0]) * F.lit(1 << r[1][1]).cast("long") + bits(F.col("fp"), *r[1]) for r in turn]
+    flips = F.array(*[F.array(*[F.lit(x).cast("long") for x in (0, *(1 << k for k in range(r[1][1])))]) for r in turn])
+    index = fps.select(F.col("fp").alias("b"), F.posexplode(F.array(*keys)).alias("start", "key"))
+    probe = index.select("start", F.col("b").alias("a"), "key", F.explode(F.get(flips, F.col("start"))).alias("flip"))
+    probe = probe.select("start", "a", F.col("key").bitwiseXOR(F.col("flip")).alias("key"))
     joined = probe.join(index, ["start", "key"]).where("a < b")
     differ = F.expr("a ^ b")
-    chain = lambda i, n: sum(F.bit_count(_segment(differ, i + k)) for k in range(n))
-    third = F.coalesce(*[F.when(F.col("start") == i, chain(i, 3)) for i in range(SEGMENTS)])
-    return joined.where(third <= 3 * DISTANCE // SEGMENTS).where(F.bit_count(differ) <= DISTANCE).select("a", "b").distinct()
+    for n in range(3, len(ring)):  # longer chains, up to the full check
+        chain = F.coalesce(*[F.when(F.col("start") == i, sum(F.bit_count(bits(differ, *r[k])) for k in range(n))) for i, r in enumerate(turn)])
+        joined = joined.where(chain <= n * distance // len(ring))
+    return joined.where(F.bit_count(differ) <= distance).select("a", "b").distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
@@ -104,16 +120,64 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     search. component_id is the smallest id that can be reached over links. An empty table gives no rows; repeated rows
     give repeated rows; extra columns are ignored.
     """
-    fps = cut(fingerprints(docs, id_col, text_col, shingle, seed))
+    fps = cut(fingerprints(docs, id_col, text_col, shingle, seed).drop("node", "fps"))
     distinct = cut(fps.groupBy("fp").agg(F.min("id").alias("least")))
     label = components(cut(links(distinct)), distinct)
     out = fps.join(label, "fp")
     return out.select(F.col("id").alias(id_col), "key", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """The rows of ``docs`` less near duplicates: of each component the text with the smallest id stays, in one row."""
-    groups = near_duplicates(docs, id_col, text_col, shingle, seed)
-    first = groups.groupBy("component_id").agg(F.min(F.struct(id_col, "key")).alias("first")).select(F.col("first.key").alias("__key"))
+def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
+    """(node, grams): the distinct hashed shingles of each text of ``docs`` (node, text); shorter texts have one, all of it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                sets = [np.unique(np.concatenate([*shingle_hashes(t, words), np.zeros(0, "<u8")])) for t in part.column("text").to_pylist()]
+                grams = list_array(np.concatenate(sets).view(np.int64), np.array([len(x) for x in sets]), pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column("node"), grams], names=["node", "grams"])
+
+    return docs.select("node", "text").mapInArrow(run, "node long, grams array<long>")
+
+
+def similar(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The ``pairs`` (a, b) whose texts (node, text) have a Jaccard similarity of at least ``similarity`` over their shingles."""
+    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = shingle_sets(texts.join(nodes, "node", "left_semi").dropDuplicates(["node"]), words)
+    side = lambda c: sets.select(F.col("node").alias(c), F.col("grams").alias(f"of_{c}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    shared = F.size(F.array_intersect("of_a", "of_b"))
+    return both.where(shared >= similarity * (F.size("of_a") + F.size("of_b") - shared)).select("a", "b")
+
+
+def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8, rounds: int = ROUNDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` less near duplicates: of each group of texts the one with the smallest id stays, in one row.
+
+    Copies are folded first. Then each round links what is left by one more fingerprint (of FEATURE-word shingles, as longer
+    ones move too many bits, and within WIDE of them), checks the links for a Jaccard similarity of ``similarity`` over ``words``-word shingles, and
+    drops all but the first of each component. So a group of near copies shrinks before the next round, and a pair that one
+    fingerprint misses has further chances; a text that is less similar is never dropped.
+    """
+    rows = fingerprints(docs, id_col, text_col, FEATURE, more=rounds - 1)
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    texts = docs.select(F.xxhash64(text).alias("node"), text.alias("text"))
+    alive = stored(rows.groupBy("node").agg(F.min(F.struct("id", "key")).alias("first"), F.first(F.concat(F.array("fp"), "fps")).alias("fps")))
+    for k in range(rounds):
+        now = alive.select("node", "first", F.col("fps")[k].alias("fp"))
+        distinct = now.groupBy("fp").agg(F.min("node").alias("node"), F.count("*").alias("n"))
+        near = links(distinct.select("fp"), WIDE)
+        of = now.select("fp", "node")
+        first = distinct.select("fp", F.col("node").alias("lead"))
+        across = near.join(first.select(F.col("fp").alias("a"), F.col("lead").alias("x")), "a").join(first.select(F.col("fp").alias("b"), F.col("lead").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+        within = of.join(first, "fp").where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b"))
+        pairs = stored(across.union(within))
+        if pairs.isEmpty():
+            continue
+        edges = cut(similar(pairs, texts, words, similarity))
+        if edges.isEmpty():
+            continue
+        nodes = edges.select(F.col("a").alias("fp")).union(edges.select(F.col("b").alias("fp"))).distinct().join(alive.select(F.col("node").alias("fp"), F.col("first").alias("least")), "fp")
+        kept = components(edges, nodes).join(nodes, "fp").where(F.col("component") != F.col("least")).select(F.col("fp").alias("node"))
+        alive = stored(alive.join(kept, "node", "left_anti"))
     keyed = docs.withColumn("__key", F.xxhash64(id_col, text_col))
-    return keyed.join(first, "__key", "left_semi").dropDuplicates(["__key"]).drop("__key")
+    return keyed.join(alive.select(F.col("first.key").alias("__key")), "__key", "left_semi").dropDuplicates(["__key"]).drop("__key")

@@ -73,18 +73,20 @@ def test_simhash(spark, docs, none):
     assert len({c for _, _, c in want}) < len(want) - 20
     assert simhash.near_duplicates(docs).count() == docs.count()
     assert simhash.near_duplicates(none).count() == 0
-    one = simhash.keep_one(docs)
+    assert simhash.keep_one(none, rounds=1).count() == 0
+    one = simhash.keep_one(docs, rounds=2)
     assert one.columns == docs.columns and sorted(r.doc_id for r in one.collect() if r.text == prose(1)) == [6]
 
 
-def test_links_at_every_distance(spark):
+@pytest.mark.parametrize("most", [3, 4])
+def test_links_at_every_distance(spark, most):
     r = random.Random(5)
     base = [r.getrandbits(64) for _ in range(40)]
-    near = [b ^ sum(1 << k for k in r.sample(range(64), d)) for b in base for d in (1, 2, 3, 4, 5)]
+    near = [b ^ sum(1 << k for k in r.sample(range(64), d)) for b in base for d in (1, 2, 3, 4, 5, 6)]
     signed = [(x - (1 << 64) if x >> 63 else x,) for x in {*base, *near}]
-    got = {(a, b) for a, b in simhash.links(spark.createDataFrame(signed, "fp long")).collect()}
-    want = {(a, b) for (a,), (b,) in itertools.product(signed, signed) if a < b and ((a ^ b) & (1 << 64) - 1).bit_count() <= 3}
-    assert got == want and len(want) >= 120
+    got = {(a, b) for a, b in simhash.links(spark.createDataFrame(signed, "fp long"), most).collect()}
+    want = {(a, b) for (a,), (b,) in itertools.product(signed, signed) if a < b and ((a ^ b) & (1 << 64) - 1).bit_count() <= most}
+    assert got == want and len(want) >= 40 * most
 
 
 def test_components_of_a_chain_and_a_star(spark):
