@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import etl, maps, names, text
+from ..functions import documents, etl, maps, names, text
+from ..sources import sinks
 from ..session import table
 
 _PAIRS = {"the": "TH-E", "en": "", "de": "d$1e"}
@@ -96,8 +97,50 @@ def html_titles(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", title.alias("title"), slug.alias("slug"), F.contains("html", F.lit("<p")).alias("has_text"))
 
 
+def structured_nodes(spark, sf_dir):
+    """Turns of conversations as document nodes that point to documents, rewritten for the target."""
+    kinds = F.array(*map(F.lit, (documents.INLINE_ENTRY, documents.BLOCK_ENTRY, documents.ENTRY_LINK, documents.ASSET_LINK, documents.BLOCK_ASSET, "paragraph")))
+    parents = F.array(F.lit("root"), F.lit("paragraph"), F.lit("listItem"))
+    talk = table(spark, sf_dir, "conversations").select("conv_id", "turn").distinct()
+    at = F.col("conv_id") * 7 + F.col("turn")
+    nodes = talk.select(F.col("conv_id").alias("document"), F.col("turn").alias("path"), F.element_at(kinds, (at % 6 + 1).cast("int")).alias("type"), F.element_at(parents, (at % 5 % 3 + 1).cast("int")).alias("parent"), (at % 400).alias("target"))
+    targets = table(spark, sf_dir, "documents").where("lang <> 'de'").select(F.col("doc_id").alias("source"), F.concat(F.lit("i"), "doc_id").alias("id"), F.col("lang").alias("model"))
+    return documents.rewrite(nodes, targets, ("en", "fr"))
+
+
+def field_validators(spark, sf_dir):
+    """Validators of parts taken for fields of several types."""
+    targets = F.array(*map(F.lit, ("string", "integer", "file", "links", "json")))
+    size = F.col("p_size").cast("string")
+    body = F.concat(F.lit('[{"size":{"min":'), size, F.lit(',"max":30},"unique":true,"in":["a","b"],"range":{"min":0,"max":'), size, F.lit('.0},"assetFileSize":{"max":'), size, F.lit("}}]"))
+    target = F.element_at(targets, (F.col("p_partkey") % 5 + 1).cast("int"))
+    made = etl.field_validators(target, F.col("p_partkey") % 2 == 0, F.from_json(body, etl.VALIDATIONS))
+    text_ = F.array_join(F.transform(F.array_sort(F.map_entries(made)), lambda e: F.concat_ws("=", e["key"], e["value"])), ";")
+    return table(spark, sf_dir, "part").select("p_partkey", text_.alias("validators"))
+
+
+def asset_insert(spark, sf_dir):
+    """Documents to upload: the first of each content that the target doesn't have."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.md5(F.col("text").cast("binary")).alias("md5"))
+    return sinks.to_insert(docs, docs.where("doc_id % 4 = 0").select("md5"), "md5", "doc_id")
+
+
+def call_log(spark, sf_dir):
+    """Log lines of events by the call that they belong to."""
+    line = F.concat(F.when(F.col("event_id") % 3 > 0, F.concat(F.lit("["), "user_id", F.lit("] "))).otherwise(""), "event_type")
+    return table(spark, sf_dir, "events").groupBy(F.coalesce(sinks.call_of(line), F.lit("none")).alias("call")).agg(F.count("*").alias("n"))
+
+
+def settings_upsert(spark, sf_dir):
+    """One setting of each nation set, or taken out for every third."""
+    base = F.create_map(F.lit("name"), F.col("n_name"), F.lit("region"), F.col("n_regionkey").cast("string"))
+    out = F.when(F.col("n_nationkey") % 3 == 0, sinks.with_setting(base, "region", None)).otherwise(sinks.with_setting(base, "region", F.lit("x")))
+    return table(spark, sf_dir, "nation").select("n_nationkey", F.try_element_at(out, F.lit("name")).alias("name"), F.try_element_at(out, F.lit("region")).alias("region"))
+
+
 QUERIES = (
-    api_key_model, api_key_field, type_map, value_convert, validators, rewrite_first, rewrite_all_ci, thumb_explode, locale_pivot, locale_defaults, validator_overlay, dotted_projection, detail_levels, html_titles,
+    api_key_model, api_key_field, type_map, value_convert, validators, rewrite_first, rewrite_all_ci, thumb_explode, locale_pivot, locale_defaults, validator_overlay, dotted_projection, detail_levels, html_titles, structured_nodes,
+    field_validators, asset_insert, call_log, settings_upsert,
 )
 
 _K = "json_extract_string(props, '$.k')"
@@ -126,4 +169,20 @@ SQL = {
     "dotted_projection": f"SELECT event_id, CAST({_K} AS BIGINT) AS props_k, year(ts) AS ts_year FROM events",
     "detail_levels": "SELECT p_partkey, p_name, CASE WHEN p_partkey % 2 = 0 THEN p_type END AS p_type, CASE WHEN p_partkey % 2 = 0 AND p_size > 10 THEN p_size END AS p_size FROM part",
     "html_titles": """SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, regexp_replace(lower(regexp_extract(url, '://[^/?#]*([^?#]*)', 1)), '[^a-z0-9]+', '-', 'g') AS slug, contains(html, '<p') AS has_text FROM pages""",
+    "structured_nodes": """WITH n AS (SELECT DISTINCT conv_id AS document, turn AS path, conv_id * 7 + turn AS pos FROM conversations),
+        m AS (SELECT document, path, (['embedded-entry-inline','embedded-entry-block','entry-hyperlink','asset-hyperlink','embedded-asset-block','paragraph'])[pos % 6 + 1] AS type, pos % 5 % 3 = 1 AS inl, pos % 5 % 3 = 0 AS blk, pos % 400 AS target FROM n),
+        r AS (SELECT m.*, d.doc_id, d.lang IN ('en', 'fr') AS ok FROM m LEFT JOIN (SELECT * FROM documents WHERE lang <> 'de') d ON doc_id = target),
+        o AS (SELECT *, CASE type WHEN 'embedded-entry-inline' THEN CASE WHEN doc_id IS NULL OR NOT ok THEN 'dropped' WHEN inl THEN 'inlineItem' ELSE 'span' END
+            WHEN 'embedded-entry-block' THEN CASE WHEN doc_id IS NULL THEN 'span' WHEN NOT ok THEN 'dropped' WHEN inl THEN 'inlineItem' ELSE 'paragraph>inlineItem' END
+            WHEN 'entry-hyperlink' THEN CASE WHEN doc_id IS NOT NULL AND inl THEN 'itemLink' ELSE 'children' END
+            WHEN 'asset-hyperlink' THEN CASE WHEN doc_id IS NULL THEN 'dropped' WHEN inl THEN 'link' ELSE 'children' END
+            WHEN 'embedded-asset-block' THEN CASE WHEN doc_id IS NULL THEN 'span' WHEN blk THEN 'block' ELSE 'dropped' END ELSE type END AS new_type FROM r)
+        SELECT document, path, type, new_type, CASE WHEN new_type IN ('inlineItem', 'paragraph>inlineItem', 'itemLink', 'link', 'block') THEN 'i' || doc_id END AS new_target FROM o""",
+    "field_validators": """WITH r AS (SELECT p_partkey, p_partkey % 5 AS t, CASE WHEN p_partkey % 2 = 0 THEN 'required={}' END AS req, nullif(p_size, 0) AS s FROM part)
+        SELECT p_partkey, coalesce(CASE t WHEN 0 THEN concat_ws(';', 'enum={"values":["a","b"]}', 'length=' || CASE WHEN s = 30 THEN '{"eq":30}' ELSE '{' || concat_ws(',', '"min":' || s, '"max":30') || '}' END, req, 'unique={}')
+            WHEN 1 THEN concat_ws(';', 'number_range={' || coalesce('"max":' || s || '.0', '') || '}', req) WHEN 2 THEN concat_ws(';', 'file_size={"max_value":' || s || ',"max_unit":"B"}', req)
+            WHEN 3 THEN 'size=' || CASE WHEN s = 30 THEN '{"eq":30}' ELSE '{' || concat_ws(',', '"min":' || s, '"max":30') || '}' END ELSE req END, '') AS validators FROM r""",
+    "asset_insert": "SELECT md5(text) AS md5, min(doc_id) AS doc_id FROM documents WHERE md5(text) NOT IN (SELECT md5(text) FROM documents WHERE doc_id % 4 = 0) GROUP BY 1",
+    "call_log": "SELECT CASE WHEN event_id % 3 > 0 THEN CAST(user_id AS VARCHAR) ELSE 'none' END AS call, count(*) AS n FROM events GROUP BY 1",
+    "settings_upsert": "SELECT n_nationkey, n_name AS name, CASE WHEN n_nationkey % 3 <> 0 THEN 'x' END AS region FROM nation",
 }

@@ -45,3 +45,69 @@ def bounds(low: Column, high: Column) -> Column:
 
 def range_json(low: Column, high: Column) -> Column:
     return F.to_json(bounds(low, high))
+
+
+# What a validation of a source field holds.
+VALIDATIONS = "array<struct<size:struct<min:long,max:long>,unique:boolean,in:array<string>,regexp:string,range:struct<min:double,max:double>,dateRange:struct<min:string,max:string>,assetFileSize:struct<min:long,max:long>>>"
+
+
+def _last(validations: Column, name: str) -> Column:
+    """The last validation of a kind; null if there is none."""
+    have = F.filter(F.transform(validations, lambda v: v[name]), lambda x: x.isNotNull())
+    return F.try_element_at(have, F.lit(-1))
+
+
+def _entries(*pairs: tuple[str, Column]) -> Column:
+    """A map of name to JSON text of the values that there are."""
+    each = F.array(*[F.struct(F.lit(k).alias("key"), v.alias("value")) for k, v in pairs])
+    return F.map_from_entries(F.filter(each, lambda e: e["value"].isNotNull()))
+
+
+def _span(v: Column) -> Column:
+    return F.when(v.isNotNull(), range_json(v["min"], v["max"]))
+
+
+def string_validators(required: Column, validations: Column) -> Column:
+    """Validators of a string or a slug: of several validations of a kind the last counts."""
+    pattern, values = _last(validations, "regexp"), _last(validations, "in")
+    return _entries(
+        ("required", F.when(required, "{}")), ("length", _span(_last(validations, "size"))), ("unique", F.when(_last(validations, "unique").isNotNull(), "{}")),
+        ("enum", F.when(values.isNotNull(), F.to_json(F.struct(values.alias("values"))))), ("format", F.when(pattern.isNotNull(), F.to_json(F.struct(pattern.alias("custom_pattern"))))),
+    )
+
+
+def number_validators(required: Column, validations: Column) -> Column:
+    r = _last(validations, "range")
+    ends = F.to_json(F.struct(F.nullif(r["min"], F.lit(0.0)).alias("min"), F.nullif(r["max"], F.lit(0.0)).alias("max")))
+    return _entries(("required", F.when(required, "{}")), ("number_range", F.when(r.isNotNull(), ends)))
+
+
+def date_validators(required: Column, validations: Column) -> Column:
+    """Dates as moments of the session's zone; a missing end stays as null."""
+    r = _last(validations, "dateRange")
+    moment = lambda c: F.date_format(F.to_timestamp(c), "yyyy-MM-dd'T'HH:mm:ssXXX")
+    ends = F.to_json(F.struct(moment(r["min"]).alias("min"), moment(r["max"]).alias("max")), {"ignoreNullFields": "false"})
+    return _entries(("required", F.when(required, "{}")), ("date_time_range", F.when(r.isNotNull(), ends)))
+
+
+def asset_validators(required: Column, validations: Column) -> Column:
+    """File sizes in bytes."""
+    r = _last(validations, "assetFileSize")
+    low, high = F.nullif(r["min"], F.lit(0)), F.nullif(r["max"], F.lit(0))
+    size = F.to_json(F.struct(low.alias("min_value"), F.when(low.isNotNull(), "B").alias("min_unit"), high.alias("max_value"), F.when(high.isNotNull(), "B").alias("max_unit")))
+    return _entries(("required", F.when(required, "{}")), ("file_size", F.when(low.isNotNull() | high.isNotNull(), size)))
+
+
+def list_validators(required: Column, validations: Column) -> Column:
+    """Validators of a list: its size only; a list is never required."""
+    return _entries(("size", _span(_last(validations, "size"))))
+
+
+def field_validators(target: Column, required: Column, validations: Column) -> Column:
+    """The validators of a field of the target type (a map of name to JSON)."""
+    v = {k: f(required, validations) for k, f in (("s", string_validators), ("n", number_validators), ("d", date_validators), ("a", asset_validators), ("l", list_validators))}
+    only = _entries(("required", F.when(required, "{}")))
+    return (
+        F.when(target.isin("string", "slug", "text"), v["s"]).when(target.isin("integer", "float"), v["n"]).when(target.isin("date", "date_time"), v["d"])
+        .when(target == "file", v["a"]).when(target.isin("links", "gallery"), v["l"]).otherwise(only)
+    )
