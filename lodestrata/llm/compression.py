@@ -16,7 +16,7 @@ from .tokens import slices
 
 PER_CLASS = 1_500
 MOST_BYTES = 64 << 10
-DICT_BYTES = 112 << 10
+DICT_BYTES = 400 << 10
 LEVEL = 3
 HELD_OUT = 5
 CUT = 0.3
