@@ -18,12 +18,16 @@ PATTERNS = {
     "ip": r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"[0-9](?:[ -]?[0-9])++",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
-    "short_card": r"(?<![0-9])[0-9](?:[ -]?[0-9])++",
-    "secret": r"(?<![A-Za-z0-9])[A-Fa-f0-9]{32,64}+(?![A-Za-z0-9])",
-    "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "local_phone": r"(?<![0-9+(-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9-])",
+    "iban": r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}",
+    "short_card": r"[0-9](?:[ -]?[0-9])++",
+    "secret": r"[A-Za-z0-9]++",
+    "ssn": r"[0-9-]++",
+    "local_phone": r"(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}",
 }
+# The form that a match of a wide pattern needs, what a text with one has, and the characters that a match must not touch.
+FORMS = {"secret": "^[A-Fa-f0-9]{32,64}$", "ssn": "^[0-9]{3}-[0-9]{2}-[0-9]{4}$"}
+MAY = {"secret": "[A-Fa-f0-9]{32}", "ssn": "[0-9]{3}-[0-9]{2}-[0-9]{4}"}
+APART = {"iban": "[A-Za-z0-9]", "local_phone": "[0-9+(-]"}
 # The score of a pattern with its checksum met, and the words nearby that add to it.
 SCORES = {"email": 0.9, "ip": 0.6, "card": 0.7, "phone": 0.6, "iban": 0.8, "short_card": 0.3, "secret": 0.3, "ssn": 0.4, "local_phone": 0.3}
 CONTEXT = {
@@ -82,7 +86,14 @@ def _octet(part: Column) -> Column:
     return (F.length(short) <= 3) & (F.lpad(short, 3, "0") <= "255")
 
 
-def _valid(kind: str, body: Column) -> Column:
+def _apart(kind: str, text: Column, m: Column) -> Column:
+    """Whether the characters next to a match aren't of the sort that it must not touch."""
+    before, after = F.when(m["start"] > 0, F.substring(text, m["start"], F.lit(1))).otherwise(""), F.substring(text, m["end"] + 1, F.lit(1))
+    return ~before.rlike(APART[kind]) & ~after.rlike(APART[kind])
+
+
+def _valid(kind: str, text: Column, m: Column) -> Column:
+    body = m["body"]
     digits = _digits(body)
     size = F.length(digits)
     return {
@@ -90,17 +101,17 @@ def _valid(kind: str, body: Column) -> Column:
         "ip": F.forall(F.split(body, r"\."), _octet),
         "card": size.between(16, 19) & luhn(digits),
         "phone": size.between(8, 15),
-        "iban": mod97(F.replace(body, F.lit(" "), F.lit(""))),
+        "iban": _apart("iban", text, m) & mod97(F.replace(body, F.lit(" "), F.lit(""))),
         "short_card": size.between(13, 15) & luhn(digits),
-        "secret": F.lit(True),
-        "ssn": ~F.substring(body, 1, 3).isin("000", "666") & (F.substring(body, 1, 1) != "9"),
-        "local_phone": F.lit(True),
+        "secret": body.rlike(FORMS["secret"]),
+        "ssn": body.rlike(FORMS["ssn"]) & ~F.substring(body, 1, 3).isin("000", "666") & (F.substring(body, 1, 1) != "9"),
+        "local_phone": _apart("local_phone", text, m),
     }[kind]
 
 
 def _spans(text: Column, kind: str) -> Column:
     """The confirmed spans of one kind with their scores; added kinds need the threshold."""
-    found = F.filter(_matches(text, PATTERNS[kind]), lambda m: _valid(kind, m["body"]))
+    found = F.filter(_matches(text, PATTERNS[kind]), lambda m: _valid(kind, text, m))
 
     def scored(m: Column) -> Column:
         from_ = F.greatest(m["start"] - NEAR, F.lit(0))
@@ -112,7 +123,7 @@ def _spans(text: Column, kind: str) -> Column:
     spans = F.transform(found, scored)
     if kind in ADDED:
         spans = F.filter(spans, lambda s: s["score"] >= THRESHOLD)
-    may = F.contains(text, F.lit("@")) if kind == "email" else text.rlike(PATTERNS[kind])
+    may = F.contains(text, F.lit("@")) if kind == "email" else text.rlike(MAY.get(kind, PATTERNS[kind]))
     return F.when(may, spans).otherwise(F.array().cast(_SPANS))
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import compression, decontaminate, language_model, line_templates, pieces, pii, quality_rules, sharding, simhash, urls
+from . import compression, decontaminate, language_model, line_templates, oracle, pieces, pii, quality_rules, sharding, simhash, urls
 
 SHARDS = 40
 
@@ -84,4 +84,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_pii": oracle.personal_data()}

@@ -303,3 +303,16 @@ def test_digest_is_of_base_spans(spark):
     texts = {r.doc_id: r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
     for r in op6_pii(spark, "/root/testdata/sf0.001").collect():
         assert r.base_sha256 == hashlib.sha256(",".join(slow_spans(texts[r.doc_id])).encode()).hexdigest()
+
+
+def test_spans_against_sql(spark, tmp_path):
+    import sys
+    from pathlib import Path
+
+    sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+    from compare import both
+
+    from lodestrata.llm import queries
+
+    mine, theirs = both(spark, "/root/testdata/sf0.001", queries.op6_pii, queries.oracle_sql()["op6_pii"])
+    assert mine == theirs and len(mine[1]) == 200
