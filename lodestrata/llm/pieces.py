@@ -21,8 +21,10 @@ from .tokens import list_array, slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-_CHARS = 1 << 19
-_KEPT_UNITS = 300_000
+_CHARS = 1 << 18
+_KEPT_UNITS = 250_000
+_SLICE_BYTES = 1 << 20
+_SLICE_IDS = 1 << 18
 _NEVER = np.float32(-np.inf)
 
 
@@ -229,13 +231,22 @@ def encode(docs: DataFrame, pieces: Pieces, text_col: str = "text", out: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(pieces)
         for batch in batches:
-            for part in slices(batch, text_col):
+            for part in slices(batch, text_col, _SLICE_BYTES):
                 ids, counts = encoder.encode([t or "" for t in part.column(text_col).to_pylist()])
                 yield pa.RecordBatch.from_arrays([*(part.column(k) for k in keep), list_array(ids, counts, pa.int32())], names=[*keep, out])
 
     return docs.select(*keep).mapInArrow(run, schema)
 
 
+def _id_slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """Consecutive row ranges with at most _SLICE_IDS ids each (one row at least)."""
+    ends, at = batch.column(column).offsets.to_numpy(), 0
+    while at < batch.num_rows:
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + _SLICE_IDS, "right")) - 1)
+        yield batch.slice(at, to - at)
+        at = to
+
+
 def decode(docs: DataFrame, pieces: Pieces, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
     """``docs`` and the text that each list of ids stands for; a null list is an empty text.
 
@@ -249,10 +260,11 @@ def decode(docs: DataFrame, pieces: Pieces, ids_col: str = "ids", out: str = "de
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = []
-            for row in batch.column(ids_col):
-                body = b"".join([table[i] for i in row.values.to_numpy(zero_copy_only=False).tolist()]) if row.is_valid else b""
-                texts.append(body[front if body[:1] == b" " else 0 :].decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keep), pa.array(texts, pa.string())], names=[*keep, out])
+            for part in _id_slices(batch, ids_col):
+                texts = []
+                for row in part.column(ids_col):
+                    body = b"".join([table[i] for i in row.values.to_numpy(zero_copy_only=False).tolist()]) if row.is_valid else b""
+                    texts.append(body[front if body[:1] == b" " else 0 :].decode("utf-8", "replace"))
+                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in keep), pa.array(texts, pa.string())], names=[*keep, out])
 
     return docs.select(*keep).mapInArrow(run, schema)
