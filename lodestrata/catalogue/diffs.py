@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import maps
-from ..functions.canonical import canonical, key_order, survives, truthy
+from ..functions.canonical import canonical, key_order, survives
 from ..operators import graph, joins, moves
 from ..plans import diff, render
 from ..session import table

@@ -6,7 +6,6 @@ import inspect
 from collections.abc import Callable
 from types import ModuleType
 
-from . import operators, plans  # noqa: F401
 from .operators import graph, joins, moves, order
 from .plans import diff, ledger, render
 from .sources import snapshots
