@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .storage import cut
+from .storage import stored
 from .tokens import DIGIT, U64, Words, combine, list_array, mix, ordered_sums, slices
 
 MIN_DOCS = 3
@@ -65,21 +65,26 @@ def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, id_col: str = "doc_id",
                 own, number, leaf, value, fields = line_keys(Words(part.column("text"), lower=False))
                 at = pa.array(own)
                 out = [part.column("key").take(at), part.column("id").take(at), pa.array(number.astype(np.int32))]
-                out += [pa.array(leaf.view(np.int64)), pa.array(_first_in_text(own, leaf)), list_array(value.view(np.int64), fields, pa.int64())]
-                yield pa.RecordBatch.from_arrays(out, names=["key", "id", "number", "leaf", "once", "fields"])
+                once = _first_in_text(np.repeat(own, fields), value)
+                out += [pa.array(leaf.view(np.int64)), pa.array(_first_in_text(own, leaf))]
+                out += [list_array(value.view(np.int64), fields, pa.int64()), list_array(once, fields, pa.bool_())]
+                yield pa.RecordBatch.from_arrays(out, names=["key", "id", "number", "leaf", "once", "fields", "firsts"])
 
     source = docs.select(F.xxhash64(id_col, text_col).alias("key"), F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    lines = cut(source.mapInArrow(run, "key long, id long, number int, leaf long, once boolean, fields array<long>"))
+    lines = stored(source.mapInArrow(run, "key long, id long, number int, leaf long, once boolean, fields array<long>, firsts array<boolean>"))
 
     leaves = lines.groupBy("leaf").agg(F.count_if("once").alias("n")).where(F.col("n") >= min_docs).select("leaf")
-    values = lines.join(leaves, "leaf").select("key", "id", "number", "leaf", F.size("fields").alias("size"), F.explode("fields").alias("value"))
-    per_text = values.groupBy("value", "key").count().groupBy("value").agg(F.count("*").alias("n"))
-    constant = per_text.where(F.col("n") >= min_docs).select("value", F.lit(True).alias("constant"))
-    marked = values.join(constant, "value", "left")
-    template = marked.groupBy("key", "id", "number", "leaf", "size").agg(
+    live = lines.join(leaves, "leaf").withColumn("line", F.xxhash64("leaf", "fields"))
+    values = live.select(F.explode(F.arrays_zip("fields", "firsts")).alias("f")).groupBy(F.col("f.fields").alias("value")).agg(F.count_if("f.firsts").alias("n"))
+    constant = values.where(F.col("n") >= min_docs).select("value", F.lit(True).alias("constant"))
+    # Lines that are the same up to their variables in leading and digit tokens are marked once.
+    shapes = live.groupBy("line").agg(F.min("leaf").alias("leaf"), F.first("fields").alias("fields"))
+    marked = shapes.select("line", "leaf", F.size("fields").alias("size"), F.explode("fields").alias("value")).join(constant, "value", "left")
+    template = marked.groupBy("line", "leaf", "size").agg(
         F.count("constant").alias("constants"), F.bit_xor(F.when(F.col("constant"), F.xxhash64("value")).otherwise(0)).alias("mask")
     )
-    template = cut(template.where("2 * constants >= size").select("key", "id", "number", F.xxhash64("leaf", "constants", "mask").alias("template")))
+    template = template.where("2 * constants >= size").select("line", F.xxhash64("leaf", "constants", "mask").alias("template"))
+    template = stored(live.select("key", "id", "number", "line").join(template, "line").drop("line"))
     per_text = template.groupBy("template", "key").agg(F.min("id").alias("id"))
     shared = per_text.groupBy("template").agg(F.count("*").alias("n"), F.min(F.struct("id", "key")).alias("first")).where(F.col("n") >= min_docs)
     return template.join(shared, "template").select("key", "number", (F.col("key") != F.col("first.key")).alias("drop"))
