@@ -35,7 +35,6 @@ class Pieces:
         from sentencepiece import SentencePieceProcessor
 
         sp = SentencePieceProcessor(model_file=model)
-        self.name = model
         self.text = [sp.id_to_piece(k) for k in range(len(sp))]
         self.unknown = sp.unk_id()
         special = {k for k in range(len(sp)) if sp.is_control(k) or sp.is_unknown(k)}
@@ -205,17 +204,6 @@ def segment(units: list[str], pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
     return out, np.bincount(np.searchsorted(breaks, s), n, len(units)).astype(np.int64)
 
 
-_encoders: dict[str, Encoder] = {}
-
-
-def _encoder(pieces: Pieces) -> Encoder:
-    """The worker's encoder for a vocabulary, kept from task to task."""
-    if pieces.name not in _encoders:
-        _encoders.clear()
-        _encoders[pieces.name] = Encoder(pieces)
-    return _encoders[pieces.name]
-
-
 def _with(docs: DataFrame, drop: set[str], column: str, kind: DataType) -> tuple[list[str], StructType]:
     keep = [f.name for f in docs.schema.fields if f.name not in drop]
     return keep, docs.select(*keep).schema.add(column, kind)
@@ -229,7 +217,7 @@ def encode(docs: DataFrame, pieces: Pieces, text_col: str = "text", out: str = "
     keep, schema = _with(docs, {out}, out, ArrayType(IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(pieces)
+        encoder = Encoder(pieces)  # one for each task: a worker that lives on keeps nothing
         for batch in batches:
             for part in slices(batch, text_col, _SLICE_BYTES):
                 ids, counts = encoder.encode([t or "" for t in part.column(text_col).to_pylist()])

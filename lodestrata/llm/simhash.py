@@ -25,7 +25,7 @@ SEED = 42
 DISTANCE = 3
 FEATURE = 2
 WIDE = 4
-ROUNDS = 8
+ROUNDS = 4
 _BLOCK = 255
 _REMIX = 0x9E3779B97F4A7C15
 MASK = (1 << 64) - 1
