@@ -11,8 +11,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
-WINDOW_BYTES = 1 << 20
+SLICE_BYTES = 1 << 20
+WINDOW_BYTES = 1 << 18
 
 U64 = np.uint64
 SPACE = np.zeros(256, bool)
