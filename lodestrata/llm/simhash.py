@@ -23,9 +23,11 @@ from .tokens import U64, list_array, mix, slices
 SHINGLE = 3
 SEED = 42
 DISTANCE = 3
-FEATURE = 2
-WIDE = 4
-ROUNDS = 4
+ROUNDS = 2
+HOT = 1 << 16
+HOT_SHARE = 16
+HOT_LEAST = 4
+SKETCH_BITS = 1024
 _BLOCK = 255
 _REMIX = 0x9E3779B97F4A7C15
 MASK = (1 << 64) - 1
@@ -150,34 +152,114 @@ def similar(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -
     return both.where(shared >= similarity * (F.size("of_a") + F.size("of_b") - shared)).select("a", "b")
 
 
+def _needed(size, similarity: float):
+    """The least overlap with any text as similar as ``similarity`` that a set of ``size`` shingles needs; rounding never raises it."""
+    return np.ceil(size * similarity - 1e-6).astype(np.int64)
+
+
+def _hot(docs: DataFrame, words: int) -> np.ndarray:
+    """Shingles that many of a share of the texts have, the commonest last. It only orders prefixes, so a miss costs time, no link."""
+    sets = shingle_sets(docs.where(F.pmod("node", F.lit(HOT_SHARE)) == 0), words).dropDuplicates(["node"])
+    counts = sets.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") >= HOT_LEAST)
+    rows = counts.orderBy(F.desc("n"), "gram").limit(HOT).collect()
+    return np.array([r["gram"] for r in reversed(rows)], np.int64)
+
+
+def prefixes(docs: DataFrame, words: int, similarity: float, hot: np.ndarray) -> DataFrame:
+    """(id, key, node, size, keys, bits): the number of shingles of each text and its prefix, in one order for all texts with ``hot`` last.
+
+    Each of SKETCH_BITS bits says whether an odd number of shingles falls on it, so two texts differ in as many shingles at least as in bits.
+
+    Two sets that share s of both's shingles share one of their first n - ceil(s * n) + 1 each. A wordless text has the key 0.
+    """
+    values = np.sort(hot)
+    rank = np.argsort(hot) + 1
+
+    def prefix(grams: np.ndarray) -> np.ndarray:
+        if len(grams) == 0:
+            return np.zeros(1, np.int64)
+        take = len(grams) - int(_needed(len(grams), similarity)) + 1
+        if len(values) == 0:
+            return grams[:take]
+        at = np.minimum(np.searchsorted(values, grams), len(values) - 1)
+        order = np.where(values[at] == grams, rank[at], 0)
+        return grams[np.argsort(order, kind="stable")[:take]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                sets = [np.unique(np.concatenate([*shingle_hashes(t, words), np.zeros(0, "<u8")]).view(np.int64)) for t in part.column("text").to_pylist()]
+                keys = [prefix(x) for x in sets]
+                odd = np.array([np.bincount(x & (SKETCH_BITS - 1), minlength=SKETCH_BITS) & 1 for x in sets], np.uint8)
+                bits = np.packbits(odd, axis=1).view(np.int64)
+                arrays = [pa.array(np.array([len(x) for x in sets], np.int32)), list_array(bits.ravel(), np.full(len(bits), bits.shape[1]), pa.int64()), list_array(np.concatenate(keys), np.array([len(x) for x in keys]), pa.int64())]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("id", "key", "node")), *arrays], names=["id", "key", "node", "size", "bits", "keys"])
+
+    return docs.select("id", "key", "node", "text").mapInArrow(run, "id long, key long, node long, size int, bits array<long>, keys array<long>")
+
+
+def _within_reach(similarity: float) -> str:
+    """Whether sets x and y can be that similar if a key at their places is the first they share: true for all that are."""
+    return f"least(x.size - x.at, y.size - y.at) >= {similarity / (1 + similarity)!r} * (x.size + y.size) - 0.000001 or x.size = 0 and y.size = 0"
+
+
+def _screened(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """The ``pairs`` (a, b) whose sketches don't already show more different shingles than that similarity allows."""
+    side = lambda c: nodes.select(F.col("fp").alias(c), F.col("size").alias(f"size_{c}"), F.col("bits").alias(f"bits_{c}"))
+    differ = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
+    most = (F.col("size_a") + F.col("size_b")) * ((1 - similarity) / (1 + similarity)) + 1e-6
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(differ <= most).select("a", "b")
+
+
 def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8, rounds: int = ROUNDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` less near duplicates: of each group of texts the one with the smallest id stays, in one row.
 
-    Copies are folded first. Then each round links what is left by one more fingerprint (of FEATURE-word shingles, as longer
-    ones move too many bits, and within WIDE of them), checks the links for a Jaccard similarity of ``similarity`` over ``words``-word shingles, and
-    drops all but the first of each component. So a group of near copies shrinks before the next round, and a pair that one
-    fingerprint misses has further chances; a text that is less similar is never dropped.
+    Groups are the connected components of all pairs of texts with a Jaccard similarity of ``similarity`` over their
+    ``words``-word shingles; no pair is left out. Copies are folded first. Texts that share a key of their prefixes are
+    candidates, and each is checked. ``rounds`` rounds first check each text against one lead of each of its keys, so that
+    a large group is one component at linear cost; then all candidates in different components are checked. No text leaves
+    the search, and components run over the edges of all rounds.
     """
-    rows = fingerprints(docs, id_col, text_col, FEATURE, more=rounds - 1)
     text = F.coalesce(F.col(text_col), F.lit(""))
-    texts = docs.select(F.xxhash64(text).alias("node"), text.alias("text"))
-    alive = stored(rows.groupBy("node").agg(F.min(F.struct("id", "key")).alias("first"), F.first(F.concat(F.array("fp"), "fps")).alias("fps")))
-    for k in range(rounds):
-        now = alive.select("node", "first", F.col("fps")[k].alias("fp"))
-        distinct = now.groupBy("fp").agg(F.min("node").alias("node"), F.count("*").alias("n"))
-        near = links(distinct.select("fp"), WIDE)
-        of = now.select("fp", "node")
-        first = distinct.select("fp", F.col("node").alias("lead"))
-        across = near.join(first.select(F.col("fp").alias("a"), F.col("lead").alias("x")), "a").join(first.select(F.col("fp").alias("b"), F.col("lead").alias("y")), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
-        within = of.join(first, "fp").where("node <> lead").select(F.col("lead").alias("a"), F.col("node").alias("b"))
-        pairs = stored(across.union(within))
+    source = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(id_col, text_col).alias("key"), F.xxhash64(text).alias("node"), text.alias("text"))
+    made = prefixes(source, words, similarity, _hot(source, words))
+    distinct = stored(made.groupBy("node").agg(F.min(F.struct("id", "key")).alias("first"), F.first("size").alias("size"), F.first("bits").alias("bits"), F.first("keys").alias("keys")))
+    keys = distinct.select("node", "size", F.posexplode("keys").alias("at", "k"))
+    repeated = stored(keys.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").select("k"))
+    shared = stored(keys.join(repeated, "k"))
+    # A text with few keys of its own is the likelier source of the others.
+    share = shared.groupBy("node").agg(F.count("*").alias("n"))
+    nodes = stored(share.join(distinct, "node").select(F.col("node").alias("fp"), F.col("first").alias("least"), (F.col("n") / F.size("keys")).alias("share"), "size", "bits"))
+    label = nodes.select(F.col("fp").alias("node"), F.col("fp").alias("comp"), "share")
+    edges = None
+    for k in range(rounds + 1):
+        placed = shared.join(label, "node")
+        if k < rounds:
+            best = F.struct(F.col("share") if k == 0 else F.lit(0.0), F.xxhash64("node", F.lit(k)), "node", "comp", "size", "at")
+            lead = placed.groupBy("k").agg(F.max(best).alias("lead")).select("k", "lead.*")
+            pairs = placed.alias("x").join(lead.alias("y"), "k").where("x.comp <> y.comp")
+        else:
+            groups = stored(placed.select("k", "comp").distinct())
+            met = groups.alias("p").join(groups.alias("q"), "k").where("p.comp < q.comp").select("k", F.col("p.comp").alias("c"), F.col("q.comp").alias("d"))
+            placed = placed.select("k", "comp", "node", "size", "at")
+            half = met.join(placed.withColumnRenamed("comp", "c"), ["k", "c"]).select("k", "d", F.struct("node", "size", "at").alias("x"))
+            pairs = half.join(placed.select("k", F.col("comp").alias("d"), F.struct("node", "size", "at").alias("y")), ["k", "d"])
+        pairs = pairs.where(_within_reach(similarity)).select(F.expr("least(x.node, y.node)").alias("a"), F.expr("greatest(x.node, y.node)").alias("b")).distinct()
+        pairs = stored(_screened(stored(pairs), nodes, similarity))
         if pairs.isEmpty():
             continue
-        edges = cut(similar(pairs, texts, words, similarity))
-        if edges.isEmpty():
-            continue
-        nodes = edges.select(F.col("a").alias("fp")).union(edges.select(F.col("b").alias("fp"))).distinct().join(alive.select(F.col("node").alias("fp"), F.col("first").alias("least")), "fp")
-        kept = components(edges, nodes).join(nodes, "fp").where(F.col("component") != F.col("least")).select(F.col("fp").alias("node"))
-        alive = stored(alive.join(kept, "node", "left_anti"))
+        found = stored(similar(pairs, source, words, similarity))
+        edges = found if edges is None else edges.union(found)
+        if k < rounds:
+            label = stored(_labels(edges, nodes))
+    if edges is not None:
+        gone = components(edges, nodes.select("fp", "least")).join(nodes, "fp").where(F.col("component") != F.col("least")).select(F.col("fp").alias("node"))
+        distinct = distinct.join(gone, "node", "left_anti")
     keyed = docs.withColumn("__key", F.xxhash64(id_col, text_col))
-    return keyed.join(alive.select(F.col("first.key").alias("__key")), "__key", "left_semi").dropDuplicates(["__key"]).drop("__key")
+    return keyed.join(distinct.select(F.col("first.key").alias("__key")), "__key", "left_semi").dropDuplicates(["__key"]).drop("__key")
+
+
+def _labels(edges: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, comp, share): each node's component under the edges so far, named by its smallest node."""
+    comp = components(edges, nodes.select("fp", F.col("fp").alias("least")))
+    return comp.join(nodes, "fp").select(F.col("fp").alias("node"), F.col("component").alias("comp"), "share")
