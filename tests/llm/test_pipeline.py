@@ -77,3 +77,9 @@ def test_every_near_copy_is_found(spark):
     rows += [(400 + k, " ".join(prose(80))) for k in range(40)] + [(500, ""), (501, " "), (502, "one two")]
     kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted(r.doc_id for r in kept.collect()) == _first_of_groups(rows)
+
+
+def test_recall_on_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = [(r.doc_id, r.text or "") for r in docs.select("doc_id", "text").collect()]
+    assert sorted(r.doc_id for r in simhash.keep_one(docs).collect()) == _first_of_groups(rows)
