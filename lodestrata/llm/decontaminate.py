@@ -1,8 +1,8 @@
-"""Benchmark decontamination: rare n-gram seeds find passages, Smith-Waterman alignment of words scores them.
+"""Benchmark decontamination: n-gram seeds find passages, Smith-Waterman alignment of words scores them.
 
 Texts are scanned once against the seeds of a bounded part of the benchmark (one scan for each part of a larger one). Seeds
-of one item on near diagonals make one passage. A passage goes on if one of its seeds is rare: in at most as many documents
-as the median seed of its item, so that an item keeps half of its seeds or more however often it is leaked.
+of one item on near diagonals make one passage. A passage goes on unless it has too few of the item's words for the
+similarity asked for, which no alignment can make up; how many documents have a seed plays no part.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .storage import cut
-from .tokens import U64, Words, list_array, slices
+from .tokens import U64, Words, slices
 
 SEED_WORDS = 3
 SIMILARITY = 0.5
@@ -29,6 +29,7 @@ class Seeds:
     def __init__(self, ids: list[int], texts: list[str | None], n: int = SEED_WORDS):
         words = Words(pa.array([t or "" for t in texts], pa.string()))
         self.ids, self.lengths = np.array(ids, np.int64), words.counts
+        self.words, self.bounds = words.hashes, words.bounds
         rows = []
         for k in sorted({n, *(int(c) for c in self.lengths if 0 < c < n)}):
             first, h = words.windows(k)
@@ -56,23 +57,28 @@ class Seeds:
         return (np.concatenate(at), np.concatenate(row)) if at else (np.zeros(0, np.int64),) * 2
 
 
-def passages(words: Words, seeds: Seeds) -> Iterator[tuple[int, int, int, str, np.ndarray]]:
-    """(text, item, first word, passage, seed rows) for each run of hits on near diagonals, with room for gaps around it."""
+def passages(words: Words, seeds: Seeds, similarity: float = 0.0) -> Iterator[tuple[int, int, int, str]]:
+    """(text, item, first word, passage) for each run of hits on near diagonals, with room for gaps around it.
+
+    A passage is left out only if fewer than ``similarity`` of the item's words are anywhere in it: its score is less, too.
+    """
     at, row = seeds.hits(words)
     text, item = words.owner[at], seeds.item[row]
     diagonal = at - seeds.offset[row]
     order = np.lexsort((diagonal, item, text))
-    text, item, diagonal, row = text[order], item[order], diagonal[order], row[order]
+    text, item, diagonal = text[order], item[order], diagonal[order]
     room = seeds.lengths[item] // 4 + 1
-    fresh = np.ones(len(row) + 1, bool)
+    fresh = np.ones(len(text) + 1, bool)
     fresh[1:-1] = (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (np.diff(diagonal) > room[1:])
     cuts = np.flatnonzero(fresh)
     for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
         t, i = text[a], item[a]
         low = max(diagonal[a] - room[a], words.bounds[t])
         high = min(diagonal[b - 1] + seeds.lengths[i] + room[a], words.bounds[t + 1])
+        if np.isin(seeds.words[seeds.bounds[i] : seeds.bounds[i + 1]], words.hashes[low:high]).sum() / seeds.lengths[i] < similarity:
+            continue
         body = words.data[words.starts[low] : words.ends[high - 1]].tobytes()
-        yield t, i, int(low - words.bounds[t]), b" ".join(body.split()).decode("utf-8", "replace"), np.unique(row[a:b])
+        yield t, i, int(low - words.bounds[t]), b" ".join(body.split()).decode("utf-8", "replace")
 
 
 def align(passage: np.ndarray, item: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -155,21 +161,16 @@ def _contaminated(source: DataFrame, ids: list[int], texts: list[str], seed_word
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, "text"):
-                got = list(passages(Words(piece.column("text")), seeds)) if len(seeds.h) else []
+                got = list(passages(Words(piece.column("text")), seeds, similarity)) if len(seeds.h) else []
                 if not got:
                     continue
-                t, item, first, passage, row = zip(*got, strict=True)
+                t, item, first, passage = zip(*got, strict=True)
                 at = pa.array(t)
                 out = [piece.column("key").take(at), piece.column("id").take(at), pa.array(item, pa.int32()), pa.array(first, pa.int32()), pa.array(passage)]
-                out.append(list_array(np.concatenate(row).astype(np.int32), np.array([len(r) for r in row]), pa.int32()))
-                yield pa.RecordBatch.from_arrays(out, names=["key", "id", "slot", "first", "passage", "seeds"])
-
-    found = cut(source.mapInArrow(scan, "key long, id long, slot int, first int, passage string, seeds array<int>"))
-    seen = found.select("key", "slot", F.explode("seeds").alias("seed"))
-    spread = seen.groupBy("seed", "key").agg(F.min("slot").alias("slot")).groupBy("seed").agg(F.count("*").alias("docs"), F.min("slot").alias("slot"))
-    middle = spread.groupBy("slot").agg(F.expr("percentile_approx(docs, 0.5, 1000000)").alias("middle"))
-    rare = spread.join(middle, "slot").where("docs <= middle").select("seed")
-    live = found.withColumn("seed", F.explode("seeds")).join(rare, "seed", "left_semi").select("key", "id", "slot", "first", "passage").distinct()
+                yield pa.RecordBatch.from_arrays(out, names=["key", "id", "slot", "first", "passage"])
+
+    found = cut(source.mapInArrow(scan, "key long, id long, slot int, first int, passage string"))
+    live = found.distinct()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -128,6 +128,15 @@ def test_decontamination(spark, docs, none):
     assert decontaminate.clean(docs, few).columns == docs.columns
 
 
+def test_decontamination_of_a_partial_copy_spread_widely(spark):
+    """However many documents share a part of an item's seeds, they are scored: every fifth word replaced is 0.6 or more of it."""
+    words = prose(950, 40).split()
+    edited = " ".join("zz" if k % 5 == 4 else w for k, w in enumerate(words))
+    rows = [(0, " ".join(words)), *((k, f"{prose(k, 20)} {edited} {prose(100 + k, 20)}") for k in range(1, 30))]
+    got = decontaminate.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")).collect()
+    assert sorted(r.doc_id for r in got) == list(range(30)) and min(r.similarity for r in got) >= 0.6
+
+
 def slow_align(p: list[str], q: list[str]) -> int:
     row, best = [0] * (len(p) + 1), 0
     for y in q:
