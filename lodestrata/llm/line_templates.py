@@ -3,7 +3,9 @@
 A line goes down the tree by its number of tokens and its leading tokens, where a token with a digit is a variable. The
 rest of the line is cut into at most FIELDS runs of tokens by position. In a leaf, a field value that enough documents have
 is constant and any other is variable: the line's template is its leaf with its constant fields. A template of enough
-documents recurs, and its lines are dropped everywhere but in the document with the smallest id.
+documents recurs, and its lines are dropped everywhere but in the document with the smallest id. A line of leading tokens
+only is a template by itself. A line of LONG tokens or more also recurs where two different texts have it word for word;
+copies of a text count once and are treated alike, so that they stay copies.
 """
 
 from __future__ import annotations
@@ -18,7 +20,9 @@ from .storage import stored
 from .tokens import DIGIT, U64, Words, combine, list_array, mix, ordered_sums, slices
 
 MIN_DOCS = 3
-MIN_TOKENS = 3
+MIN_TOKENS = 2
+LONG = 50
+LONG_TEXTS = 2
 LEADING = 2
 FIELDS = 8
 
@@ -26,16 +30,21 @@ _VARIABLE = U64(0x5BD1E9955BD1E995)
 
 
 def line_keys(words: Words) -> tuple[np.ndarray, ...]:
-    """For each line of at least MIN_TOKENS tokens: its text, number in the text, leaf, field values, number of fields."""
+    """For each line of at least MIN_TOKENS tokens: its text, number in the text, leaf, field values, number of fields, hash of all tokens, number of tokens.
+
+    Lines without a field need a token that is no variable.
+    """
     s, e, own = words.lines()
     a, b = np.searchsorted(words.starts, s), np.searchsorted(words.starts, e)
-    long = b - a >= MIN_TOKENS
+    digits = np.zeros(len(words.data) + 1, np.int64)
+    np.cumsum(DIGIT[words.data], out=digits[1:])
+    variable = digits[words.ends] > digits[words.starts]
+    variables = np.concatenate(([0], np.cumsum(variable)))
+    long = (b - a >= MIN_TOKENS) & ((b - a > LEADING) | (variables[b] - variables[a] < b - a))
     s, a, b, own = s[long], a[long], b[long], own[long]
     breaks = np.flatnonzero(words.data == 0x0A)
     number = np.searchsorted(breaks, s) - np.searchsorted(breaks, words.offsets[own])
-    digits = np.zeros(len(words.data) + 1, np.int64)
-    np.cumsum(DIGIT[words.data], out=digits[1:])
-    token = np.where(digits[words.ends] > digits[words.starts], _VARIABLE, words.hashes)
+    token = np.where(variable, _VARIABLE, words.hashes)
     n = b - a
     leaf = mix(combine(token, LEADING)[a] ^ mix(n.astype(U64)))
     rest = n - LEADING
@@ -45,7 +54,7 @@ def line_keys(words: Words) -> tuple[np.ndarray, ...]:
     start = a[row] + LEADING + k * rest[row] // fields[row]
     end = a[row] + LEADING + (k + 1) * rest[row] // fields[row]
     value = mix(ordered_sums(token, start, end) ^ mix(leaf[row] + k.astype(U64)))
-    return own, number, leaf, value, fields
+    return own, number, leaf, value, fields, ordered_sums(words.hashes, a, b), n
 
 
 def _first_in_text(own: np.ndarray, h: np.ndarray) -> np.ndarray:
@@ -57,21 +66,25 @@ def _first_in_text(own: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 
 def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(key, number, drop): the lines whose template recurs. key is xxhash64(id, text); drop is false in the first document."""
+    """(key, number, drop): the lines whose template recurs, or that recur word for word; a row for each of the two.
+
+    key is xxhash64(id, text); drop is false in the first document.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                own, number, leaf, value, fields = line_keys(Words(part.column("text"), lower=False))
+                own, number, leaf, value, fields, same, n = line_keys(Words(part.column("text"), lower=False))
                 at = pa.array(own)
                 out = [part.column("key").take(at), part.column("id").take(at), pa.array(number.astype(np.int32))]
                 once = _first_in_text(np.repeat(own, fields), value)
                 out += [pa.array(leaf.view(np.int64)), pa.array(_first_in_text(own, leaf))]
                 out += [list_array(value.view(np.int64), fields, pa.int64()), list_array(once, fields, pa.bool_())]
-                yield pa.RecordBatch.from_arrays(out, names=["key", "id", "number", "leaf", "once", "fields", "firsts"])
+                out += [part.column("node").take(at), pa.array(same.view(np.int64), mask=n < LONG)]
+                yield pa.RecordBatch.from_arrays(out, names=["key", "id", "number", "leaf", "once", "fields", "firsts", "node", "same"])
 
-    source = docs.select(F.xxhash64(id_col, text_col).alias("key"), F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    lines = stored(source.mapInArrow(run, "key long, id long, number int, leaf long, once boolean, fields array<long>, firsts array<boolean>"))
+    source = docs.select(F.xxhash64(id_col, text_col).alias("key"), F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.xxhash64(text_col).alias("node"))
+    lines = stored(source.mapInArrow(run, "key long, id long, number int, leaf long, once boolean, fields array<long>, firsts array<boolean>, node long, same long"))
 
     leaves = lines.groupBy("leaf").agg(F.count_if("once").alias("n")).where(F.col("n") >= min_docs).select("leaf")
     live = lines.join(leaves, "leaf").withColumn("line", F.xxhash64("leaf", "fields"))
@@ -79,15 +92,17 @@ def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, id_col: str = "doc_id",
     constant = values.where(F.col("n") >= min_docs).select("value", F.lit(True).alias("constant"))
     # Lines that are the same up to their variables in leading and digit tokens are marked once.
     shapes = live.groupBy("line").agg(F.min("leaf").alias("leaf"), F.first("fields").alias("fields"))
-    marked = shapes.select("line", "leaf", F.size("fields").alias("size"), F.explode("fields").alias("value")).join(constant, "value", "left")
+    marked = shapes.select("line", "leaf", F.size("fields").alias("size"), F.explode_outer("fields").alias("value")).join(constant, "value", "left")
     template = marked.groupBy("line", "leaf", "size").agg(
         F.count("constant").alias("constants"), F.bit_xor(F.when(F.col("constant"), F.xxhash64("value")).otherwise(0)).alias("mask")
     )
     template = template.where("2 * constants >= size").select("line", F.xxhash64("leaf", "constants", "mask").alias("template"))
-    template = stored(live.select("key", "id", "number", "line").join(template, "line").drop("line"))
-    per_text = template.groupBy("template", "key").agg(F.min("id").alias("id"))
-    shared = per_text.groupBy("template").agg(F.count("*").alias("n"), F.min(F.struct("id", "key")).alias("first")).where(F.col("n") >= min_docs)
-    return template.join(shared, "template").select("key", "number", (F.col("key") != F.col("first.key")).alias("drop"))
+    by_template = live.select("key", "id", "number", "line").join(template, "line").select("key", "id", "number", F.col("key").alias("doc"), "template", F.lit(min_docs).alias("least"))
+    by_words = lines.where("same is not null").select("key", "id", "number", F.col("node").alias("doc"), F.col("same").alias("template"), F.lit(min(LONG_TEXTS, min_docs)).alias("least"))
+    found = stored(by_template.unionByName(by_words))
+    per_text = found.groupBy("template", "least", "doc").agg(F.min("id").alias("id"))
+    shared = per_text.groupBy("template", "least").agg(F.count("*").alias("n"), F.min(F.struct("id", "doc")).alias("first")).where(F.col("n") >= F.col("least"))
+    return found.join(shared, ["template", "least"]).select("key", "number", (F.col("doc") != F.col("first.doc")).alias("drop"))
 
 
 def deduplicate(docs: DataFrame, min_docs: int = MIN_DOCS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -98,7 +113,7 @@ def deduplicate(docs: DataFrame, min_docs: int = MIN_DOCS, id_col: str = "doc_id
     as one document. Columns of ``docs`` with the three names are replaced.
     """
     found = recurring(docs, min_docs, id_col, text_col).groupBy("key").agg(
-        F.count("*").cast("int").alias("__n"), F.sort_array(F.collect_list(F.when(F.col("drop"), F.col("number")))).alias("__drop")
+        F.size(F.collect_set("number")).alias("__n"), F.sort_array(F.collect_set(F.when(F.col("drop"), F.col("number")))).alias("__drop")
     )
     docs = docs.drop("n_lines", "n_template_lines", "dropped_lines", "__key")
     joined = docs.withColumn("__key", F.xxhash64(id_col, text_col)).join(found.withColumnRenamed("key", "__key"), "__key", "left")

@@ -211,6 +211,17 @@ def slow_spans(text: str | None) -> list[str]:
     return [f"{k}:{m.start()}:{m.end()}" for k, p in KINDS for m in re.finditer(p, text or "") if ok(k, m[0])]
 
 
+def test_line_templates_of_two_texts_and_two_words(spark):
+    shared, other = prose(970, 50), prose(971, 49)
+    rows = [(k, f"{prose(k, 12)}\n{shared}\n{other}\nRead more\n12 {k}") for k in (1, 2)]
+    rows.append((4, prose(4, 12) + "\nRead more"))
+    out = {r.doc_id: r for r in line_templates.deduplicate(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out[1].dropped_lines == [] and out[2].dropped_lines == [1, 3] and out[4].dropped_lines == [1]
+    assert out[1].n_template_lines == 2 and out[2].text == f"{prose(2, 12)}\n{other}\n12 2"
+    copies = [(k, f"{prose(5, 12)}\n{shared}") for k in (1, 2)]  # copies of one text are one
+    assert all(r.dropped_lines == [] for r in line_templates.deduplicate(spark.createDataFrame(copies, "doc_id long, text string")).collect())
+
+
 def test_pii(spark, docs, none):
     r = random.Random(8)
     texts = ["".join(r.choice(["a", "é", ".", "@", "-", "_", " ", "1", "25", "4111111111111111", "+4", "(", ")", "x.y", "255"]) for _ in range(60)) for _ in range(400)]
