@@ -5,7 +5,9 @@ p(v | u) = l2 * c(uv) / c(u) + l1 * c(v) / N + l0 / (V + 1), where the weights d
 
 Texts are gathered into blocks of bounded size. Each block asks for the counts of its distinct n-grams, sorted and cut by
 ranges of their hash; each range is added up over all blocks, and the counts go back to the block in the same order. So an
-n-gram crosses the network once for each block that has it, however often it occurs.
+n-gram crosses the network once for each block that has it, however often it occurs. A block has a row only for the ranges
+that it has n-grams in, so there are never more rows than distinct n-grams of blocks, which grow as the corpus does; lists
+take half the bytes of a row for each n-gram, as neither the block nor the place is repeated.
 """
 
 from __future__ import annotations
@@ -16,51 +18,64 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from .storage import stored
-from .tokens import U64, Words, combine, list_array
+from .tokens import U64, Words, combine, list_array, slices
 
 FOLDS = 7
 HELD_OUT_FOLD = 2
 DELETED = 16
-BLOCK_BYTES = 6 << 20
-RANGE_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
+RANGE_BYTES = 16 << 20
+ANSWER = 1 << 17
 STEPS = 8
 ROUNDS = 60
 _START, _END = U64(0x5851F42D4C957F2D), U64(0x14057B7EF767814F)
 _NONE = 1 << 20
+_PART_BYTES = 1 << 18
 _BLOCK = "block long, em boolean, bytes long, ids array<long>, folds array<int>, texts array<string>"
 _ASK = "range int, block long, em boolean, words array<long>, word_n array<long>, pairs array<long>, pair_n array<long>"
 _TOLD = "range int, block long, em boolean, words array<long>, pairs array<long>, types long, tokens long, kept_tokens long"
-_LONGS = pa.list_(pa.int64())
 
 
 class Stream:
     """The tokens of some texts: their words and one end each, and the distinct words and pairs."""
 
-    def __init__(self, texts: list[str]):
-        words = Words(pa.array(texts, pa.string()))
-        n = len(texts)
+    def __init__(self, texts: pa.Array):
+        words = Words(texts)
         self.lengths = words.counts + 1
-        self.owner = np.repeat(np.arange(n), self.lengths)
-        last = np.cumsum(self.lengths) - 1
-        token = np.full(len(self.owner), _END)
+        self.stops = np.cumsum(self.lengths)
+        self.starts = self.stops - self.lengths
+        token = np.full(self.lengths.sum(), _END)
         inner = np.ones(len(token), bool)
-        inner[last] = False
+        inner[self.stops - 1] = False
         token[inner] = words.hashes
-        context = np.empty(len(token), U64)
+        del words, inner
+        self.words, self.word = _distinct(token)
+        context = np.empty_like(token)
         context[1:] = token[:-1]
-        context[last - self.lengths + 1] = _START
-        both = np.empty(2 * len(token), U64)
-        both[0::2], both[1::2] = context, token
-        self.words, self.word = np.unique(token, return_inverse=True)
-        self.pairs, self.pair = np.unique(combine(both, 2)[0::2], return_inverse=True)
-        self.starts = last - self.lengths + 1
+        context[self.starts] = _START
+        self.pairs, self.pair = _distinct(pair_hash(context, token))
+
+    def spread(self, values: np.ndarray) -> np.ndarray:
+        """A value of each text for each of its tokens."""
+        return np.repeat(values, self.lengths)
 
     def add_up(self, values: np.ndarray) -> np.ndarray:
-        return np.bincount(self.owner, values, len(self.lengths))
+        return np.add.reduceat(values, self.starts) if len(values) else np.zeros(0)
+
+
+def pair_hash(context: np.ndarray, token: np.ndarray) -> np.ndarray:
+    return combine(np.stack([context, token]), 2)[0]
+
+
+def _distinct(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values in order, and each value's place among them."""
+    keys, at = np.unique(h, return_inverse=True)
+    return keys, at.astype(np.int32)
 
 
 def blocks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -71,54 +86,67 @@ def blocks(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     source = docs.select(id_.cast("long").alias("id"), fold.alias("fold"), em.alias("em"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[bool, list] = {False: [0, [], [], []], True: [0, [], [], []]}
+        held: dict[bool, list[pa.RecordBatch]] = {False: [], True: []}
+        size = {False: 0, True: 0}
         number = itertools.count(TaskContext.get().partitionId() << 32)
 
         def flush(em: bool) -> pa.RecordBatch:
-            size, ids, folds, texts = held[em]
-            held[em] = [0, [], [], []]
-            row = {"block": [next(number)], "em": [em], "bytes": [size], "ids": [ids], "folds": [folds], "texts": [texts]}
-            kinds = [pa.int64(), pa.bool_(), pa.int64(), _LONGS, pa.list_(pa.int32()), pa.list_(pa.string())]
-            return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row.values(), kinds, strict=True)], names=list(row))
+            rows = pa.Table.from_batches(held[em])
+            lists = [pa.ListArray.from_arrays([0, len(rows)], rows.column(c).combine_chunks()) for c in ("id", "fold", "text")]
+            row = [pa.array([next(number)]), pa.array([em]), pa.array([size[em]]), *lists]
+            held[em], size[em] = [], 0
+            return pa.RecordBatch.from_arrays(row, names=["block", "em", "bytes", "ids", "folds", "texts"])
 
         for batch in batches:
-            for i, f, e, t in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for k, x in enumerate((len(t.encode("utf-8", "replace")), [i], [f], [t])):
-                    held[e][k] += x
-                if held[e][0] >= BLOCK_BYTES:
-                    yield flush(e)
-        for e in (False, True):
-            if held[e][1]:
-                yield flush(e)
+            for part in slices(batch, "text", _PART_BYTES):
+                for em in (False, True):
+                    own = part.filter(pc.equal(part.column("em"), em))
+                    if own.num_rows:
+                        held[em].append(own)
+                        size[em] += pc.sum(pc.binary_length(own.column("text"))).as_py()
+                        if size[em] >= BLOCK_BYTES:
+                            yield flush(em)
+        for em in (False, True):
+            if held[em]:
+                yield flush(em)
 
     return source.mapInArrow(run, _BLOCK)
 
 
-def _edges(ranges: int) -> np.ndarray:
-    """First hash of each range but the first."""
-    return np.array([-(-(k << 64) // ranges) for k in range(1, ranges)], U64)
+def _texts(column: pa.Array | pa.ChunkedArray, row: int = 0) -> pa.Array:
+    """The list in one row of a list column, without a copy."""
+    return column[row].values
 
 
-def _cuts(keys: np.ndarray, ranges: int) -> np.ndarray:
-    return np.concatenate(([0], np.searchsorted(keys, _edges(ranges)), [len(keys)])).astype(np.int64)
+def _range_of(keys: np.ndarray, ranges: int) -> np.ndarray:
+    """The number of the range of hashes that each key is in."""
+    edges = np.array([-(-(k << 64) // ranges) for k in range(1, ranges)], U64)
+    return np.searchsorted(edges, keys, "right")
 
 
 def ask(rows: DataFrame, ranges: int) -> DataFrame:
-    """For each block and range of hashes: the distinct words and pairs, sorted, and how often training texts have them."""
+    """For each block and range of hashes that it has any in: its words and pairs, sorted, and how often training texts have them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                s = Stream(batch.column("texts")[k].as_py())
-                train = (np.array(batch.column("folds")[k].as_py()) != HELD_OUT_FOLD)[s.owner].astype(float)
-                out = [pa.array(np.arange(ranges, dtype=np.int32)), batch.column("block").take(pa.array([k] * ranges)), batch.column("em").take(pa.array([k] * ranges))]
-                for keys, at in ((s.words, s.word), (s.pairs, s.pair)):
-                    sizes = np.diff(_cuts(keys, ranges))
-                    count = np.bincount(at, train, len(keys)).astype(np.int64)
-                    out += [list_array(keys.view(np.int64), sizes, pa.int64()), list_array(count, sizes, pa.int64())]
-                yield pa.RecordBatch.from_arrays(out, names=["range", "block", "em", "words", "word_n", "pairs", "pair_n"])
-
-    return rows.mapInArrow(run, _ASK).where("size(words) + size(pairs) > 0")
+                s = Stream(_texts(batch.column("texts"), k))
+                train = s.spread(_texts(batch.column("folds"), k).to_numpy() != HELD_OUT_FOLD).astype(np.float32)
+                word_at, pair_at = _range_of(s.words, ranges), _range_of(s.pairs, ranges)
+                some = np.union1d(word_at, pair_at)
+                lists = []
+                for keys, at, where in ((s.words, s.word, word_at), (s.pairs, s.pair, pair_at)):
+                    sizes = np.bincount(np.searchsorted(some, where), minlength=len(some))
+                    lists += [list_array(keys.view(np.int64), sizes, pa.int64()), list_array(np.bincount(at, train, len(keys)).astype(np.int64), sizes, pa.int64())]
+                del s, train
+                same = pa.array([k] * len(some), pa.int32())
+                out = [pa.array(some.astype(np.int32)), batch.column("block").take(same), batch.column("em").take(same), *lists]
+                out = pa.RecordBatch.from_arrays(out, names=["range", "block", "em", "words", "word_n", "pairs", "pair_n"])
+                step = max(1, ANSWER * len(some) // max(1, len(pair_at)))
+                for i in range(0, len(some), step):
+                    yield out.slice(i, step)
+
+    return rows.mapInArrow(run, _ASK)
 
 
 def _flat(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -160,8 +188,7 @@ def _counts(s: Stream, told: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarr
     token = word[s.word]
     context = np.empty(len(token), np.int64)
     context[1:] = token[:-1]
-    end = np.flatnonzero(s.words == _END)
-    context[s.starts] = word[end[0]] if len(end) else 0  # as many starts as ends
+    context[s.starts] = word[np.searchsorted(s.words, _END)]  # as many starts as ends
     return token, context, pair[s.pair]
 
 
@@ -214,7 +241,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         return token, context, pair / np.maximum(context, 1), token / max(n, 1)
 
     def deleted(left: pa.Table, right: pa.Table) -> pa.Table:
-        s = Stream(left.column("texts")[0].as_py())
+        s = Stream(_texts(left.column("texts")))
         _, context, p2, p1 = estimates(s, right, kept)
         key = np.stack([context_class(context), _quantised(p2), _quantised(p1)], axis=1)
         unique, n = np.unique(key, axis=0, return_counts=True)
@@ -227,12 +254,12 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     weights = learn_weights(table.to_numpy(np.int64).reshape(-1, 4), 1 / (types + 1))
 
     def apply(left: pa.Table, right: pa.Table) -> pa.Table:
-        s = Stream(left.column("texts")[0].as_py())
+        s = Stream(_texts(left.column("texts")))
         token, context, p2, p1 = estimates(s, right, tokens)
         w = weights[context_class(context)]
         p = w[:, 0] * p2 + w[:, 1] * p1 + w[:, 2] / (types + 1)
         base = np.log10((token + 1) / (tokens + types + 1))
-        out = [pa.array(left.column("ids")[0].as_py(), pa.int64()), pa.array(np.array(left.column("folds")[0].as_py()) == HELD_OUT_FOLD)]
+        out = [_texts(left.column("ids")), pa.array(_texts(left.column("folds")).to_numpy() == HELD_OUT_FOLD)]
         out += [pa.array(s.lengths.astype(np.int64)), pa.array(s.add_up((token > 0).astype(float)).astype(np.int64)), pa.array(np.full(len(s.lengths), tokens))]
         out += [pa.array(s.add_up(base)), pa.array(s.add_up(np.log10(p)))]
         return pa.Table.from_arrays(out, names=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
