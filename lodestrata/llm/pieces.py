@@ -3,7 +3,8 @@
 The new units of a batch are put in a row and indexed by a suffix array; a binary search finds the range of suffixes that
 begin with each piece; the occurrences, dealt out by position and length, are the edges of the segmentation. For a model of
 byte-pair pieces the edges are relaxed in the model's own order: of the edges that join two neighbouring pieces, the best
-scored goes first, and of equal ones the leftmost, until none is left. Units end where no piece can cross.
+scored goes first, and of equal ones the leftmost, until none is left. Edges of different units, and of places in a long unit
+that are too far apart to meet, are relaxed at once. Units end where no piece can cross.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from .tokens import list_array, slices
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 _CHARS = 1 << 18
+_SHORT = 64
 _KEPT_UNITS = 250_000
 _SLICE_BYTES = 1 << 20
 _SLICE_IDS = 1 << 18
@@ -82,11 +84,12 @@ class Encoder:
         lead = SPACE if self.pieces.prefix else ""
         found = [self.units(lead + t.replace(" ", SPACE)) if t else [] for t in texts]
         new = list({u for row in found for u in row} - self.slot.keys())
-        new.sort()
+        new.sort(key=lambda u: (len(u) > _SHORT, u))
+        long = sum(len(u) > _SHORT for u in new)
         at = 0
         while at < len(new):
             to, size = at, 0
-            while to < len(new) and (to == at or size + len(new[to]) + 1 <= _CHARS):
+            while to < len(new) and (to == at or size + len(new[to]) + 1 <= _CHARS and to != len(new) - long):
                 size += len(new[to]) + 1
                 to += 1
             ids, counts = segment(new[at:to], self.pieces)
@@ -134,8 +137,38 @@ def edges(codes: np.ndarray, pieces: Pieces) -> np.ndarray:
     return table
 
 
+def _best_of_each(value: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The leftmost of the best edges of each unit, and the units' numbers."""
+    first = np.cumsum(size) - size
+    hit = np.flatnonzero(value == np.repeat(np.maximum.reduceat(value, first), size))
+    unit = np.searchsorted(first, hit, "right") - 1
+    once = np.concatenate(([True], unit[1:] != unit[:-1]))
+    return hit[once], unit[once]
+
+
+def _best_nearby(value: np.ndarray, size: np.ndarray, reach: int) -> tuple[np.ndarray, np.ndarray]:
+    """The edges that no other within ``reach`` tokens beats, and their units' numbers; of neighbouring equal ones every other, from the left.
+
+    What joining makes scores below what was joined, and no piece is longer than ``reach``: so whatever goes on farther off
+    can't put a better edge beside one of these, and they can be relaxed together.
+    """
+    top = np.concatenate((np.full(reach, _NEVER), value, np.full(reach, _NEVER)))
+    span, wide = 1, 2 * reach + 1
+    while 2 * span <= wide:
+        top = np.maximum(top[:-span], top[span:])
+        span *= 2
+    top = np.maximum(top[: len(value)], top[wide - span :])
+    safe = (value == top) & (value > _NEVER)
+    start = np.concatenate(([True], value[1:] != value[:-1]))
+    since = np.flatnonzero(start)[np.cumsum(start) - 1]
+    unsafe = np.cumsum(~safe)
+    hit = np.flatnonzero(safe & (unsafe == unsafe[since]) & safe[since] & ((np.arange(len(value)) - since) % 2 == 0))
+    return hit, np.searchsorted(np.cumsum(size) - size, hit, "right") - 1
+
+
 def segment(units: list[str], pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all units in a row, and how many each has."""
+    short = max(map(len, units)) <= _SHORT
     text = "\0".join(units) + "\0"
     codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
     breaks = np.flatnonzero(codes == 0) if "\0" not in "".join(units) else np.cumsum([len(u) + 1 for u in units]) - 1
@@ -165,17 +198,13 @@ def segment(units: list[str], pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
     value = joins(np.arange(len(s)))
     while len(s):
         first = np.cumsum(size) - size
-        best = np.maximum.reduceat(value, first)
-        live = best > _NEVER
+        live = np.maximum.reduceat(value, first) > _NEVER
         if not live.all():
             keep = np.repeat(live, size)
-            s, e, tail, value, size, best = s[keep], e[keep], tail[keep], value[keep], size[live], best[live]
+            s, e, tail, value, size = s[keep], e[keep], tail[keep], value[keep], size[live]
             if not len(s):
                 break
-            first = np.cumsum(size) - size
-        hit = np.flatnonzero(value == np.repeat(best, size))
-        unit = np.searchsorted(first, hit, "right") - 1
-        hit = hit[np.concatenate(([True], unit[1:] != unit[:-1]))]
+        hit, unit = _best_of_each(value, size) if short else _best_nearby(value, size, limit)
         begins[s[hit + 1]] = False
         e[hit] = e[hit + 1]
         tail[hit] = tail[hit + 1]
@@ -183,9 +212,9 @@ def segment(units: list[str], pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
         keep[hit + 1] = False
         at = hit - np.arange(len(hit))
         s, e, tail, value = s[keep], e[keep], tail[keep], value[keep]
-        size = size - 1
+        size = size - np.bincount(unit, minlength=len(size))
         value[at] = joins(at)
-        before = at[at > np.cumsum(size) - size] - 1
+        before = at[at > (np.cumsum(size) - size)[unit]] - 1
         value[before] = joins(before)
 
     s = np.flatnonzero(begins)
