@@ -8,19 +8,23 @@ similarity asked for, which no alignment can make up; how many documents have a
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .columns import spare
 from .storage import cut
 from .tokens import U64, Words, slices
 
 SEED_WORDS = 3
 SIMILARITY = 0.5
 PART_BYTES = 16 << 20
+WINDOW = 8
 _CELLS = 4 << 20
+_HITS = 1 << 16
+_BATCH_CHARS = 4 << 20
 
 
 class Seeds:
@@ -37,48 +41,78 @@ class Seeds:
             own = np.minimum(self.lengths[item], n) == k
             rows.append((np.full(own.sum(), k), h[own], item[own], (first - words.bounds[item])[own]))
         size, h, item, offset = (np.concatenate(x) for x in zip(*rows, strict=True)) if rows else (np.zeros(0, np.int64),) * 4
-        order = np.lexsort((offset, item, h))
+        order = np.lexsort((offset, size, item, h))
         self.h, self.item, self.offset, self.size = h[order].astype(U64), item[order].astype(np.int64), offset[order].astype(np.int64), size[order]
+        # Rows of one n-gram and item stand together: the number of each row's group, and the groups' first rows.
+        fresh = np.ones(len(self.h), bool)
+        fresh[1:] = (self.h[1:] != self.h[:-1]) | (self.item[1:] != self.item[:-1]) | (self.size[1:] != self.size[:-1])
+        self.group, self.begin = np.cumsum(fresh) - 1, np.append(np.flatnonzero(fresh), len(self.h))
         self.widths = sorted(set(size.tolist()))
 
-    def hits(self, words: Words) -> tuple[np.ndarray, np.ndarray]:
-        """First word and seed row of every occurrence."""
-        at, row = [], []
+    def hits(self, words: Words) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Text, item, and first and last diagonal of every occurrence of an item's n-gram, some occurrences at a time.
+
+        An n-gram that an item repeats gives one row, from its last place in the item to its first.
+        """
         for k in self.widths:
             first, h = words.windows(int(k))
             low = np.searchsorted(self.h, h, "left")
             found = (low < len(self.h)) & (self.h[np.minimum(low, len(self.h) - 1)] == h)
             first, h, low = first[found], h[found], low[found]
-            n = np.searchsorted(self.h, h, "right") - low
-            r = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
-            own = self.size[r] == k
-            at.append(np.repeat(first, n)[own])
-            row.append(r[own])
-        return (np.concatenate(at), np.concatenate(row)) if at else (np.zeros(0, np.int64),) * 2
+            high = np.searchsorted(self.h, h, "right")
+            text = words.owner[first]
+            many = np.cumsum(self.group[np.maximum(high, 1) - 1] - self.group[low] + 1)
+            at = 0
+            while at < len(first):
+                to = max(at + 1, int(np.searchsorted(many, (many[at - 1] if at else 0) + _HITS, "right")))
+                g = self.group[low[at:to]]
+                n = self.group[high[at:to] - 1] - g + 1
+                of = np.repeat(np.arange(at, to), n)
+                g = np.repeat(g - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                own = self.size[self.begin[g]] == k
+                of, g = of[own], g[own]
+                begin, end = self.begin[g], self.begin[g + 1] - 1
+                yield text[of], self.item[begin], first[of] - self.offset[end], first[of] - self.offset[begin]
+                at = to
+
+
+def _merged(text: np.ndarray, item: np.ndarray, low: np.ndarray, high: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Ranges of diagonals of one text and item put together where at most ``room`` (by item) is between them."""
+    order = np.lexsort((low, item, text))
+    text, item, low, high = text[order], item[order], low[order], high[order]
+    if not len(text):
+        return text, item, low, high
+    pair = np.concatenate(([0], np.cumsum((np.diff(text) != 0) | (np.diff(item) != 0))))
+    span = int(high.max() - min(low.min(), high.min())) + 1
+    reach = np.maximum.accumulate(pair * span + (high - high.min())) - pair * span + high.min()
+    fresh = np.concatenate(([True], (np.diff(pair) > 0) | (low[1:] > reach[:-1] + room[item[1:]])))
+    at = np.flatnonzero(fresh)
+    return text[at], item[at], low[at], reach[np.append(at[1:], len(text)) - 1]
 
 
 def passages(words: Words, seeds: Seeds, similarity: float = 0.0) -> Iterator[tuple[int, int, int, str]]:
     """(text, item, first word, passage) for each run of hits on near diagonals, with room for gaps around it.
 
-    A passage is left out only if fewer than ``similarity`` of the item's words are anywhere in it: its score is less, too.
+    A passage is left out only if fewer than ``similarity`` of the item's words are anywhere in it: its score is less, too. A
+    run of more than WINDOW item lengths is cut into windows that overlap by as much as any alignment of that similarity spans.
     """
-    at, row = seeds.hits(words)
-    text, item = words.owner[at], seeds.item[row]
-    diagonal = at - seeds.offset[row]
-    order = np.lexsort((diagonal, item, text))
-    text, item, diagonal = text[order], item[order], diagonal[order]
-    room = seeds.lengths[item] // 4 + 1
-    fresh = np.ones(len(text) + 1, bool)
-    fresh[1:-1] = (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (np.diff(diagonal) > room[1:])
-    cuts = np.flatnonzero(fresh)
-    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-        t, i = text[a], item[a]
-        low = max(diagonal[a] - room[a], words.bounds[t])
-        high = min(diagonal[b - 1] + seeds.lengths[i] + room[a], words.bounds[t + 1])
-        if np.isin(seeds.words[seeds.bounds[i] : seeds.bounds[i + 1]], words.hashes[low:high]).sum() / seeds.lengths[i] < similarity:
-            continue
-        body = words.data[words.starts[low] : words.ends[high - 1]].tobytes()
-        yield t, i, int(low - words.bounds[t]), b" ".join(body.split()).decode("utf-8", "replace")
+    room = seeds.lengths // 4 + 1
+    runs = [np.zeros(0, np.int64)] * 4
+    for part in seeds.hits(words):
+        runs = _merged(*(np.concatenate((a, b)) for a, b in zip(runs, _merged(*part, room), strict=True)), room)
+    for t, i, a, b in zip(*(x.tolist() for x in runs), strict=True):
+        length = int(seeds.lengths[i])
+        begin = max(a - int(room[i]), int(words.bounds[t]))
+        stop = min(b + length + int(room[i]), int(words.bounds[t + 1]))
+        wide, step = WINDOW * length, WINDOW * length - math.ceil((2 - similarity) * length) - 1
+        own = seeds.words[seeds.bounds[i] : seeds.bounds[i + 1]]
+        for low in range(begin, stop, step) if stop - begin > wide and step > 0 else (begin,):
+            high = min(low + wide, stop) if step > 0 else stop
+            if np.isin(own, words.hashes[low:high]).sum() / length >= similarity:
+                body = words.data[words.starts[low] : words.ends[high - 1]].tobytes()
+                yield t, i, low - int(words.bounds[t]), b" ".join(body.split()).decode("utf-8", "replace")
+            if high == stop:
+                break
 
 
 def align(passage: np.ndarray, item: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -135,7 +169,9 @@ def contaminated(
 
     key is xxhash64(id, text). similarity is the alignment score divided by the item's words, 1 for an exact copy. Null and
     wordless texts and items match nothing; an item of fewer words than a seed has one seed, all of it. Equal item texts
-    are scored each. Empty tables give no rows; extra columns are ignored.
+    are scored each; of equally good passages the first counts. Rows that are the same in id and text give one row for each
+    item. A long or repetitive text costs its words times the items that share an n-gram with it. Empty tables give no rows;
+    extra columns are ignored.
     """
     source = docs.select(F.xxhash64(id_col, text_col).alias("key"), F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     bench = items.select(F.col(item_id).cast("long").alias("item"), F.coalesce(F.col(item_text), F.lit("")).alias("item_text"))
@@ -150,8 +186,22 @@ def contaminated(
 
 def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kwargs) -> DataFrame:
     """The rows of ``docs`` whose text leaks no item."""
-    leaks = contaminated(docs, items, id_col=id_col, text_col=text_col, **kwargs).select(F.col("key").alias("__key")).distinct()
-    return docs.withColumn("__key", F.xxhash64(id_col, text_col)).join(leaks, "__key", "left_anti").drop("__key")
+    (key,) = spare(docs, "key")
+    leaks = contaminated(docs, items, id_col=id_col, text_col=text_col, **kwargs).select(F.col("key").alias(key)).distinct()
+    return docs.withColumn(key, F.xxhash64(id_col, text_col)).join(leaks, key, "left_anti").select(*docs.columns)
+
+
+def _in_parts(found: Iterable[tuple[int, int, int, str]]) -> Iterator[list[tuple[int, int, int, str]]]:
+    """Passages in lists of about _BATCH_CHARS characters."""
+    part, size = [], 0
+    for row in found:
+        part.append(row)
+        size += len(row[3])
+        if size >= _BATCH_CHARS:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
 
 
 def _contaminated(source: DataFrame, ids: list[int], texts: list[str], seed_words: int, similarity: float) -> DataFrame:
@@ -161,13 +211,11 @@ def _contaminated(source: DataFrame, ids: list[int], texts: list[str], seed_word
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, "text"):
-                got = list(passages(Words(piece.column("text")), seeds, similarity)) if len(seeds.h) else []
-                if not got:
-                    continue
-                t, item, first, passage = zip(*got, strict=True)
-                at = pa.array(t)
-                out = [piece.column("key").take(at), piece.column("id").take(at), pa.array(item, pa.int32()), pa.array(first, pa.int32()), pa.array(passage)]
-                yield pa.RecordBatch.from_arrays(out, names=["key", "id", "slot", "first", "passage"])
+                for got in _in_parts(passages(Words(piece.column("text")), seeds, similarity) if len(seeds.h) else ()):
+                    t, item, first, passage = zip(*got, strict=True)
+                    at = pa.array(t)
+                    out = [piece.column("key").take(at), piece.column("id").take(at), pa.array(item, pa.int32()), pa.array(first, pa.int32()), pa.array(passage)]
+                    yield pa.RecordBatch.from_arrays(out, names=["key", "id", "slot", "first", "passage"])
 
     found = cut(source.mapInArrow(scan, "key long, id long, slot int, first int, passage string"))
     live = found.distinct()
