@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .columns import spare
 from .storage import stored
 from .tokens import DIGIT, U64, Words, combine, list_array, mix, ordered_sums, slices
 
@@ -86,18 +87,22 @@ def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, id_col: str = "doc_id",
     source = docs.select(F.xxhash64(id_col, text_col).alias("key"), F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), F.xxhash64(text_col).alias("node"))
     lines = stored(source.mapInArrow(run, "key long, id long, number int, leaf long, once boolean, fields array<long>, firsts array<boolean>, node long, same long"))
 
-    leaves = lines.groupBy("leaf").agg(F.count_if("once").alias("n")).where(F.col("n") >= min_docs).select("leaf")
-    live = lines.join(leaves, "leaf").withColumn("line", F.xxhash64("leaf", "fields"))
-    values = live.select(F.explode(F.arrays_zip("fields", "firsts")).alias("f")).groupBy(F.col("f.fields").alias("value")).agg(F.count_if("f.firsts").alias("n"))
+    # Lines that are the same up to their variables in leading and digit tokens are folded before anything meets by leaf or value.
+    lines = lines.withColumn("line", F.xxhash64("leaf", "fields"))
+    shapes = lines.groupBy("line").agg(
+        F.min("leaf").alias("leaf"), F.first("fields").alias("fields"), F.count_if("once").alias("texts"), F.array(*[F.count_if(F.get("firsts", F.lit(k))) for k in range(FIELDS)]).alias("ns")
+    )
+    shapes = stored(shapes)
+    leaves = shapes.groupBy("leaf").agg(F.sum("texts").alias("n")).where(F.col("n") >= min_docs).select("leaf")
+    live = shapes.join(leaves, "leaf")
+    values = live.select(F.explode(F.arrays_zip("fields", F.slice("ns", F.lit(1), F.size("fields")).alias("n"))).alias("f")).groupBy(F.col("f.fields").alias("value")).agg(F.sum("f.n").alias("n"))
     constant = values.where(F.col("n") >= min_docs).select("value", F.lit(True).alias("constant"))
-    # Lines that are the same up to their variables in leading and digit tokens are marked once.
-    shapes = live.groupBy("line").agg(F.min("leaf").alias("leaf"), F.first("fields").alias("fields"))
-    marked = shapes.select("line", "leaf", F.size("fields").alias("size"), F.explode_outer("fields").alias("value")).join(constant, "value", "left")
+    marked = live.select("line", "leaf", F.size("fields").alias("size"), F.explode_outer("fields").alias("value")).join(constant, "value", "left")
     template = marked.groupBy("line", "leaf", "size").agg(
         F.count("constant").alias("constants"), F.bit_xor(F.when(F.col("constant"), F.xxhash64("value")).otherwise(0)).alias("mask")
     )
     template = template.where("2 * constants >= size").select("line", F.xxhash64("leaf", "constants", "mask").alias("template"))
-    by_template = live.select("key", "id", "number", "line").join(template, "line").select("key", "id", "number", F.col("key").alias("doc"), "template", F.lit(min_docs).alias("least"))
+    by_template = lines.select("key", "id", "number", "line").join(template, "line").select("key", "id", "number", F.col("key").alias("doc"), "template", F.lit(min_docs).alias("least"))
     by_words = lines.where("same is not null").select("key", "id", "number", F.col("node").alias("doc"), F.col("same").alias("template"), F.lit(min(LONG_TEXTS, min_docs)).alias("least"))
     found = stored(by_template.unionByName(by_words))
     per_text = found.groupBy("template", "least", "doc").agg(F.min("id").alias("id"))
@@ -113,16 +118,17 @@ def deduplicate(docs: DataFrame, min_docs: int = MIN_DOCS, id_col: str = "doc_id
     as one document. Columns of ``docs`` with the three names are replaced.
     """
     found = recurring(docs, min_docs, id_col, text_col).groupBy("key").agg(
-        F.size(F.collect_set("number")).alias("__n"), F.sort_array(F.collect_set(F.when(F.col("drop"), F.col("number")))).alias("__drop")
+        F.size(F.collect_set("number")).alias("n"), F.sort_array(F.collect_set(F.when(F.col("drop"), F.col("number")))).alias("drop")
     )
-    docs = docs.drop("n_lines", "n_template_lines", "dropped_lines", "__key")
-    joined = docs.withColumn("__key", F.xxhash64(id_col, text_col)).join(found.withColumnRenamed("key", "__key"), "__key", "left")
-    lines = F.split(F.col(text_col), "\n", -1)
-    kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(F.col("__drop"), i)), "\n")
-    names = [F.when(F.size("__drop") > 0, kept).otherwise(F.col(text_col)).alias(text_col) if c == text_col else F.col(c) for c in docs.columns]
+    docs = docs.drop("n_lines", "n_template_lines", "dropped_lines")
+    key, n, drop, lines = spare(docs, "key", "n", "drop", "lines")
+    joined = docs.withColumn(key, F.xxhash64(id_col, text_col)).join(found.withColumnsRenamed({"key": key, "n": n, "drop": drop}), key, "left").withColumn(lines, F.split(F.col(text_col), "\n", -1))
+    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), drop)
+    kept = F.array_join(F.transform(left, lambda i: F.get(F.col(lines), i)), "\n")
+    names = [F.when(F.size(drop) > 0, kept).otherwise(F.col(text_col)).alias(text_col) if c == text_col else F.col(c) for c in docs.columns]
     return joined.select(
         *names,
         F.when(F.col(text_col).isNull(), 0).otherwise(F.size(lines)).alias("n_lines"),
-        F.coalesce("__n", F.lit(0)).alias("n_template_lines"),
-        F.coalesce("__drop", F.array().cast("array<int>")).alias("dropped_lines"),
+        F.coalesce(n, F.lit(0)).alias("n_template_lines"),
+        F.coalesce(drop, F.array().cast("array<int>")).alias("dropped_lines"),
     )
