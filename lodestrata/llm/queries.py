@@ -36,7 +36,7 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"))
-    placed = sharding.shard(docs, SHARDS)
+    placed = sharding.assign(docs, SHARDS)
     return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
