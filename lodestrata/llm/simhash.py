@@ -9,13 +9,14 @@ row, and what is left gets the full Hamming check.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from .columns import spare
 from .components import components
 from .storage import cut, stored
 from .tokens import U64, list_array, mix, slices
@@ -23,14 +24,12 @@ from .tokens import U64, list_array, mix, slices
 SHINGLE = 3
 SEED = 42
 DISTANCE = 3
-ROUNDS = 2
+ROUNDS = 1
 HOT = 1 << 16
 HOT_SHARE = 16
 HOT_LEAST = 4
 SKETCH_BITS = 1024
 _BLOCK = 255
-_REMIX = 0x9E3779B97F4A7C15
-MASK = (1 << 64) - 1
 
 
 def shingle_hashes(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> Iterator[np.ndarray]:
@@ -49,14 +48,18 @@ def shingle_hashes(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -
         yield np.array([digest(line[s:e], seed) for s, e in zip(starts[at:to].tolist(), ends[at:to].tolist(), strict=True)], "<u8")
 
 
-def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED, more: int = 0) -> list[int]:
-    """The unsigned fingerprint of one text, and ``more`` from remixed hashes; 0 if it has no words."""
-    counts, n = np.zeros((1 + more, 64), np.int64), 0
-    for h in shingle_hashes(text, shingle, seed):
+def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
+    """The unsigned fingerprint of one text; 0 if it has no words."""
+    return _majority(shingle_hashes(text, shingle, seed))
+
+
+def _majority(parts: Iterable[np.ndarray]) -> int:
+    """The bits that over half of the values have set."""
+    counts, n = np.zeros(64, np.int64), 0
+    for h in parts:
         n += len(h)
-        for k in range(1 + more):
-            counts[k] += _bit_counts(mix(h + U64(k * _REMIX & MASK)) if k else h)
-    return np.packbits(counts * 2 > n, axis=1, bitorder="little").view("<u8").ravel().tolist()
+        counts += _bit_counts(h)
+    return int(np.packbits(counts * 2 > n, bitorder="little").view("<u8")[0])
 
 
 def _bit_counts(h: np.ndarray) -> np.ndarray:
@@ -69,23 +72,17 @@ def _bit_counts(h: np.ndarray) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, seed: int = SEED, more: int = 0) -> DataFrame:
-    """(id, key, node, fp, fps): the fingerprint of each whole text as a signed long, 0 for null and wordless texts; fps has ``more`` others.
-
-    key is a hash of id and text, node one of the text.
-    """
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
+    """(id, key, fp): the fingerprint of each whole text as a signed long, 0 for null and wordless texts; key is a hash of id and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                made = [fingerprint(t, shingle, seed, more) for t in part.column("text").to_pylist()]
-                fp = np.array(made, np.uint64).reshape(len(made), 1 + more).view(np.int64)
-                others = list_array(fp[:, 1:].ravel(), np.full(len(made), more), pa.int64())
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("id", "key", "node")), pa.array(fp[:, 0]), others], names=["id", "key", "node", "fp", "fps"])
+                fp = np.array([fingerprint(t, shingle, seed) for t in part.column("text").to_pylist()], np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("key"), pa.array(fp)], names=["id", "key", "fp"])
 
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(id_col, text_col).alias("key"), F.xxhash64(text).alias("node"), text.alias("text"))
-    return source.mapInArrow(run, "id long, key long, node long, fp long, fps array<long>")
+    source = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(id_col, text_col).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    return source.mapInArrow(run, "id long, key long, fp long")
 
 
 def _ring(distance: int) -> list[tuple[int, int]]:
@@ -94,10 +91,11 @@ def _ring(distance: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
-def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
+def links(fps: DataFrame, distance: int = DISTANCE, leads: bool = False) -> DataFrame:
     """(a, b), a < b: the pairs of *different* fingerprints in column fp that differ in at most ``distance`` bits.
 
-    The probe side has a row for each start and each variant of the second segment. Copies share one fingerprint.
+    The probe side has a row for each start and each variant of the second segment. Copies share one fingerprint. With
+    ``leads`` only one fingerprint of each bucket is probed, so that a dense cloud has as many pairs as members: no longer all.
     """
     ring = _ring(distance)
     turn = [ring[i:] + ring[:i] for i in range(len(ring))]
@@ -107,26 +105,28 @@ def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     index = fps.select(F.col("fp").alias("b"), F.posexplode(F.array(*keys)).alias("start", "key"))
     probe = index.select("start", F.col("b").alias("a"), "key", F.explode(F.get(flips, F.col("start"))).alias("flip"))
     probe = probe.select("start", "a", F.col("key").bitwiseXOR(F.col("flip")).alias("key"))
-    joined = probe.join(index, ["start", "key"]).where("a < b")
+    if leads:
+        index = index.groupBy("start", "key").agg(F.min("b").alias("b"))
+    joined = probe.join(index, ["start", "key"]).where("a <> b" if leads else "a < b")
     differ = F.expr("a ^ b")
     for n in range(3, len(ring)):  # longer chains, up to the full check
         chain = F.coalesce(*[F.when(F.col("start") == i, sum(F.bit_count(bits(differ, *r[k])) for k in range(n))) for i, r in enumerate(turn)])
         joined = joined.where(chain <= n * distance // len(ring))
-    return joined.where(F.bit_count(differ) <= distance).select("a", "b").distinct()
+    return joined.where(F.bit_count(differ) <= distance).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
-    """(id, key, fingerprint, component_id): one row per row of ``docs``; key is xxhash64(id, text).
+    """(id, fingerprint, component_id, key): one row per row of ``docs``; key is xxhash64(id, text).
 
     Copies are folded into one fingerprint before anything is joined, so a group of copies of any size adds one row to the
-    search. component_id is the smallest id that can be reached over links. An empty table gives no rows; repeated rows
-    give repeated rows; extra columns are ignored.
+    search. component_id is the smallest id that can be reached over links, null ids last. An empty table gives no rows;
+    repeated rows give repeated rows; extra columns are ignored; a long text is hashed in parts of 65,536 shingles.
     """
-    fps = cut(fingerprints(docs, id_col, text_col, shingle, seed).drop("node", "fps"))
+    fps = cut(fingerprints(docs, id_col, text_col, shingle, seed))
     distinct = cut(fps.groupBy("fp").agg(F.min("id").alias("least")))
     label = components(cut(links(distinct)), distinct)
     out = fps.join(label, "fp")
-    return out.select(F.col("id").alias(id_col), "key", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"))
+    return out.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"), "key")
 
 
 def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
@@ -139,13 +139,13 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
                 grams = list_array(np.concatenate(sets).view(np.int64), np.array([len(x) for x in sets]), pa.int64())
                 yield pa.RecordBatch.from_arrays([part.column("node"), grams], names=["node", "grams"])
 
-    return docs.select("node", "text").mapInArrow(run, "node long, grams array<long>")
+    return docs.select("node", "text").mapInArrow(run, f"node {dict(docs.dtypes)['node']}, grams array<long>")
 
 
 def similar(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
     """The ``pairs`` (a, b) whose texts (node, text) have a Jaccard similarity of at least ``similarity`` over their shingles."""
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    sets = shingle_sets(texts.join(nodes, "node", "left_semi").dropDuplicates(["node"]), words)
+    sets = stored(shingle_sets(texts.join(nodes, "node", "left_semi"), words))
     side = lambda c: sets.select(F.col("node").alias(c), F.col("grams").alias(f"of_{c}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     shared = F.size(F.array_intersect("of_a", "of_b"))
@@ -157,16 +157,16 @@ def _needed(size, similarity: float):
     return np.ceil(size * similarity - 1e-6).astype(np.int64)
 
 
-def _hot(docs: DataFrame, words: int) -> np.ndarray:
+def _hot(texts: DataFrame, words: int) -> np.ndarray:
     """Shingles that many of a share of the texts have, the commonest last. It only orders prefixes, so a miss costs time, no link."""
-    sets = shingle_sets(docs.where(F.pmod("node", F.lit(HOT_SHARE)) == 0), words).dropDuplicates(["node"])
-    counts = sets.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") >= HOT_LEAST)
+    some = texts.where(F.pmod(F.xxhash64("node"), F.lit(HOT_SHARE)) == 0).dropDuplicates(["node"])
+    counts = shingle_sets(some, words).select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("n")).where(F.col("n") >= HOT_LEAST)
     rows = counts.orderBy(F.desc("n"), "gram").limit(HOT).collect()
     return np.array([r["gram"] for r in reversed(rows)], np.int64)
 
 
-def prefixes(docs: DataFrame, words: int, similarity: float, hot: np.ndarray) -> DataFrame:
-    """(id, key, node, size, keys, bits): the number of shingles of each text and its prefix, in one order for all texts with ``hot`` last.
+def prefixes(texts: DataFrame, words: int, similarity: float, hot: np.ndarray) -> DataFrame:
+    """(first, node, fp, size, bits, keys) of ``texts`` (first, node, text): fingerprint and number of the distinct shingles, and their prefix, in one order for all texts with ``hot`` last.
 
     Each of SKETCH_BITS bits says whether an odd number of shingles falls on it, so two texts differ in as many shingles at least as in bits.
 
@@ -192,10 +192,12 @@ def prefixes(docs: DataFrame, words: int, similarity: float, hot: np.ndarray) ->
                 keys = [prefix(x) for x in sets]
                 odd = np.array([np.bincount(x & (SKETCH_BITS - 1), minlength=SKETCH_BITS) & 1 for x in sets], np.uint8)
                 bits = np.packbits(odd, axis=1).view(np.int64)
-                arrays = [pa.array(np.array([len(x) for x in sets], np.int32)), list_array(bits.ravel(), np.full(len(bits), bits.shape[1]), pa.int64()), list_array(np.concatenate(keys), np.array([len(x) for x in keys]), pa.int64())]
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("id", "key", "node")), *arrays], names=["id", "key", "node", "size", "bits", "keys"])
+                fp = np.array([_majority([x]) for x in sets], np.uint64).view(np.int64)
+                arrays = [pa.array(fp), pa.array(np.array([len(x) for x in sets], np.int32)), list_array(bits.ravel(), np.full(len(bits), bits.shape[1]), pa.int64()), list_array(np.concatenate(keys), np.array([len(x) for x in keys]), pa.int64())]
+                yield pa.RecordBatch.from_arrays([part.column("first"), part.column("node"), *arrays], names=["first", "node", "fp", "size", "bits", "keys"])
 
-    return docs.select("id", "key", "node", "text").mapInArrow(run, "id long, key long, node long, size int, bits array<long>, keys array<long>")
+    kinds = dict(texts.dtypes)
+    return texts.select("first", "node", "text").mapInArrow(run, f"first {kinds['first']}, node {kinds['node']}, fp long, size int, bits array<long>, keys array<long>")
 
 
 def _within_reach(similarity: float) -> str:
@@ -205,61 +207,69 @@ def _within_reach(similarity: float) -> str:
 
 def _screened(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
     """The ``pairs`` (a, b) whose sketches don't already show more different shingles than that similarity allows."""
-    side = lambda c: nodes.select(F.col("fp").alias(c), F.col("size").alias(f"size_{c}"), F.col("bits").alias(f"bits_{c}"))
+    side = lambda c: nodes.select(F.col("node").alias(c), F.col("size").alias(f"size_{c}"), F.col("bits").alias(f"bits_{c}"))
     differ = F.aggregate(F.zip_with("bits_a", "bits_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda x, y: x + y)
     most = (F.col("size_a") + F.col("size_b")) * ((1 - similarity) / (1 + similarity)) + 1e-6
     return pairs.join(side("a"), "a").join(side("b"), "b").where(differ <= most).select("a", "b")
 
 
+def _fingerprint_pairs(nodes: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """Pairs of texts whose fingerprints are linked to a lead's: each text with the first of its fingerprint, and those with leads of buckets."""
+    leads = nodes.groupBy("fp").agg(F.min("node").alias("lead"))
+    same = nodes.join(leads, "fp").select(F.col("lead").alias("a"), F.col("node").alias("b"))
+    of = lambda c: leads.select(F.col("fp").alias(c), F.col("lead").alias(f"of_{c}"))
+    near = links(leads.select("fp"), distance, leads=True).join(of("a"), "a").join(of("b"), "b").select("of_a", "of_b")
+    return same.where("a <> b").union(near)
+
+
 def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8, rounds: int = ROUNDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` less near duplicates: of each group of texts the one with the smallest id stays, in one row.
 
     Groups are the connected components of all pairs of texts with a Jaccard similarity of ``similarity`` over their
-    ``words``-word shingles; no pair is left out. Copies are folded first. Texts that share a key of their prefixes are
-    candidates, and each is checked. ``rounds`` rounds first check each text against one lead of each of its keys, so that
-    a large group is one component at linear cost; then all candidates in different components are checked. No text leaves
-    the search, and components run over the edges of all rounds.
+    ``words``-word shingles; no pair is left out. Copies are folded first. SimHash fingerprints that the ring links to a lead
+    give the first candidates; each is checked. A fingerprint can't promise every pair, so texts of different components that
+    share a key of their prefixes are candidates too: in ``rounds`` rounds each text with one lead of each of its keys, so
+    that a large group is one component at linear cost, then all. No text leaves the search, and components run over the
+    edges of all rounds. Null and empty texts are wordless and one text; null ids come last; repeated rows are copies.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    source = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(id_col, text_col).alias("key"), F.xxhash64(text).alias("node"), text.alias("text"))
-    made = prefixes(source, words, similarity, _hot(source, words))
-    distinct = stored(made.groupBy("node").agg(F.min(F.struct("id", "key")).alias("first"), F.first("size").alias("size"), F.first("bits").alias("bits"), F.first("keys").alias("keys")))
+    digest = F.unhex(F.md5(text.cast("binary")))
+    source = docs.select(F.col(id_col).cast("long").alias("first"), digest.alias("node"), text.alias("text"))
+    hot = _hot(source, words)
+    made = prefixes(source, words, similarity, hot).groupBy("node").agg(F.min(F.struct(F.col("first").isNull(), "first")).alias("first"), *[F.first(c).alias(c) for c in ("fp", "size", "bits", "keys")])
+    # From here a text is named by a number: its digest is needed again only to find the text or its rows.
+    distinct = stored(made.withColumnRenamed("node", "digest").withColumn("node", F.monotonically_increasing_id()))
+    source = source.withColumnRenamed("node", "digest")
+
+    def checked(pairs: DataFrame) -> DataFrame:
+        pairs = stored(_screened(stored(pairs.distinct()), distinct, similarity))
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(distinct.select("node", F.col("digest").alias("of"), F.col("first.first").alias("id")), "node")
+        # Only the first row of a text is asked for: its copies are dealt out by their ids and match nothing.
+        texts = source.join(ends, (source["digest"] == ends["of"]) & source["first"].eqNullSafe(ends["id"])).groupBy("node").agg(F.first("text").alias("text"))
+        return stored(similar(pairs, texts, words, similarity))
+
+    edges = checked(_fingerprint_pairs(distinct))
     keys = distinct.select("node", "size", F.posexplode("keys").alias("at", "k"))
     repeated = stored(keys.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").select("k"))
     shared = stored(keys.join(repeated, "k"))
-    # A text with few keys of its own is the likelier source of the others.
-    share = shared.groupBy("node").agg(F.count("*").alias("n"))
-    nodes = stored(share.join(distinct, "node").select(F.col("node").alias("fp"), F.col("first").alias("least"), (F.col("n") / F.size("keys")).alias("share"), "size", "bits"))
-    label = nodes.select(F.col("fp").alias("node"), F.col("fp").alias("comp"), "share")
-    edges = None
     for k in range(rounds + 1):
+        label = stored(components(edges, distinct.select(F.col("node").alias("fp"), F.col("node").alias("least")))).select(F.col("fp").alias("node"), F.col("component").alias("comp"))
         placed = shared.join(label, "node")
         if k < rounds:
-            best = F.struct(F.col("share") if k == 0 else F.lit(0.0), F.xxhash64("node", F.lit(k)), "node", "comp", "size", "at")
+            # The lead is the text that most of the others are likely to be near: the one whose key is earliest.
+            best = F.struct((-F.col("at") / F.greatest("size", F.lit(1))).alias("early"), F.xxhash64("node", F.lit(k)).alias("tie"), "node", "comp", "size", "at")
             lead = placed.groupBy("k").agg(F.max(best).alias("lead")).select("k", "lead.*")
             pairs = placed.alias("x").join(lead.alias("y"), "k").where("x.comp <> y.comp")
         else:
             groups = stored(placed.select("k", "comp").distinct())
             met = groups.alias("p").join(groups.alias("q"), "k").where("p.comp < q.comp").select("k", F.col("p.comp").alias("c"), F.col("q.comp").alias("d"))
-            placed = placed.select("k", "comp", "node", "size", "at")
             half = met.join(placed.withColumnRenamed("comp", "c"), ["k", "c"]).select("k", "d", F.struct("node", "size", "at").alias("x"))
             pairs = half.join(placed.select("k", F.col("comp").alias("d"), F.struct("node", "size", "at").alias("y")), ["k", "d"])
-        pairs = pairs.where(_within_reach(similarity)).select(F.expr("least(x.node, y.node)").alias("a"), F.expr("greatest(x.node, y.node)").alias("b")).distinct()
-        pairs = stored(_screened(stored(pairs), nodes, similarity))
-        if pairs.isEmpty():
-            continue
-        found = stored(similar(pairs, source, words, similarity))
-        edges = found if edges is None else edges.union(found)
-        if k < rounds:
-            label = stored(_labels(edges, nodes))
-    if edges is not None:
-        gone = components(edges, nodes.select("fp", "least")).join(nodes, "fp").where(F.col("component") != F.col("least")).select(F.col("fp").alias("node"))
-        distinct = distinct.join(gone, "node", "left_anti")
-    keyed = docs.withColumn("__key", F.xxhash64(id_col, text_col))
-    return keyed.join(distinct.select(F.col("first.key").alias("__key")), "__key", "left_semi").dropDuplicates(["__key"]).drop("__key")
-
-
-def _labels(edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, comp, share): each node's component under the edges so far, named by its smallest node."""
-    comp = components(edges, nodes.select("fp", F.col("fp").alias("least")))
-    return comp.join(nodes, "fp").select(F.col("fp").alias("node"), F.col("component").alias("comp"), "share")
+        edges = edges.union(checked(pairs.where(_within_reach(similarity)).select(F.expr("least(x.node, y.node)").alias("a"), F.expr("greatest(x.node, y.node)").alias("b"))))
+    group = components(edges, distinct.select(F.col("node").alias("fp"), F.col("node").alias("least"))).withColumnsRenamed({"fp": "node"})
+    best = group.join(distinct.select("node", "first", "digest"), "node").groupBy("component").agg(F.min(F.struct("first", "digest")).alias("best"))
+    id_, digest_ = spare(docs, "id", "digest")
+    keyed = docs.withColumns({id_: F.col(id_col).cast("long"), digest_: digest})
+    kept = best.select(F.col("best.first.first").alias("of_id"), F.col("best.digest").alias("of_digest"))
+    own = keyed.join(kept, keyed[id_].eqNullSafe(kept["of_id"]) & (keyed[digest_] == kept["of_digest"]), "left_semi")
+    return own.dropDuplicates([id_, digest_]).select(*docs.columns)
