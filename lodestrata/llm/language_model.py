@@ -37,7 +37,7 @@ _START, _END = U64(0x5851F42D4C957F2D), U64(0x14057B7EF767814F)
 _NONE = 1 << 20
 _PART_BYTES = 1 << 18
 _BLOCK = "block long, em boolean, bytes long, ids array<long>, folds array<int>, texts array<string>"
-_ASK = "range int, block long, em boolean, words array<long>, word_n array<long>, pairs array<long>, pair_n array<long>"
+_ASK = "range int, block long, em boolean, words binary, word_n array<long>, pairs binary, pair_n array<long>"
 _TOLD = "range int, block long, em boolean, words array<long>, pairs array<long>, types long, tokens long, kept_tokens long"
 
 
@@ -124,6 +124,22 @@ def _range_of(keys: np.ndarray, ranges: int) -> np.ndarray:
     return np.searchsorted(edges, keys, "right")
 
 
+def _packed(keys: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Sorted hashes in lists of these sizes: the steps from each to the next, first bytes first, so that the high zero bytes take no room."""
+    ends = np.cumsum(sizes)
+    steps = np.diff(keys, prepend=keys[:1])
+    first = (ends - sizes)[sizes > 0]
+    steps[first] = keys[first]
+    planes = steps.view(np.uint8).reshape(-1, 8)
+    return pa.array([planes[a:b].T.tobytes() for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True)], pa.binary())
+
+
+def _unpacked(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """All hashes of packed lists in a row, and the length of each list."""
+    lists = [np.cumsum(np.ascontiguousarray(np.frombuffer(v.as_buffer(), np.uint8).reshape(8, -1).T).view(U64).ravel(), dtype=U64) for v in column]
+    return np.concatenate([*lists, np.zeros(0, U64)]), np.array([len(x) for x in lists], np.int64)
+
+
 def ask(rows: DataFrame, ranges: int) -> DataFrame:
     """For each block and range of hashes that it has any in: its words and pairs, sorted, and how often training texts have them."""
 
@@ -137,7 +153,7 @@ def ask(rows: DataFrame, ranges: int) -> DataFrame:
                 lists = []
                 for keys, at, where in ((s.words, s.word, word_at), (s.pairs, s.pair, pair_at)):
                     sizes = np.bincount(np.searchsorted(some, where), minlength=len(some))
-                    lists += [list_array(keys.view(np.int64), sizes, pa.int64()), list_array(np.bincount(at, train, len(keys)).astype(np.int64), sizes, pa.int64())]
+                    lists += [_packed(keys, sizes), list_array(np.bincount(at, train, len(keys)).astype(np.int64), sizes, pa.int64())]
                 del s, train
                 same = pa.array([k] * len(some), pa.int32())
                 out = [pa.array(some.astype(np.int32)), batch.column("block").take(same), batch.column("em").take(same), *lists]
@@ -166,10 +182,10 @@ def _tell(group: pa.Table) -> pa.Table:
     kind = np.concatenate((np.zeros(len(em), bool), np.ones(em.sum(), bool), [False]))
     lists, stats = [], {}
     for name, n in (("words", "word_n"), ("pairs", "pair_n")):
-        keys, sizes = _flat(group.column(name))
+        keys, sizes = _unpacked(group.column(name))
         count, _ = _flat(group.column(n))
         of = np.repeat(em, sizes)
-        unique, at = np.unique(keys.view(U64), return_inverse=True)
+        unique, at = np.unique(keys, return_inverse=True)
         full = np.bincount(at, count, len(unique)).astype(np.int64)
         kept = np.bincount(at, np.where(of, 0, count), len(unique)).astype(np.int64)
         lists.append(list_array(np.concatenate((full[at], kept[at[of]])), np.concatenate((sizes, sizes[em], [0])), pa.int64()))
