@@ -73,7 +73,7 @@ def test_simhash(spark, docs, none):
     assert len({c for _, _, c in want}) < len(want) - 20
     assert simhash.near_duplicates(docs).count() == docs.count()
     assert simhash.near_duplicates(none).count() == 0
-    assert simhash.keep_one(none, rounds=1).count() == 0
+    assert simhash.keep_one(none, rounds=1).count() == 0 and simhash.keep_one(docs.withColumns({"digest": F.lit(1), "node": F.lit(2), "first": F.lit(3)})).columns[-3:] == ["digest", "node", "first"]
     one = simhash.keep_one(docs, rounds=2)
     assert one.columns == docs.columns and sorted(r.doc_id for r in one.collect() if r.text == prose(1)) == [6]
 
@@ -175,6 +175,29 @@ def test_sharding(spark, shards):
     assert sum(len(v) > 1 for v in of.values()) <= 1
 
 
+def _near_equal(out, shards):
+    size, most = collections.Counter({k: 0 for k in range(shards)}), max(r["size"] for r in out)
+    for r in out:
+        size[r.shard] += r["size"]
+    mean = sum(size.values()) / shards
+    assert max(abs(v - mean) for v in size.values()) <= 2 * (mean * sharding.TOLERANCE + most), size
+
+
+def test_sharding_of_a_hot_text_with_null_ids(spark):
+    rows = [(None if k % 10 == 0 else (-1) ** k * (1 << k % 63), "hot text") for k in range(300)] + [(1 << 62, "hot text"), (-(1 << 63), "hot text"), ((1 << 63) - 1, "hot text")]
+    out = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string"), 7).collect()
+    assert collections.Counter((r.doc_id, r.text) for r in out) == collections.Counter(rows)
+    _near_equal(out, 7)
+
+
+def test_sharding_of_repeated_rows(spark):
+    rows = [(5, "the same " * 3)] * 300 + [(None, "")] * 100 + [(None, None)] * 100
+    out = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), 8).collect()
+    assert collections.Counter((r.doc_id, r.text) for r in out) == collections.Counter(rows)
+    _near_equal(out, 8)
+    assert all(sorted(r.slot for r in out if r.shard == k) == list(range(sum(r.shard == k for r in out))) for k in range(8))
+
+
 def test_sharding_awkward(docs, none):
     out = sharding.shard(docs, 3)
     assert set(docs.columns) < set(out.columns) and out.count() == docs.count()
@@ -317,6 +340,24 @@ def test_pieces(spark, docs, none):
     assert pieces.decode(pieces.encode(none, vocabulary), vocabulary).count() == 0
 
 
+def test_pieces_of_long_runs():
+    import time
+
+    import sentencepiece
+
+    vocabulary = pieces.Pieces()
+    plain = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    r = random.Random(11)
+    letters = lambda n, of="etaoinshrdlucmfwypvbgkqjxz": "".join(r.choice(of) for _ in range(n))
+    texts = [letters(20_000), letters(5000, "ab"), "ab" * 4000, "x" * 9001, "-" * 5000 + "=" * 3001, " " * 4000, "adipiscing" * 500, "theinging" * 300 + letters(99), letters(40) + " " + letters(70)]
+    ids, n = pieces.Encoder(vocabulary).encode(texts)
+    for t, end, k in zip(texts, n.cumsum(), n, strict=True):
+        assert ids[end - k : end].tolist() == plain.encode(t), t[:50]
+    began = time.process_time()
+    pieces.Encoder(vocabulary).encode([letters(1_000_000)])
+    assert time.process_time() - began < 60
+
+
 def test_digest_is_of_base_spans(spark):
     from lodestrata.llm.queries import op6_pii
 
