@@ -12,11 +12,13 @@ from __future__ import annotations
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql.types import ArrayType, DataType, IntegerType, StringType, StructType
+from pyspark.sql.types import ArrayType, BooleanType, DataType, IntegerType, StringType, StructType
 
 from .tokens import list_array, slices
 
@@ -83,8 +85,10 @@ class Encoder:
             self.clear()
         lead = SPACE if self.pieces.prefix else ""
         found = [self.units(lead + t.replace(" ", SPACE)) if t else [] for t in texts]
-        new = list({u for row in found for u in row} - self.slot.keys())
-        new.sort(key=lambda u: (len(u) > _SHORT, u))
+        flat_units = list(chain.from_iterable(found))
+        slots = list(map(self.slot.get, flat_units))
+        missing = [k for k, s in enumerate(slots) if s is None]
+        new = sorted({flat_units[k] for k in missing}, key=lambda u: (len(u) > _SHORT, u))
         long = sum(len(u) > _SHORT for u in new)
         at = 0
         while at < len(new):
@@ -98,8 +102,9 @@ class Encoder:
             self.flat.frombytes(ids.astype(np.int32).tobytes())
             self.ends.frombytes((np.cumsum(counts) + base).astype(np.int64).tobytes())
             at = to
-        slot = self.slot
-        unit = np.array([slot[u] for row in found for u in row], np.int64)
+        for k in missing:
+            slots[k] = self.slot[flat_units[k]]
+        unit = np.array(slots, np.int64)
         per_text = np.array([len(row) for row in found], np.int64)
         ends, flat = np.frombuffer(self.ends, np.int64).copy(), np.frombuffer(self.flat, np.int32).copy()
         start, n = ends[unit], ends[unit + 1] - ends[unit]
@@ -241,7 +246,8 @@ def _with(docs: DataFrame, drop: set[str], column: str, kind: DataType) -> tuple
 def encode(docs: DataFrame, pieces: Pieces, text_col: str = "text", out: str = "ids") -> DataFrame:
     """``docs`` and the piece ids of each whole text, as the model's own encoder gives them. Null and empty texts have none.
 
-    A column of ``docs`` with the new one's name is replaced.
+    A column of ``docs`` with the new one's name is replaced; repeated rows stay; an empty table gives no rows. A long text
+    takes memory for its own letters and ids, and its words are matched in parts.
     """
     keep, schema = _with(docs, {out}, out, ArrayType(IntegerType()))
 
@@ -255,6 +261,47 @@ def encode(docs: DataFrame, pieces: Pieces, text_col: str = "text", out: str = "
     return docs.select(*keep).mapInArrow(run, schema)
 
 
+class Decoder:
+    """Texts of piece ids: control pieces stand for nothing, bytes that aren't UTF-8 become U+FFFD, one space at the front goes if the model adds one."""
+
+    def __init__(self, pieces: Pieces):
+        self.table = [b"" if k in pieces.special else t.replace(SPACE, " ").encode() for k, t in enumerate(pieces.text)]
+        for b, k in pieces.byte_id.items():
+            self.table[k] = bytes([b])
+        self.front = 1 if pieces.prefix else 0
+
+    def texts(self, ids: np.ndarray, counts: np.ndarray) -> list[str]:
+        """The texts of all ids in a row, and how many each text has."""
+        out, at = [], 0
+        part = self.table.__getitem__
+        for n in counts.tolist():
+            body = b"".join(map(part, ids[at : at + n].tolist()))
+            at += n
+            out.append(body[self.front if body[:1] == b" " else 0 :].decode("utf-8", "replace"))
+        return out
+
+
+def round_trip(docs: DataFrame, pieces: Pieces, text_col: str = "text", out: str = "ids", same: str = "round_trip") -> DataFrame:
+    """``docs`` without the text, the piece ids of each whole text, and whether they decode to it; one pass, so the texts go to Python once.
+
+    Null and empty texts have no ids and come back as an empty text. Columns of ``docs`` with the new ones' names are replaced.
+    """
+    keep, schema = _with(docs, {text_col, out, same}, out, ArrayType(IntegerType()))
+    schema = schema.add(same, BooleanType())
+    source = docs.select(*keep, text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder, decoder = Encoder(pieces), Decoder(pieces)
+        for batch in batches:
+            for part in slices(batch, text_col, _SLICE_BYTES):
+                texts = [t or "" for t in part.column(text_col).to_pylist()]
+                ids, counts = encoder.encode(texts)
+                whole = [a == b for a, b in zip(texts, decoder.texts(ids, counts), strict=True)]
+                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in keep), list_array(ids, counts, pa.int32()), pa.array(whole, pa.bool_())], names=[*keep, out, same])
+
+    return source.mapInArrow(run, schema)
+
+
 def _id_slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
     """Consecutive row ranges with at most _SLICE_IDS ids each (one row at least)."""
     ends, at = batch.column(column).offsets.to_numpy(), 0
@@ -265,23 +312,15 @@ def _id_slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
 
 
 def decode(docs: DataFrame, pieces: Pieces, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
-    """``docs`` and the text that each list of ids stands for; a null list is an empty text.
-
-    Control pieces stand for nothing; bytes that aren't UTF-8 become U+FFFD; one space at the front goes, if the model adds one.
-    """
+    """``docs`` and the text that each list of ids stands for; a null list is an empty text. A column with the new one's name is replaced."""
     keep, schema = _with(docs, {out}, out, StringType())
-    table = [b"" if k in pieces.special else t.replace(SPACE, " ").encode() for k, t in enumerate(pieces.text)]
-    for b, k in pieces.byte_id.items():
-        table[k] = bytes([b])
-    front = 1 if pieces.prefix else 0
+    texts_of = Decoder(pieces).texts
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in _id_slices(batch, ids_col):
-                texts = []
-                for row in part.column(ids_col):
-                    body = b"".join([table[i] for i in row.values.to_numpy(zero_copy_only=False).tolist()]) if row.is_valid else b""
-                    texts.append(body[front if body[:1] == b" " else 0 :].decode("utf-8", "replace"))
-                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in keep), pa.array(texts, pa.string())], names=[*keep, out])
+                column = part.column(ids_col)
+                counts = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in keep), pa.array(texts_of(column.flatten().to_numpy(zero_copy_only=False), counts), pa.string())], names=[*keep, out])
 
     return docs.select(*keep).mapInArrow(run, schema)

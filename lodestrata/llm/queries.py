@@ -73,10 +73,8 @@ def op9_compression(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_pieces, ids, and whether the ids decode to the text."""
-    vocabulary = pieces.Pieces()
-    both = pieces.decode(pieces.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary), vocabulary)
-    same = F.coalesce("text", F.lit("")) == F.col("decoded")
-    return both.select("doc_id", F.size("ids").alias("n_pieces"), "ids", same.alias("round_trip"))
+    both = pieces.round_trip(_table(spark, sf_dir, "documents").select("doc_id", "text"), pieces.Pieces())
+    return both.select("doc_id", F.size("ids").alias("n_pieces"), "ids", "round_trip")
 
 
 def queries() -> dict[str, Query]:

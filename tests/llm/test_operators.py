@@ -338,6 +338,9 @@ def test_pieces(spark, docs, none):
     out = pieces.decode(pieces.encode(docs, vocabulary), vocabulary)
     assert all(row.decoded == (row.text or "") for row in out.collect()) and out.count() == docs.count()
     assert pieces.decode(pieces.encode(none, vocabulary), vocabulary).count() == 0
+    two = {(r.doc_id, tuple(r.ids)) for r in pieces.encode(docs, vocabulary).collect()}
+    once = pieces.round_trip(docs, vocabulary).collect()
+    assert {(r.doc_id, tuple(r.ids)) for r in once} == two and all(r.round_trip for r in once) and pieces.round_trip(none, vocabulary).count() == 0
 
 
 def test_pieces_of_long_runs():
