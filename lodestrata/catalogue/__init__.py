@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import diffs, imports, links, search
+from . import content, diffs, imports, links, plans, search
 
 Query = Callable[[SparkSession, str], DataFrame]
-MODULES = (diffs, links, search, imports)
+MODULES = (diffs, plans, links, search, imports, content)
 
 
 def queries() -> dict[str, Query]:

@@ -144,7 +144,7 @@ def finalize_rules(spark, sf_dir):
     """Parts taken for models, through the finishing phase: a changed size stands for a changed ordering field."""
 
     def as_model(part: DataFrame) -> DataFrame:
-        a = F.create_map(F.lit("name"), F.col("p_type"), F.lit("ordering_direction"), F.lit('"asc"'), F.lit("modular_block"), F.when(F.col("p_partkey") % 5 == 0, "true").otherwise("false"), F.lit("tree"), F.col("p_size").cast("string"))
+        a = F.create_map(F.lit("name"), F.concat(F.lit('"'), "p_type", F.lit('"')), F.lit("ordering_direction"), F.lit('"asc"'), F.lit("modular_block"), F.when(F.col("p_partkey") % 5 == 0, "true").otherwise("false"), F.lit("tree"), F.col("p_size").cast("string"))
         r = F.create_map(F.lit("ordering_field"), F.concat(F.lit('{"data":{"id":"'), F.col("p_size").cast("string"), F.lit('"}}')))
         return part.select(F.lit("item_type").alias("kind"), F.col("p_partkey").cast("string").alias("id"), F.col("p_partkey").alias("ord"), F.lit(None).cast("string").alias("owner"), a.alias("attributes"), r.alias("relationships"), diff.nothing().alias("meta"))
 
@@ -177,7 +177,7 @@ def move_plan(spark, sf_dir):
     line = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("l_partkey"))
     by = lambda *c: F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*c))
     side = lambda p: line.select(F.col("l_orderkey").alias("grp"), F.concat(F.lit("field:"), "l_linenumber").alias("key"), F.lit("").alias("scope"), p.alias("position"), F.col("l_linenumber").alias("ord"))
-    return moves.plan_groups(side(by("l_linenumber")), side(by("l_partkey", "l_linenumber"))).withColumnRenamed("grp", "l_orderkey")
+    return moves.plan_groups(side(by("l_linenumber")), side(by("l_partkey", "l_linenumber"))).withColumnRenamed("grp", "l_orderkey").drop("weight")
 
 
 def tree_moves(spark, sf_dir):
@@ -186,7 +186,7 @@ def tree_moves(spark, sf_dir):
     row = lambda scope, position: talk.select(F.col("conv_id").alias("grp"), F.col("turn").cast("string").alias("key"), scope.alias("scope"), position.cast("int").alias("position"), F.col("turn").alias("ord"))
     odd = F.col("turn") % 2 == 1
     new = row(F.when(odd, (F.col("turn") - 1).cast("string")).otherwise(""), F.when(odd, 1).otherwise(F.floor(F.col("turn") / 2) + 1))
-    return moves.plan_groups(row(F.lit(""), F.col("turn") + 1), new).withColumnRenamed("grp", "conv_id")
+    return moves.plan_groups(row(F.lit(""), F.col("turn") + 1), new).withColumnRenamed("grp", "conv_id").drop("weight")
 
 
 def topo_destroy(spark, sf_dir):

@@ -13,9 +13,32 @@ def canonical(json: Column) -> Column:
     return F.to_json(F.parse_json(json))
 
 
+def canonical_values(attributes: Column) -> Column:
+    """A map whose values are canonical JSON."""
+    return F.transform_values(attributes, lambda _, v: canonical(v))
+
+
 def truthy(json: Column) -> Column:
-    """False for a missing value, null, false, zero and the empty string."""
-    return ~F.coalesce(json, F.lit("null")).isin("null", "false", "0", '""')
+    """False for a missing value, null, false, zero in any form and the empty string."""
+    zero = json.rlike(r"^-?0+(\.0*)?([eE][+-]?[0-9]+)?$")
+    return ~F.coalesce(json.isin("null", "false", '""') | zero, F.lit(True))
+
+
+def json_string(text: Column) -> Column:
+    """A text as a JSON string."""
+    quoted = F.to_json(F.array(text))
+    return F.substring(quoted, F.lit(2), F.length(quoted) - 2)
+
+
+def json_object(values: Column) -> Column:
+    """A map of name to JSON text as a JSON object, names in order."""
+    each = F.transform(F.array_sort(F.map_entries(values)), lambda e: F.concat(json_string(e["key"]), F.lit(":"), e["value"]))
+    return F.concat(F.lit("{"), F.array_join(each, ","), F.lit("}"))
+
+
+def json_array(items: Column) -> Column:
+    """An array of JSON texts as a JSON array."""
+    return F.concat(F.lit("["), F.array_join(items, ","), F.lit("]"))
 
 
 def survives(id_: Column) -> Column:

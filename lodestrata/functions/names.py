@@ -34,6 +34,30 @@ def normalised(name: Column) -> Column:
     return F.regexp_replace(F.lower(name), "[_-]", "")
 
 
+def upper_first(name: Column) -> Column:
+    """The first letter in upper case, the others as they are."""
+    return F.concat(F.upper(F.substring(name, F.lit(1), F.lit(1))), F.substring(name, F.lit(2), F.length(name)))
+
+
+def camel_case(name: Column) -> Column:
+    """The words of a name put together, each but the first with a capital."""
+    words = F.regexp_replace(F.regexp_replace(name, "(?<=[a-z0-9])(?=[A-Z])|(?<=[A-Z])(?=[A-Z][a-z])|(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])", " "), "[^A-Za-z0-9]+", " ")
+    each = F.transform(F.split(F.trim(F.lower(words)), " "), lambda w: upper_first(w))
+    joined = F.array_join(each, "")
+    return F.concat(F.lower(F.substring(joined, F.lit(1), F.lit(1))), F.substring(joined, F.lit(2), F.length(joined)))
+
+
+def titleized(key: Column) -> Column:
+    """A key as a label: words apart, each with a capital; an id at the end goes."""
+    words = F.regexp_replace(F.regexp_replace(decamelize(key), "_id$", ""), "[_ -]+", " ")
+    return F.array_join(F.transform(F.split(F.trim(words), " "), lambda w: upper_first(w)), " ")
+
+
+def script_name(seconds: Column, name: Column, format_: str = "ts") -> Column:
+    """The file name of a new script: the time, the name in camel case, and the format."""
+    return F.concat(seconds.cast("string"), F.lit("_"), camel_case(name), F.lit(f".{format_}"))
+
+
 def without_suffix(name: Column, suffix: str) -> Column:
     return F.when(F.endswith(name, F.lit(suffix)), F.substring(name, F.lit(1), F.length(name) - len(suffix))).otherwise(name)
 

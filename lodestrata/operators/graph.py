@@ -5,33 +5,34 @@ Loops are over rounds; each round is one distributed join, and a checkpoint cuts
 
 from __future__ import annotations
 
-import tempfile
+import heapq
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
+from ..sources.folders import shared_folder
+
 
 def _kept(df: DataFrame) -> DataFrame:
-    context = df.sparkSession.sparkContext
-    if not df.sparkSession.conf.get("spark.checkpoint.dir", None) and context.getCheckpointDir() is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
+    """``df`` stored in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
 def closure(start: DataFrame, edges: DataFrame) -> DataFrame:
     """(node, stage): every node that edges (src, dst) lead to from ``start`` (node), with the round that reached it first.
 
-    Cycles end where nothing new is reached.
+    Cycles end where nothing new is reached. Each round stores what it reached first, and nothing is stored twice.
     """
-    seen = _kept(start.select("node", F.lit(0).alias("stage")).distinct())
-    frontier, stage = seen, 0
+    rounds = [_kept(start.select("node", F.lit(0).alias("stage")).distinct())]
     while True:
-        stage += 1
-        reached = frontier.join(edges, F.col("node") == F.col("src")).select(F.col("dst").alias("node")).distinct()
-        frontier = _kept(reached.join(seen, "node", "left_anti").withColumn("stage", F.lit(stage)))
+        reached = rounds[-1].join(edges, F.col("node") == F.col("src")).select(F.col("dst").alias("node")).distinct()
+        seen = reduce(DataFrame.unionByName, rounds)
+        frontier = _kept(reached.join(seen, "node", "left_anti").withColumn("stage", F.lit(len(rounds))))
         if frontier.isEmpty():
             return seen
-        seen = _kept(seen.unionByName(frontier))
+        rounds.append(frontier)
 
 
 def reverse(edges: DataFrame) -> DataFrame:
@@ -46,12 +47,17 @@ def depths(nodes: DataFrame, parent: str = "parent", key: str = "id") -> DataFra
     up = nodes.select(F.col(key).alias("id"), F.col(parent).alias("up"))
     known = up.select(F.col("id").alias("up"), F.lit(True).alias("known"))
     state = _kept(up.join(known, "up", "left").select("id", F.when(F.col("known"), F.col("up")).alias("up"), F.when(F.col("known"), 1).otherwise(0).alias("depth")))
-    left, n = None, state.where("up is not null").count()
+    # Nodes that have arrived are done; only the others are joined, so that a root isn't asked by its whole tree again.
+    done, state = [state.where("up is null")], state.where("up is not null")
+    left, n = None, state.count()
     while n and n != left:
-        above = state.select(F.col("id").alias("up"), F.col("up").alias("next"), F.col("depth").alias("more"))
-        state = _kept(state.join(above, "up", "left").select("id", F.when(F.col("up").isNotNull(), F.col("next")).alias("up"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth")))
-        left, n = n, state.where("up is not null").count()
-    return state.where("up is null").select(F.col("id").alias(key), "depth")
+        settled = reduce(DataFrame.unionByName, done)
+        above = state.unionByName(settled).select(F.col("id").alias("up"), F.col("up").alias("next"), F.col("depth").alias("more"))
+        moved = _kept(state.join(above, "up", "left").select("id", F.col("next").alias("up"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth")))
+        done.append(moved.where("up is null"))
+        state = moved.where("up is not null")
+        left, n = n, state.count()
+    return reduce(DataFrame.unionByName, done).select(F.col("id").alias(key), "depth")
 
 
 def chain_ends(pointers: DataFrame) -> DataFrame:
@@ -72,40 +78,88 @@ def in_degrees(edges: DataFrame) -> DataFrame:
     return edges.where("src <> dst").distinct().groupBy(F.col("dst").alias("node")).agg(F.count("*").alias("n"))
 
 
-def destroy_order(groups: DataFrame, edges: DataFrame) -> DataFrame:
-    """(grp, node, rank): within each group of ``groups`` (grp, node, ord) always the earliest node that no remaining one leads to.
+def _star(edges: DataFrame, large: bool) -> DataFrame:
+    """Edges (u, v), v < u, with each node's neighbours tied to the least of them: those above it, or it and those below it."""
+    both = edges.union(edges.select("v", "u")) if large else edges
+    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    tied = both.join(least, "u").where("v > u" if large else "v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return (tied if large else tied.union(least.select("u", "m"))).where("u <> v").distinct()
 
-    ``edges`` has (grp, src, dst). If a cycle is left, its nodes and all that depend on them follow in their own order. A group
-    is one catalog's deleted models; groups go to different tasks.
-    """
 
-    def order(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        import heapq
-
-        place = dict(zip(left["node"], left["ord"], strict=True))
-        out: dict = {n: set() for n in place}
-        for s, d in zip(right["src"], right["dst"], strict=True):
-            if s in place and d in place and s != d:
-                out[s].add(d)
-        waiting = dict.fromkeys(place, 0)
-        for ends in out.values():
-            for d in ends:
-                waiting[d] += 1
-        ready = [(place[n], n) for n, w in waiting.items() if w == 0]
-        heapq.heapify(ready)
-        done = []
-        while ready:
-            _, n = heapq.heappop(ready)
-            done.append(n)
-            for d in out[n]:
-                waiting[d] -= 1
-                if waiting[d] == 0:
-                    heapq.heappush(ready, (place[d], d))
-        rest = sorted(set(place) - set(done), key=place.get)
-        return pd.DataFrame({"grp": key[0], "node": [*done, *rest], "rank": range(1, len(place) + 1)})
+def components(edges: DataFrame) -> DataFrame:
+    """(node, component): for each node of ``edges`` (src, dst) the least node that it is connected to, itself included.
 
+    Large-star and small-star steps by turns until every component is a star: no step gathers a component.
+    """
+    nodes = edges.select(F.col("src").alias("node")).union(edges.select("dst")).distinct()
+    pairs = _kept(edges.select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).where("u <> v").distinct())
+    while True:
+        ends = pairs.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(pairs.select("v", F.lit(0), F.lit(1)))
+        if ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or up = 1 and down = 1").isEmpty():
+            break
+        pairs = _kept(_star(_star(pairs, True), False))
+    return nodes.join(pairs.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left").select("node", F.coalesce("root", "node").alias("component"))
+
+
+def _in_order(rows: pd.DataFrame, links: pd.DataFrame) -> list[tuple]:
+    """(node, left_over, reach, place) of one connected part: always the earliest node that no remaining one leads to."""
+    place = dict(zip(rows["node"], rows["ord"], strict=True))
+    out: dict = {n: set() for n in place}
+    waiting = dict.fromkeys(place, 0)
+    for s, d in set(zip(links["src"], links["dst"], strict=True)):
+        out[s].add(d)
+        waiting[d] += 1
+    ready = [(place[n], n) for n, w in waiting.items() if w == 0]
+    heapq.heapify(ready)
+    done, reach = [], None
+    while ready:
+        at, n = heapq.heappop(ready)
+        reach = at if reach is None else max(reach, at)
+        done.append((n, 0, reach, len(done)))
+        for d in out[n]:
+            waiting[d] -= 1
+            if waiting[d] == 0:
+                heapq.heappush(ready, (place[d], d))
+    gone = {n for n, *_ in done}
+    return done + [(n, 1, at, 0) for n, at in place.items() if n not in gone]
+
+
+def destroy_keys(groups: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node, left_over, reach, place): sort keys of an order in which the earliest node goes first that no remaining one leads to.
+
+    ``groups`` has (node, ord), ``edges`` (src, dst); both may have grp, which then comes out, too. Connected parts are put in
+    order apart, in tasks of their own; sorting by left_over, reach (the highest ord so far in the part) and place in the part
+    gives the order of the whole, as a part that has begun goes on while its next node is earlier than all others' first.
+    left_over is 1 for what a cycle holds back; that follows by ord.
+    """
+    keys = [c for c in ("grp",) if c in groups.columns]
+    node = F.struct(*keys, "node")
+    there = groups.select(*keys, F.col("node"))
+    live = edges.where("src <> dst").join(there.withColumnRenamed("node", "src"), [*keys, "src"], "left_semi").join(there.withColumnRenamed("node", "dst"), [*keys, "dst"], "left_semi").distinct()
+    live = _kept(live.select(F.struct(*keys, F.col("src").alias("node")).alias("src"), F.struct(*keys, F.col("dst").alias("node")).alias("dst")))
+    part = components(live).select(F.col("node").alias("own"), F.col("component").alias("part"))
+    rows = groups.withColumn("own", node).join(part, "own", "left")
+    alone = rows.where("part is null").select(*keys, "node", F.lit(0).alias("left_over"), F.col("ord").cast("long").alias("reach"), F.lit(0).cast("long").alias("place"))
     kind = dict(groups.dtypes)
-    return groups.groupBy("grp").cogroup(edges.groupBy("grp")).applyInPandas(order, f"grp {kind['grp']}, node {kind['node']}, rank long")
+    tied = rows.where("part is not null").select(F.col("part").alias("part"), "node", "ord", *keys)
+    links = live.join(part.withColumnRenamed("own", "src"), "src").select(F.col("part").alias("part"), F.col("src.node").alias("src"), F.col("dst.node").alias("dst"))
+
+    def order(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        out = pd.DataFrame(_in_order(left, right), columns=["node", "left_over", "reach", "place"])
+        return out.assign(grp=left["grp"].iloc[0]) if keys else out
+
+    schema = ", ".join([f"node {kind['node']}, left_over int, reach long, place long", *(f"grp {kind['grp']}" for _ in keys)])
+    ordered = tied.groupBy("part").cogroup(links.groupBy("part")).applyInPandas(order, schema)
+    return alone.unionByName(ordered)
+
+
+def destroy_order(groups: DataFrame, edges: DataFrame) -> DataFrame:
+    """(grp, node, rank): the order of destroy_keys within each group of ``groups`` (grp, node, ord); ``edges`` has (grp, src, dst).
+
+    If a cycle is left, its nodes and all that depend on them follow in their own order.
+    """
+    place = F.row_number().over(Window.partitionBy("grp").orderBy("left_over", "reach", "place"))
+    return destroy_keys(groups, edges).select("grp", "node", place.cast("long").alias("rank"))
 
 
 def first_arrival(visits: DataFrame, key: str, *order: str) -> DataFrame:

@@ -30,7 +30,7 @@ def deep_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     return a.join(b, same, "left_anti")
 
 
-def first_match(rows: DataFrame, key: str, *order: str | Column) -> DataFrame:
+def first_match(rows: DataFrame, key: str | list[str], *order: str | Column) -> DataFrame:
     """The first row of each key in the given order, which should have no ties."""
     return rows.withColumn("__n", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where("__n = 1").drop("__n")
 

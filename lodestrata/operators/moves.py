@@ -6,7 +6,7 @@ Each group (a model's fields and fieldsets, or a menu tree) is planned on its ow
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 ROOT = ""
 SCOPE_WEIGHT = 100
@@ -17,34 +17,48 @@ class IllegalMove(Exception):
 
 
 class Arrangement:
-    """Entities with a scope and a position in it; positions close up and open up as entities move."""
+    """Entities with a scope and a position in it; positions close up and open up as entities move.
+
+    Each scope has its members at hand, so a step costs as much as the two lists that it touches.
+    """
 
     def __init__(self, rows: dict[str, tuple[str, int]]):
         self.at = {k: [s, p] for k, (s, p) in rows.items()}
+        self.members: dict[str, dict[str, None]] = {}
+        for k, (s, _) in rows.items():
+            self.members.setdefault(s, {})[k] = None
 
     def last(self, scope: str, but: str | None = None) -> int:
-        return max([0, *(p for k, (s, p) in self.at.items() if s == scope and k != but)])
+        return max([0, *(self.at[k][1] for k in self.members.get(scope, ()) if k != but)])
 
     def shift(self, scope: str, since: int, by: int, but: str) -> None:
-        for k, place in self.at.items():
-            if place[0] == scope and place[1] >= since and k != but:
-                place[1] += by
+        for k in self.members.get(scope, ()):
+            if k != but and self.at[k][1] >= since:
+                self.at[k][1] += by
+
+    def put(self, key: str, scope: str, position: int) -> None:
+        if key in self.at:
+            self.members[self.at[key][0]].pop(key, None)
+        self.at[key] = [scope, position]
+        self.members.setdefault(scope, {})[key] = None
 
     def append(self, key: str, scope: str) -> None:
-        self.at[key] = [scope, self.last(scope) + 1]
+        self.put(key, scope, self.last(scope) + 1)
 
     def remove(self, key: str) -> None:
         """Take ``key`` out and close its gap; what it contained goes to the end of the root, one by one."""
-        scope, position = self.at.pop(key)
+        scope, position = self.at[key]
+        self.members[scope].pop(key)
+        del self.at[key]
         self.shift(scope, position, -1, key)
-        for k in [k for k, (s, _) in self.at.items() if s == key]:
-            self.at[k] = [ROOT, self.last(ROOT) + 1]
+        for k in list(self.members.get(key, ())):
+            self.put(k, ROOT, self.last(ROOT) + 1)
 
     def move(self, key: str, scope: str, position: int, strict: bool) -> None:
         old_scope, old_position = self.at[key]
         if strict and position > self.last(scope, key) + 1:
             raise IllegalMove(key)
-        self.at[key] = [scope, position]
+        self.put(key, scope, position)
         self.shift(old_scope, old_position, -1, key)
         self.shift(scope, position, 1, key)
 
@@ -61,20 +75,20 @@ def start(old: dict[str, tuple[str, int]], new: dict[str, tuple[str, int]], firs
     return state
 
 
-def plan(old: dict[str, tuple[str, int]], new: dict[str, tuple[str, int]], first: str = "") -> list[tuple[str, str, int]]:
-    """Steps (key, scope, position) that turn ``old`` into ``new``; both map keys to (scope, position), in the catalog's order.
+def weighed_plan(old: dict[str, tuple[str, int]], new: dict[str, tuple[str, int]], first: str = "") -> list[tuple[int, str, str, int]]:
+    """Steps (weight, key, scope, position) that turn ``old`` into ``new``; both map keys to (scope, position), in the catalog's order.
 
-    Far movers go first, which takes fewer steps; if that runs into an illegal move or misses the goal, all go by position,
-    which always arrives where positions run from 1 without gaps. Keys with the prefix ``first`` are containers.
+    Far movers go first, which takes fewer steps; if that runs into an illegal move or misses the goal, all go by position
+    with the weight 0, which always arrives where positions run from 1 without gaps. Keys with the prefix ``first`` are containers.
     """
     before = start(old, new, first)
 
-    def run(order: list[str], strict: bool) -> list[tuple[str, str, int]]:
+    def run(order: list[str], strict: bool) -> list[tuple[int, str, str, int]]:
         state = Arrangement({k: tuple(v) for k, v in before.at.items()})
         steps = []
         for k in order:
             if tuple(state.at[k]) != tuple(new[k]):
-                steps.append((k, *new[k]))
+                steps.append((weight(k) if strict else 0, k, *new[k]))
                 state.move(k, *new[k], strict)
         if strict and any(tuple(v) != tuple(new[k]) for k, v in state.at.items()):
             raise IllegalMove
@@ -90,6 +104,11 @@ def plan(old: dict[str, tuple[str, int]], new: dict[str, tuple[str, int]], first
         return run(sorted(new, key=lambda k: new[k][1]), False)
 
 
+def plan(old: dict[str, tuple[str, int]], new: dict[str, tuple[str, int]], first: str = "") -> list[tuple[str, str, int]]:
+    """The steps (key, scope, position) of a weighed plan."""
+    return [step[1:] for step in weighed_plan(old, new, first)]
+
+
 def replay(old: dict[str, tuple[str, int]], new: dict[str, tuple[str, int]], steps: list[tuple[str, str, int]], first: str = "") -> dict[str, tuple[str, int]]:
     """Where the entities of ``new`` are after the steps."""
     state = start(old, new, first)
@@ -98,13 +117,21 @@ def replay(old: dict[str, tuple[str, int]], new: dict[str, tuple[str, int]], ste
     return {k: tuple(v) for k, v in state.at.items()}
 
 
-def plan_groups(old: DataFrame, new: DataFrame) -> DataFrame:
-    """(grp, step, key, scope, position) for every group of ``old`` and ``new`` (grp, key, scope, position, ord)."""
+def plan_groups(old: DataFrame, new: DataFrame, first: str = "") -> DataFrame:
+    """(grp, step, key, scope, position, weight) for every group of ``old`` and ``new`` (grp, key, scope, position, ord).
+
+    Groups in which nothing has to move are left out before any task gets them.
+    """
     kind = dict(new.dtypes)["grp"]
+    same = ["grp", "key", "scope", "position"]
+    there = old.select(*same, F.lit(1).alias("old"), F.lit(0).alias("new")).unionByName(new.select(*same, F.lit(0).alias("old"), F.lit(1).alias("new")))
+    stirred = there.groupBy(*same).agg(F.sum("old").alias("old"), F.sum("new").alias("new")).where("old <> new").select("grp").distinct()
 
     def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         side = lambda df: {k: (s, int(p)) for k, s, p in df.sort_values("ord")[["key", "scope", "position"]].itertuples(index=False)}
-        steps = plan(side(left), side(right), "fieldset:")
-        return pd.DataFrame([(key[0], n, *s) for n, s in enumerate(steps, 1)], columns=["grp", "step", "key", "scope", "position"])
+        steps = weighed_plan(side(left), side(right), first)
+        return pd.DataFrame([(key[0], n, *s, w) for n, (w, *s) in enumerate(steps, 1)], columns=["grp", "step", "key", "scope", "position", "weight"])
 
-    return old.groupBy("grp").cogroup(new.groupBy("grp")).applyInPandas(run, f"grp {kind}, step long, key string, scope string, position long")
+    # Named anew, as both sides may come from one table.
+    of = lambda side: side.join(stirred, "grp", "left_semi").select(*[F.col(c).alias(c) for c in (*same, "ord")]).groupBy("grp")
+    return of(old).cogroup(of(new)).applyInPandas(run, f"grp {kind}, step long, key string, scope string, position long, weight long")

@@ -8,15 +8,16 @@ no step gathers it in one task.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.canonical import survives
-from ..functions.maps import beyond_defaults, omit, pick, without_falsy, without_nulls
-from ..operators.graph import destroy_order
-from ..operators.joins import created, deep_difference, deleted, kept
+from ..functions.canonical import canonical_values, json_array, json_object, survives
+from ..functions.maps import beyond_defaults, locale_nulls, omit, pick, without_falsy, without_nulls
+from ..operators.graph import components, depths, destroy_keys
+from ..operators.joins import created, deep_difference, deleted, first_match, kept
 from ..operators.moves import ROOT, plan_groups
 
 PLAN = ("phase", "stage", "ord", "step", "kind", "call", "entity_id", "attributes", "relationships")
@@ -40,7 +41,7 @@ BLOCK_LINKS_IGNORED = ("ordering_field", "title_field", "image_preview_field", "
 MODEL_LINKS = ("workflow", "ordering_field", "title_field", "image_preview_field", "excerpt_field", "presentation_image_field", "presentation_title_field")
 PLUGIN_CONVERT = ("name", "description", "url", "permissions")
 PLUGIN_PRIVATE = ("name", "description", "url", "parameters", "permissions")
-PLUGIN_NOT_SENT = ("package_name", "package_version", "field_types", "plugin_type", "parameter_definitions", "parameters")
+PLUGIN_NOT_SENT = ("parameter_definitions", "field_types", "plugin_type", "parameters")
 PERMISSIONS = ("positive_item_type_permissions", "negative_item_type_permissions", "positive_upload_permissions", "negative_upload_permissions")
 
 _MAP = "map<string,string>"
@@ -55,16 +56,28 @@ def changed(old: Column, new: Column) -> Column:
     return F.map_filter(new, lambda k, v: ~F.map_contains_key(old, k) | ~F.try_element_at(old, k).eqNullSafe(v))
 
 
-def _rows(df: DataFrame, phase: int, stage: int, kind: str, call: str, attributes: Column | None = None, relationships: Column | None = None, step: int = 0, ord_: str = "ord") -> DataFrame:
-    none = nothing()
+def _rows(
+    df: DataFrame, phase: int, stage: int, kind: str, call: str, attributes: Column | None = None, relationships: Column | None = None, step: int = 0, ord_: str = "ord", more: dict[str, Column] | None = None
+) -> DataFrame:
+    """Calls for the rows of ``df`` (id and a column to order by); ``more`` has stage or step where they differ from row to row."""
+    none, more = nothing(), more or {}
     return df.select(
-        F.lit(phase).alias("phase"), F.lit(stage).alias("stage"), F.col(ord_).cast("long").alias("ord"), F.lit(step).cast("long").alias("step"), F.lit(kind).alias("kind"), F.lit(f"{kind}.{call}").alias("call"),
-        F.col("id").alias("entity_id"), (none if attributes is None else attributes).alias("attributes"), (none if relationships is None else relationships).alias("relationships"),
+        F.lit(phase).alias("phase"), more.get("stage", F.lit(stage)).cast("int").alias("stage"), F.col(ord_).cast("long").alias("ord"), more.get("step", F.lit(step)).cast("long").alias("step"),
+        F.lit(kind).alias("kind"), F.lit(f"{kind}.{call}").alias("call"), F.col("id").alias("entity_id"), (none if attributes is None else attributes).alias("attributes"),
+        (none if relationships is None else relationships).alias("relationships"),
     )
 
 
-def _of(snapshot: DataFrame, kind: str) -> DataFrame:
-    return snapshot.where(F.col("kind") == kind).drop("kind")
+def _of(snapshot: DataFrame, *kinds: str) -> DataFrame:
+    """The entities of some kinds, in the one form of JSON in which equal values are equal texts."""
+    rows = snapshot.where(F.col("kind").isin(*kinds))
+    rows = rows.withColumns({c: canonical_values(F.col(c)) for c in ("attributes", "relationships", "meta")})
+    return rows.drop("kind") if len(kinds) == 1 else rows
+
+
+def _linked(name: str) -> Column:
+    """The id that a relationship points to."""
+    return F.get_json_object(F.try_element_at("relationships", F.lit(name)), "$.data.id")
 
 
 @dataclass(frozen=True)
@@ -99,7 +112,7 @@ def plugins(old: DataFrame, new: DataFrame, phase: int = 3) -> DataFrame:
     legacy = value(F.col("meta"), "version").isin('"1"')
     sent = F.when(given(a, "package_name"), pick(a, "package_name")).when(legacy, omit(a, "parameters")).otherwise(omit(a, *PLUGIN_NOT_SENT))
     out = _rows(deleted(old, new), phase, 0, "plugin", "destroy").unionByName(_rows(made, phase, 1, "plugin", "create", sent))
-    settings = made.where(~value(a, "parameters").isin("null", "{}"))
+    settings = made.where(F.coalesce(F.try_element_at(a, F.lit("parameters")), F.lit("")) != "{}")
     out = out.unionByName(_rows(settings, phase, 1, "plugin", "update", pick(a, "parameters"), step=1))
 
     both = kept(old, new).withColumn("differs", changed(F.col("old_attributes"), F.col("new_attributes")))
@@ -125,30 +138,55 @@ def _block(attributes: str) -> Column:
 
 
 def new_models(old: DataFrame, new: DataFrame, phase: int = 5) -> DataFrame:
+    """Created models with what goes beyond the defaults, their workflow, and the first schema menu entry that stands for each."""
     made = created(_of(old, "item_type"), _of(new, "item_type"))
     sent = beyond_defaults(F.col("attributes"), MODEL_DEFAULTS)
     sent = F.when(_block("attributes"), omit(sent, *BLOCK_IGNORED)).otherwise(omit(sent, *MODEL_IGNORED))
-    return _rows(made, phase, 0, "item_type", "create", sent)
-
-
-def _owned(old: DataFrame, new: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
-    return _of(old, kind), _of(new, kind)
+    entries = first_match(_of(new, "schema_menu_item").select(_linked("item_type").alias("id"), F.col("id").alias("entry"), F.col("ord").alias("entry_ord")).where("id is not null"), "id", "entry_ord")
+    made = made.join(entries.select("id", "entry"), "id", "left")
+    entry = F.map_filter(F.create_map(F.lit("schema_menu_item"), F.col("entry")), lambda _, v: v.isNotNull())
+    return _rows(made, phase, 0, "item_type", "create", sent, F.map_concat(without_nulls(pick(F.col("relationships"), "workflow")), entry))
 
 
 def _position(attributes: str) -> Column:
     return F.coalesce(F.try_element_at(attributes, F.lit("position")).cast("long"), F.lit(0))
 
 
-def new_fields(old: DataFrame, new: DataFrame, default_value: str = "null", phase: int = 6) -> DataFrame:
-    """Per model fieldsets, then fields, then slugs, each by position."""
-    (of, nf), (os_, ns) = _owned(old, new, "field"), _owned(old, new, "fieldset")
-    sets = created(os_, ns).withColumn("ord", _position("attributes"))
-    out = _rows(sets, phase, 0, "fieldset", "create", omit(beyond_defaults(F.col("attributes"), FIELDSET_DEFAULTS), "position"))
-    fields = created(of, nf).withColumn("ord", _position("attributes"))
+def default_values(new: DataFrame) -> DataFrame:
+    """One row with the default of a field's value: null for a site of one locale, else an object of nulls (none: no such site)."""
+    locales = F.from_json(F.try_element_at("attributes", F.lit("locales")), "array<string>")
+    return _of(new, "site").select(canonical_default(locales).alias("default_value")).agg(F.min("default_value").alias("default_value"))
+
+
+def canonical_default(locales: Column) -> Column:
+    """The default in canonical form: names of locales in order."""
+    return locale_nulls(F.array_sort(locales))
+
+
+def new_fields(old: DataFrame, new: DataFrame, phase: int = 6) -> DataFrame:
+    """Model by model, new models first, fieldsets, then fields, then slugs, each by position: stage is 0 for new models, step the model's place.
+
+    The default of a value depends on the site's locales. A field takes its fieldset along.
+    """
+    models = _of(new, "item_type").select(F.col("id").alias("owner"), F.col("ord").alias("model_ord"))
+    before = _of(old, "item_type").select(F.col("id").alias("owner"), F.lit(1).alias("stays"))
+    models = models.join(before, "owner", "left").select("owner", "model_ord", F.coalesce("stays", F.lit(0)).alias("stage"))
+    default = F.coalesce(default_values(new).scalar(), F.lit("null"))
     slug = F.coalesce(F.try_element_at("attributes", F.lit("field_type")), F.lit("")) == '"slug"'
-    sent = omit(beyond_defaults(F.col("attributes"), FIELD_DEFAULTS | {"default_value": default_value}), "appeareance", "position")
-    for stage, which in ((1, ~slug), (2, slug)):
-        out = out.unionByName(_rows(fields.where(which), phase, stage, "field", "create", sent, without_nulls(F.col("relationships"))))
+    out = None
+    for kind in ("fieldset", "field"):
+        rows = created(_of(old, kind), _of(new, kind)).join(models, "owner")
+        if kind == "field":
+            rows = rows.withColumn("default_value", default)
+            plain = ~F.coalesce(F.try_element_at("attributes", F.lit("default_value")) == F.col("default_value"), F.lit(False))
+            sent = F.map_filter(omit(beyond_defaults(F.col("attributes"), FIELD_DEFAULTS), "appeareance", "position"), lambda k, v: (k != "default_value") | plain)
+            place, links = F.when(slug, 2).otherwise(1), without_nulls(pick(F.col("relationships"), "fieldset"))
+        else:
+            sent, place, links = omit(beyond_defaults(F.col("attributes"), FIELDSET_DEFAULTS), "position"), F.lit(0), nothing()
+        # One sort key: models in order, then fieldsets, fields and slugs, then positions.
+        step = place * F.lit(1 << 40) + _position("attributes")
+        each = _rows(rows.withColumns({"sent": sent, "links": links, "step_": step}), phase, 0, kind, "create", F.col("sent"), F.col("links"), ord_="model_ord", more={"stage": F.col("stage"), "step": F.col("step_")})
+        out = each if out is None else out.unionByName(each)
     return out
 
 
@@ -157,7 +195,7 @@ def gone_fields(old: DataFrame, new: DataFrame, phase: int = 7) -> DataFrame:
     models = _of(new, "item_type").select(F.col("id").alias("owner"))
     out = None
     for stage, kind in enumerate(("fieldset", "field")):
-        lost = deleted(*_owned(old, new, kind)).join(models, "owner", "left_semi")
+        lost = deleted(_of(old, kind), _of(new, kind)).join(models, "owner", "left_semi")
         rows = _rows(lost, phase, stage, kind, "destroy")
         out = rows if out is None else out.unionByName(rows)
     return out
@@ -165,44 +203,49 @@ def gone_fields(old: DataFrame, new: DataFrame, phase: int = 7) -> DataFrame:
 
 def _arranged(snapshot: DataFrame) -> DataFrame:
     """Fields and fieldsets as (grp, key, scope, position, ord): a field's scope is its fieldset."""
-    ref = F.get_json_object(F.try_element_at("relationships", F.lit("fieldset")), "$.data.id")
-    both = snapshot.where(F.col("kind").isin("field", "fieldset"))
+    ref = _linked("fieldset")
+    both = _of(snapshot, "field", "fieldset")
     key = F.concat_ws(":", "kind", "id")
     scope = F.coalesce(F.concat(F.lit("fieldset:"), ref), F.lit(ROOT))
     return both.select(F.col("owner").alias("grp"), key.alias("key"), scope.alias("scope"), _position("attributes").alias("position"), F.struct("kind", "ord").alias("ord"))
 
 
 def changed_fields(old: DataFrame, new: DataFrame, phase: int = 8) -> DataFrame:
-    """A field's new type first, then its other changes; then the moves of each model that stays."""
+    """Model by model: a field's new type first, then its other changes; then the moves of each model that stays."""
+    models = _of(new, "item_type").join(_of(old, "item_type").select("id"), "id", "left_semi").select(F.col("id").alias("grp"), F.col("ord").alias("model_ord"))
     out = None
     for kind in ("field", "fieldset"):
-        both = kept(*_owned(old, new, kind)).withColumn("differs", changed(F.col("old_attributes"), F.col("new_attributes")))
-        typed = both.where(F.map_contains_key("differs", "field_type"))
-        rest = both.withColumn("rest", omit(F.col("differs"), "appeareance", "field_type", "position")).where("size(rest) > 0")
-        rows = _rows(typed, phase, 0, kind, "update", pick(F.col("new_attributes"), "field_type", "validators", "appearance"), ord_="new_ord")
-        rows = rows.unionByName(_rows(rest, phase, 0, kind, "update", F.col("rest"), step=1, ord_="new_ord"))
+        both = kept(_of(old, kind), _of(new, kind)).withColumn("differs", changed(F.col("old_attributes"), F.col("new_attributes")))
+        both = both.join(models, F.col("new_owner") == F.col("grp"))
+        typed = F.array(F.struct(F.lit(0).alias("which"), pick(F.col("new_attributes"), "field_type", "validators", "appearance").alias("sent")))
+        rest = omit(F.col("differs"), "appeareance", "field_type", "position")
+        other = F.array(F.struct(F.lit(1).alias("which"), rest.alias("sent")))
+        calls = F.concat(F.when(F.map_contains_key("differs", "field_type"), typed).otherwise(F.slice(typed, 1, 0)), F.when(F.size(rest) > 0, other).otherwise(F.slice(other, 1, 0)))
+        both = both.select("id", "model_ord", "new_ord", F.inline(calls))
+        rows = _rows(both, phase, 0, kind, "update", F.col("sent"), ord_="model_ord", more={"step": F.col("new_ord") * 2 + F.col("which")})
         out = rows if out is None else out.unionByName(rows)
-    stay = _of(old, "item_type").join(_of(new, "item_type"), "id", "left_semi").select(F.col("id").alias("grp"))
-    side = lambda s: _arranged(s).join(stay, "grp", "left_semi").withColumn("ord", F.col("ord.ord"))
-    moves = plan_groups(side(old), side(new))
+    side = lambda s: _arranged(s).join(models.select("grp"), "grp", "left_semi").withColumn("ord", F.col("ord.ord"))
+    moves = plan_groups(side(old), side(new), first="fieldset:").join(models, "grp")
     kind, id_ = F.split_part("key", F.lit(":"), F.lit(1)), F.split_part("key", F.lit(":"), F.lit(2))
     place = F.create_map(F.lit("position"), F.col("position").cast("string"))
     ref = F.create_map(F.lit("fieldset"), F.when(F.col("scope") == ROOT, "null").otherwise(F.split_part("scope", F.lit(":"), F.lit(2))))
     return out.unionByName(
         moves.select(
-            F.lit(phase).alias("phase"), F.lit(1).alias("stage"), F.xxhash64("grp").alias("ord"), "step", kind.alias("kind"), F.concat(kind, F.lit(".update")).alias("call"), id_.alias("entity_id"),
+            F.lit(phase).alias("phase"), F.lit(1).alias("stage"), F.col("model_ord").cast("long").alias("ord"), "step", kind.alias("kind"), F.concat(kind, F.lit(".update")).alias("call"), id_.alias("entity_id"),
             place.alias("attributes"), F.when(kind == "field", ref).otherwise(nothing()).alias("relationships"),
         )
     )
 
 
 def gone_models(old: DataFrame, new: DataFrame, references: DataFrame, phase: int = 9) -> DataFrame:
-    """Deleted models, those that no other deleted one refers to first. ``references`` has (src, dst)."""
+    """Deleted models, those that no other deleted one refers to first. ``references`` has (src, dst).
+
+    Each connected part of the references is put in order on its own; its place among the others follows from the keys alone.
+    """
     lost = deleted(_of(old, "item_type"), _of(new, "item_type"))
-    groups = lost.select(F.lit(0).alias("grp"), F.col("id").alias("node"), "ord")
-    ranked = destroy_order(groups, references.select(F.lit(0).alias("grp"), "src", "dst"))
-    rows = lost.drop("ord").join(ranked.select(F.col("node").alias("id"), F.col("rank").alias("ord")), "id")
-    return _rows(rows, phase, 0, "item_type", "destroy")
+    keys = destroy_keys(lost.select(F.col("id").alias("node"), "ord"), references)
+    rows = lost.drop("ord").join(keys.select(F.col("node").alias("id"), "left_over", F.col("reach").alias("ord"), "place"), "id")
+    return _rows(rows, phase, 0, "item_type", "destroy", more={"stage": F.col("left_over"), "step": F.col("place")})
 
 
 def finished_models(old: DataFrame, new: DataFrame, phase: int = 10) -> DataFrame:
@@ -228,17 +271,27 @@ def finished_models(old: DataFrame, new: DataFrame, phase: int = 10) -> DataFram
     return out[0].unionByName(out[1])
 
 
+def _scopes(old: DataFrame, new: DataFrame) -> DataFrame:
+    """(key, grp): entries that can get into each other's way when they move, by the connected parts of their scopes.
+
+    An entry ties the list that it is in to the one that it goes to; one that is gone ties its own list to the top one, where
+    what it held goes.
+    """
+    both = old.select("key", F.col("scope").alias("a")).join(new.select("key", F.col("scope").alias("b")), "key", "full")
+    ties = both.select(F.coalesce("a", "b").alias("src"), F.coalesce("b", "a").alias("dst"))
+    gone = both.where("b is null").select(F.col("key").alias("src"), F.lit(ROOT).alias("dst"))
+    part = components(ties.union(gone).distinct())
+    return both.select("key", F.coalesce("a", "b").alias("node")).join(part, "node").select("key", F.col("component").alias("grp"))
+
+
 def menus(old: DataFrame, new: DataFrame, kind: str, phase: int) -> DataFrame:
-    """Menu entries: new ones with parents first, then lost ones, then changes, then moves of the whole tree.
+    """Menu entries: new ones with parents first, then lost ones, then changes, then moves, far movers first.
 
     Entries of a schema menu that stand for a model come and go with it, so they are neither created nor destroyed here.
     """
-    from ..operators.graph import depths
-
     old, new = _of(old, kind), _of(new, kind)
-    parent = F.get_json_object(F.try_element_at("relationships", F.lit("parent")), "$.data.id")
-    free = F.lit(True) if kind == "menu_item" else F.get_json_object(F.try_element_at("relationships", F.lit("item_type")), "$.data.id").isNull()
-    made = created(old, new).where(free).withColumn("parent", parent)
+    free = F.lit(True) if kind == "menu_item" else _linked("item_type").isNull()
+    made = created(old, new).where(free).withColumn("parent", _linked("parent"))
     deep = made.join(depths(made), "id")
     sent = beyond_defaults(F.col("attributes"), MENU_DEFAULTS) if kind == "menu_item" else F.col("attributes")
     # depth and place are one sort key, as the step comes last
@@ -248,47 +301,53 @@ def menus(old: DataFrame, new: DataFrame, kind: str, phase: int) -> DataFrame:
     both = both.withColumn("differs", omit(changed(F.col("old_attributes"), F.col("new_attributes")), "position"))
     both = both.withColumn("links", omit(changed(F.col("old_relationships"), F.col("new_relationships")), "children", "parent")).where("size(differs) > 0 or size(links) > 0")
     out = out.unionByName(_rows(both, phase, 2, kind, "update", F.col("differs"), F.col("links"), ord_="new_ord"))
-    side = lambda s: s.select(F.lit(0).alias("grp"), F.col("id").alias("key"), F.coalesce(parent, F.lit(ROOT)).alias("scope"), _position("attributes").alias("position"), "ord")
-    moves = plan_groups(side(old), side(new))
+    flat = lambda s: s.select(F.col("id").alias("key"), F.coalesce(_linked("parent"), F.lit(ROOT)).alias("scope"), _position("attributes").alias("position"), "ord")
+    old, new = flat(old), flat(new)
+    scopes = _scopes(old, new)
+    moves = plan_groups(old.join(scopes, "key"), new.join(scopes, "key"))
     place, ref = F.create_map(F.lit("position"), F.col("position").cast("string")), F.create_map(F.lit("parent"), F.when(F.col("scope") == ROOT, "null").otherwise(F.col("scope")))
     return out.unionByName(
         moves.select(
-            F.lit(phase).alias("phase"), F.lit(3).alias("stage"), F.col("step").alias("ord"), F.lit(0).cast("long").alias("step"), F.lit(kind).alias("kind"), F.lit(f"{kind}.update").alias("call"), F.col("key").alias("entity_id"),
+            F.lit(phase).alias("phase"), F.lit(3).alias("stage"), (-F.col("weight")).alias("ord"), "step", F.lit(kind).alias("kind"), F.lit(f"{kind}.update").alias("call"), F.col("key").alias("entity_id"),
             place.alias("attributes"), ref.alias("relationships"),
         )
     )
 
 
 def permission_changes(rules: DataFrame, old_env: str, new_env: str) -> DataFrame:
-    """(id, list, side, rule): rules to add and remove so that the old environment has those of the new one.
+    """(id, ord, list, rule, side): rules to add and remove so that the old environment has those of the new one.
 
-    ``rules`` has (id, ord, list, rule): each rule of each role as a map of canonical JSON; environment and falsy entries don't count.
+    ``rules`` has (id, ord, list, rule): each rule of each role as a map of canonical JSON; environment and falsy entries don't
+    count. A rule comes out as a JSON object.
     """
     env = F.try_element_at("rule", F.lit("environment"))
-    plain = F.to_json(F.map_from_entries(F.array_sort(F.map_entries(without_falsy(F.col("rule"), "environment")))))
-    side = lambda name: rules.where(env == f'"{name}"').select("id", "ord", "list", plain.alias("rule"))
+    plain = json_object(without_falsy(F.col("rule"), "environment"))
+    side = lambda name: rules.where(env == json.dumps(name, ensure_ascii=False)).select("id", "ord", "list", plain.alias("rule"))
     new, old = side(new_env), side(old_env)
     return deep_difference(new, old).withColumn("side", F.lit("add")).unionByName(deep_difference(old, new).withColumn("side", F.lit("remove")))
 
 
+def role_rules(new: DataFrame) -> DataFrame:
+    """(id, ord, list, rule): every rule of the four lists of each role, as a map of name to canonical JSON."""
+    names = F.array(*map(F.lit, PERMISSIONS))
+    lists = _of(new, "role").select("id", "ord", "attributes", F.explode(names).alias("list"))
+    each = lists.select("id", "ord", "list", F.explode(F.from_json(F.try_element_at("attributes", F.col("list")), "array<map<string,variant>>")).alias("rule"))
+    return each.withColumn("rule", F.transform_values("rule", lambda _, v: F.coalesce(F.to_json(v), F.lit("null"))))
+
+
 def roles(new: DataFrame, old_env: str, new_env: str, phase: int = 14) -> DataFrame:
     """One update for each role whose permissions differ between the environments; roles come from the new side only."""
-    each = None
-    for name in PERMISSIONS:
-        listed = _of(new, "role").select("id", "ord", F.lit(name).alias("list"), F.explode(F.from_json(F.try_element_at("attributes", F.lit(name)), "array<map<string,string>>")).alias("rule"))
-        quoted = listed.withColumn("rule", F.transform_values("rule", lambda _, v: F.when(v.rlike(r"^(true|false|null|-?[0-9.]+|[\[{].*)$"), v).otherwise(F.to_json(F.array(v)).substr(F.lit(2), F.length(v) + 2))))
-        each = quoted if each is None else each.unionByName(quoted)
-    diff = permission_changes(each, old_env, new_env)
+    diff = permission_changes(role_rules(new), old_env, new_env)
     per_list = diff.groupBy("id", "ord", "list", "side").agg(F.sort_array(F.collect_list("rule")).alias("rules"))
-    per_role = per_list.groupBy("id", "ord").agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws(".", "list", "side"), F.concat(F.lit("["), F.array_join("rules", ","), F.lit("]"))))).alias("attributes"))
+    per_role = per_list.groupBy("id", "ord").agg(F.map_from_entries(F.collect_list(F.struct(F.concat_ws(".", "list", "side"), json_array(F.col("rules"))))).alias("attributes"))
     return _rows(per_role, phase, 0, "role", "update", F.col("attributes"))
 
 
-def change_plan(old: DataFrame, new: DataFrame, references: DataFrame, old_env: str, new_env: str, default_value: str = "null") -> DataFrame:
+def change_plan(old: DataFrame, new: DataFrame, references: DataFrame, old_env: str, new_env: str) -> DataFrame:
     """The plan of all phases that turns ``old`` into ``new``."""
     parts = [
         Simple(1, "site", ignored=SITE_IGNORED, creates=False).plan(old, new), Simple(2, "workflow").plan(old, new), plugins(old, new), Simple(4, "upload_filter", sends_all=True).plan(old, new),
-        new_models(old, new), new_fields(old, new, default_value), gone_fields(old, new), changed_fields(old, new), gone_models(old, new, references), finished_models(old, new),
+        new_models(old, new), new_fields(old, new), gone_fields(old, new), changed_fields(old, new), gone_models(old, new, references), finished_models(old, new),
         Simple(11, "item_type_filter").plan(old, new), menus(old, new, "menu_item", 12), menus(old, new, "schema_menu_item", 13), roles(new, old_env, new_env),
     ]
     return reduce(DataFrame.unionByName, parts)

@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.canonical import canonical_values
+
 ENTITY = "id string, ord long, owner string, attributes map<string,string>, relationships map<string,string>, meta map<string,string>, env string, kind string"
 
 
 def save(entities: DataFrame, path: str, env: str) -> None:
-    """Write a snapshot of one environment; what it had is replaced, other environments stay."""
+    """Write a snapshot of one environment with its values in canonical JSON; what it had is replaced, other environments stay."""
     spark = entities.sparkSession
+    entities = entities.withColumns({c: canonical_values(F.col(c)) for c in ("attributes", "relationships", "meta")})
     before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
