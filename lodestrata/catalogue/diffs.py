@@ -83,9 +83,9 @@ def recreated_ids(spark, sf_dir):
 
 
 def diff_rows_deep(spark, sf_dir):
-    """Rows of one year that no row of the next equals, both ways, repeats kept."""
+    """Rows of one year that no row of the next equals, both ways, repeats kept. Years are ranges, which the scan can push down."""
     line = table(spark, sf_dir, "lineitem")
-    year = lambda y: line.where(F.year("l_shipdate") == y).select("l_returnflag", "l_linestatus", "l_quantity", "l_discount", "l_tax", "l_linenumber")
+    year = lambda y: line.where(f"l_shipdate >= timestamp_ntz '{y}-01-01' and l_shipdate < timestamp_ntz '{y + 1}-01-01'").select("l_returnflag", "l_linestatus", "l_quantity", "l_discount", "l_tax", "l_linenumber")
     a, b = year(1994), year(1995)
     return joins.deep_difference(a, b).withColumn("side", F.lit("remove")).unionByName(joins.deep_difference(b, a).withColumn("side", F.lit("add")))
 
@@ -202,6 +202,53 @@ def path_rewrite(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", F.when(k % 4 == 0, F.concat(F.lit("new.k["), k, F.lit("]"))).otherwise(k.cast("string")).alias("k"))
 
 
+def path_substitution(spark, sf_dir):
+    """Orders as calls that mention models, fields and plugins in all the places that can; every third of these is made anew."""
+    o = F.col("o_orderkey")
+    quoted = lambda c: F.concat(F.lit('"'), c.cast("string"), F.lit('"'))
+    listed = F.concat(F.lit('{"item_types":['), quoted(o % 10), F.lit(","), quoted(o % 7), F.lit('],"strategy":"x"}'))
+    titled = F.concat(F.lit('{"title_field_id":'), quoted(o % 5), F.lit("}"))
+    validators = F.when(o % 4 == 0, F.concat(F.lit('{"items_item_type":'), listed, F.lit(',"required":{}}'))).when(o % 4 == 1, F.concat(F.lit('{"slug_title_field":'), titled, F.lit("}"))).otherwise("{}")
+    appearance = F.concat(F.lit('{"addons":[{"id":'), quoted(o % 8), F.lit(',"n":1}],"editor":'), quoted(o % 6), F.lit("}"))
+    a = F.create_map(F.lit("validators"), validators, F.lit("appearance"), appearance, F.lit("label"), quoted(o % 10))
+    r = F.create_map(F.lit("item_type"), F.concat(F.lit('{"data":{"id":'), quoted(o % 9), F.lit("}}")), F.lit("parent"), F.lit('{"data":null}'))
+    plan = table(spark, sf_dir, "orders").select(F.lit(1).alias("phase"), F.lit(0).alias("stage"), o.alias("ord"), F.lit(0).cast("long").alias("step"), F.lit("field").alias("kind"), F.lit("field.update").alias("call"), o.cast("string").alias("entity_id"), a.alias("attributes"), r.alias("relationships"))
+    kinds = F.explode(F.array(*map(F.lit, ("item_type", "field", "plugin"))))
+    made = table(spark, sf_dir, "orders").where("o_orderkey % 3 = 0").select(kinds.alias("kind"), o.cast("string").alias("id"))
+    out = render.remap_references(plan, made)
+    of = lambda c, k: F.element_at(c, F.lit(k)).alias(k)
+    return out.select("ord", of("attributes", "validators"), of("attributes", "appearance"), of("attributes", "label"), of("relationships", "item_type"), of("relationships", "parent"))
+
+
+def recreated_kinds(spark, sf_dir):
+    """How many entities of each kind get a new id: parts as filters, of which every third survives, and as menu entries."""
+    part = table(spark, sf_dir, "part")
+    id_ = F.when(F.col("p_partkey") % 3 == 0, F.lpad(F.col("p_partkey").cast("string"), 22, "x")).otherwise(F.col("p_partkey").cast("string"))
+    side = lambda rows, kind: rows.select(F.lit(kind).alias("kind"), id_.alias("id"), F.col("p_partkey").alias("ord"), F.lit(None).cast("string").alias("owner"), *[diff.nothing().alias(c) for c in ("attributes", "relationships", "meta")])
+    none = part.where("false")
+    plan = diff.Simple(4, "upload_filter").plan(side(none, "upload_filter"), side(part, "upload_filter")).unionByName(diff.Simple(2, "workflow").plan(side(none, "workflow"), side(part.where("p_size > 20"), "workflow")))
+    return diff.recreated(plan).groupBy("kind").agg(F.count("*").alias("n"))
+
+
+def kept_rows(spark, sf_dir):
+    """Both states of every attribute of the parts that stay."""
+    old, new = _snapshots(spark, sf_dir)
+    return joins.kept(old, new, "p_partkey")
+
+
+def snapshot_kinds(spark, sf_dir):
+    """A snapshot written and read again: entities and attributes of each kind."""
+    from ..sources import snapshots
+    from ..sources.folders import new_path
+
+    old, new = (_entities(s) for s in _snapshots(spark, sf_dir))
+    path = new_path(spark)
+    snapshots.save(old.unionByName(new.withColumn("kind", F.lit("filter"))), path, "main")
+    snapshots.fork(spark, path, "main", "copy")
+    rows = snapshots.load(spark, path, "copy", "part", "filter")
+    return rows.groupBy("kind").agg(F.count("*").alias("n"), F.sum(F.size("attributes")).cast("long").alias("n_attributes"), F.sum(F.element_at("attributes", F.lit("p_size")).cast("long")).alias("sizes"))
+
+
 def permission_diff(spark, sf_dir):
     """Customers' segments as permissions of nations, compared between two halves of the customers."""
     c = table(spark, sf_dir, "customer")
@@ -215,12 +262,13 @@ def permission_diff(spark, sf_dir):
 
 QUERIES = (
     diff_created, diff_deleted, diff_kept, diff_attr_changes, diff_plan, plan_script, recreated_ids, diff_rows_deep, default_elision, truthy_clean, canonical_equality,
-    plan_matrix, plugin_plan, finalize_rules, remap_ids, key_listing, move_plan, tree_moves, topo_destroy, path_rewrite, permission_diff,
+    plan_matrix, plugin_plan, finalize_rules, remap_ids, key_listing, move_plan, tree_moves, topo_destroy, path_rewrite, path_substitution, recreated_kinds, kept_rows, snapshot_kinds, permission_diff,
 )
 
 _DEEP = "SELECT l_returnflag, l_linestatus, l_quantity, l_discount, l_tax, l_linenumber FROM lineitem WHERE year(l_shipdate) ="
 _K = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
 _CHANGES = f"""{_CTE}, b AS (SELECT n.p_partkey AS id, o.p_type AS ot, n.p_type AS nt, o.p_size AS os, n.p_size AS ns FROM o JOIN n USING (p_partkey))"""
+_made = lambda n, kind: f"""CASE WHEN ({n}) % 3 = 0 THEN 'new{kind}["' || {n} || '"]' ELSE '"' || {n} || '"' END"""
 SQL = {
     "diff_created": f"{_CTE} SELECT * FROM n WHERE p_partkey NOT IN (SELECT p_partkey FROM o)",
     "diff_deleted": f"{_CTE} SELECT * FROM o WHERE p_partkey NOT IN (SELECT p_partkey FROM n)",
@@ -258,7 +306,17 @@ SQL = {
             CASE WHEN os <> ns AND id % 5 <> 0 THEN 'ordering_field' ELSE '' END FROM b WHERE ot <> nt OR os <> ns""",
     "remap_ids": "SELECT c_custkey, CASE WHEN c_nationkey % 3 = 0 THEN 'new.nation[' || c_nationkey || ']' ELSE CAST(c_nationkey AS VARCHAR) END AS new_id FROM customer",
     "key_listing": "SELECT event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id % 3 = 0, event_id) AS place FROM events",
+    "topo_destroy": """WITH RECURSIVE d AS (SELECT p_partkey AS top, p_partkey AS node, p_brand FROM part UNION ALL SELECT d.top, c.p_partkey, c.p_brand FROM d JOIN part c ON c.p_partkey // 2 = d.node AND c.p_brand = d.p_brand AND c.p_partkey <> d.node)
+        SELECT p_brand AS grp, top AS node, row_number() OVER (PARTITION BY p_brand ORDER BY max(node), top DESC) AS rank FROM d GROUP BY 1, 2""",
     "path_rewrite": f"SELECT event_id, CASE WHEN {_K} % 4 = 0 THEN 'new.k[' || {_K} || ']' ELSE CAST({_K} AS VARCHAR) END AS k FROM events",
+    "path_substitution": f"""WITH t AS (SELECT o_orderkey AS o, CASE WHEN EXISTS (SELECT 1 FROM orders) THEN 1 END AS one FROM orders)
+        SELECT o AS ord, CASE o % 4 WHEN 0 THEN '{{"items_item_type":{{"item_types":[' || {_made('o % 10', 'ItemTypes')} || ',' || {_made('o % 7', 'ItemTypes')} || '],"strategy":"x"}},"required":{{}}}}'
+            WHEN 1 THEN '{{"slug_title_field":{{"title_field_id":' || {_made('o % 5', 'Fields')} || '}}}}' ELSE '{{}}' END AS validators,
+            '{{"addons":[{{"id":' || {_made('o % 8', 'Plugins')} || ',"n":1}}],"editor":' || {_made('o % 6', 'Plugins')} || '}}' AS appearance, '"' || o % 10 || '"' AS label,
+            CASE WHEN o % 9 % 3 = 0 THEN 'newItemTypes["' || o % 9 || '"]' ELSE '{{"data":{{"id":"' || o % 9 || '"}}}}' END AS item_type, '{{"data":null}}' AS parent FROM t""",
+    "recreated_kinds": "SELECT 'upload_filter' AS kind, count(*) AS n FROM part WHERE p_partkey % 3 <> 0 UNION ALL SELECT 'workflow', count(*) FROM part WHERE p_partkey % 3 <> 0 AND p_size > 20",
+    "kept_rows": f"{_CTE} SELECT n.p_partkey, o.p_name AS old_p_name, o.p_brand AS old_p_brand, o.p_type AS old_p_type, o.p_size AS old_p_size, o.p_retailprice AS old_p_retailprice, n.p_name AS new_p_name, n.p_brand AS new_p_brand, n.p_type AS new_p_type, n.p_size AS new_p_size, n.p_retailprice AS new_p_retailprice FROM o JOIN n USING (p_partkey)",
+    "snapshot_kinds": f"{_CTE} SELECT 'part' AS kind, count(*) AS n, 5 * count(*) AS n_attributes, CAST(sum(p_size) AS BIGINT) AS sizes FROM o UNION ALL SELECT 'filter', count(*), 5 * count(*), CAST(sum(p_size) AS BIGINT) FROM n",
     "permission_diff": """WITH r AS (SELECT CAST(c_nationkey AS BIGINT) AS nation, c_custkey % 2 = 0 AS new, c_mktsegment AS segment, nullif(CAST(CAST(floor(c_acctbal / 5000) AS BIGINT) % 4 AS VARCHAR), '0') AS level FROM customer)
         SELECT nation, 'add' AS side, segment, level FROM r WHERE new AND NOT EXISTS (SELECT 1 FROM r q WHERE NOT q.new AND q.nation = r.nation AND q.segment = r.segment AND q.level IS NOT DISTINCT FROM r.level)
         UNION ALL SELECT nation, 'remove', segment, level FROM r WHERE NOT new AND NOT EXISTS (SELECT 1 FROM r q WHERE q.new AND q.nation = r.nation AND q.segment = r.segment AND q.level IS NOT DISTINCT FROM r.level)""",

@@ -108,6 +108,32 @@ def structured_nodes(spark, sf_dir):
     return documents.rewrite(nodes, targets, ("en", "fr"))
 
 
+def structured_documents(spark, sf_dir):
+    """Conversations as documents, whose turns are paragraphs, headings with links, embedded entries and rules, made into new documents."""
+    talk = table(spark, sf_dir, "conversations").select("conv_id", "turn").distinct()
+    at = F.col("conv_id") * 7 + F.col("turn")
+    data = F.concat(F.lit('"data":{"target":{"sys":{"id":"e'), at % 230, F.lit('"}}}'))
+    text_ = F.concat(F.lit('{"nodeType":"text","value":"T'), "turn", F.lit('","marks":[{"type":"bold"}]}'))
+    link = F.concat(F.lit('{"nodeType":"entry-hyperlink",'), data, F.lit(',"content":[{"nodeType":"text","value":"go","marks":[]}]}'))
+    node = (
+        F.when(at % 4 == 0, F.concat(F.lit('{"nodeType":"paragraph","content":['), text_, F.lit("]}"))).when(at % 4 == 1, F.concat(F.lit('{"nodeType":"embedded-entry-block",'), data, F.lit(',"content":[]}')))
+        .when(at % 4 == 2, F.concat(F.lit('{"nodeType":"heading-2","content":['), text_, F.lit(","), link, F.lit("]}"))).otherwise('{"nodeType":"hr","content":[]}')
+    )
+    rows = talk.select("conv_id", F.struct("turn", node.alias("node")).alias("n")).groupBy(F.col("conv_id").alias("document")).agg(F.array_join(F.transform(F.array_sort(F.collect_list("n")), lambda x: x["node"]), ",").alias("inner"))
+    docs = rows.select("document", F.concat(F.lit('{"nodeType":"document","content":['), "inner", F.lit("]}")).alias("body"))
+    targets = table(spark, sf_dir, "documents").where("lang <> 'de'").select(F.concat(F.lit("e"), "doc_id").alias("source"), F.concat(F.lit("i"), "doc_id").alias("id"), F.col("lang").alias("model"), F.lit(None).cast("string").alias("url"))
+    return documents.convert(docs, targets, ("en", "fr"))
+
+
+def asset_metadata(spark, sf_dir):
+    """Texts of assets by field and language: documents of a source are an asset's versions."""
+    first = table(spark, sf_dir, "documents").groupBy((F.col("doc_id") % 50).alias("asset"), "lang").agg(F.min("doc_id").alias("n"))
+    rows = first.select("asset", F.col("lang").alias("locale"), F.concat(F.lit("title "), "n").alias("title"), F.when(F.col("n") % 2 == 0, F.concat(F.lit("alt "), "n")).alias("alt"))
+    out = maps.by_locale(rows, "asset", "locale", "title", "alt")
+    text_ = lambda c: F.array_join(F.transform(F.array_sort(F.map_entries(c)), lambda e: F.concat_ws("=", e["key"], F.coalesce(e["value"], F.lit("-")))), ",").alias(c)
+    return out.select("asset", text_("title"), text_("alt"))
+
+
 def field_validators(spark, sf_dir):
     """Validators of parts taken for fields of several types."""
     targets = F.array(*map(F.lit, ("string", "integer", "file", "links", "json")))
@@ -140,7 +166,7 @@ def settings_upsert(spark, sf_dir):
 
 QUERIES = (
     api_key_model, api_key_field, type_map, value_convert, validators, rewrite_first, rewrite_all_ci, thumb_explode, locale_pivot, locale_defaults, validator_overlay, dotted_projection, detail_levels, html_titles, structured_nodes,
-    field_validators, asset_insert, call_log, settings_upsert,
+    structured_documents, asset_metadata, field_validators, asset_insert, call_log, settings_upsert,
 )
 
 _K = "json_extract_string(props, '$.k')"
@@ -178,6 +204,14 @@ SQL = {
             WHEN 'asset-hyperlink' THEN CASE WHEN doc_id IS NULL THEN 'dropped' WHEN inl THEN 'link' ELSE 'children' END
             WHEN 'embedded-asset-block' THEN CASE WHEN doc_id IS NULL THEN 'span' WHEN blk THEN 'block' ELSE 'dropped' END ELSE type END AS new_type FROM r)
         SELECT document, path, type, new_type, CASE WHEN new_type IN ('inlineItem', 'paragraph>inlineItem', 'itemLink', 'link', 'block') THEN 'i' || doc_id END AS new_target FROM o""",
+    "structured_documents": """WITH n AS (SELECT DISTINCT conv_id, turn, conv_id * 7 + turn AS pos FROM conversations), m AS (SELECT n.*, d.doc_id, d.lang IN ('en', 'fr') AS ok FROM n LEFT JOIN (SELECT * FROM documents WHERE lang <> 'de') d ON d.doc_id = pos % 230),
+        j AS (SELECT conv_id, turn, '{"marks":["strong"],"type":"span","value":"T' || turn || '"}' AS span, pos % 4 AS kind, doc_id, ok, pos % 230 AS t FROM m),
+        o AS (SELECT *, CASE kind WHEN 0 THEN '{"children":[' || span || '],"type":"paragraph"}'
+            WHEN 1 THEN CASE WHEN doc_id IS NULL THEN '{"type":"span","value":"** missing or inaccessible: e' || t || ' **"}' WHEN ok THEN '{"children":[{"item":"i' || doc_id || '","type":"inlineItem"}],"type":"paragraph"}' END
+            WHEN 2 THEN '{"children":[' || span || ',' || CASE WHEN doc_id IS NULL THEN '{"type":"span","value":"go"}' ELSE '{"children":[{"type":"span","value":"go"}],"item":"i' || doc_id || '","type":"itemLink"}' END || '],"level":2,"type":"heading"}'
+            ELSE '{"type":"thematicBreak"}' END AS part FROM j)
+        SELECT conv_id AS document, '{"document":{"children":[' || coalesce(string_agg(part, ',' ORDER BY turn), '') || '],"type":"root"},"schema":"dast"}' AS body FROM o GROUP BY 1""",
+    "asset_metadata": """WITH f AS (SELECT doc_id % 50 AS asset, lang, min(doc_id) AS n FROM documents GROUP BY 1, 2) SELECT asset, string_agg(lang || '=title ' || n, ',' ORDER BY lang) AS title, string_agg(lang || '=' || CASE WHEN n % 2 = 0 THEN 'alt ' || n ELSE '-' END, ',' ORDER BY lang) AS alt FROM f GROUP BY 1""",
     "field_validators": """WITH r AS (SELECT p_partkey, p_partkey % 5 AS t, CASE WHEN p_partkey % 2 = 0 THEN 'required={}' END AS req, nullif(p_size, 0) AS s FROM part)
         SELECT p_partkey, coalesce(CASE t WHEN 0 THEN concat_ws(';', 'enum={"values":["a","b"]}', 'length=' || CASE WHEN s = 30 THEN '{"eq":30}' ELSE '{' || concat_ws(',', '"min":' || s, '"max":30') || '}' END, req, 'unique={}')
             WHEN 1 THEN concat_ws(';', 'number_range={' || coalesce('"max":' || s || '.0', '') || '}', req) WHEN 2 THEN concat_ws(';', 'file_size={"max_value":' || s || ',"max_unit":"B"}', req)

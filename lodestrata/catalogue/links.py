@@ -6,8 +6,9 @@ from pyspark.sql import Column, Window, functions as F
 
 from ..functions import text
 from ..operators import graph, joins, order
-from ..plans import ledger
+from ..plans import ledger, search
 from ..session import table
+from ..sources import snapshots
 
 
 def _text(items: Column | str) -> Column:
@@ -31,11 +32,15 @@ def nest_children(spark, sf_dir):
 
 
 def type_split(spark, sf_dir):
-    return table(spark, sf_dir, "events").where("event_type = 'click'").select("event_id", "user_id")
+    """The rows of one kind of a mixed table."""
+    rows = table(spark, sf_dir, "events").select("event_id", "user_id", F.col("event_type").alias("kind"))
+    return snapshots.split(rows, "click").drop("kind")
 
 
 def shared_filter(spark, sf_dir):
-    return table(spark, sf_dir, "events").where("value > 0").select("event_id", "event_type")
+    """Filters that are shared, events being filters."""
+    shared = F.create_map(F.lit("shared"), F.when(F.col("value") > 0, "true").otherwise("false"))
+    return snapshots.shared(table(spark, sf_dir, "events").select("event_id", "event_type", shared.alias("attributes"))).drop("attributes")
 
 
 def owner_lookup_first(spark, sf_dir):
@@ -140,6 +145,47 @@ def closure_rev(spark, sf_dir):
     return graph.closure(start, graph.reverse(_edges(spark, sf_dir))).select("node")
 
 
+def _turns(spark, sf_dir):
+    """Each turn of a conversation leads to the next one, as far as they go without a gap."""
+    talk = table(spark, sf_dir, "conversations").select("conv_id", "turn").distinct()
+    node = lambda t: F.struct("conv_id", t.alias("turn"))
+    return talk.select(node(F.col("turn") - 1).alias("src"), node(F.col("turn")).alias("dst")).where("src.turn >= 0")
+
+
+def closure_turns(spark, sf_dir):
+    """Turns that the first turns lead to, and in how many steps."""
+    start = table(spark, sf_dir, "conversations").where("turn = 0 and conv_id % 3 = 0").select(F.struct("conv_id", "turn").alias("node"))
+    return graph.closure(start, _turns(spark, sf_dir)).select("node.conv_id", "node.turn", "stage")
+
+
+def talk_ends(spark, sf_dir):
+    """The last turn of each turn's conversation, by following them."""
+    out = graph.chain_ends(_turns(spark, sf_dir))
+    return out.select("src.conv_id", "src.turn", F.col("end.turn").alias("last"))
+
+
+def _related(spark, sf_dir):
+    """Parts as models: a part holds the two of twice its number as blocks, and refers to the one of a third of it."""
+    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("node"))
+    blocks = p.where("node > 1").select(F.floor(F.col("node") / 2).alias("src"), F.col("node").alias("dst"))
+    return p.where("node % 40 = 7"), blocks, p.select(F.col("node").alias("src"), F.floor(F.col("node") / 3).alias("dst"))
+
+
+def related_models(spark, sf_dir):
+    """Models with the blocks that they hold, those that they and these refer to, and those that hold them."""
+    start, blocks, references = _related(spark, sf_dir)
+    return search.with_related(start, blocks, references, nested=True, referenced=True, embedding=True)
+
+
+def nested_models(spark, sf_dir):
+    """Customers as models with their orders as fields and the statuses of these as fieldsets, in order."""
+    models = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("id"), "c_name")
+    orders = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("owner"), (-F.col("o_orderkey")).alias("position"), F.col("o_orderkey").alias("id"), "o_orderstatus")
+    sets = orders.select("owner", F.ascii("o_orderstatus").cast("long").alias("position"), F.col("o_orderstatus").alias("id")).distinct()
+    out = search.nested(models, orders, sets)
+    return out.select("id", "c_name", F.array_join(F.transform("fields", lambda f: F.concat_ws(":", f["id"].cast("string"), f["o_orderstatus"])), ",").alias("fields"), F.array_join(F.transform("fieldsets", lambda f: f["id"]), ",").alias("fieldsets"))
+
+
 def alias_chains(spark, sf_dir):
     """Where following each customer to the one of a tenth of its number ends."""
     c = table(spark, sf_dir, "customer").where("c_custkey >= 10").select(F.col("c_custkey").alias("src"), F.floor(F.col("c_custkey") / 10).alias("dst"))
@@ -181,7 +227,7 @@ def recreated_by_kind(spark, sf_dir):
 
 QUERIES = (
     nest_children, type_split, shared_filter, owner_lookup_first, mark_join, semi_transformed_key, array_strip, allowed_or_all, link_single, link_many, link_holes, asset_lookup, category_parent,
-    ledger_pending, first_wins, index_last_wins, max_position, in_degree, tree_depth, closure_fwd, closure_rev, alias_chains, two_pass_load, etag_md5, class_sort_rank, run_counters, recreated_by_kind,
+    closure_turns, talk_ends, related_models, nested_models, ledger_pending, first_wins, index_last_wins, max_position, in_degree, tree_depth, closure_fwd, closure_rev, alias_chains, two_pass_load, etag_md5, class_sort_rank, run_counters, recreated_by_kind,
 )
 
 _LINES = "SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_partkey % 5 <> 0 AND l_partkey IN (SELECT p_partkey FROM part) THEN 't' || l_partkey END AS target FROM lineitem"
@@ -209,6 +255,16 @@ SQL = {
     "tree_depth": "SELECT conv_id, turn, turn AS depth FROM (SELECT DISTINCT conv_id, turn FROM conversations)",
     "closure_fwd": f"WITH RECURSIVE e AS ({_EDGES}), r AS ({_START} UNION SELECT dst FROM r JOIN e ON src = node) SELECT DISTINCT node FROM r",
     "closure_rev": f"WITH RECURSIVE e AS ({_EDGES}), r AS ({_START} UNION SELECT src FROM r JOIN e ON dst = node) SELECT DISTINCT node FROM r",
+    "closure_turns": """WITH RECURSIVE t AS (SELECT DISTINCT conv_id, turn FROM conversations), r AS (SELECT conv_id, turn FROM t WHERE turn = 0 AND conv_id % 3 = 0 UNION ALL SELECT t.conv_id, t.turn FROM r JOIN t ON t.conv_id = r.conv_id AND t.turn = r.turn + 1)
+        SELECT conv_id, turn, CAST(turn AS INTEGER) AS stage FROM r""",
+    "talk_ends": """WITH t AS (SELECT DISTINCT conv_id, turn FROM conversations), g AS (SELECT *, turn - row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS run FROM t), e AS (SELECT *, max(turn) OVER (PARTITION BY conv_id, run) AS last FROM g)
+        SELECT conv_id, turn - 1 AS turn, last FROM t JOIN e USING (conv_id, turn) WHERE turn > 0
+            AND (turn, conv_id) NOT IN (SELECT -1, -1)""",
+    "related_models": """WITH RECURSIVE s AS (SELECT p_partkey AS node FROM part WHERE p_partkey % 40 = 7), b AS (SELECT p_partkey // 2 AS src, p_partkey AS dst FROM part WHERE p_partkey > 1),
+        d AS (SELECT node FROM s UNION SELECT dst FROM d JOIN b ON src = node), u AS (SELECT node FROM s UNION SELECT src FROM u JOIN b ON dst = node),
+        a AS (SELECT node, 0 AS reason FROM s UNION ALL SELECT node, 1 FROM d UNION ALL SELECT node // 3, 2 FROM d UNION ALL SELECT node, 3 FROM u) SELECT node, CAST(min(reason) AS INTEGER) AS reason FROM a GROUP BY 1""",
+    "nested_models": """SELECT c_custkey AS id, c_name, coalesce(string_agg(o_orderkey || ':' || o_orderstatus, ',' ORDER BY o_orderkey DESC), '') AS fields, coalesce(string_agg(DISTINCT o_orderstatus, ',' ORDER BY o_orderstatus), '') AS fieldsets
+        FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1, 2""",
     "alias_chains": 'SELECT c_custkey AS src, CAST(substr(CAST(c_custkey AS VARCHAR), 1, 1) AS BIGINT) AS "end" FROM customer WHERE c_custkey >= 10',
     "two_pass_load": "SELECT 'r' || (o_orderkey * 10 + 1) AS new_id, 'r' || (lead(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) * 10 + 1) AS next_id FROM orders",
     "etag_md5": "SELECT doc_id, CASE WHEN doc_id % 9 <> 0 AND count(*) OVER (PARTITION BY md5(text)) = 1 THEN doc_id END AS matched FROM documents",

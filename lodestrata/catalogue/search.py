@@ -8,6 +8,7 @@ from ..functions import names, text
 from ..operators import order
 from ..plans import ledger, search
 from ..session import table
+from ..sources import paged, settings
 
 
 def fuzzy_score(spark, sf_dir):
@@ -55,7 +56,8 @@ def contains_filter(spark, sf_dir):
 
 
 def suggestions_top20(spark, sf_dir):
-    return table(spark, sf_dir, "part").select("p_name").distinct().where(F.col("p_name") > "P").orderBy("p_name").limit(20)
+    """The first names in order, for whoever has mistyped one."""
+    return search.suggestions(table(spark, sf_dir, "part").where(F.col("p_name") > "P"), "p_name")
 
 
 def name_match(spark, sf_dir):
@@ -74,9 +76,61 @@ def script_order(spark, sf_dir):
 
 
 def paged_scan(spark, sf_dir):
-    """Orders by page of 100 keys: rows of a page and its first and last key."""
-    page = F.floor(F.col("o_orderkey") / 100).alias("page")
-    return table(spark, sf_dir, "orders").groupBy(page).agg(F.count("*").alias("n"), F.min("o_orderkey").alias("first"), F.max("o_orderkey").alias("last"))
+    """Orders through the paged source: rows of each page of 100 and its first and last key."""
+    paged.register(spark)
+    rows = spark.read.format("paged").option("path", f"{sf_dir}/orders.parquet").option("pagesize", 100).load()
+    return rows.groupBy(F.col("page").cast("long").alias("page")).agg(F.count("*").alias("n"), F.min("o_orderkey").alias("first"), F.max("o_orderkey").alias("last"))
+
+
+def workspace_projects(spark, sf_dir):
+    """Sites of all workspaces that have a token, each once: customers are sites, suppliers workspaces, and some sites are in two."""
+    workspaces = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("workspace_id"), F.col("s_name").alias("name"), F.col("s_suppkey").alias("ord"))
+    c = F.col("c_custkey")
+    rows = table(spark, sf_dir, "customer").select(F.explode(F.array(c % 10, (c + 3) % 7)).alias("workspace_id"), c.alias("id"), F.col("c_name").alias("name"), F.when(c % 3 == 0, F.concat(F.lower("c_name"), F.lit(".com"))).otherwise("").alias("domain"), F.when(c % 4 == 0, F.concat(F.lit("sub"), c)).alias("subdomain"), F.when(c % 5 == 0, "").otherwise("token").alias("access_token"), c.alias("ord"))
+    return search.projects_of(workspaces, rows).select("id", "name", "domain", "workspace")
+
+
+def workspace_sites(spark, sf_dir):
+    """Workspaces with a usable site and how many they have."""
+    workspaces = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("workspace_id"), F.col("s_name").alias("name"))
+    c = F.col("c_custkey")
+    return search.usable_workspaces(workspaces, table(spark, sf_dir, "customer").select((c % 120).alias("workspace_id"), F.when(c % 5 == 0, "").when(c % 7 > 0, "token").alias("access_token")))
+
+
+def models_of_sort(spark, sf_dir):
+    """Models, and blocks, of a catalog: parts by their size."""
+    rows = table(spark, sf_dir, "part").select("p_partkey", (F.col("p_size") % 3 == 0).alias("modular_block"))
+    return search.of_sort(rows, "blocks_only").select("p_partkey", F.lit("block").alias("sort")).unionByName(search.of_sort(rows, "models_only").select("p_partkey", F.lit("model").alias("sort")))
+
+
+def primary_environment(spark, sf_dir):
+    """The first order that is marked as the primary one."""
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), ((F.col("o_orderstatus") == "P") & (F.col("o_orderkey") % 7 == 3)).alias("is_primary"), F.col("o_orderkey").alias("ord"))
+    return search.primary(rows)
+
+
+def field_details(spark, sf_dir):
+    """What an inspection shows of a field at each level: parts are fields."""
+    a = F.create_map(*[x for k in ("label", "position", "validators", "appearance", "appeareance", "default_value", "deep_filtering_enabled") for x in (F.lit(k), F.col("p_size").cast("string"))])
+    r = F.create_map(F.lit("item_type"), F.lit("1"), F.lit("fieldset"), F.lit("2"))
+    rows = table(spark, sf_dir, "part").select("p_partkey", a.alias("attributes"), r.alias("relationships"))
+    keys = lambda c: F.array_join(F.array_sort(F.map_keys(c)), ",")
+    out = None
+    for level, wanted in (("basic", ()), ("complete", ()), ("basic", ("validators",))):
+        part = search.shown(rows, search.details(level, wanted)).select("p_partkey", F.lit("-".join((level, *wanted))).alias("level"), keys("attributes").alias("attributes"), keys("relationships").alias("relationships"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def relaxed_json(spark, sf_dir):
+    """Events' properties as people would write them."""
+    text_ = F.concat(F.lit("{k: "), F.get_json_object("props", "$.k"), F.lit(", /* kind */ 'kind': '"), "event_type", F.lit("'}"))
+    return table(spark, sf_dir, "events").select("event_id", F.inline(F.array(settings.relaxed(text_, "k long, kind string"))))
+
+
+def script_names(spark, sf_dir):
+    """File names of scripts: the time, and the name in camel case."""
+    return table(spark, sf_dir, "part").select("p_partkey", names.script_name(F.col("p_partkey") + 1_700_000_000, F.concat(F.lit("add "), F.lower("p_type"))).alias("name"))
 
 
 def domain_coalesce(spark, sf_dir):
@@ -87,7 +141,7 @@ def domain_coalesce(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", names.without_suffix(domain, ".example.com").alias("domain"))
 
 
-QUERIES = (fuzzy_score, fuzzy_topk, exact_else_fuzzy, find_models, workspace_filter, contains_filter, suggestions_top20, name_match, script_order, paged_scan, domain_coalesce)
+QUERIES = (fuzzy_score, fuzzy_topk, exact_else_fuzzy, find_models, workspace_filter, contains_filter, suggestions_top20, name_match, script_order, paged_scan, workspace_projects, workspace_sites, models_of_sort, primary_environment, field_details, relaxed_json, script_names, domain_coalesce)
 
 
 def _score(q: str, t: str) -> str:
@@ -119,6 +173,15 @@ SQL = {
     "suggestions_top20": "SELECT DISTINCT p_name FROM part WHERE p_name > 'P' ORDER BY p_name LIMIT 20",
     "name_match": "SELECT p_partkey, p_name FROM part WHERE lower(replace(p_name, ' ', '')) = 'smallwidget'",
     "paged_scan": "SELECT o_orderkey // 100 AS page, count(*) AS n, min(o_orderkey) AS first, max(o_orderkey) AS last FROM orders GROUP BY 1",
+    "script_order": """SELECT filename, row_number() OVER (PARTITION BY user_id ORDER BY replace(filename, '_', ' ')) AS place FROM (SELECT user_id, event_id || '_' || CASE WHEN event_id % 2 = 0 THEN upper(event_type) ELSE event_type END || '.js' AS filename FROM events)""",
+    "workspace_projects": f"""WITH r AS (SELECT c_custkey AS c, c_name, least(CASE WHEN c_custkey % 10 IN (SELECT s_suppkey FROM supplier) THEN c_custkey % 10 ELSE 99 END, CASE WHEN (c_custkey + 3) % 7 IN (SELECT s_suppkey FROM supplier) THEN (c_custkey + 3) % 7 ELSE 99 END) AS w FROM customer WHERE c_custkey % 5 <> 0)
+        SELECT c AS id, c_name AS name, CASE WHEN c % 3 = 0 THEN lower(c_name) || '.com' WHEN c % 4 = 0 THEN 'sub' || c || '{search.SUFFIX}' ELSE c || '{search.SUFFIX}' END AS domain, s_name AS workspace FROM r JOIN supplier ON s_suppkey = w""",
+    "workspace_sites": "SELECT s_suppkey AS workspace_id, s_name AS name, count(*) AS n_sites FROM supplier JOIN customer ON c_custkey % 120 = s_suppkey WHERE c_custkey % 5 <> 0 AND c_custkey % 7 > 0 GROUP BY 1, 2",
+    "models_of_sort": "SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN 'block' ELSE 'model' END AS sort FROM part",
+    "primary_environment": "SELECT o_orderkey AS id, true AS is_primary, o_orderkey AS ord FROM orders WHERE o_orderstatus = 'P' AND o_orderkey % 7 = 3 ORDER BY 1 LIMIT 1",
+    "field_details": """SELECT p_partkey, level, attributes, relationships FROM part, (VALUES ('basic', 'label', ''), ('complete', 'appearance,default_value,label,position,validators', 'fieldset'), ('basic-validators', 'label,validators', '')) v(level, attributes, relationships)""",
+    "relaxed_json": "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, event_type AS kind FROM events",
+    "script_names": "SELECT p_partkey, (p_partkey + 1700000000) || '_add' || string_agg(upper(w[1]) || w[2:], '' ORDER BY i) || '.ts' AS name FROM (SELECT p_partkey, unnest(string_split(lower(p_type), ' ')) AS w, generate_subscripts(string_split(lower(p_type), ' '), 1) AS i FROM part) GROUP BY 1",
     "domain_coalesce": """WITH d AS (SELECT page_id, regexp_extract(url, '://([^/?#]*)', 1) AS host FROM pages), e AS (SELECT page_id, CASE WHEN host = '' OR starts_with(host, 'm.') THEN 'page-' || page_id || '.example.com' ELSE host END AS d FROM d)
         SELECT page_id, CASE WHEN ends_with(d, '.example.com') THEN substr(d, 1, length(d) - 12) ELSE d END AS domain FROM e""",
 }

@@ -1,17 +1,31 @@
 """Structured text as a table of nodes: what becomes of each node that points to another record or asset.
 
 A document of any depth is rows (document, path, type, target); only the node and its parent's kind decide, so the rewriting is
-one join for the targets and one CASE, and no document has to fit in one place.
+one join for the targets and one CASE. Small helpers take one document apart and put one together; the documents are dealt out
+among the tasks.
 """
 
 from __future__ import annotations
 
+import json
+import re
+from collections.abc import Iterator
+
+import pandas as pd
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators.joins import resolve
 
 # The source's node types, and the parents whose children may be inline.
 INLINE_ENTRY, BLOCK_ENTRY, ENTRY_LINK, ASSET_LINK, BLOCK_ASSET = "embedded-entry-inline", "embedded-entry-block", "entry-hyperlink", "asset-hyperlink", "embedded-asset-block"
+# What plain node types and marks become.
+TYPES = {
+    "document": "root", "paragraph": "paragraph", "blockquote": "blockquote", "hr": "thematicBreak", "text": "span", "hyperlink": "link", "list-item": "listItem", "ordered-list": "list",
+    "unordered-list": "list", ENTRY_LINK: "itemLink", ASSET_LINK: "link",
+}
+STYLES = {"ordered-list": "numbered", "unordered-list": "bulleted"}
+MARKS = {"bold": "strong", "italic": "emphasis", "underline": "underline", "code": "code"}
 INLINE_PARENTS = ("paragraph", "heading", "link", "itemLink")
 BLOCK_PARENTS = ("root",)
 
@@ -39,3 +53,95 @@ def rewrite(nodes: DataFrame, targets: DataFrame, models: tuple[str, ...] | None
     kind = outcome(F.col("type"), F.col("parent"), F.col("id").isNotNull(), allowed)
     linked = kind.isin("inlineItem", "paragraph>inlineItem", "itemLink", "link", "block")
     return found.select("document", "path", "type", kind.alias("new_type"), F.when(linked, F.col("id")).alias("new_target"))
+
+
+NODE = "document {kind}, path string, type string, parent string, target string, data string"
+
+
+def _nodes(body: str | None) -> Iterator[tuple[str, str, str, str | None, str]]:
+    """(path, type, parent's new type, target, data) of every node of one document, parents before their children."""
+    waiting = [("", json.loads(body), "")] if body else []
+    while waiting:
+        path, node, parent = waiting.pop()
+        kind, data = node["nodeType"], node.get("data") or {}
+        own = "heading" if kind.startswith("heading-") else TYPES.get(kind, kind)
+        if kind == "paragraph" and [c.get("nodeType") for c in node.get("content", [])] == ["text"] and [m["type"] for m in node["content"][0].get("marks", [])] == ["code"]:
+            yield path, "code", parent, None, json.dumps({"code": node["content"][0]["value"]})
+            continue
+        shown = {"marks": [MARKS[m["type"]] for m in node.get("marks", []) if m["type"] in MARKS], "value": node.get("value"), "url": data.get("uri"), "style": STYLES.get(kind)}
+        if own == "heading":
+            shown["level"] = int(kind[-1])
+        yield path, kind, parent, ((data.get("target") or {}).get("sys") or {}).get("id"), json.dumps({k: v for k, v in shown.items() if v not in (None, [])})
+        within = own if own in ("root", "paragraph", "heading", "blockquote", "list", "listItem") or parent in INLINE_PARENTS and own in INLINE_PARENTS else parent
+        waiting += [(f"{path}{n:08d}", child, within) for n, child in enumerate(node.get("content", []))]
+
+
+def flatten(docs: DataFrame) -> DataFrame:
+    """The nodes (document, path, type, parent, target, data) of documents (document, body JSON); a path sorts as the document reads. A null body has none."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            rows = [(d, *node) for d, body in zip(frame["document"], frame["body"], strict=True) for node in _nodes(body)]
+            yield pd.DataFrame(rows, columns=["document", "path", "type", "parent", "target", "data"])
+
+    return docs.select("document", "body").mapInPandas(run, NODE.format(kind=dict(docs.dtypes)["document"]))
+
+
+def _put_together(rows: pd.DataFrame) -> str:
+    """The JSON of one document from its rewritten nodes."""
+    made: dict[str, dict] = {}
+    children: dict[str, list] = {}
+    for path, kind, new, target, url, data in sorted(rows[["path", "type", "new_type", "target_id", "url", "data"]].itertuples(index=False, name=None)):
+        made[path] = {"kind": kind, "new": new, "target": target, "url": url, "data": json.loads(data)}
+        if path:
+            children.setdefault(path[:-8], []).append(path)
+
+    def built(path: str) -> list[dict]:
+        node = made[path]
+        new, data = node["new"], node["data"]
+        inner = lambda: [x for c in children.get(path, []) for x in built(c)]
+        if new == "dropped":
+            return []
+        if new == "children":
+            return inner()
+        if new == "span" and node["kind"] != "text":
+            return [{"type": "span", "value": data["missing"]}]
+        if new in ("inlineItem", "paragraph>inlineItem"):
+            item = {"type": "inlineItem", "item": node["target"]}
+            return [item] if new == "inlineItem" else [{"type": "paragraph", "children": [item]}]
+        if new == "block":
+            return [{"type": "block", "item": {"type": "item", "attributes": {"file": {"upload_id": node["target"]}}}}]
+        out = {"type": "heading" if re.match("heading-", new) else TYPES.get(new, new)} | data
+        if new == "itemLink":
+            out["item"] = node["target"]
+        if node["kind"] == ASSET_LINK:
+            out["url"] = node["url"] or ""
+        if out["type"] not in ("span", "code", "thematicBreak"):
+            out["children"] = inner()
+        return [out]
+
+    return json.dumps({"schema": "dast", "document": built("")[0]}, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+
+
+def assemble(nodes: DataFrame) -> DataFrame:
+    """(document, body): the new documents, from nodes (document, path, type, new_type, target_id, url, data), each in a task that has it all."""
+    kind = dict(nodes.dtypes)["document"]
+
+    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame([(key[0], _put_together(rows))], columns=["document", "body"])
+
+    return nodes.groupBy("document").applyInPandas(run, f"document {kind}, body string")
+
+
+def convert(docs: DataFrame, targets: DataFrame, models: tuple[str, ...] | None = None) -> DataFrame:
+    """(document, body): documents (document, body JSON) with their links to ``targets`` (source, id, model, url) rewritten.
+
+    Where a target is missing, a span says so.
+    """
+    nodes = flatten(docs)
+    found = resolve(nodes, targets.select("source", F.col("id").alias("target_id"), "model", "url"), "target", "source", "target_id")
+    allowed = F.lit(True) if models is None else F.coalesce(F.col("model").isin(*models), F.lit(False))
+    kind = outcome(F.col("type"), F.col("parent"), F.col("target_id").isNotNull(), allowed)
+    missing = F.to_json(F.struct(F.concat(F.lit("** missing or inaccessible: "), "target", F.lit(" **")).alias("missing")))
+    data = F.when((kind == "span") & (F.col("type") != "text"), missing).otherwise(F.col("data"))
+    return assemble(found.select("document", "path", "type", kind.alias("new_type"), "target_id", "url", data.alias("data")))

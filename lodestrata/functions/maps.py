@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .canonical import truthy
 
@@ -41,3 +41,8 @@ def locale_nulls(locales: Column) -> Column:
     """The default of a localised value: null for one locale, else an object of nulls."""
     each = F.transform(locales, lambda x: F.concat(F.lit('"'), x, F.lit('":null')))
     return F.when(F.size(locales) <= 1, "null").otherwise(F.concat(F.lit("{"), F.array_join(each, ","), F.lit("}")))
+
+
+def by_locale(rows: DataFrame, key: str, locale: str, *fields: str) -> DataFrame:
+    """(key, fields): each field of the rows of a key as a map of locale to value."""
+    return rows.groupBy(key).agg(*[F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.col(locale), F.col(c))))).alias(c) for c in fields])

@@ -1,6 +1,7 @@
-"""Paged reads: a data source with one partition for each page of a collection.
+"""Paged reads: a data source of the pages of a collection, many pages to a partition.
 
-The collection is a Parquet file and stands for a remote listing of pages; pages are read by the tasks, with retries.
+The collection is a Parquet file and stands for a remote listing. The probe reads the counts only; a task reads the row groups
+that its own pages touch, a batch of one page at a time, with retries.
 """
 
 from __future__ import annotations
@@ -13,40 +14,73 @@ from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 PAGE = 100
+PAGES = 1000
 RETRIES = 10
 
 
 @dataclass
-class Page(InputPartition):
+class Pages(InputPartition):
+    """Pages one after another: the first one's number, the rows before it, its row groups and where in them it begins."""
+
     number: int
-    first: int
     rows: int
+    groups: list[int]
+    skip: int
+
+
+def _open(path: str):
+    """A Parquet file wherever Arrow can reach it: a local path or an address of a store."""
+    import pyarrow.fs as fs
+    import pyarrow.parquet as pq
+
+    store, inner = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+    return pq.ParquetFile(store.open_input_file(inner))
 
 
 class PagedReader(DataSourceReader):
     def __init__(self, options: dict[str, str]):
         self.path = options["path"]
         self.size = int(options.get("pagesize", PAGE))
+        self.pages = int(options.get("pages", PAGES))
         self.retries = int(options.get("retries", RETRIES))
 
-    def partitions(self) -> list[Page]:
-        import pyarrow.parquet as pq
-
-        total = pq.read_metadata(self.path).num_rows  # the probe: only the count
-        return [Page(k, first, min(self.size, total - first)) for k, first in enumerate(range(0, total, self.size))]
-
-    def read(self, page: Page) -> Iterator[pa.RecordBatch]:
-        import pyarrow.dataset as ds
-
+    def partitions(self) -> list[Pages]:
+        meta = _open(self.path).metadata  # the probe: only the counts
+        sizes = [meta.row_group(k).num_rows for k in range(meta.num_row_groups)]
+        starts = [sum(sizes[:k]) for k in range(len(sizes))]
+        step, out = self.size * self.pages, []
+        for first in range(0, meta.num_rows, step):
+            last = min(first + step, meta.num_rows)
+            own = [k for k, s in enumerate(starts) if s < last and s + sizes[k] > first]
+            out.append(Pages(first // self.size, last - first, own, first - starts[own[0]]))
+        return out
+
+    def read(self, pages: Pages) -> Iterator[pa.RecordBatch]:
+        done = 0
         for left in reversed(range(self.retries + 1)):
             try:
-                table = ds.dataset(self.path).scanner().to_table().slice(page.first, page.rows)
-                break
+                for batch in self._rows(pages, done):
+                    yield batch
+                    done += batch.num_rows
+                return
             except OSError:
                 if not left:
                     raise
-        rows = table.append_column("page", pa.array([page.number] * table.num_rows, pa.int32()))
-        yield from rows.to_batches()
+
+    def _rows(self, pages: Pages, done: int) -> Iterator[pa.RecordBatch]:
+        """The rows from the ``done``-th on, none of which crosses the end of a page."""
+        skip, left, at = pages.skip + done, pages.rows - done, done
+        for batch in _open(self.path).iter_batches(self.size, row_groups=pages.groups):
+            if skip >= batch.num_rows:
+                skip -= batch.num_rows
+                continue
+            batch, skip = batch.slice(skip), 0
+            while batch.num_rows and left:
+                part = batch.slice(0, min(left, self.size - at % self.size))
+                yield part.append_column("page", pa.array([pages.number + at // self.size] * part.num_rows, pa.int32()))
+                batch, left, at = batch.slice(part.num_rows), left - part.num_rows, at + part.num_rows
+            if not left:
+                return
 
 
 class PagedSource(DataSource):
@@ -57,10 +91,9 @@ class PagedSource(DataSource):
         return "paged"
 
     def schema(self):
-        import pyarrow.parquet as pq
         from pyspark.sql.pandas.types import from_arrow_schema
 
-        return from_arrow_schema(pq.read_schema(self.options["path"]).append(pa.field("page", pa.int32())))
+        return from_arrow_schema(_open(self.options["path"]).schema_arrow.append(pa.field("page", pa.int32())))
 
     def reader(self, schema) -> PagedReader:
         return PagedReader(self.options)

@@ -32,6 +32,33 @@ def fork(spark: SparkSession, path: str, env: str, new_env: str) -> None:
     save(load(spark, path, env), path, new_env)
 
 
+def _folder(spark: SparkSession, path: str, env: str | None = None):
+    """The file system of a path, and the path of all snapshots or of one."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path if env is None else f"{path}/env={env}")
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def listed(spark: SparkSession, path: str) -> list[str]:
+    """The names of all environments."""
+    store, where = _folder(spark, path)
+    return sorted(f.getPath().getName().removeprefix("env=") for f in store.listStatus(where) if f.getPath().getName().startswith("env="))
+
+
+def rename(spark: SparkSession, path: str, env: str, new_env: str) -> None:
+    """Give an environment another name, which none may have yet."""
+    store, old = _folder(spark, path, env)
+    new = _folder(spark, path, new_env)[1]
+    if store.exists(new) or not store.rename(old, new):
+        raise ValueError(f"{env} can't be renamed to {new_env}")
+
+
+def destroy(spark: SparkSession, path: str, env: str) -> None:
+    """Delete an environment."""
+    store, where = _folder(spark, path, env)
+    store.delete(where, True)
+
+
 def split(included: DataFrame, kind: str) -> DataFrame:
     """The rows of one kind of a mixed table."""
     return included.where(F.col("kind") == kind)
