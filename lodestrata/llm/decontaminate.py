@@ -1,8 +1,9 @@
 """Benchmark decontamination: n-gram seeds find passages, Smith-Waterman alignment of words scores them.
 
 Texts are scanned once against the seeds of a bounded part of the benchmark (one scan for each part of a larger one). Seeds
-of one item on near diagonals make one passage. A passage goes on unless it has too few of the item's words for the
-similarity asked for, which no alignment can make up; how many documents have a seed plays no part.
+of one item on near diagonals make one passage. A passage goes on unless it has too few seeds or words of the item for the
+similarity asked for, which no alignment can make up; how many documents have a seed plays no part. Seeds of two words miss no
+alignment of half an item of three words or more: without two words in a row every match but one costs an error.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from .columns import spare
 from .storage import cut
 from .tokens import U64, Words, slices
 
-SEED_WORDS = 3
+SEED_WORDS = 2
 SIMILARITY = 0.5
 PART_BYTES = 16 << 20
 WINDOW = 8
@@ -32,7 +33,7 @@ class Seeds:
 
     def __init__(self, ids: list[int], texts: list[str | None], n: int = SEED_WORDS):
         words = Words(pa.array([t or "" for t in texts], pa.string()))
-        self.ids, self.lengths = np.array(ids, np.int64), words.counts
+        self.n, self.ids, self.lengths = n, np.array(ids, np.int64), words.counts
         self.words, self.bounds = words.hashes, words.bounds
         rows = []
         for k in sorted({n, *(int(c) for c in self.lengths if 0 < c < n)}):
@@ -76,31 +77,36 @@ class Seeds:
                 at = to
 
 
-def _merged(text: np.ndarray, item: np.ndarray, low: np.ndarray, high: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Ranges of diagonals of one text and item put together where at most ``room`` (by item) is between them."""
+def _merged(text: np.ndarray, item: np.ndarray, low: np.ndarray, high: np.ndarray, count: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Ranges of diagonals of one text and item put together where at most ``room`` (by item) is between them; counts are added up."""
     order = np.lexsort((low, item, text))
-    text, item, low, high = text[order], item[order], low[order], high[order]
+    text, item, low, high, count = text[order], item[order], low[order], high[order], count[order]
     if not len(text):
-        return text, item, low, high
+        return text, item, low, high, count
     pair = np.concatenate(([0], np.cumsum((np.diff(text) != 0) | (np.diff(item) != 0))))
     span = int(high.max() - min(low.min(), high.min())) + 1
     reach = np.maximum.accumulate(pair * span + (high - high.min())) - pair * span + high.min()
     fresh = np.concatenate(([True], (np.diff(pair) > 0) | (low[1:] > reach[:-1] + room[item[1:]])))
     at = np.flatnonzero(fresh)
-    return text[at], item[at], low[at], reach[np.append(at[1:], len(text)) - 1]
+    return text[at], item[at], low[at], reach[np.append(at[1:], len(text)) - 1], np.add.reduceat(count, at)
 
 
 def passages(words: Words, seeds: Seeds, similarity: float = 0.0) -> Iterator[tuple[int, int, int, str]]:
     """(text, item, first word, passage) for each run of hits on near diagonals, with room for gaps around it.
 
-    A passage is left out only if fewer than ``similarity`` of the item's words are anywhere in it: its score is less, too. A
-    run of more than WINDOW item lengths is cut into windows that overlap by as much as any alignment of that similarity spans.
+    Nothing that an alignment could score ``similarity`` on is left out. Such an alignment of an item of n words has at most
+    (1 - similarity) * n gaps, so all its hits are in one run, and of two-word seeds similarity * n - 1 at least; and it has
+    similarity * n of the item's words. A run of more than WINDOW item lengths is cut into windows that overlap by as much as
+    any such alignment spans.
     """
-    room = seeds.lengths // 4 + 1
-    runs = [np.zeros(0, np.int64)] * 4
-    for part in seeds.hits(words):
-        runs = _merged(*(np.concatenate((a, b)) for a, b in zip(runs, _merged(*part, room), strict=True)), room)
-    for t, i, a, b in zip(*(x.tolist() for x in runs), strict=True):
+    room = np.ceil((1 - similarity) * seeds.lengths).astype(np.int64) + 1
+    least = np.ceil(similarity * seeds.lengths - 1 - 1e-9) if seeds.n <= 2 else np.ones(len(seeds.lengths))
+    parts = [_merged(*part, np.ones(len(part[0]), np.int64), room) for part in seeds.hits(words)]
+    if not parts:
+        return
+    runs = _merged(*(np.concatenate(x) for x in zip(*parts, strict=True)), room)
+    keep = runs[4] >= least[runs[1]]
+    for t, i, a, b in zip(*(x[keep].tolist() for x in runs[:4]), strict=True):
         length = int(seeds.lengths[i])
         begin = max(a - int(room[i]), int(words.bounds[t]))
         stop = min(b + length + int(room[i]), int(words.bounds[t + 1]))
