@@ -29,6 +29,7 @@ HOT = 1 << 16
 HOT_SHARE = 16
 HOT_LEAST = 4
 SKETCH_BITS = 1024
+FEW = 200_000
 _BLOCK = 255
 
 
@@ -244,6 +245,8 @@ def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8, rounds: i
     def checked(pairs: DataFrame) -> DataFrame:
         pairs = stored(_screened(stored(pairs.distinct()), distinct, similarity))
         ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(distinct.select("node", F.col("digest").alias("of"), F.col("first.first").alias("id")), "node")
+        ends = stored(ends)
+        ends = F.broadcast(ends) if ends.count() <= FEW else ends
         # Only the first row of a text is asked for: its copies are dealt out by their ids and match nothing.
         texts = source.join(ends, (source["digest"] == ends["of"]) & source["first"].eqNullSafe(ends["id"])).groupBy("node").agg(F.first("text").alias("text"))
         return stored(similar(pairs, texts, words, similarity))
