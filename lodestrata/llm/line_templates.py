@@ -106,7 +106,8 @@ def recurring(docs: DataFrame, min_docs: int = MIN_DOCS, id_col: str = "doc_id",
     by_words = lines.where("same is not null").select("key", "id", "number", F.col("node").alias("doc"), F.col("same").alias("template"), F.lit(min(LONG_TEXTS, min_docs)).alias("least"))
     found = stored(by_template.unionByName(by_words))
     per_text = found.groupBy("template", "least", "doc").agg(F.min("id").alias("id"))
-    shared = per_text.groupBy("template", "least").agg(F.count("*").alias("n"), F.min(F.struct("id", "doc")).alias("first")).where(F.col("n") >= F.col("least"))
+    # Stored, so that nothing but the join stands on the lines of one template, which it can then split.
+    shared = stored(per_text.groupBy("template", "least").agg(F.count("*").alias("n"), F.min(F.struct("id", "doc")).alias("first")).where(F.col("n") >= F.col("least")))
     return found.join(shared, ["template", "least"]).select("key", "number", (F.col("doc") != F.col("first.doc")).alias("drop"))
 
 
