@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import zlib
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -44,16 +44,11 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * self.difference(texts) + self.shift, -500, 500)))
 
 
-_dictionaries: dict[int, zstandard.ZstdCompressionDict] = {}
-
-
+@functools.lru_cache(maxsize=4)
 def _dictionary(body: bytes) -> zstandard.ZstdCompressionDict:
-    key = zlib.crc32(body)
-    if key not in _dictionaries:
-        made = zstandard.ZstdCompressionDict(body)
-        made.precompute_compress(level=LEVEL)
-        _dictionaries[key] = made
-    return _dictionaries[key]
+    made = zstandard.ZstdCompressionDict(body)
+    made.precompute_compress(level=LEVEL)
+    return made
 
 
 def held_out(id_col: Column) -> Column:
@@ -61,8 +56,10 @@ def held_out(id_col: Column) -> Column:
     return F.crc32(F.coalesce(id_col.cast("string"), F.lit("")).cast("binary")) % HELD_OUT == 0
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Learn from at most ``per_class`` labelled texts of each class, of MOST_BYTES at most, taken in the order of a hash of the id.
+def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, most_bytes: int = MOST_BYTES, id_col: str = "doc_id", text_col: str = "text") -> Model:
+    """Learn from at most ``per_class`` labelled texts of each class, of ``most_bytes`` at most, taken in the order of a hash of the id.
+
+    Both bound what comes to the driver; every text is scored in whole, however long.
 
     Two thirds build the dictionaries, one third calibrates. Rows that held_out marks, labels that are null and ids with both
     labels are left out. Without texts of both classes every score is the share of label 1 (one half if there are none).
@@ -74,7 +71,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, id_col:
     for mark in (0, 1):
         some = marks.where(F.col("mark") == mark).orderBy("order", "id").limit(per_class)
         picked = some if picked is None else picked.union(some)
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).where(F.octet_length("text") <= MOST_BYTES)
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).where(F.octet_length("text") <= most_bytes)
     rows = texts.join(F.broadcast(picked), "id").groupBy("id", "mark", "order").agg(F.min("text").alias("text")).toPandas()
     rows = rows.sort_values(["order", "id"], ignore_index=True)
     return train(rows)
@@ -123,7 +120,10 @@ def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50, ridge: float = 1e-
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, held_out, score, predicted) for every row and whole text; a null text is empty."""
+    """(id, held_out, score, predicted) for every row and whole text; a null text is empty.
+
+    Repeated rows are scored each; other columns are ignored; an empty table gives no rows; a long text is compressed in whole.
+    """
     source = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -50,5 +50,5 @@ def personal_data() -> str:
     return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), a AS ({every}),
         kept AS (SELECT * FROM a WHERE ord < {base} OR NOT EXISTS (SELECT 1 FROM a b WHERE b.doc_id = a.doc_id AND b.ord < {base} AND b.s < a.e AND a.s < b.e))
         SELECT doc_id, {counts}, sha256(coalesce(string_agg({text}, ',' ORDER BY ord, s) FILTER (WHERE ord < {base}), '')) AS base_sha256,
-            coalesce(string_agg({text}, ',' ORDER BY ord, s), '') AS spans, coalesce(string_agg(CAST(score AS DOUBLE)::VARCHAR, ',' ORDER BY ord, s), '') AS scores
+            coalesce(string_agg({text}, ',' ORDER BY ord, s), '') AS spans, coalesce(string_agg(CAST(score AS DOUBLE)::VARCHAR, ',' ORDER BY ord, s), '') AS scores, count(kind) AS n_spans, count(kind) > 0 AS personal
         FROM d LEFT JOIN kept USING (doc_id) GROUP BY doc_id"""

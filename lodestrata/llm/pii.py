@@ -6,6 +6,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .columns import spare
+
 THRESHOLD = 0.5
 NEAR = 48
 BASE = ("email", "ip", "card", "phone")
@@ -130,18 +132,21 @@ def _spans(text: Column, kind: str) -> Column:
 def find(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` and pii, the array of (kind, start, end, score) in every whole text: base kinds first, then by start.
 
-    Base spans stay whatever their score; an added span goes if it overlaps a base span. A null text is empty. A column
-    named pii is replaced.
+    Base spans stay whatever their score; an added span goes if it overlaps a base span. A null text is empty; repeated rows
+    each have their spans; a long text is searched in whole, by patterns that take time in proportion; an empty table gives no
+    rows. A column named pii is replaced, and other names never clash.
     """
     docs = docs.drop("pii")
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    kinds = (*BASE, *ADDED)
+    text, digit, base, *names = spare(docs, "body", "digit", "base", *kinds)
+    of = dict(zip(kinds, names, strict=True))
     none = F.array().cast(_SPANS)
-    out = docs.withColumn("__text", text).withColumn("__digit", F.col("__text").rlike("[0-9]"))
-    digit = F.col("__digit")
-    out = out.withColumns({f"__{k}": _spans(F.col("__text"), k) if k == "email" else F.when(digit, _spans(F.col("__text"), k)).otherwise(none) for k in BASE})
-    out = out.withColumns({f"__{k}": F.when(digit, _spans(F.col("__text"), k)).otherwise(none) for k in ADDED} | {"__base": F.concat(*[F.col(f"__{k}") for k in BASE])})
-    clear = [F.filter(F.col(f"__{k}"), lambda s: ~F.exists(F.col("__base"), lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))) for k in ADDED]
-    return out.select(*docs.columns, F.concat(F.col("__base"), *clear).alias("pii"))
+    out = docs.withColumn(text, F.coalesce(F.col(text_col), F.lit(""))).withColumn(digit, F.col(text).rlike("[0-9]"))
+    spans = lambda k: _spans(F.col(text), k) if k == "email" else F.when(F.col(digit), _spans(F.col(text), k)).otherwise(none)
+    out = out.withColumns({of[k]: spans(k) for k in BASE})
+    out = out.withColumns({of[k]: spans(k) for k in ADDED} | {base: F.concat(*[F.col(of[k]) for k in BASE])})
+    clear = [F.filter(F.col(of[k]), lambda s: ~F.exists(F.col(base), lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))) for k in ADDED]
+    return out.select(*docs.columns, F.concat(F.col(base), *clear).alias("pii"))
 
 
 def digest(pii: Column) -> Column:
@@ -151,12 +156,14 @@ def digest(pii: Column) -> Column:
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with each span of its text replaced by its kind in brackets; spans that overlap an earlier one go with it."""
-    found = find(docs, text_col).withColumn("__spans", F.array_sort(F.transform("pii", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))))
+    found = find(docs, text_col)
+    (spans,) = spare(found, "spans")
+    found = found.withColumn(spans, F.array_sort(F.transform("pii", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind")))))
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
         piece = F.concat(acc["out"], F.substring(F.col(text_col), acc["at"] + 1, s["start"] - acc["at"]), F.lit("["), s["kind"], F.lit("]"))
         return F.when(s["start"] >= acc["at"], F.struct(s["end"].alias("at"), piece.alias("out"))).otherwise(acc)
 
-    text = F.aggregate("__spans", start, step, lambda acc: F.concat(acc["out"], F.substring(F.col(text_col), acc["at"] + 1, F.length(text_col))))
-    return found.withColumn(text_col, text).drop("__spans")
+    text = F.aggregate(spans, start, step, lambda acc: F.concat(acc["out"], F.substring(F.col(text_col), acc["at"] + 1, F.length(text_col))))
+    return found.withColumn(text_col, text).drop(spans)

@@ -18,12 +18,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, fingerprint, component_id."""
+    """doc_id, fingerprint, component_id, key."""
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """page_id, host, path, rule, block_odds, verdict."""
+    """page_id, host, path, rule, verdict, block_odds."""
     labelled = spark.createDataFrame(urls.LABELLED, "url string, label int")
     return urls.judge(_table(spark, sf_dir, "pages"), urls.fit(labelled))
 
@@ -46,12 +46,12 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, counts of the base kinds, base_sha256, all spans, and their scores."""
+    """doc_id, counts of the base kinds, base_sha256, all spans, their scores, their number, and whether there is any."""
     found = pii.find(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     base = F.filter("pii", lambda s: s["kind"].isin(*pii.BASE))
     count = lambda kind: F.size(F.filter("pii", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     scores = F.array_join(F.transform("pii", lambda s: s["score"].cast("string")), ",")
-    return found.select("doc_id", *map(count, pii.BASE), F.sha2(pii.digest(base), 256).alias("base_sha256"), pii.digest(F.col("pii")).alias("spans"), scores.alias("scores"))
+    return found.select("doc_id", *map(count, pii.BASE), F.sha2(pii.digest(base), 256).alias("base_sha256"), pii.digest(F.col("pii")).alias("spans"), scores.alias("scores"), F.size("pii").cast("long").alias("n_spans"), (F.size("pii") > 0).alias("personal"))
 
 
 def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,7 +60,7 @@ def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, counts, base_failed, ratio, kept."""
+    """doc_id, counts, base_failed, kept, ratio."""
     docs = quality_rules.rules(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels"))
     return docs.drop("text")
 

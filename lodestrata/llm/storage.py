@@ -2,28 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.folders import new_path, shared_folder
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; where none is set (a local session, as in tests), a temporary one."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
-        folder = spark.sparkContext.getCheckpointDir()
-    return folder
-
-
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written as Parquet to a new path in the shared folder and read again; what was shuffled for it is let go."""
     spark: SparkSession = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/{uuid.uuid4().hex}.parquet"
+    path = new_path(spark)
     before = spark.conf.get(_CLEANUP, "false")
     spark.conf.set(_CLEANUP, "true")
     try:

@@ -74,7 +74,7 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 def fitting_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     """The longest rule that fits and its verdict; null if none does. Of equal rules the first counts."""
     rule, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for what, of, start in sorted(rules, key=lambda r: len(r[1] + r[2])):
+    for what, of, start in sorted(reversed(rules), key=lambda r: len(r[1] + r[2])):
         fits = ((host == of) | F.endswith(host, F.lit(f".{of}"))) & F.startswith(path, F.lit(start))
         rule, verdict = F.when(fits, of + start).otherwise(rule), F.when(fits, what).otherwise(verdict)
     return rule, verdict
@@ -133,7 +133,11 @@ def fit(labelled: DataFrame, most: int = MOST_LABELLED) -> Regression:
 
 
 def judge(pages: DataFrame, model: Regression, rules=RULES, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
-    """(id, host, path, rule, block_odds, verdict) for every row: the longest rule's verdict, else block where the log odds are over 0."""
+    """(id, host, path, rule, verdict, block_odds) for every row: the longest rule's verdict, else block where the log odds are over 0.
+
+    A null url and one without :// have an empty host and path, which fit no rule and are judged like any other. Repeated rows
+    are judged each; other columns are ignored, whatever their names; an empty table gives no rows; a long url is one row.
+    """
     host, path = host_and_path(F.col(url_col))
     parts = pages.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path"))
 
@@ -147,4 +151,4 @@ def judge(pages: DataFrame, model: Regression, rules=RULES, id_col: str = "page_
     scored = parts.mapInArrow(run, f"id {kind}, host string, path string, block_odds double")
     rule, verdict = fitting_rule(F.col("host"), F.col("path"), rules)
     own = F.when(F.col("block_odds") > 0, "block").otherwise("allow")
-    return scored.select(F.col("id").alias(id_col), "host", "path", rule.alias("rule"), "block_odds", F.coalesce(verdict, own).alias("verdict"))
+    return scored.select(F.col("id").alias(id_col), "host", "path", rule.alias("rule"), F.coalesce(verdict, own).alias("verdict"), "block_odds")
