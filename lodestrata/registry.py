@@ -7,10 +7,13 @@ from collections.abc import Callable
 from types import ModuleType
 
 from .operators import graph, joins, moves, order
-from .plans import diff, ledger, render
-from .sources import snapshots
+from .plans import content, diff, ledger, posts, render, search
+from .sources import settings, sinks, snapshots
 
-RESOURCES: dict[str, ModuleType] = {"joins": joins, "order": order, "graph": graph, "moves": moves, "diff": diff, "render": render, "ledger": ledger, "snapshots": snapshots}
+RESOURCES: dict[str, ModuleType] = {
+    "joins": joins, "order": order, "graph": graph, "moves": moves, "diff": diff, "render": render, "ledger": ledger, "search": search, "content": content, "posts": posts, "snapshots": snapshots,
+    "settings": settings, "sinks": sinks,
+}
 SUGGESTIONS = 20
 
 
