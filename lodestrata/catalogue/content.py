@@ -112,13 +112,22 @@ def import_records(spark, sf_dir):
     return out.select("entry_id", F.col("created_at").cast("string").alias("created_at"), (F.col("first_published_at").isNotNull()).alias("dated"), "status", "has_links", *map(_attribute, ("word_key", "count_key", "one_key", "many_key")))
 
 
+def import_updates(spark, sf_dir):
+    """Every record as it is after both passes."""
+    out = content.updated(content.records(_entries(spark, sf_dir), _described(spark, sf_dir), ["en", "it"], "en"), _links(spark, sf_dir))
+    return out.select("entry_id", "status", *map(_attribute, ("word_key", "one_key", "many_key")))
+
+
 def import_links(spark, sf_dir):
     """The second pass: links to records and assets, where they lead somewhere and may."""
+    return _links(spark, sf_dir).select("entry_id", *map(_attribute, ("one_key", "many_key", "pic_key", "pics_key")))
+
+
+def _links(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").where("event_id % 5 <> 0")
     made = events.select(F.concat(F.lit("e"), "event_id").alias("entry_id"), F.concat(F.lit("r"), "event_id").alias("id"), F.concat(F.lit("m"), (F.col("event_id") % 3).cast("string")).alias("model"))
     uploads = table(spark, sf_dir, "pages").select(F.concat(F.lit("a"), "page_id").alias("asset_id"), F.concat(F.lit("u"), "page_id").alias("id"))
-    out = content.link_values(_entries(spark, sf_dir), _described(spark, sf_dir), made, uploads, ["en", "it"], "en")
-    return out.select("entry_id", *map(_attribute, ("one_key", "many_key", "pic_key", "pics_key")))
+    return content.link_values(_entries(spark, sf_dir), _described(spark, sf_dir), made, uploads, ["en", "it"], "en")
 
 
 def _ids(rows: DataFrame, key: str, prefix: str, gone: int) -> DataFrame:
@@ -201,7 +210,7 @@ def blog_urls(spark, sf_dir):
 
 
 QUERIES = (
-    import_models, import_fields, slug_tracking, import_block, import_locales, import_records, import_links, blog_fields, blog_models_gone, blog_authors, blog_terms, category_tree, blog_pages, blog_articles,
+    import_models, import_fields, slug_tracking, import_block, import_locales, import_records, import_links, import_updates, blog_fields, blog_models_gone, blog_authors, blog_terms, category_tree, blog_pages, blog_articles,
     blog_urls,
 )
 
@@ -234,6 +243,8 @@ SQL = {
     "import_records": f"""SELECT 'e' || {_E} AS entry_id, CAST(ts AS VARCHAR) AS created_at, {_E} % 3 > 0 AS dated, CASE WHEN {_E} % 3 > 0 THEN 'published' ELSE 'draft' END AS status, true AS has_links,
         CASE WHEN {_E} % 4 = 0 THEN 'null' ELSE '"' || event_type || '"' END AS word_key, '{{"en":' || CASE WHEN {_K} = 0 THEN 'null' ELSE CAST({_K} AS VARCHAR) END || ',"it":' || CASE WHEN {_K} % 2 = 0 THEN 'null' ELSE '1' END || '}}' AS count_key,
         'null' AS one_key, '{{"en":[],"it":null}}' AS many_key FROM events WHERE user_id % 4 <> 3""",
+    "import_updates": f"""SELECT 'e' || {_E} AS entry_id, CASE WHEN {_E} % 3 > 0 THEN 'published' ELSE 'draft' END AS status, CASE WHEN {_E} % 4 = 0 THEN 'null' ELSE '"' || event_type || '"' END AS word_key,
+        coalesce(CASE WHEN ({_E} + 1) % 3 < 2 THEN {_TARGET.format(n=1)} END, 'null') AS one_key, '{{"en":[' || concat_ws(',', {_TARGET.format(n=1)}, {_TARGET.format(n=5)}, {_TARGET.format(n=1)}) || '],"it":[]}}' AS many_key FROM events WHERE user_id % 4 <> 3""",
     "import_links": f"""SELECT 'e' || {_E} AS entry_id, coalesce(CASE WHEN ({_E} + 1) % 3 < 2 THEN {_TARGET.format(n=1)} END, 'null') AS one_key,
         '{{"en":[' || concat_ws(',', {_TARGET.format(n=1)}, {_TARGET.format(n=5)}, {_TARGET.format(n=1)}) || '],"it":[]}}' AS many_key, coalesce({_PIC}, 'null') AS pic_key, '[' || concat_ws(',', {_PIC}, {_UP.format(1)}) || ']' AS pics_key FROM events WHERE user_id % 4 <> 3""",
     "blog_fields": f"""SELECT CAST(s_suppkey AS BIGINT) AS site, model, api_key, CAST(pos AS INTEGER) AS position, label, kind AS field_type, CASE kind WHEN 'slug' THEN '{{"slug_title_field":{{"title_field_id":"' || s_suppkey || '-' || model || '.' || first || '"}}}}'

@@ -145,6 +145,17 @@ def field_validators(spark, sf_dir):
     return table(spark, sf_dir, "part").select("p_partkey", text_.alias("validators"))
 
 
+def more_validators(spark, sf_dir):
+    """Validators of dates, slugs and galleries, with one end missing in some."""
+    target = F.element_at(F.array(*map(F.lit, ("date_time", "slug", "gallery"))), (F.col("p_partkey") % 3 + 1).cast("int"))
+    day = F.concat(F.lit("2026-06-"), F.lpad((F.col("p_size") % 28 + 1).cast("string"), 2, "0"), F.lit("T01:00:00Z"))
+    dates = F.concat(F.lit('{"min":"'), day, F.lit('"'), F.when(F.col("p_partkey") % 2 == 0, F.concat(F.lit(',"max":"'), day, F.lit('"'))).otherwise(""), F.lit("}"))
+    body = F.concat(F.lit('[{"dateRange":'), dates, F.lit('},{"regexp":"^a"},{"regexp":"^b"},{"size":{"min":1,"max":3}}]'))
+    made = etl.field_validators(target, F.col("p_partkey") % 2 == 0, F.from_json(body, etl.VALIDATIONS))
+    text_ = F.array_join(F.transform(F.array_sort(F.map_entries(made)), lambda e: F.concat_ws("=", e["key"], e["value"])), ";")
+    return table(spark, sf_dir, "part").select("p_partkey", text_.alias("validators"))
+
+
 def asset_insert(spark, sf_dir):
     """Documents to upload: the first of each content that the target doesn't have."""
     docs = table(spark, sf_dir, "documents").select("doc_id", F.md5(F.col("text").cast("binary")).alias("md5"))
@@ -166,7 +177,7 @@ def settings_upsert(spark, sf_dir):
 
 QUERIES = (
     api_key_model, api_key_field, type_map, value_convert, validators, rewrite_first, rewrite_all_ci, thumb_explode, locale_pivot, locale_defaults, validator_overlay, dotted_projection, detail_levels, html_titles, structured_nodes,
-    structured_documents, asset_metadata, field_validators, asset_insert, call_log, settings_upsert,
+    structured_documents, asset_metadata, more_validators, field_validators, asset_insert, call_log, settings_upsert,
 )
 
 _K = "json_extract_string(props, '$.k')"
@@ -212,6 +223,9 @@ SQL = {
             ELSE '{"type":"thematicBreak"}' END AS part FROM j)
         SELECT conv_id AS document, '{"document":{"children":[' || coalesce(string_agg(part, ',' ORDER BY turn), '') || '],"type":"root"},"schema":"dast"}' AS body FROM o GROUP BY 1""",
     "asset_metadata": """WITH f AS (SELECT doc_id % 50 AS asset, lang, min(doc_id) AS n FROM documents GROUP BY 1, 2) SELECT asset, string_agg(lang || '=title ' || n, ',' ORDER BY lang) AS title, string_agg(lang || '=' || CASE WHEN n % 2 = 0 THEN 'alt ' || n ELSE '-' END, ',' ORDER BY lang) AS alt FROM f GROUP BY 1""",
+    "more_validators": """WITH r AS (SELECT p_partkey, '2026-06-' || lpad(CAST(p_size % 28 + 1 AS VARCHAR), 2, '0') || 'T01:00:00Z' AS d, CASE WHEN p_partkey % 2 = 0 THEN 'required={}' END AS req FROM part)
+        SELECT p_partkey, coalesce(CASE p_partkey % 3 WHEN 0 THEN concat_ws(';', 'date_time_range={"min":"' || d || '","max":' || CASE WHEN p_partkey % 2 = 0 THEN '"' || d || '"' ELSE 'null' END || '}', req)
+            WHEN 1 THEN concat_ws(';', 'format={"custom_pattern":"^b"}', 'length={"min":1,"max":3}', req) ELSE 'size={"min":1,"max":3}' END, '') AS validators FROM r""",
     "field_validators": """WITH r AS (SELECT p_partkey, p_partkey % 5 AS t, CASE WHEN p_partkey % 2 = 0 THEN 'required={}' END AS req, nullif(p_size, 0) AS s FROM part)
         SELECT p_partkey, coalesce(CASE t WHEN 0 THEN concat_ws(';', 'enum={"values":["a","b"]}', 'length=' || CASE WHEN s = 30 THEN '{"eq":30}' ELSE '{' || concat_ws(',', '"min":' || s, '"max":30') || '}' END, req, 'unique={}')
             WHEN 1 THEN concat_ws(';', 'number_range={' || coalesce('"max":' || s || '.0', '') || '}', req) WHEN 2 THEN concat_ws(';', 'file_size={"max_value":' || s || ',"max_unit":"B"}', req)

@@ -9,6 +9,7 @@ from ..operators import graph, joins, order
 from ..plans import ledger, search
 from ..session import table
 from ..sources import snapshots
+from ..sources.folders import new_path
 
 
 def _text(items: Column | str) -> Column:
@@ -105,6 +106,15 @@ def ledger_pending(spark, sf_dir):
     return ledger.pending(scripts.select("name"), scripts.where("event_id % 3 = 0").select("name"))
 
 
+def ledger_notes(spark, sf_dir):
+    """What is left to run after two runs have noted what they did in a new ledger; the rest of the records is of other types."""
+    events = table(spark, sf_dir, "events").select(F.col("event_type").alias("type"), F.concat(F.col("event_id").cast("string"), F.lit("_x.ts")).alias("name"), "event_id")
+    path = new_path(spark)
+    for n in (0, 1):
+        ledger.note(ledger.of_type(events.where(F.col("event_id") % 3 == n), "click"), path)
+    return ledger.pending(ledger.of_type(events, "click"), ledger.ledger(spark, path))
+
+
 def first_wins(spark, sf_dir):
     return joins.first_match(table(spark, sf_dir, "events").select("user_id", "ts", "event_id", "event_type"), "user_id", "ts", "event_id")
 
@@ -227,7 +237,7 @@ def recreated_by_kind(spark, sf_dir):
 
 QUERIES = (
     nest_children, type_split, shared_filter, owner_lookup_first, mark_join, semi_transformed_key, array_strip, allowed_or_all, link_single, link_many, link_holes, asset_lookup, category_parent,
-    closure_turns, talk_ends, related_models, nested_models, ledger_pending, first_wins, index_last_wins, max_position, in_degree, tree_depth, closure_fwd, closure_rev, alias_chains, two_pass_load, etag_md5, class_sort_rank, run_counters, recreated_by_kind,
+    closure_turns, talk_ends, related_models, nested_models, ledger_notes, ledger_pending, first_wins, index_last_wins, max_position, in_degree, tree_depth, closure_fwd, closure_rev, alias_chains, two_pass_load, etag_md5, class_sort_rank, run_counters, recreated_by_kind,
 )
 
 _LINES = "SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_partkey % 5 <> 0 AND l_partkey IN (SELECT p_partkey FROM part) THEN 't' || l_partkey END AS target FROM lineitem"
@@ -247,6 +257,7 @@ SQL = {
     "link_holes": f"SELECT l_orderkey, string_agg(coalesce(target, '-'), ',' ORDER BY l_linenumber, l_partkey) AS targets FROM ({_LINES}) GROUP BY 1",
     "asset_lookup": "SELECT page_id, source AS upload_id, CASE WHEN source IS NOT NULL THEN url END AS title, n_chars AS size FROM pages LEFT JOIN (SELECT * FROM documents WHERE lang = 'en') ON doc_id = page_id",
     "category_parent": "SELECT c.conv_id, c.turn, c.role, p.role AS parent_role FROM conversations c JOIN conversations p ON p.conv_id = c.conv_id AND p.turn = c.turn - 1 WHERE c.turn <> 0",
+    "ledger_notes": "SELECT event_id || '_x.ts' AS name FROM events WHERE event_type = 'click' AND event_id % 3 = 2",
     "ledger_pending": "SELECT event_id || '_' || event_type || '.js' AS name FROM events WHERE event_id % 7 <> 0 AND event_id % 3 <> 0",
     "first_wins": "SELECT user_id, ts, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) = 1",
     "index_last_wins": "SELECT user_id, ts, event_id, event_type FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1",
@@ -258,8 +269,7 @@ SQL = {
     "closure_turns": """WITH RECURSIVE t AS (SELECT DISTINCT conv_id, turn FROM conversations), r AS (SELECT conv_id, turn FROM t WHERE turn = 0 AND conv_id % 3 = 0 UNION ALL SELECT t.conv_id, t.turn FROM r JOIN t ON t.conv_id = r.conv_id AND t.turn = r.turn + 1)
         SELECT conv_id, turn, CAST(turn AS INTEGER) AS stage FROM r""",
     "talk_ends": """WITH t AS (SELECT DISTINCT conv_id, turn FROM conversations), g AS (SELECT *, turn - row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS run FROM t), e AS (SELECT *, max(turn) OVER (PARTITION BY conv_id, run) AS last FROM g)
-        SELECT conv_id, turn - 1 AS turn, last FROM t JOIN e USING (conv_id, turn) WHERE turn > 0
-            AND (turn, conv_id) NOT IN (SELECT -1, -1)""",
+        SELECT conv_id, turn - 1 AS turn, last FROM t JOIN e USING (conv_id, turn) WHERE turn > 0""",
     "related_models": """WITH RECURSIVE s AS (SELECT p_partkey AS node FROM part WHERE p_partkey % 40 = 7), b AS (SELECT p_partkey // 2 AS src, p_partkey AS dst FROM part WHERE p_partkey > 1),
         d AS (SELECT node FROM s UNION SELECT dst FROM d JOIN b ON src = node), u AS (SELECT node FROM s UNION SELECT src FROM u JOIN b ON dst = node),
         a AS (SELECT node, 0 AS reason FROM s UNION ALL SELECT node, 1 FROM d UNION ALL SELECT node // 3, 2 FROM d UNION ALL SELECT node, 3 FROM u) SELECT node, CAST(min(reason) AS INTEGER) AS reason FROM a GROUP BY 1""",

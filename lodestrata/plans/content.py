@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import etl, names
 from ..functions.canonical import json_array, json_object, json_string, truthy
+from ..functions.maps import overlay
 from ..operators.joins import first_match, resolve_list
 
 FIELD = (
@@ -181,3 +182,10 @@ def link_values(entries: DataFrame, described: DataFrame, made: DataFrame, uploa
     per_field = per_locale.withColumn("value", value).groupBy("entry_id", "api_key", "localized").agg(F.map_from_entries(F.collect_list(F.struct("locale", "value"))).alias("by"))
     whole = F.when(F.col("localized"), json_object(F.col("by"))).otherwise(F.element_at(F.map_values("by"), 1))
     return per_field.groupBy("entry_id").agg(F.map_from_entries(F.collect_list(F.struct("api_key", whole))).alias("attributes"))
+
+
+def updated(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """Records after the second pass: attributes with their links (entry_id, attributes), which count where both have a key."""
+    more = links.select("entry_id", F.col("attributes").alias("__links"))
+    out = rows.join(more, "entry_id", "left")
+    return out.withColumn("attributes", F.when(F.col("__links").isNotNull(), overlay(F.col("attributes"), F.col("__links"))).otherwise(F.col("attributes"))).drop("__links")

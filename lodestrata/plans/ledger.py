@@ -38,6 +38,17 @@ def ledger(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("name string").parquet(path)
 
 
+def note(names: DataFrame, path: str) -> None:
+    """Append names to the ledger at a path; it is made if there is none."""
+    ledger(names.sparkSession, path)
+    names.select("name").write.mode("append").parquet(path)
+
+
+def of_type(items: DataFrame, type_: str) -> DataFrame:
+    """The ledger among records of all types: the filter goes to the scan."""
+    return items.where(F.col("type") == type_).select("name")
+
+
 def run(spark: SparkSession, found: DataFrame, path: str, steps: dict[str, Callable[[SparkSession], None]], dry: bool = False) -> list[str]:
     """Run the pending scripts' steps in order and note each in the ledger after it; the first failure ends the run. A dry run does neither."""
     names = [r["name"] for r in in_order(pending(found.select("name"), ledger(spark, path))).collect()]  # a run's own scripts: a few

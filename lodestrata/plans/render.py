@@ -23,6 +23,11 @@ FIELD_TYPES = {
     "rich_text": "Modular Content (Multiple blocks)", "single_block": "Modular Content (Single block)", "seo": "SEO meta tags", "slug": "Slug", "string": "Single-line string",
     "structured_text": "Structured text", "text": "Multiple-paragraph text", "video": "External video",
 }
+# What can be done to each kind of entity.
+CALLS = {
+    k: ("create", "update", "destroy")
+    for k in ("workflow", "plugin", "upload_filter", "item_type", "field", "fieldset", "item_type_filter", "menu_item", "schema_menu_item")
+} | {"site": ("update",), "role": ("update",)}
 _CALL = ("phase", "stage", "ord", "step", "entity_id", "call")
 
 
@@ -127,9 +132,11 @@ def statement(plan: DataFrame) -> Column:
 
 
 def assigned(plan: DataFrame) -> Column:
-    """A call's line; what is created under another id is noted under its old one."""
+    """A call's line; what is created under another id is noted under its old one. A call that there isn't ends the job with an error."""
+    known = F.col("call").isin(*[f"{k}.{c}" for k, calls in CALLS.items() for c in calls])
+    unknown = F.raise_error(F.concat(F.lit("no such call: "), "call")).cast("string")
     noted = F.endswith("call", F.lit(".create")) & ~survives(F.col("entity_id"))
-    return F.concat(F.when(noted, F.concat(lookup(F.col("kind"), F.col("entity_id")), F.lit(" = "))).otherwise(""), statement(plan))
+    return F.concat(F.when(noted, F.concat(lookup(F.col("kind"), F.col("entity_id")), F.lit(" = "))).otherwise(""), F.when(known, statement(plan)).otherwise(unknown))
 
 
 def script(plan: DataFrame) -> DataFrame:
