@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import pii
+from . import audit, pii, resample
 
 
 def _plain(pattern: str) -> str:
@@ -52,3 +52,45 @@ def personal_data() -> str:
         SELECT doc_id, {counts}, sha256(coalesce(string_agg({text}, ',' ORDER BY ord, s) FILTER (WHERE ord < {base}), '')) AS base_sha256,
             coalesce(string_agg({text}, ',' ORDER BY ord, s), '') AS spans, coalesce(string_agg(CAST(score AS DOUBLE)::VARCHAR, ',' ORDER BY ord, s), '') AS scores, count(kind) AS n_spans, count(kind) > 0 AS personal
         FROM d LEFT JOIN kept USING (doc_id) GROUP BY doc_id"""
+
+
+def resampling() -> str:
+    """op12: CRC-32 of each distinct word by a fold over its bytes, histograms, gains, noise and the draw."""
+    capital = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+    words = lambda text: f"regexp_extract_all(translate(coalesce({text}, ''), {capital}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    b = resample.BUCKETS
+    return f"""WITH RECURSIVE step AS (SELECT CAST(i AS BIGINT) AS i, 0 AS k, CAST(i AS BIGINT) AS v FROM range(256) r(i) UNION ALL SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM step WHERE k < 8),
+        crc AS (SELECT list(v ORDER BY i) AS t FROM step WHERE k = 8),
+        d AS (SELECT doc_id, row_number() OVER () AS n, {words("text")} AS w FROM documents), m AS (SELECT {words("text")} AS w FROM benchmark),
+        dw AS (SELECT n, unnest(w) AS w FROM d), mw AS (SELECT unnest(w) AS w FROM m),
+        every AS (SELECT DISTINCT w FROM (SELECT w FROM dw UNION ALL SELECT w FROM mw)),
+        bytes AS (SELECT w, list_transform(range(1, len(hex(encode(w))), 2), lambda i: CAST('0x' || hex(encode(w))[i:i + 1] AS BIGINT)) AS b FROM every),
+        bucket AS (SELECT w, (4294967295 - list_reduce(list_prepend(CAST(4294967295 AS BIGINT), b), lambda a, x: xor(a >> 8, t[1 + (xor(a, x) & 255)]))) % {b} AS b FROM bytes, crc),
+        s AS (SELECT b, count(*) AS n FROM dw JOIN bucket USING (w) GROUP BY b), t AS (SELECT b, count(*) AS n FROM mw JOIN bucket USING (w) GROUP BY b),
+        whole AS (SELECT (SELECT count(*) FROM dw) AS s, (SELECT count(*) FROM mw) AS t),
+        gain AS (SELECT b, CAST(floor({resample.SCALE} * ln((coalesce(t.n, 0) + 1)::DOUBLE * (whole.s + {b})::DOUBLE / ((coalesce(s.n, 0) + 1)::DOUBLE * (whole.t + {b})::DOUBLE))) AS BIGINT) AS g FROM s FULL JOIN t USING (b), whole),
+        sums AS (SELECT n, sum(g) AS g FROM dw JOIN bucket USING (w) JOIN gain USING (b) GROUP BY n),
+        weighed AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, CAST(coalesce(floor(g / len(w)), 0) AS BIGINT) AS weight,
+            CAST('0x' || sha256('{resample.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), ''))[1:8] AS BIGINT) AS h FROM d LEFT JOIN sums USING (n)),
+        scored AS (SELECT doc_id, n_features, weight, weight + CAST(floor(-{resample.SCALE} * ln(-ln((h + 0.5)::DOUBLE / 4294967296))) AS BIGINT) AS score FROM weighed),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY n_features >= {resample.LEAST_WORDS} ORDER BY score DESC, doc_id NULLS LAST) AS r, count(*) OVER (PARTITION BY n_features >= {resample.LEAST_WORDS}) AS n FROM scored)
+        SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= {resample.LEAST_WORDS} AND r <= n * {resample.PERCENT} // 100 THEN r END AS rank FROM ranked"""
+
+
+def filter_audit() -> str:
+    """op13: every step of every order counted from the documents' failures, with no use of coalitions or shares."""
+    word = r"[^\x20\x09-\x0D]+"
+    letters = "(VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS {0}(f, b)"
+    return f"""WITH RECURSIVE d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{word}') AS w, min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS least FROM documents),
+        label AS (SELECT doc_id, max(coalesce(quality = 1, false)) AS good, max(coalesce(toxic = 1, false)) AS toxic FROM labels GROUP BY doc_id),
+        failed AS (SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, CASE WHEN len(w) < {audit.MIN_WORDS} THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(w)) < {audit.LEAST_DISTINCT} * len(w) THEN 2 ELSE 0 END
+            + CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > {audit.MOST_CAPITALS} * length(t) THEN 4 ELSE 0 END + CASE WHEN regexp_matches(t, '{audit.SYMBOLS}') THEN 8 ELSE 0 END
+            + CASE WHEN coalesce(doc_id > least, least IS NOT NULL) THEN 16 ELSE 0 END AS mask FROM d LEFT JOIN label USING (doc_id)),
+        m AS (SELECT part, mask, count(*) AS n, count(*) FILTER (WHERE good) AS g, count(*) FILTER (WHERE toxic) AS x FROM failed GROUP BY part, mask),
+        o AS (SELECT f AS filter_order, f, b AS own, 0 AS gone, 1 AS step FROM {letters.replace("{0}", "l")} UNION ALL SELECT o.filter_order || l.f, l.f, l.b, o.gone + o.own, step + 1 FROM o JOIN {letters.replace("{0}", "l")} ON (o.gone + o.own) & l.b = 0),
+        steps AS (SELECT whole.filter_order, o.f, o.own, o.gone, o.step FROM o JOIN (SELECT filter_order FROM o WHERE step = 5) whole ON starts_with(whole.filter_order, o.filter_order)),
+        counted AS (SELECT part, filter_order, f, step, coalesce(sum(n) FILTER (WHERE mask & (gone + own) = 0), 0) AS kept, coalesce(sum(n) FILTER (WHERE mask & gone = 0 AND mask & own > 0), 0) AS removed,
+            coalesce(sum(n) FILTER (WHERE mask & gone > 0 AND mask & own > 0), 0) AS redundant, coalesce(sum(n) FILTER (WHERE mask = own), 0) AS unique_fails,
+            coalesce(sum(g) FILTER (WHERE mask & gone = 0 AND mask & own > 0), 0) AS good_lost, coalesce(sum(x) FILTER (WHERE mask & gone = 0 AND mask & own > 0), 0) AS toxic_lost FROM steps, m GROUP BY ALL)
+        SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+            CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley FROM counted"""

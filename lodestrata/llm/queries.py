@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import compression, decontaminate, language_model, line_templates, oracle, pieces, pii, quality_rules, sharding, simhash, urls
+from . import audit, compression, decontaminate, language_model, line_templates, mixing, oracle, pieces, pii, quality_rules, resample, sharding, simhash, urls
 
 SHARDS = 40
 
@@ -77,9 +77,26 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("doc_id", F.size("ids").alias("n_pieces"), "ids", "round_trip")
 
 
+def op11_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, size, source_size, target, taken, source, spans."""
+    planned = mixing.plan(_table(spark, sf_dir, "documents"))
+    return planned.select("doc_id", "size", "source_size", "target", "taken", "source", "spans")
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_features, weight, score, rank."""
+    weighed = resample.weigh(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return resample.draw(weighed).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, shapley."""
+    return audit.audit(audit.failures(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_simhash, op2_url_filters, op3_decontamination, op4_sharding, op5_line_dedup, op6_pii, op7_language_model, op8_quality_rules, op9_compression, op10_sentencepiece)}
+    return {f.__name__: f for f in (op1_simhash, op2_url_filters, op3_decontamination, op4_sharding, op5_line_dedup, op6_pii, op7_language_model, op8_quality_rules, op9_compression, op10_sentencepiece, op11_mixing, op12_resampling, op13_filter_audit)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_pii": oracle.personal_data()}
+    return {"op6_pii": oracle.personal_data(), "op12_resampling": oracle.resampling(), "op13_filter_audit": oracle.filter_audit()}
