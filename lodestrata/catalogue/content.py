@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions import text
+from ..functions.canonical import json_string
 from ..plans import content, posts
 from ..session import table
 
-_PAIRS = {"the": "TH-E", "de": "d$1e"}
 _KINDS = ("Symbol", "Text", "Link", "Array", "RichText", "Link", "Integer")
 
 
@@ -167,8 +166,16 @@ def category_tree(spark, sf_dir):
     return posts.category_parents(rows, _ids(part, "p_partkey", "c", 7))
 
 
-def _rewrite(column: Column) -> Column:
-    return text.rewrite_all(column, _PAIRS)
+def _addresses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Old and new addresses of the pages' assets and of their sizes, in order."""
+    sizes = F.create_map(F.lit("thumb"), F.struct(F.lit(150).alias("width"), F.lit(100).alias("height"), F.concat("url", F.lit("-t")).alias("source_url")))
+    media = table(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), F.col("url").alias("source_url"), sizes.alias("sizes"))
+    return posts.rewritten_urls(media, _uploads(spark, sf_dir).select("source", F.concat(F.lit("https://cdn.example/"), "id").alias("url")))
+
+
+def _linking(body: Column, url: Column) -> Column:
+    """A text and two links to an asset: to itself, in capitals, and to a size of it."""
+    return F.concat(F.coalesce(body, F.lit("")), F.lit(' <a href="'), F.coalesce(F.upper(url), F.lit("")), F.lit('">'), F.coalesce(F.concat(url, F.lit("-t")), F.lit("")), F.lit("</a>"))
 
 
 def _uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,49 +183,67 @@ def _uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def blog_pages(spark, sf_dir):
-    """Web pages as pages of a blog."""
+    """Web pages as pages of a blog, which link to their assets."""
     rendered = lambda c: F.struct(c.alias("rendered"))
     p = F.col("page_id")
     rows = table(spark, sf_dir, "pages").select(
-        p.alias("id"), rendered(F.col("url")).alias("title"), F.concat(F.lit("p"), p).alias("slug"), rendered(F.col("html")).alias("content"), rendered(F.substring("html", 1, 40)).alias("excerpt"), (p % 13).alias("author"),
+        p.alias("id"), rendered(F.col("url")).alias("title"), F.concat(F.lit("p"), p).alias("slug"), rendered(_linking(F.col("html"), F.col("url"))).alias("content"), rendered(_linking(F.substring("html", 1, 40), F.col("url"))).alias("excerpt"), (p % 13).alias("author"),
         F.when(p % 4 > 0, p % 10).otherwise(0).alias("featured_media"), F.lit("2026-01-01").alias("date"), F.when(p % 2 == 0, "publish").otherwise("draft").alias("status"),
     )
-    out = posts.pages(rows, _ids(table(spark, sf_dir, "supplier"), "s_suppkey", "w", 4), _uploads(spark, sf_dir), _rewrite)
+    out = posts.pages(rows, _ids(table(spark, sf_dir, "supplier"), "s_suppkey", "w", 4), _uploads(spark, sf_dir), _addresses(spark, sf_dir))
     return out.select("id", "title", "slug", F.md5("content").alias("md5"), "excerpt", "author", F.col("featured_media").isNotNull().alias("has_media"), F.col("featured_media.upload_id").alias("media"), F.col("featured_media.alt").alias("alt"), "created_at", "status")
 
 
 def blog_articles(spark, sf_dir):
-    """Documents as articles: categories and tags that aren't known stay as holes."""
+    """Documents as articles that link to a page's assets: categories and tags that aren't known stay as holes."""
     rendered = lambda c: F.struct(F.coalesce(c, F.lit("")).alias("rendered"))
     d = F.col("doc_id")
-    rows = table(spark, sf_dir, "documents").select(
-        d.alias("id"), rendered(F.col("source")).alias("title"), F.col("lang").alias("slug"), rendered(F.col("text")).alias("content"), rendered(F.lit("the end")).alias("excerpt"), (d % 11).alias("author"),
+    docs = table(spark, sf_dir, "documents").withColumn("page", F.floor(d / 4)).join(table(spark, sf_dir, "pages").select(F.col("page_id").alias("page"), "url"), "page", "left")
+    rows = docs.select(
+        d.alias("id"), rendered(F.col("source")).alias("title"), F.col("lang").alias("slug"), rendered(_linking(F.col("text"), F.col("url"))).alias("content"), rendered(F.lit("the end")).alias("excerpt"), (d % 11).alias("author"),
         F.lit(0).cast("long").alias("featured_media"), F.lit("2026-01-01").alias("date"), F.lit("publish").alias("status"), F.array(d % 9, d % 14, d % 9).alias("categories"), F.array(d % 5).alias("tags"),
     )
     part = table(spark, sf_dir, "part")
-    out = posts.articles(rows, _ids(table(spark, sf_dir, "supplier"), "s_suppkey", "w", 4), _ids(part, "p_partkey", "c", 7), _ids(part, "p_partkey", "g", 3), _uploads(spark, sf_dir), _rewrite)
+    out = posts.articles(rows, _ids(table(spark, sf_dir, "supplier"), "s_suppkey", "w", 4), _ids(part, "p_partkey", "c", 7), _ids(part, "p_partkey", "g", 3), _uploads(spark, sf_dir), _addresses(spark, sf_dir))
     joined = lambda c: F.array_join(c, ",", "-").alias(c)
     return out.select("id", "title", F.md5("content").alias("md5"), "excerpt", "author", joined("categories"), joined("tags"), "status")
 
 
 def blog_urls(spark, sf_dir):
     """Old and new addresses of assets and of their sizes."""
-    sizes = F.create_map(F.lit("thumb"), F.struct(F.lit(150).alias("width"), F.lit(100).alias("height"), F.concat("url", F.lit("-t")).alias("source_url")))
-    media = table(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), F.col("url").alias("source_url"), sizes.alias("sizes"))
-    uploads = _uploads(spark, sf_dir).select("source", F.concat(F.lit("https://cdn.example/"), "id").alias("url"))
-    return posts.rewritten_urls(media, uploads)
+    return _addresses(spark, sf_dir).select("old", "new")
+
+
+def import_texts(spark, sf_dir):
+    """Conversations as records whose texts mention uploads: the first mention of each is rewritten."""
+    said, page = table(spark, sf_dir, "conversations"), table(spark, sf_dir, "pages").select(F.col("page_id").alias("conv_id"), "url")
+    body = F.concat_ws(" ", F.coalesce("text", F.lit("")), "url", "url", F.concat("url", F.lit("-t")))
+    rows = said.join(page, "conv_id", "left").select(F.concat_ws("-", "conv_id", "turn").alias("entry_id"), "role", body.alias("body"))
+    en = lambda c: F.create_map(F.lit("en"), c)
+    values = F.create_map(F.lit("body"), F.create_map(F.lit("en"), json_string(F.col("body")), F.lit("it"), F.lit("7")), F.lit("note"), en(json_string(F.col("body"))))
+    entries = rows.select("entry_id", F.col("role").alias("type_id"), F.lit("d").alias("created_at"), F.lit("d").alias("first_published_at"), F.lit(1).alias("published_version"), values.alias("content"))
+    fields = F.array(*[F.struct(F.lit(k).alias("field_id"), F.lit(k).alias("api_key"), F.lit(t).alias("field_type"), F.lit(k == "body").alias("localized")) for k, t in (("body", "text"), ("note", "string"))])
+    described = said.select(F.col("role").alias("type_id")).distinct().select("type_id", F.inline(fields))
+    out = content.records(entries, described, ["en", "it"], "en", _addresses(spark, sf_dir))
+    return out.select("entry_id", F.md5(F.get_json_object(F.col("attributes")["body"], "$.en")).alias("body"), F.get_json_object(F.col("attributes")["body"], "$.it").alias("it"), F.md5(F.get_json_object(F.concat(F.lit('{"v":'), F.col("attributes")["note"], F.lit("}")), "$.v")).alias("note"))
 
 
 QUERIES = (
     import_models, import_fields, slug_tracking, import_block, import_locales, import_records, import_links, import_updates, blog_fields, blog_models_gone, blog_authors, blog_terms, category_tree, blog_pages, blog_articles,
-    blog_urls,
+    blog_urls, import_texts,
 )
 
 _LINE = "(SELECT l_orderkey AS k, l_linenumber AS n, min(l_partkey) AS p, min(l_suppkey) AS s, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) - 1 AS position FROM lineitem GROUP BY 1, 2)"
 _TYPE_SQL = """CASE p % 7 WHEN 0 THEN CASE WHEN n % 2 = 1 AND k % 2 = 0 THEN 'slug' ELSE 'string' END WHEN 1 THEN 'text' WHEN 2 THEN 'link' WHEN 3 THEN 'links' WHEN 4 THEN 'structured_text' WHEN 5 THEN 'file' ELSE 'integer' END"""
 _NAMES = "CASE WHEN p % 7 IN (2, 3) THEN CASE WHEN s % 3 = 2 THEN [k + 1, k * 2] ELSE [] END ELSE CASE WHEN s % 4 > 1 THEN [k] ELSE [] END || CASE WHEN s % 2 = 1 THEN [k, k + 1] ELSE [] END END"
 _FREE = "CASE WHEN p % 7 IN (2, 3) THEN s % 3 < 2 ELSE s % 4 = 0 END"
-_REPLACED = "regexp_replace(regexp_replace({}, 'the', 'TH-E', 'gi'), 'de', 'd$1e', 'gi')"
+_PAIRS = """p AS (SELECT old, min(o) AS o, arg_max(new, o) AS new FROM (SELECT url AS old, 'https://cdn.example/u' || page_id AS new, page_id * 2 AS o FROM pages WHERE page_id % 6 <> 0
+        UNION ALL SELECT url || '-t', 'https://cdn.example/u' || page_id || '?w=150&h=100&fit=crop', page_id * 2 + 1 FROM pages WHERE page_id % 6 <> 0) WHERE length(old) > 0 GROUP BY old),
+        l AS (SELECT list(old || chr(1) || new ORDER BY o, old) AS l FROM p)"""
+# Every pair is applied in turn: all of its occurrences whatever their case, or the first as it is written.
+_REPLACED = "(SELECT list_reduce(list_prepend({}, l), lambda a, e: CASE WHEN contains(lower(a), lower(split_part(e, chr(1), 1))) THEN regexp_replace(a, regexp_escape(split_part(e, chr(1), 1)), split_part(e, chr(1), 2), 'gi') ELSE a END) FROM l)"
+_FIRST = "(SELECT list_reduce(list_prepend({}, l), lambda a, e: CASE WHEN contains(a, split_part(e, chr(1), 1)) THEN substr(a, 1, strpos(a, split_part(e, chr(1), 1)) - 1) || split_part(e, chr(1), 2) || substr(a, strpos(a, split_part(e, chr(1), 1)) + length(split_part(e, chr(1), 1))) ELSE a END) FROM l)"
+_LINKING = """coalesce({0}, '') || ' <a href="' || coalesce(upper({1}), '') || '">' || coalesce({1} || '-t', '') || '</a>'"""
 _FIELD_ROWS = [(m, n, k, t) for m, fields in posts.TARGETS.items() for n, (k, t) in enumerate(fields.items())]
 _BLOG = ", ".join(f"('{m}', {n}, '{k}', '{t}', '{posts.LABELS.get(k) or ' '.join(w.capitalize() for w in k.split('_'))}', '{posts.POINTS_TO.get(k, '')}', '{next(iter(posts.TARGETS[m]))}')" for m, n, k, t in _FIELD_ROWS)
 _POINTS = """'{{"{}":{{"item_types":["' || s_suppkey || '-' || other || '"],"on_publish_with_unpublished_references_strategy":"publish_references"}}}}'"""
@@ -253,10 +278,12 @@ SQL = {
     "blog_authors": "SELECT s_suppkey AS id, s_name AS name, lower(s_name) AS slug, 'https://x.example/' || s_suppkey AS url, 'bio' AS description FROM supplier",
     "blog_terms": "SELECT CASE WHEN p_size % 2 = 0 THEN 'tag' ELSE 'category' END AS kind, p_partkey AS id, p_name AS name, lower(p_type) AS slug, CASE WHEN p_size % 2 = 1 THEN p_brand END AS description FROM part",
     "category_tree": "SELECT 'c' || p_partkey AS id, CASE WHEN p_partkey // 3 % 7 <> 0 THEN 'c' || p_partkey // 3 END AS parent_id FROM part WHERE p_partkey >= 3 AND p_partkey % 7 <> 0",
-    "blog_pages": f"""WITH m AS (SELECT *, CASE WHEN page_id % 4 > 0 THEN page_id % 10 ELSE 0 END AS media FROM pages)
-        SELECT page_id AS id, url AS title, 'p' || page_id AS slug, md5({_REPLACED.format('html')}) AS md5, {_REPLACED.format('substr(html, 1, 40)')} AS excerpt, {_AUTHOR.format('(page_id % 13)')} AS author, media <> 0 AS has_media,
+    "blog_pages": f"""WITH {_PAIRS}, m AS (SELECT *, CASE WHEN page_id % 4 > 0 THEN page_id % 10 ELSE 0 END AS media FROM pages)
+        SELECT page_id AS id, url AS title, 'p' || page_id AS slug, md5({_REPLACED.format(_LINKING.format('html', 'url'))}) AS md5, {_REPLACED.format(_LINKING.format('substr(html, 1, 40)', 'url'))} AS excerpt, {_AUTHOR.format('(page_id % 13)')} AS author, media <> 0 AS has_media,
         CASE WHEN media % 6 <> 0 AND media IN (SELECT page_id FROM pages) THEN 'u' || media END AS media, CASE WHEN media <> 0 THEN url END AS alt, '2026-01-01' AS created_at, CASE WHEN page_id % 2 = 0 THEN 'published' ELSE 'draft' END AS status FROM m""",
-    "blog_articles": f"""SELECT doc_id AS id, source AS title, md5({_REPLACED.format("coalesce(text, '')")}) AS md5, 'TH-E end' AS excerpt, {_AUTHOR.format('(doc_id % 11)')} AS author,
-        {_KNOWN.format('(doc_id % 9)', 7, 'c')} || ',' || {_KNOWN.format('(doc_id % 14)', 7, 'c')} || ',' || {_KNOWN.format('(doc_id % 9)', 7, 'c')} AS categories, {_KNOWN.format('(doc_id % 5)', 3, 'g')} AS tags, 'published' AS status FROM documents""",
+    "blog_articles": f"""WITH {_PAIRS} SELECT doc_id AS id, source AS title, md5({_REPLACED.format(_LINKING.format('text', 'url'))}) AS md5, 'the end' AS excerpt, {_AUTHOR.format('(doc_id % 11)')} AS author,
+        {_KNOWN.format('(doc_id % 9)', 7, 'c')} || ',' || {_KNOWN.format('(doc_id % 14)', 7, 'c')} || ',' || {_KNOWN.format('(doc_id % 9)', 7, 'c')} AS categories, {_KNOWN.format('(doc_id % 5)', 3, 'g')} AS tags, 'published' AS status FROM documents LEFT JOIN pages ON page_id = doc_id // 4""",
     "blog_urls": """SELECT url AS old, 'https://cdn.example/u' || page_id AS new FROM pages WHERE page_id % 6 <> 0 UNION ALL SELECT url || '-t', 'https://cdn.example/u' || page_id || '?w=150&h=100&fit=crop' FROM pages WHERE page_id % 6 <> 0""",
+    "import_texts": f"""WITH {_PAIRS}, m AS (SELECT conv_id || '-' || turn AS entry_id, concat_ws(' ', coalesce(text, ''), url, url, url || '-t') AS body FROM conversations LEFT JOIN pages ON page_id = conv_id)
+        SELECT entry_id, md5({_FIRST.format('body')}) AS body, '7' AS it, md5(body) AS note FROM m""",
 }

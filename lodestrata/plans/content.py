@@ -13,6 +13,7 @@ from ..functions import etl, names
 from ..functions.canonical import json_array, json_object, json_string, truthy
 from ..functions.maps import overlay
 from ..operators.joins import first_match, resolve_list
+from ..operators.rewrite import rewrite
 
 FIELD = (
     "struct<id:string,name:string,type:string,link:string,localized:boolean,required:boolean,item_type:string,item_link:string,links:array<string>,item_links:array<string>,"
@@ -137,14 +138,37 @@ def _stored(value: Column, target: Column) -> Column:
     return F.when(truthy(value), F.when((target == "string") & F.startswith(value, F.lit("[")), json_string(text)).otherwise(text))
 
 
-def records(entries: DataFrame, described: DataFrame, codes: list[str], default_locale: str) -> DataFrame:
+def _rewritten(rows: DataFrame, pairs: DataFrame, codes: list[str], default_locale: str) -> DataFrame:
+    """``rows`` (content, fields, ...) and __texts: a map of field and locale to the JSON of each text, rewritten by ``pairs``.
+
+    The first occurrence of each old string is replaced, in the text that the JSON stands for.
+    """
+    asked = lambda f: F.when(f["localized"], F.array(*map(F.lit, codes))).otherwise(F.array(F.lit(default_locale)))
+    texts = F.filter("fields", lambda f: f["field_type"] == "text")
+    keys = F.flatten(F.transform(texts, lambda f: F.transform(asked(f), lambda c: F.struct(f["field_id"].alias("field"), c.alias("locale")))))
+    found = F.transform(keys, lambda k: F.struct(k.alias("key"), F.try_element_at(F.try_element_at("content", k["field"]), k["locale"]).alias("json")))
+    found = F.filter(found, lambda x: F.startswith(x["json"], F.lit('"')))
+    plain = F.transform(found, lambda x: F.get(F.from_json(F.concat(F.lit("["), x["json"], F.lit("]")), "array<string>"), F.lit(0)))
+    out = rewrite(rows.withColumn("__keys", F.transform(found, lambda x: _text_key(x["key"]["field"], x["key"]["locale"]))).withColumn("__plain", plain), ["__plain"], pairs, every=False, fold=False)
+    return out.withColumn("__texts", F.map_from_arrays("__keys", F.transform("__plain", json_string))).drop("__keys", "__plain")
+
+
+def _text_key(field: Column, locale: Column) -> Column:
+    return F.concat(field, F.lit("\0"), locale)
+
+
+def records(entries: DataFrame, described: DataFrame, codes: list[str], default_locale: str, pairs: DataFrame | None = None) -> DataFrame:
     """(entry_id, type_id, created_at, first_published_at, status, has_links, attributes): a record for each entry of a type with fields.
 
-    attributes maps keys to JSON: localised ones are objects of all locales. Links are empty until they are resolved.
+    attributes maps keys to JSON: localised ones are objects of all locales. Links are empty until they are resolved. With
+    ``pairs`` (old, new, ord), old and new addresses of uploads, the first occurrence of each old one in a text is replaced.
     """
     per_type = described.groupBy("type_id").agg(F.collect_list(F.struct("field_id", "api_key", "field_type", "localized")).alias("fields"))
     rows = entries.join(per_type, "type_id")
-    value = lambda f, locale: F.try_element_at(F.try_element_at("content", f["field_id"]), F.lit(locale))
+    value = plain = lambda f, locale: F.try_element_at(F.try_element_at("content", f["field_id"]), F.lit(locale))
+    if pairs is not None:
+        rows = _rewritten(rows, pairs, codes, default_locale)
+        value = lambda f, locale: F.when(f["field_type"] == "text", F.coalesce(F.try_element_at("__texts", _text_key(f["field_id"], F.lit(locale))), plain(f, locale))).otherwise(plain(f, locale))
     null = lambda c: F.coalesce(c, F.lit("null"))
     every = lambda f: json_object(F.create_map(*[x for c in codes for x in (F.lit(c), null(_stored(value(f, c), f["field_type"])))]))
     one = lambda f: F.when(f["localized"], every(f)).otherwise(null(_stored(value(f, default_locale), f["field_type"])))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.names import titleized
 from ..operators.joins import resolve, resolve_list
+from ..operators.rewrite import rewrite as rewrite_texts
 
 # The models in the order in which they are made, and their fields (key: type), a slug following the first field.
 TARGETS = {
@@ -63,22 +64,28 @@ def category_parents(rows: DataFrame, made: DataFrame) -> DataFrame:
     return own.join(made.select(F.col("source").alias("parent"), F.col("id").alias("parent_id")), "parent", "left").select("id", "parent_id")
 
 
-def pages(rows: DataFrame, authors_made: DataFrame, uploads: DataFrame, rewrite: Callable[[Column], Column]) -> DataFrame:
+Rewrite = Callable[[Column], Column] | DataFrame
+
+
+def pages(rows: DataFrame, authors_made: DataFrame, uploads: DataFrame, rewrite: Rewrite) -> DataFrame:
     """Target rows of pages (id, title, slug, content, excerpt, author, date, featured_media, status; texts as structs with rendered).
 
-    An author that isn't known is null. A featured asset takes the title along; 0 and null are none. ``rewrite`` is applied to texts.
+    An author that isn't known is null. A featured asset takes the title along; 0 and null are none. ``rewrite`` is a table of
+    pairs (old, new, ord) that the texts are rewritten by, whatever their case, or a function that is applied to them.
     """
+    of = (lambda c: c) if isinstance(rewrite, DataFrame) else rewrite
     out = resolve(rows, authors_made.select("source", F.col("id").alias("author_id")), "author", "source", "author_id")
     out = resolve(out, uploads.select("source", F.col("id").alias("upload_id")), "featured_media", "source", "upload_id")
     title = F.col("title.rendered")
     image = F.when(F.coalesce(F.col("featured_media") != 0, F.lit(False)), F.struct("upload_id", title.alias("title"), title.alias("alt"), F.create_map().cast("map<string,string>").alias("custom_data")))
-    return out.select(
-        "id", title.alias("title"), "slug", rewrite(F.col("content.rendered")).alias("content"), rewrite(F.col("excerpt.rendered")).alias("excerpt"), F.col("author_id").alias("author"), image.alias("featured_media"),
+    out = out.select(
+        "id", title.alias("title"), "slug", of(F.col("content.rendered")).alias("content"), of(F.col("excerpt.rendered")).alias("excerpt"), F.col("author_id").alias("author"), image.alias("featured_media"),
         F.col("date").alias("created_at"), F.col("date").alias("first_published_at"), F.when(F.col("status") == "publish", "published").otherwise("draft").alias("status"),
     )
+    return rewrite_texts(out, ["content", "excerpt"], rewrite) if isinstance(rewrite, DataFrame) else out
 
 
-def articles(rows: DataFrame, authors_made: DataFrame, categories_made: DataFrame, tags_made: DataFrame, uploads: DataFrame, rewrite: Callable[[Column], Column]) -> DataFrame:
+def articles(rows: DataFrame, authors_made: DataFrame, categories_made: DataFrame, tags_made: DataFrame, uploads: DataFrame, rewrite: Rewrite) -> DataFrame:
     """Pages with their categories and tags: lists keep their order, and an unknown key stays as a hole."""
     out = pages(rows, authors_made, uploads, rewrite)
     for name, made in (("categories", categories_made), ("tags", tags_made)):
@@ -87,11 +94,12 @@ def articles(rows: DataFrame, authors_made: DataFrame, categories_made: DataFram
 
 
 def rewritten_urls(media: DataFrame, uploads: DataFrame) -> DataFrame:
-    """(old, new): every address of an asset (id, source_url, sizes) with that of its upload (source, url); each size is a crop of it.
+    """(old, new, ord): every address of an asset (id, source_url, sizes) with that of its upload (source, url); each size is a crop of it.
 
-    sizes is a map of name to (width, height, source_url).
+    sizes is a map of name to (width, height, source_url). ord puts assets by id, each before its sizes, and these by name.
     """
     both = media.join(uploads.select(F.col("source").alias("id"), "url"), "id")
     crop = lambda s: F.concat("url", F.lit("?w="), s["width"].cast("string"), F.lit("&h="), s["height"].cast("string"), F.lit("&fit=crop"))
-    thumbs = both.select(F.explode("sizes").alias("name", "size"), "url").select(F.col("size.source_url").alias("old"), crop(F.col("size")).alias("new"))
-    return both.select(F.col("source_url").alias("old"), F.col("url").alias("new")).unionByName(thumbs)
+    place = lambda name: F.struct("id", name.alias("name")).alias("ord")
+    thumbs = both.select("id", F.explode("sizes").alias("name", "size"), "url").select(F.col("size.source_url").alias("old"), crop(F.col("size")).alias("new"), place(F.col("name")))
+    return both.select(F.col("source_url").alias("old"), F.col("url").alias("new"), place(F.lit(None).cast("string"))).unionByName(thumbs)
