@@ -1,9 +1,10 @@
 """Benchmark decontamination: n-gram seeds find passages, Smith-Waterman alignment of words scores them.
 
-Texts are scanned once against the seeds of a bounded part of the benchmark (one scan for each part of a larger one). Seeds
-of one item on near diagonals make one passage. A passage goes on unless it has too few seeds or words of the item for the
-similarity asked for, which no alignment can make up; how many documents have a seed plays no part. Seeds of two words miss no
-alignment of half an item of three words or more: without two words in a row every match but one costs an error.
+Texts are scanned once against the seeds of a bounded part of the benchmark (one scan for each part of a larger one). An
+item's seeds are its n-grams that the fewest items of the benchmark have: no leak makes a seed common. An alignment of some
+similarity can break only so many of an item's n-grams, so of one seed more than that at least one is whole: as many seeds
+are taken, and some for a margin, and a passage needs as many as the margin. Seeds of one item on near diagonals make
+one passage, which goes on to the alignment unless it has too few words of the item for that similarity.
 """
 
 from __future__ import annotations
@@ -15,45 +16,72 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .columns import spare
+from .columns import row_digest, spare
 from .storage import cut
 from .tokens import U64, Words, slices
 
 SEED_WORDS = 2
 SIMILARITY = 0.5
 PART_BYTES = 16 << 20
+#: For so many words of an item it has one more seed than it needs to have, and a passage needs one more.
+MARGIN = 8
 WINDOW = 8
 _CELLS = 4 << 20
 _HITS = 1 << 16
 _BATCH_CHARS = 4 << 20
 
 
+def breakable(n: int, length: np.ndarray, similarity: float) -> np.ndarray:
+    """How many n-grams of an item an alignment that scores ``similarity`` can break at most.
+
+    Of m matched words with e errors, m - e is similarity * length at least; there are e + 1 runs of matches at most, and each
+    has n - 1 n-grams fewer than words.
+    """
+    return np.floor(max(1, n - 1) * (1 - similarity) * length + 1e-9).astype(np.int64)
+
+
 class Seeds:
-    """The n-grams of some items: sorted hashes, and for each the items and offsets that have it."""
+    """The rarest n-grams of each of some items: sorted hashes, and for each the items and offsets that have it.
+
+    least has for each item how many of its seeds an alignment of ``similarity`` keeps whole; n-grams are as long as ``n``
+    allows and that is one or more. An item of one or two words has one seed, all of it.
+    """
 
-    def __init__(self, ids: list[int], texts: list[str | None], n: int = SEED_WORDS):
+    def __init__(self, ids: list[int], texts: list[str | None], n: int = SEED_WORDS, similarity: float = SIMILARITY):
+        if not 0 < similarity <= 1:
+            raise ValueError("a similarity is above 0 and at most 1")
         words = Words(pa.array([t or "" for t in texts], pa.string()))
-        self.n, self.ids, self.lengths = n, np.array(ids, np.int64), words.counts
+        self.n, self.ids, self.lengths, self.similarity = n, np.array(ids, np.int64), words.counts, similarity
         self.words, self.bounds = words.hashes, words.bounds
+        width, lost = np.minimum(self.lengths, 2), np.zeros(len(self.lengths), np.int64)
+        for k in range(1, n + 1):
+            broken = breakable(k, self.lengths, similarity)
+            fits = (self.lengths > 2) & (broken < self.lengths - k + 1)
+            width, lost = np.where(fits, k, width), np.where(fits, broken, lost)
         rows = []
-        for k in sorted({n, *(int(c) for c in self.lengths if 0 < c < n)}):
+        for k in sorted(set(width[width > 0].tolist())):
             first, h = words.windows(k)
             item = words.owner[first]
-            own = np.minimum(self.lengths[item], n) == k
+            own = width[item] == k
             rows.append((np.full(own.sum(), k), h[own], item[own], (first - words.bounds[item])[own]))
         size, h, item, offset = (np.concatenate(x) for x in zip(*rows, strict=True)) if rows else (np.zeros(0, np.int64),) * 4
+        h, item, offset = h.astype(U64), item.astype(np.int64), offset.astype(np.int64)
+        rare = _rarest(h, item, size, lost + 1 + self.lengths // MARGIN)
+        h, item, offset, size = h[rare], item[rare], offset[rare], size[rare]
+        self.least = np.bincount(item, minlength=len(self.lengths)) - lost
         order = np.lexsort((offset, size, item, h))
-        self.h, self.item, self.offset, self.size = h[order].astype(U64), item[order].astype(np.int64), offset[order].astype(np.int64), size[order]
+        self.h, self.item, self.offset, self.size = h[order], item[order], offset[order], size[order]
         # Rows of one n-gram and item stand together: the number of each row's group, and the groups' first rows.
         fresh = np.ones(len(self.h), bool)
         fresh[1:] = (self.h[1:] != self.h[:-1]) | (self.item[1:] != self.item[:-1]) | (self.size[1:] != self.size[:-1])
         self.group, self.begin = np.cumsum(fresh) - 1, np.append(np.flatnonzero(fresh), len(self.h))
         self.widths = sorted(set(size.tolist()))
 
-    def hits(self, words: Words) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """Text, item, and first and last diagonal of every occurrence of an item's n-gram, some occurrences at a time.
+    def hits(self, words: Words) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """Text, item, and first and last diagonal of every occurrence of an item's seed, some occurrences at a time.
 
-        An n-gram that an item repeats gives one row, from its last place in the item to its first.
+        A seed that an item repeats gives one row, from its last place in the item to its first. Before them the first word
+        that later occurrences of these items can have.
         """
         for k in self.widths:
             first, h = words.windows(int(k))
@@ -73,10 +101,30 @@ class Seeds:
                 own = self.size[self.begin[g]] == k
                 of, g = of[own], g[own]
                 begin, end = self.begin[g], self.begin[g + 1] - 1
-                yield text[of], self.item[begin], first[of] - self.offset[end], first[of] - self.offset[begin]
+                upto = int(first[to]) if to < len(first) else len(words.hashes) + int(self.lengths.max()) * 3 + 3
+                yield upto, text[of], self.item[begin], first[of] - self.offset[end], first[of] - self.offset[begin]
                 at = to
 
 
+def _rarest(h: np.ndarray, item: np.ndarray, size: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """The rows of each item's n-grams that the fewest items have, all rows of an n-gram or none, until there are as many as wanted."""
+    order = np.lexsort((size, h, item))
+    fresh = np.ones(len(h), bool)
+    fresh[1:] = (item[order][1:] != item[order][:-1]) | (h[order][1:] != h[order][:-1]) | (size[order][1:] != size[order][:-1])
+    group = np.cumsum(fresh) - 1
+    first = order[np.flatnonzero(fresh)]
+    rows = np.bincount(group, minlength=len(first))
+    _, of, items = np.unique(h[first], return_inverse=True, return_counts=True)
+    rank = np.lexsort((h[first], items[of], item[first]))
+    before = np.cumsum(rows[rank]) - rows[rank]
+    own = item[first][rank]
+    start = np.concatenate(([True], own[1:] != own[:-1])) if len(own) else np.zeros(0, bool)
+    before -= before[np.flatnonzero(start)][np.cumsum(start) - 1] if len(own) else 0
+    taken = np.zeros(len(first), bool)
+    taken[rank] = before < wanted[own]
+    return np.sort(order[taken[group]])
+
+
 def _merged(text: np.ndarray, item: np.ndarray, low: np.ndarray, high: np.ndarray, count: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, ...]:
     """Ranges of diagonals of one text and item put together where at most ``room`` (by item) is between them; counts are added up."""
     order = np.lexsort((low, item, text))
@@ -91,22 +139,29 @@ def _merged(text: np.ndarray, item: np.ndarray, low: np.ndarray, high: np.ndarra
     return text[at], item[at], low[at], reach[np.append(at[1:], len(text)) - 1], np.add.reduceat(count, at)
 
 
-def passages(words: Words, seeds: Seeds, similarity: float = 0.0) -> Iterator[tuple[int, int, int, str]]:
+def _runs(words: Words, seeds: Seeds, room: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """Runs of enough hits. A run that no later hit can be near to is done: kept or forgotten, so that few are held at once."""
+    held = tuple(np.zeros(0, np.int64) for _ in range(5))
+    for upto, *part in seeds.hits(words):
+        new = (*part, np.ones(len(part[0]), np.int64))
+        runs = _merged(*(np.concatenate(x) for x in zip(held, new, strict=True)), room)
+        item, high, count = runs[1], runs[3], runs[4]
+        done = high + room[item] < upto - seeds.lengths[item]
+        enough = done & (count >= seeds.least[item])
+        yield tuple(x[enough] for x in runs[:4])
+        held = tuple(x[~done] for x in runs)
+
+
+def passages(words: Words, seeds: Seeds, similarity: float | None = None) -> Iterator[tuple[int, int, int, str]]:
     """(text, item, first word, passage) for each run of hits on near diagonals, with room for gaps around it.
 
-    Nothing that an alignment could score ``similarity`` on is left out. Such an alignment of an item of n words has at most
-    (1 - similarity) * n gaps, so all its hits are in one run, and of two-word seeds similarity * n - 1 at least; and it has
-    similarity * n of the item's words. A run of more than WINDOW item lengths is cut into windows that overlap by as much as
-    any such alignment spans.
+    Nothing that an alignment could score ``similarity`` on (that of the seeds at least) is left out. Such an alignment of an
+    item of n words has at most (1 - similarity) * n gaps, so all its hits are in one run; and it has similarity * n of the
+    item's words. A run of more than WINDOW item lengths is cut into windows that overlap by as much as any such alignment spans.
     """
+    similarity = seeds.similarity if similarity is None else similarity
     room = np.ceil((1 - similarity) * seeds.lengths).astype(np.int64) + 1
-    least = np.ceil(similarity * seeds.lengths - 1 - 1e-9) if seeds.n <= 2 else np.ones(len(seeds.lengths))
-    parts = [_merged(*part, np.ones(len(part[0]), np.int64), room) for part in seeds.hits(words)]
-    if not parts:
-        return
-    runs = _merged(*(np.concatenate(x) for x in zip(*parts, strict=True)), room)
-    keep = runs[4] >= least[runs[1]]
-    for t, i, a, b in zip(*(x[keep].tolist() for x in runs[:4]), strict=True):
+    for t, i, a, b in (row for runs in _runs(words, seeds, room) for row in zip(*(x.tolist() for x in runs), strict=True)):
         length = int(seeds.lengths[i])
         begin = max(a - int(room[i]), int(words.bounds[t]))
         stop = min(b + length + int(room[i]), int(words.bounds[t + 1]))
@@ -173,13 +228,13 @@ def contaminated(
 ) -> DataFrame:
     """(id, key, item id, similarity, first_word, last_word): the best passage of each text for each item it leaks.
 
-    key is xxhash64(id, text). similarity is the alignment score divided by the item's words, 1 for an exact copy. Null and
-    wordless texts and items match nothing; an item of fewer words than a seed has one seed, all of it. Equal item texts
+    key is a 128-bit digest of id and text. similarity is the alignment score divided by the item's words, 1 for an exact copy. Null and
+    wordless texts and items match nothing; an item of one or two words has one seed, all of it. Equal item texts
     are scored each; of equally good passages the first counts. Rows that are the same in id and text give one row for each
-    item. A long or repetitive text costs its words times the items that share an n-gram with it. Empty tables give no rows;
-    extra columns are ignored.
+    item. A long text is scanned in bounded memory, whatever the number of items. Empty tables give no rows; extra columns are
+    ignored. Any ``similarity`` above 0 and any number of seed words miss nothing; the longer the seeds the fewer they are.
     """
-    source = docs.select(F.xxhash64(id_col, text_col).alias("key"), F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    source = docs.select(row_digest(id_col, text_col).alias("key"), F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     bench = items.select(F.col(item_id).cast("long").alias("item"), F.coalesce(F.col(item_text), F.lit("")).alias("item_text"))
     parts = max(1, math.ceil((bench.agg(F.sum(F.octet_length("item_text"))).first()[0] or 0) / PART_BYTES))
     out = None
@@ -194,7 +249,7 @@ def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     """The rows of ``docs`` whose text leaks no item."""
     (key,) = spare(docs, "key")
     leaks = contaminated(docs, items, id_col=id_col, text_col=text_col, **kwargs).select(F.col("key").alias(key)).distinct()
-    return docs.withColumn(key, F.xxhash64(id_col, text_col)).join(leaks, key, "left_anti").select(*docs.columns)
+    return docs.withColumn(key, row_digest(id_col, text_col)).join(leaks, key, "left_anti").select(*docs.columns)
 
 
 def _in_parts(found: Iterable[tuple[int, int, int, str]]) -> Iterator[list[tuple[int, int, int, str]]]:
@@ -211,19 +266,19 @@ def _in_parts(found: Iterable[tuple[int, int, int, str]]) -> Iterator[list[tuple
 
 
 def _contaminated(source: DataFrame, ids: list[int], texts: list[str], seed_words: int, similarity: float) -> DataFrame:
-    seeds = Seeds(ids, texts, seed_words)
+    seeds = Seeds(ids, texts, seed_words, similarity)
     plain = [b" ".join(t.encode("utf-8", "replace").lower().split()).decode("utf-8", "replace") for t in texts]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in slices(batch, "text"):
-                for got in _in_parts(passages(Words(piece.column("text")), seeds, similarity) if len(seeds.h) else ()):
+                for got in _in_parts(passages(Words(piece.column("text")), seeds) if len(seeds.h) else ()):
                     t, item, first, passage = zip(*got, strict=True)
                     at = pa.array(t)
                     out = [piece.column("key").take(at), piece.column("id").take(at), pa.array(item, pa.int32()), pa.array(first, pa.int32()), pa.array(passage)]
                     yield pa.RecordBatch.from_arrays(out, names=["key", "id", "slot", "first", "passage"])
 
-    found = cut(source.mapInArrow(scan, "key long, id long, slot int, first int, passage string"))
+    found = cut(source.mapInArrow(scan, "key binary, id long, slot int, first int, passage string"))
     live = found.distinct()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

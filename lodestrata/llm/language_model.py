@@ -120,8 +120,7 @@ def _texts(column: pa.Array | pa.ChunkedArray, row: int = 0) -> pa.Array:
 
 def _range_of(keys: np.ndarray, ranges: int) -> np.ndarray:
     """The number of the range of hashes that each key is in."""
-    edges = np.array([-(-(k << 64) // ranges) for k in range(1, ranges)], U64)
-    return np.searchsorted(edges, keys, "right")
+    return (((keys >> U64(32)) * U64(ranges)) >> U64(32)).astype(np.int64)
 
 
 def _packed(keys: np.ndarray, sizes: np.ndarray) -> pa.Array:
@@ -243,7 +242,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row and whole text; a null text is empty.
 
     Learns from texts whose crc32(id as text) mod FOLDS isn't HELD_OUT_FOLD. Scores are log10 probabilities; base_score has
-    add-one unigrams. Repeated rows count as often as they occur. An empty table gives no rows.
+    add-one unigrams. Repeated rows count as often as they occur. An empty table gives no rows; extra columns are ignored,
+    whatever their names; a text longer than a block is a block of its own.
     """
     rows = stored(blocks(docs, id_col, text_col))
     ranges = max(1, math.ceil((rows.agg(F.sum("bytes")).first()[0] or 0) / RANGE_BYTES))

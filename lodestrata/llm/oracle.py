@@ -5,6 +5,12 @@ from __future__ import annotations
 from . import audit, pii, resample
 
 
+# The runs that secrets and social security numbers are a whole of, the form that they need, and what a text with one has.
+WIDE = {"secret": r"[A-Za-z0-9]+", "ssn": r"[0-9-]+"}
+FORMS = {"secret": "^[A-Fa-f0-9]{32,64}$", "ssn": "^[0-9]{3}-[0-9]{2}-[0-9]{4}$"}
+MAY = {"secret": "[A-Fa-f0-9]{32}", "ssn": "[0-9]{3}-[0-9]{2}-[0-9]{4}"}
+
+
 def _plain(pattern: str) -> str:
     """A pattern without possessive marks and look-arounds, which find the same matches only faster."""
     for long in (r"(?:(?<![A-Za-z0-9._%+-])|\G)", r"(?:(?<![0-9])|\G)"):
@@ -14,7 +20,7 @@ def _plain(pattern: str) -> str:
 
 def _found(kind: str) -> str:
     """Start, end and body of the confirmed matches of a kind in t, with what is around them."""
-    p = _plain(pii.PATTERNS[kind])
+    p = WIDE.get(kind) or _plain(pii.PATTERNS[kind])
     chars = lambda what: f"coalesce(list_sum(list_transform({what}, lambda x: length(x))), 0)"
     made = f"list_transform(range(1, len(mm) + 1), lambda i: {{'s': CAST({chars('pp[1:i]')} + {chars('mm[1:i - 1]')} AS BIGINT), 'b': mm[i]}})"
     digits = "regexp_replace(m.b, '[^0-9]', '', 'g')"
@@ -29,7 +35,7 @@ def _found(kind: str) -> str:
     valid = {
         "email": "true", "ip": "len(list_filter(string_split(m.b, '.'), lambda x: length(ltrim(x, '0')) > 3 OR lpad(ltrim(x, '0'), 3, '0') > '255')) = 0", "card": f"length({digits}) BETWEEN 16 AND 19 AND {luhn}",
         "phone": f"length({digits}) BETWEEN 8 AND 15", "iban": f"{apart} AND {number}", "short_card": f"length({digits}) BETWEEN 13 AND 15 AND {luhn}",
-        "secret": f"regexp_matches(m.b, '{pii.FORMS['secret']}')", "ssn": f"regexp_matches(m.b, '{pii.FORMS['ssn']}') AND m.b[1:3] NOT IN ('000', '666') AND m.b[1] <> '9'", "local_phone": apart,
+        "secret": f"regexp_matches(m.b, '{FORMS['secret']}')", "ssn": f"regexp_matches(m.b, '{FORMS['ssn']}') AND m.b[1:3] NOT IN ('000', '666') AND m.b[1] <> '9'", "local_phone": apart,
     }[kind]
     near = f"lower(substr(t, greatest(m.s - {pii.NEAR}, 0) + 1, m.s - greatest(m.s - {pii.NEAR}, 0)) || ' ' || substr(t, m.s + length(m.b) + 1, {pii.NEAR}))"
     told = " OR ".join(f"contains({near}, '{w}')" for w in pii.CONTEXT[kind])
@@ -37,7 +43,7 @@ def _found(kind: str) -> str:
     order = (*pii.BASE, *pii.ADDED).index(kind)
     return f"""SELECT doc_id, {order} AS ord, '{kind}' AS kind, s, e, score FROM (
         SELECT doc_id, m.s AS s, m.s + length(m.b) AS e, round(least({pii.SCORES[kind]} + CASE WHEN {told} THEN {pii.CONTEXT_SCORE} ELSE 0.0 END, 1.0), 2) AS score
-        FROM (SELECT doc_id, t, unnest({made}) AS m FROM (SELECT doc_id, t, string_split_regex(t, '{p}') AS pp, regexp_extract_all(t, '{p}') AS mm FROM d WHERE regexp_matches(t, '{_plain(pii.MAY.get(kind, pii.PATTERNS[kind]))}')))
+        FROM (SELECT doc_id, t, unnest({made}) AS m FROM (SELECT doc_id, t, string_split_regex(t, '{p}') AS pp, regexp_extract_all(t, '{p}') AS mm FROM d WHERE regexp_matches(t, '{MAY.get(kind) or p}')))
         WHERE {valid}) WHERE true {limit}"""
 
 

@@ -285,6 +285,7 @@ def round_trip(docs: DataFrame, pieces: Pieces, text_col: str = "text", out: str
     """``docs`` without the text, the piece ids of each whole text, and whether they decode to it; one pass, so the texts go to Python once.
 
     Null and empty texts have no ids and come back as an empty text. Columns of ``docs`` with the new ones' names are replaced.
+    Repeated rows each have their ids; an empty table gives no rows; a long text is encoded in whole, unit by unit.
     """
     keep, schema = _with(docs, {text_col, out, same}, out, ArrayType(IntegerType()))
     schema = schema.add(same, BooleanType())

@@ -134,12 +134,24 @@ def _above(key: list[Column], bounds: list[tuple[int, ...]]) -> Column:
 
 
 def assign(docs: DataFrame, shards: int, tolerance: float = TOLERANCE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the text, and size, law, shard and slot; see shard. Columns of ``docs`` with these names are replaced.
+    """``docs`` without the text, and size, law, shard and slot; see shard. Columns of ``docs`` with these names are replaced."""
+    placed, text_key = _placed(docs, shards, tolerance, id_col, text_col)
+    return placed.drop(text_key)
+
+
+def _hash_name(docs: DataFrame) -> str:
+    """A name for the hash that no column of ``docs`` has, nor the output."""
+    return spare(docs, "text_hash")[0]
+
+
+def _placed(docs: DataFrame, shards: int, tolerance: float, id_col: str, text_col: str) -> tuple[DataFrame, str]:
+    """The rows of assign with the hash of their texts, and that column's name.
 
     The rows are numbered and stored without their texts, and everything comes from the stored rows, so that rows that are
     the same in all columns can be parted and keep their numbers.
     """
     docs = docs.drop("size", "law", "shard", "slot")
+    hash_name = _hash_name(docs)
     own = [c for c in docs.columns if c != text_col]
     h, no_id, id_, n = names = spare(docs, "h", "no_id", "id", "n")
     rows = docs.select(
@@ -155,7 +167,7 @@ def assign(docs: DataFrame, shards: int, tolerance: float = TOLERANCE, id_col: s
     offsets = counts.selectExpr("shard", part, f"sum({before}) over (partition by shard order by {part}) - {before} as {before}")
     numbered = placed.selectExpr("*", f"row_number() over (partition by shard, {part} order by {', '.join(names)}) - 1 as {at}")
     out = numbered.join(F.broadcast(offsets) if parts == 1 else offsets, ["shard", part])
-    return out.select(*own, "size", "law", "shard", (F.col(before) + F.col(at)).cast("long").alias("slot"), F.col(h).alias("text_hash"))
+    return out.select(*own, "size", "law", "shard", (F.col(before) + F.col(at)).cast("long").alias("slot"), F.col(h).alias(hash_name)), hash_name
 
 
 def shard(docs: DataFrame, shards: int, tolerance: float = TOLERANCE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -168,9 +180,9 @@ def shard(docs: DataFrame, shards: int, tolerance: float = TOLERANCE, id_col: st
     """
     # Rows that are the same in text and id have one text, whichever row it is taken from.
     h, id_, gone = spare(docs, "h", "id", "gone")
-    placed = assign(docs.withColumn(gone, F.col(text_col).isNull()), shards, tolerance, id_col, text_col)
+    placed, text_key = _placed(docs.withColumn(gone, F.col(text_col).isNull()), shards, tolerance, id_col, text_col)
     texts = docs.where(F.col(text_col).isNotNull()).select(text_hash(F.col(text_col)).alias(h), F.col(id_col).alias(id_), text_col).dropDuplicates([h, id_])
-    found = placed.join(texts, (placed["text_hash"] == texts[h]) & placed[id_col].eqNullSafe(texts[id_]), "left")
+    found = placed.join(texts, (placed[text_key] == texts[h]) & placed[id_col].eqNullSafe(texts[id_]), "left")
     text = F.when(~F.col(gone), F.col(text_col)).alias(text_col)
     new = ("size", "law", "shard", "slot")
     return found.select(*[text if c == text_col else F.col(c) for c in docs.columns if c not in new], *new)

@@ -14,7 +14,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .columns import spare
 from .components import components
@@ -92,40 +92,78 @@ def _ring(distance: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
+def _bits(x: Column | str, at: int, n: int) -> Column:
+    return F.shiftrightunsigned(x, at).bitwiseAND(F.lit((1 << n) - 1).cast("long"))
+
+
+def _turns(distance: int) -> list[list[tuple[int, int]]]:
+    """The ring as read from each start."""
+    ring = _ring(distance)
+    return [ring[i:] + ring[:i] for i in range(len(ring))]
+
+
+def _probes(fps: DataFrame, distance: int, *more: str) -> tuple[DataFrame, DataFrame]:
+    """(start, a, key) and (start, b, key): a row for each start and variant of the second segment, and one for each start."""
+    turn = _turns(distance)
+    keys = [_bits("fp", *r[0]) * F.lit(1 << r[1][1]).cast("long") + _bits("fp", *r[1]) for r in turn]
+    flips = F.array(*[F.array(*[F.lit(x).cast("long") for x in (0, *(1 << k for k in range(r[1][1])))]) for r in turn])
+    index = fps.select(F.col("fp").alias("b"), *more, F.posexplode(F.array(*keys)).alias("start", "key"))
+    probe = index.select("start", F.col("b").alias("a"), *more, "key", F.explode(F.get(flips, F.col("start"))).alias("flip"))
+    return probe.select("start", "a", *more, F.col("key").bitwiseXOR(F.col("flip")).alias("key")), index
+
+
+def _checked(joined: DataFrame, distance: int) -> DataFrame:
+    """(a, b), a < b: the pairs of ``joined`` (start, a, b) that pass longer chains and the full check."""
+    turn, differ = _turns(distance), F.expr("a ^ b")
+    for n in range(3, distance + 1):
+        chain = F.coalesce(*[F.when(F.col("start") == i, sum(F.bit_count(_bits(differ, *r[k])) for k in range(n))) for i, r in enumerate(turn)])
+        joined = joined.where(chain <= n * distance // len(turn))
+    return joined.where(F.bit_count(differ) <= distance).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def links(fps: DataFrame, distance: int = DISTANCE, leads: bool = False) -> DataFrame:
     """(a, b), a < b: the pairs of *different* fingerprints in column fp that differ in at most ``distance`` bits.
 
     The probe side has a row for each start and each variant of the second segment. Copies share one fingerprint. With
     ``leads`` only one fingerprint of each bucket is probed, so that a dense cloud has as many pairs as members: no longer all.
     """
-    ring = _ring(distance)
-    turn = [ring[i:] + ring[:i] for i in range(len(ring))]
-    bits = lambda x, at, n: F.shiftrightunsigned(x, at).bitwiseAND(F.lit((1 << n) - 1).cast("long"))
-    keys = [bits(F.col("fp"), *r[0]) * F.lit(1 << r[1][1]).cast("long") + bits(F.col("fp"), *r[1]) for r in turn]
-    flips = F.array(*[F.array(*[F.lit(x).cast("long") for x in (0, *(1 << k for k in range(r[1][1])))]) for r in turn])
-    index = fps.select(F.col("fp").alias("b"), F.posexplode(F.array(*keys)).alias("start", "key"))
-    probe = index.select("start", F.col("b").alias("a"), "key", F.explode(F.get(flips, F.col("start"))).alias("flip"))
-    probe = probe.select("start", "a", F.col("key").bitwiseXOR(F.col("flip")).alias("key"))
+    probe, index = _probes(fps, distance)
     if leads:
         index = index.groupBy("start", "key").agg(F.min("b").alias("b"))
-    joined = probe.join(index, ["start", "key"]).where("a <> b" if leads else "a < b")
-    differ = F.expr("a ^ b")
-    for n in range(3, len(ring)):  # longer chains, up to the full check
-        chain = F.coalesce(*[F.when(F.col("start") == i, sum(F.bit_count(bits(differ, *r[k])) for k in range(n))) for i, r in enumerate(turn)])
-        joined = joined.where(chain <= n * distance // len(ring))
-    return joined.where(F.bit_count(differ) <= distance).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return _checked(probe.join(index, ["start", "key"]).where("a <> b" if leads else "a < b"), distance)
+
+
+def links_between(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """(a, b), a < b: the links of ``fps`` (fp, component) between different components.
+
+    Components that meet in a bucket are paired first, so that a bucket of one component costs its rows, however dense it is.
+    """
+    probe, index = (df for df in _probes(fps, distance, "component"))
+    probe, index = cut(probe.withColumnRenamed("component", "c")), cut(index.withColumnRenamed("component", "d"))
+    met = probe.select("start", "key", "c").distinct().join(index.select("start", "key", "d").distinct(), ["start", "key"]).where("c <> d")
+    half = probe.join(met, ["start", "key", "c"]).select("start", "key", "a", "d")
+    return _checked(half.join(index, ["start", "key", "d"]), distance)
+
+
+def linked_components(distinct: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """(fp, component) of ``distinct`` (fp, least) under all links, without making those within what is already one component."""
+    edges = cut(links(distinct, distance, leads=True))
+    first = cut(components(edges, distinct.select("fp", F.col("fp").alias("least"))))
+    return components(cut(edges.union(links_between(first, distance))), distinct)
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, seed: int = SEED) -> DataFrame:
     """(id, fingerprint, component_id, key): one row per row of ``docs``; key is xxhash64(id, text).
 
     Copies are folded into one fingerprint before anything is joined, so a group of copies of any size adds one row to the
-    search. component_id is the smallest id that can be reached over links, null ids last. An empty table gives no rows;
-    repeated rows give repeated rows; extra columns are ignored; a long text is hashed in parts of 65,536 shingles.
+    search. Fingerprints are linked to the leads of their buckets first, then only those of different components, so a dense
+    cloud costs its members. component_id is the smallest id that can be reached over links, null ids last; equal ids are one,
+    and of equal fingerprints all rows are in one component. Null, empty and wordless texts have the fingerprint 0. An empty
+    table gives no rows; repeated rows give repeated rows; extra columns are ignored; a long text is hashed in parts of 65,536 shingles.
     """
     fps = cut(fingerprints(docs, id_col, text_col, shingle, seed))
     distinct = cut(fps.groupBy("fp").agg(F.min("id").alias("least")))
-    label = components(cut(links(distinct)), distinct)
+    label = linked_components(distinct)
     out = fps.join(label, "fp")
     return out.select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("component").alias("component_id"), "key")
 
