@@ -96,17 +96,21 @@ def _models(spark: SparkSession, sf_dir: str, new: bool) -> DataFrame:
 
 
 def _fields(spark: SparkSession, sf_dir: str, new: bool) -> DataFrame:
-    """Fields and fieldsets: in the old catalog fieldsets first; in the new one what is created comes last, and one field in some models moves to the front."""
+    """Fields and fieldsets: in the old catalog fieldsets first; in the new one what is created comes last, and one field in some models moves to the front.
+
+    Some models lose an empty fieldset, and some fieldsets have another title.
+    """
     o, c = F.col("o_orderkey"), F.col("o_custkey")
     fields = table(spark, sf_dir, "orders").select(c.alias("c"), F.lit("field").alias("kind"), o.cast("string").alias("id"), o.alias("k"), "o_orderstatus", (_there(c, False) & _there(o, False, 8)).alias("in_old"), (_there(c, True) & _there(o, True, 8)).alias("in_new"))
     m = F.col("c_custkey")
     sets = table(spark, sf_dir, "customer").select(m.alias("c"), F.lit("fieldset").alias("kind"), F.concat(F.lit("f"), m).alias("id"), m.alias("k"), F.lit(None).cast("string").alias("o_orderstatus"), (_there(m, False) & (m % 5 != 0)).alias("in_old"), _there(m, True).alias("in_new"))
+    lost = table(spark, sf_dir, "customer").where("c_custkey % 10 = 3").select(m.alias("c"), F.lit("fieldset").alias("kind"), F.concat(F.lit("h"), m).alias("id"), m.alias("k"), F.lit(None).cast("string").alias("o_orderstatus"), F.lit(True).alias("in_old"), F.lit(False).alias("in_new"))
     own, both = Window.partitionBy("c"), F.col("in_old") & F.col("in_new")
     k, stays = F.col("k"), F.when(both & (F.col("kind") == "field"), F.col("k"))
-    rows = fields.unionByName(sets).withColumns({"n": F.count(stays).over(own), "last": F.max(stays).over(own)})
+    rows = fields.unionByName(sets).unionByName(lost).withColumns({"n": F.count(stays).over(own), "last": F.max(stays).over(own)})
     front = both & (F.col("kind") == "field") & (F.col("c") % 6 == 0) & (F.col("n") >= 3) & (k == F.col("last"))
     rows = rows.withColumns({"front": front, "both": both}).where("in_new" if new else "in_old")
-    order = [F.desc("front"), F.desc("both"), F.desc("kind"), k] if new else [F.desc("kind"), k]
+    order = [F.desc("front"), F.desc("both"), F.desc("kind"), k] if new else [F.desc("kind"), k, F.col("id")]
     rows = rows.withColumn("position", F.row_number().over(own.orderBy(*order)).cast("string"))
     label = F.concat(F.when((k % 5 == 0) & F.lit(new), "L").otherwise("l"), k)
     type_ = F.when((k % 7 == 0) & F.lit(new), "json").when(F.col("o_orderstatus") == "O", "string").when(F.col("o_orderstatus") == "F", "slug").otherwise("text")
@@ -115,7 +119,7 @@ def _fields(spark: SparkSession, sf_dir: str, new: bool) -> DataFrame:
         validators=F.lit("{}"), default_value=F.when(k % 2 == 0, "null").otherwise(_LOCALES), appeareance=F.lit('"old"'),
     )
     within = _map(fieldset=_ref(F.when((F.col("c") % 10 == 0) & (k % 4 == 0), F.concat(F.lit("f"), "c"))))
-    set_ = _map(title=_string(F.concat(F.lit("t"), k)), position=F.col("position"), hint=F.lit("null"), collapsible=_flag(k % 2 == 0), start_collapsed=F.lit("false"))
+    set_ = _map(title=_string(F.concat(F.when((k % 7 == 0) & F.lit(new), "T").otherwise("t"), k)), position=F.col("position"), hint=F.lit("null"), collapsible=_flag(k % 2 == 0), start_collapsed=F.lit("false"))
     is_set = F.col("kind") == "fieldset"
     return rows.select("kind", "id", k.alias("ord"), F.col("c").cast("string").alias("owner"), F.when(is_set, set_).otherwise(field).alias("attributes"), F.when(is_set, diff.nothing()).otherwise(within).alias("relationships"), diff.nothing().alias("meta"))
 
@@ -137,13 +141,15 @@ def _menu(spark: SparkSession, sf_dir: str, new: bool) -> DataFrame:
 
 
 def _schema_menu(spark: SparkSession, sf_dir: str, new: bool) -> DataFrame:
-    """An entry for each model in folders of eight, folders in folders."""
+    """An entry for each model in folders of eight, folders in folders; empty folders come and go."""
     c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"))
     models = c.select(F.concat(F.lit("s"), "k").alias("id"), "k", F.floor(F.col("k") / 8).alias("up"), F.col("k").alias("model"), _there(F.col("k"), False).alias("in_old"), _there(F.col("k"), True).alias("in_new"))
     folders = c.select(F.floor(F.col("k") / 8).alias("k")).distinct()
     folders = folders.select(F.concat(F.lit("g"), "k").alias("id"), "k", F.when(F.col("k") > 0, F.floor(F.col("k") / 8)).alias("up"), F.lit(None).cast("long").alias("model"), F.lit(True).alias("in_old"), F.lit(True).alias("in_new"))
-    rows = models.unionByName(folders).withColumn("both", F.col("in_old") & F.col("in_new")).where("in_new" if new else "in_old")
-    place = F.row_number().over(Window.partitionBy("up").orderBy(*([F.desc("both")] if new else []), F.col("model").isNotNull(), "k"))
+    k = F.col("k")
+    empty = c.where("k % 10 < 2").select(F.concat(F.lit("e"), "k").alias("id"), "k", F.floor(k / 8).alias("up"), F.lit(None).cast("long").alias("model"), _there(k, False).alias("in_old"), _there(k, True).alias("in_new"))
+    rows = models.unionByName(folders).unionByName(empty).withColumn("both", F.col("in_old") & F.col("in_new")).where("in_new" if new else "in_old")
+    place = F.row_number().over(Window.partitionBy("up").orderBy(*([F.desc("both")] if new else []), F.col("model").isNotNull(), "k", "id"))
     label = F.when((F.col("k") % 5 == 0) & F.lit(new), F.concat(F.lit("G"), "k")).otherwise(F.col("id"))
     a = _map(label=_string(label), position=place.cast("string"), kind=_string(F.lit("item_type")))
     return _entity(rows, "schema_menu_item", F.col("id"), F.col("k"), a, _map(parent=_ref(F.concat(F.lit("g"), "up")), item_type=_ref(F.col("model"))))
@@ -325,12 +331,14 @@ _MEMBERS = f"""WITH m AS (SELECT o_custkey AS c, 'field' AS kind, CAST(o_orderke
         CASE WHEN k % 7 = 0 THEN 'json' WHEN st = 'O' THEN 'string' WHEN st = 'F' THEN 'slug' ELSE 'text' END AS type, CASE WHEN k % 5 = 0 THEN 'L' ELSE 'l' END || k AS label FROM q WHERE in_new)"""
 _SENT = """concat_ws(';', 'api_key="k' || k || '"', CASE WHEN k % 2 = 0 THEN 'default_value=null' END, 'field_type="' || type || '"', 'label="' || label || '"', CASE WHEN k % 3 = 0 THEN 'localized=true' END)"""
 _STAGE = "CASE WHEN c % 10 = 0 THEN 0 ELSE 1 END"
-_NEW_FIELDS = f"""{_MEMBERS} SELECT {_row(6, _STAGE, "c", "'fieldset.create'", "id", "CASE WHEN k % 2 = 0 THEN 'collapsible=true;' ELSE '' END || 'title=\"t' || k || '\"'", step="position")} FROM p WHERE kind = 'fieldset' AND NOT stays
+_NEW_FIELDS = f"""{_MEMBERS} SELECT {_row(6, _STAGE, "c", "'fieldset.create'", "id", "CASE WHEN k % 2 = 0 THEN 'collapsible=true;' ELSE '' END || 'title=\"' || CASE WHEN k % 7 = 0 THEN 'T' ELSE 't' END || k || '\"'", step="position")} FROM p WHERE kind = 'fieldset' AND NOT stays
     UNION ALL SELECT {_row(6, _STAGE, "c", "'field.create'", "id", _SENT, "CASE WHEN c % 10 = 0 AND k % 4 = 0 THEN 'fieldset={\"data\":{\"id\":\"f' || c || '\"}}' ELSE '' END", step="(CASE WHEN type = 'slug' THEN 2 ELSE 1 END) * (1::BIGINT << 40) + position")} FROM p WHERE kind = 'field' AND NOT stays"""
-_GONE_FIELDS = f"""SELECT {_row(7, "1", "o_orderkey", "'field.destroy'", "o_orderkey")} FROM orders JOIN customer ON o_custkey = {_C} WHERE o_orderkey % 8 = 1 AND {_C} % 10 > 1"""
+_GONE_FIELDS = f"""SELECT {_row(7, "0", _C, "'fieldset.destroy'", f"'h' || {_C}", step=_C)} FROM customer WHERE {_C} % 10 = 3
+    UNION ALL SELECT {_row(7, "0", _C, "'field.destroy'", "o_orderkey", step="(1::BIGINT << 40) + o_orderkey")} FROM orders JOIN customer ON o_custkey = {_C} WHERE o_orderkey % 8 = 1 AND {_C} % 10 > 1"""
 _CHANGED_FIELDS = f"""{_MEMBERS} SELECT {_row(8, "0", "c", "'field.update'", "id", "'field_type=\"json\";validators={}'", step="2 * k")} FROM p WHERE kind = 'field' AND stays AND k % 7 = 0
     UNION ALL SELECT {_row(8, "0", "c", "'field.update'", "id", "'label=\"' || label || '\"'", step="2 * k + 1")} FROM p WHERE kind = 'field' AND stays AND k % 5 = 0
-    UNION ALL SELECT {_row(8, "1", "c", "'field.update'", "id", "'position=1'", "'fieldset=null'", step="1")} FROM p WHERE front"""
+    UNION ALL SELECT {_row(8, "0", "c", "'fieldset.update'", "id", "'title=\"T' || k || '\"'", step="(1::BIGINT << 40) + 2 * k + 1")} FROM p WHERE kind = 'fieldset' AND stays AND k % 7 = 0
+    UNION ALL SELECT {_row(8, "0", "c", "'field.update'", "id", "'position=1'", "'fieldset=null'", step="2 * (1::BIGINT << 40) + 1")} FROM p WHERE front"""
 _GONE_MODELS = f"""SELECT {_row(9, "0", "top", "'item_type.destroy'", _C, step=f"(top - {_C}) // 10")} FROM (SELECT {_C}, max({_C}) OVER (PARTITION BY ({_C} - 1) // 100) AS top FROM customer WHERE {_C} % 10 = 1)"""
 _FINISHED = f"""SELECT {_row(10, "0", _C, "'item_type.update'", _C, "'ordering_direction=\"asc\"'", f"CASE WHEN {_C} % 4 = 0 THEN '' ELSE 'ordering_field={{\"data\":{{\"id\":\"' || CASE WHEN {_C} % 9 = 0 THEN 'n' ELSE 'o' END || {_C} || '\"}}}}' END")} FROM customer WHERE {_C} % 10 = 0 AND {_C} % 3 = 0
     UNION ALL SELECT {_row(10, "1", _C, "'item_type.update'", _C, f"concat_ws(';', CASE WHEN {_C} % 7 = 0 THEN {_NAME} END, CASE WHEN {_C} % 9 = 0 THEN 'ordering_direction=\"asc\"' END)", f"CASE WHEN {_C} % 9 = 0 AND {_C} % 4 <> 0 THEN 'ordering_field={{\"data\":{{\"id\":\"n' || {_C} || '\"}}}}' ELSE '' END")}
@@ -343,7 +351,9 @@ _MENU = f"""{_TREE} SELECT {_row(12, "0", "k", "'menu_item.create'", "k", f"{_LA
     UNION ALL SELECT {_row(12, "1", "k", "'menu_item.destroy'", "k")} FROM q WHERE NOT in_new
     UNION ALL SELECT {_row(12, "2", "k", "'menu_item.update'", "k", _LABEL)} FROM q WHERE stays AND k % 7 = 0 AND upper(p_name) <> p_name
     UNION ALL SELECT {_row(12, "3", "1 - n", "'menu_item.update'", "k", "'position=1'", "'parent=' || CASE WHEN up > 0 THEN CAST(up AS VARCHAR) ELSE 'null' END", step="1")} FROM q WHERE stays AND up % 5 = 0 AND n >= 3 AND k = last"""
-_SCHEMA_MENU = f"""SELECT {_row(13, "2", "k", "'schema_menu_item.update'", "id", "'label=\"G' || k || '\"'")} FROM (SELECT DISTINCT 'g' || ({_C} // 8) AS id, {_C} // 8 AS k FROM customer UNION ALL SELECT 's' || {_C}, {_C} FROM customer WHERE {_C} % 10 > 1) WHERE k % 5 = 0"""
+_SCHEMA_MENU = f"""SELECT {_row(13, "2", "k", "'schema_menu_item.update'", "id", "'label=\"G' || k || '\"'")} FROM (SELECT DISTINCT 'g' || ({_C} // 8) AS id, {_C} // 8 AS k FROM customer UNION ALL SELECT 's' || {_C}, {_C} FROM customer WHERE {_C} % 10 > 1) WHERE k % 5 = 0
+    UNION ALL SELECT {_row(13, "0", _C, "'schema_menu_item.create'", f"'e' || {_C}", f"'kind=\"item_type\";label=\"G' || {_C} || '\"'", f"'parent={{\"data\":{{\"id\":\"g' || ({_C} // 8) || '\"}}}}'")} FROM customer WHERE {_C} % 10 = 0
+    UNION ALL SELECT {_row(13, "1", _C, "'schema_menu_item.destroy'", f"'e' || {_C}")} FROM customer WHERE {_C} % 10 = 1"""
 _RULE = """'{"action":"' || o_orderstatus || '"' || CASE WHEN o_orderkey % 4 < 2 THEN ',"all":true' ELSE '' END || ',"item_type":"' || o_orderkey % 3 || '"}'"""
 _ROLES = f"""WITH r AS (SELECT o_custkey AS c, o_orderkey % 2 = 0 AS new, {_RULE} AS rule FROM orders), d AS (SELECT * FROM r WHERE NOT EXISTS (SELECT 1 FROM r q WHERE q.c = r.c AND q.new <> r.new AND q.rule = r.rule)),
     a AS (SELECT c, string_agg(rule, ',' ORDER BY rule) FILTER (WHERE new) AS added, string_agg(rule, ',' ORDER BY rule) FILTER (WHERE NOT new) AS removed FROM d GROUP BY 1)
@@ -364,9 +374,10 @@ SQL = _PHASES | {
         SELECT CAST(11 AS INTEGER) AS phase, CAST({_P} AS VARCHAR) AS entity_id, 'Create filter "' || p_name || '"' || {_OWNER} AS message FROM f WHERE d = 0
         UNION ALL SELECT 11, CAST({_P} AS VARCHAR), 'Update filter "' || p_name || '"' || {_OWNER} FROM f WHERE d > 1 AND differs
         UNION ALL SELECT 11, CAST({_P} AS VARCHAR), 'Delete filter "' || p_name || '"' || coalesce(' of ' || (SELECT {_MODEL(_C, "c_name")} FROM customer WHERE {_C} = f.own AND {_C} % 10 <> 0), '') FROM f WHERE d = 1
-        UNION ALL SELECT 6, id, 'Create ' || CASE WHEN kind = 'field' THEN {_TYPE_NAME} || ' field "' || label || '" (`k' || k || '`)' ELSE 'fieldset "t' || k || '"' END || ' in ' || {_MODEL(_C, _NEW_NAME)} FROM ({_MEMBERS} SELECT * FROM p WHERE NOT stays) JOIN customer ON c = {_C}
+        UNION ALL SELECT 6, id, 'Create ' || CASE WHEN kind = 'field' THEN {_TYPE_NAME} || ' field "' || label || '" (`k' || k || '`)' ELSE 'fieldset "' || CASE WHEN k % 7 = 0 THEN 'T' ELSE 't' END || k || '"' END || ' in ' || {_MODEL(_C, _NEW_NAME)} FROM ({_MEMBERS} SELECT * FROM p WHERE NOT stays) JOIN customer ON c = {_C}
         UNION ALL SELECT 7, CAST(o_orderkey AS VARCHAR), 'Delete ' || CASE o_orderstatus WHEN 'O' THEN 'Single-line string' WHEN 'F' THEN 'Slug' ELSE 'Multiple-paragraph text' END || ' field "l' || o_orderkey || '" (`k' || o_orderkey || '`) in ' || {_MODEL(_C, "c_name")}
-            FROM orders JOIN customer ON o_custkey = {_C} WHERE o_orderkey % 8 = 1 AND {_C} % 10 > 1""",
+            FROM orders JOIN customer ON o_custkey = {_C} WHERE o_orderkey % 8 = 1 AND {_C} % 10 > 1
+        UNION ALL SELECT 7, 'h' || {_C}, 'Delete fieldset "t' || {_C} || '" in ' || {_MODEL(_C, "c_name")} FROM customer WHERE {_C} % 10 = 3""",
     "remapped_script": f"""WITH w AS (SELECT {_S} AS k FROM supplier WHERE {_S} % 10 = 0)
         SELECT CAST(0 AS INTEGER) AS phase, CAST(0 AS BIGINT) AS seq, 'const newItemTypes = {{}};' AS line WHERE EXISTS (SELECT 1 FROM customer WHERE {_C} % 10 = 0) UNION ALL SELECT 0, 0, 'const newWorkflows = {{}};' WHERE EXISTS (SELECT 1 FROM w)
         UNION ALL SELECT 2, {_S}, 'newWorkflows["' || {_S} || '"] = workflow.create(' || {_S} || ', {{name: "' || s_name || '", stage: ' || CASE WHEN {_S} % 4 = 2 THEN s_nationkey + 1 ELSE s_nationkey END || '}}, {{}})' FROM supplier WHERE {_S} % 10 = 0

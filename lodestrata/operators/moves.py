@@ -5,62 +5,141 @@ Each group (a model's fields and fieldsets, or a menu tree) is planned on its ow
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 ROOT = ""
 SCOPE_WEIGHT = 100
+BLOCK = 256
 
 
 class IllegalMove(Exception):
     """A step would leave a gap, or the steps end elsewhere."""
 
 
+class _Block:
+    """Some neighbours of a list: positions in order less what is to be added to each, and their keys."""
+
+    __slots__ = ("add", "at", "keys")
+
+    def __init__(self, add: int, at: list[int], keys: list[str]):
+        self.add, self.at, self.keys = add, at, keys
+
+
+class _Siblings:
+    """The members of one scope by position. A shift of all from a place on changes one block and a number in each later one."""
+
+    def __init__(self) -> None:
+        self.blocks: list[_Block] = []
+        self.home: dict[str, _Block] = {}
+
+    def insert(self, key: str, position: int) -> None:
+        for n, block in enumerate(self.blocks):
+            if block.add + block.at[-1] >= position:
+                break
+        else:
+            if not self.blocks:
+                self.blocks.append(_Block(0, [], []))
+            n, block = len(self.blocks) - 1, self.blocks[-1]
+        i = bisect_left(block.at, position - block.add)
+        block.at.insert(i, position - block.add)
+        block.keys.insert(i, key)
+        self.home[key] = block
+        if len(block.at) > 2 * BLOCK:
+            rest = _Block(block.add, block.at[BLOCK:], block.keys[BLOCK:])
+            del block.at[BLOCK:], block.keys[BLOCK:]
+            self.blocks.insert(n + 1, rest)
+            self.home.update(dict.fromkeys(rest.keys, rest))
+
+    def delete(self, key: str) -> None:
+        block = self.home.pop(key)
+        i = block.keys.index(key)
+        del block.at[i], block.keys[i]
+        if not block.at:
+            self.blocks.remove(block)
+
+    def position(self, key: str) -> int:
+        block = self.home[key]
+        return block.add + block.at[block.keys.index(key)]
+
+    def shift(self, since: int, by: int) -> None:
+        """Add ``by`` (1 or -1) to all positions of ``since`` or more, which keeps their order."""
+        for block in self.blocks:
+            if block.add + block.at[0] >= since:
+                block.add += by
+            elif block.add + block.at[-1] >= since:
+                i = bisect_left(block.at, since - block.add)
+                block.at[i:] = [x + by for x in block.at[i:]]
+
+    def last(self) -> int:
+        return max(0, self.blocks[-1].add + self.blocks[-1].at[-1]) if self.blocks else 0
+
+
 class Arrangement:
     """Entities with a scope and a position in it; positions close up and open up as entities move.
 
-    Each scope has its members at hand, so a step costs as much as the two lists that it touches.
+    A step costs about the square root of the lists that it touches.
     """
 
     def __init__(self, rows: dict[str, tuple[str, int]]):
-        self.at = {k: [s, p] for k, (s, p) in rows.items()}
+        self.scope: dict[str, str] = {}
         self.members: dict[str, dict[str, None]] = {}
-        for k, (s, _) in rows.items():
-            self.members.setdefault(s, {})[k] = None
+        self.lists: dict[str, _Siblings] = {}
+        for k, (s, p) in rows.items():
+            self.put(k, s, p)
+
+    def place(self, key: str) -> tuple[str, int]:
+        return self.scope[key], self.lists[self.scope[key]].position(key)
 
-    def last(self, scope: str, but: str | None = None) -> int:
-        return max([0, *(self.at[k][1] for k in self.members.get(scope, ()) if k != but)])
+    def places(self) -> dict[str, tuple[str, int]]:
+        at = {k: block.add + p for own in self.lists.values() for block in own.blocks for p, k in zip(block.at, block.keys, strict=True)}
+        return {k: (s, at[k]) for k, s in self.scope.items()}
 
-    def shift(self, scope: str, since: int, by: int, but: str) -> None:
-        for k in self.members.get(scope, ()):
-            if k != but and self.at[k][1] >= since:
-                self.at[k][1] += by
+    def last(self, scope: str) -> int:
+        return self.lists[scope].last() if scope in self.lists else 0
+
+    def shift(self, scope: str, since: int, by: int) -> None:
+        if scope in self.lists:
+            self.lists[scope].shift(since, by)
+
+    def take(self, key: str) -> None:
+        """Out of its list; its gap stays."""
+        self.members[self.scope[key]].pop(key)
+        self.lists[self.scope[key]].delete(key)
 
     def put(self, key: str, scope: str, position: int) -> None:
-        if key in self.at:
-            self.members[self.at[key][0]].pop(key, None)
-        self.at[key] = [scope, position]
+        if key in self.scope:
+            self.take(key)
+        self.set(key, scope, position)
+
+    def set(self, key: str, scope: str, position: int) -> None:
+        self.scope[key] = scope
         self.members.setdefault(scope, {})[key] = None
+        self.lists.setdefault(scope, _Siblings()).insert(key, position)
 
     def append(self, key: str, scope: str) -> None:
         self.put(key, scope, self.last(scope) + 1)
 
     def remove(self, key: str) -> None:
         """Take ``key`` out and close its gap; what it contained goes to the end of the root, one by one."""
-        scope, position = self.at[key]
-        self.members[scope].pop(key)
-        del self.at[key]
-        self.shift(scope, position, -1, key)
+        scope, position = self.place(key)
+        self.take(key)
+        del self.scope[key]
+        self.shift(scope, position, -1)
         for k in list(self.members.get(key, ())):
             self.put(k, ROOT, self.last(ROOT) + 1)
 
     def move(self, key: str, scope: str, position: int, strict: bool) -> None:
-        old_scope, old_position = self.at[key]
-        if strict and position > self.last(scope, key) + 1:
+        """An illegal move leaves the entity out of all lists."""
+        old_scope, old_position = self.place(key)
+        self.take(key)
+        if strict and position > self.last(scope) + 1:
             raise IllegalMove(key)
-        self.put(key, scope, position)
-        self.shift(old_scope, old_position, -1, key)
-        self.shift(scope, position, 1, key)
+        self.shift(old_scope, old_position, -1)
+        self.shift(scope, position, 1)
+        self.set(key, scope, position)
 
 
 def start(old: dict[str, tuple[str, int]], new: dict[str, tuple[str, int]], first: str = "") -> Arrangement:
@@ -81,21 +160,21 @@ def weighed_plan(old: dict[str, tuple[str, int]], new: dict[str, tuple[str, int]
     Far movers go first, which takes fewer steps; if that runs into an illegal move or misses the goal, all go by position
     with the weight 0, which always arrives where positions run from 1 without gaps. Keys with the prefix ``first`` are containers.
     """
-    before = start(old, new, first)
+    there = start(old, new, first).places()
 
     def run(order: list[str], strict: bool) -> list[tuple[int, str, str, int]]:
-        state = Arrangement({k: tuple(v) for k, v in before.at.items()})
+        state = Arrangement(there)
         steps = []
         for k in order:
-            if tuple(state.at[k]) != tuple(new[k]):
+            if state.place(k) != tuple(new[k]):
                 steps.append((weight(k) if strict else 0, k, *new[k]))
                 state.move(k, *new[k], strict)
-        if strict and any(tuple(v) != tuple(new[k]) for k, v in state.at.items()):
+        if strict and any(v != tuple(new[k]) for k, v in state.places().items()):
             raise IllegalMove
         return steps
 
     def weight(k: str) -> int:
-        scope, position = before.at[k]
+        scope, position = there[k]
         return abs(new[k][1] - position) + (SCOPE_WEIGHT if scope != new[k][0] else 0)
 
     try:
@@ -114,7 +193,7 @@ def replay(old: dict[str, tuple[str, int]], new: dict[str, tuple[str, int]], ste
     state = start(old, new, first)
     for k, scope, position in steps:
         state.move(k, scope, position, False)
-    return {k: tuple(v) for k, v in state.at.items()}
+    return state.places()
 
 
 def plan_groups(old: DataFrame, new: DataFrame, first: str = "") -> DataFrame:

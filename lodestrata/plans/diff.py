@@ -1,7 +1,8 @@
 """The ordered change plan between two snapshots of a catalog.
 
 A snapshot has a row for each entity: kind, id, ord (its place in the catalog's key order), owner (the model of a field or
-fieldset), attributes, relationships and meta (maps of name to canonical JSON). A plan has a row for each call, ordered by
+fieldset), attributes, relationships and meta (maps of name to canonical JSON). Both snapshots are joined once, by kind and id;
+the phases are branches over the joined rows, which a whole plan stores by kind. A plan has a row for each call, ordered by
 phase, stage, ord and step; attributes and relationships are what the call sends. Nothing is numbered across the plan, so
 no step gathers it in one task.
 """
@@ -17,8 +18,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.canonical import canonical_values, json_array, json_object, survives
 from ..functions.maps import beyond_defaults, locale_nulls, omit, pick, without_falsy, without_nulls
 from ..operators.graph import components, depths, destroy_keys
-from ..operators.joins import created, deep_difference, deleted, first_match, kept
+from ..operators.joins import deep_difference, first_match
 from ..operators.moves import ROOT, plan_groups
+from ..sources.folders import new_path
 
 PLAN = ("phase", "stage", "ord", "step", "kind", "call", "entity_id", "attributes", "relationships")
 
@@ -45,6 +47,8 @@ PLUGIN_NOT_SENT = ("parameter_definitions", "field_types", "plugin_type", "param
 PERMISSIONS = ("positive_item_type_permissions", "negative_item_type_permissions", "positive_upload_permissions", "negative_upload_permissions")
 
 _MAP = "map<string,string>"
+#: So far apart are the parts of a sort key of which each has places of its own.
+_PART = 1 << 40
 
 
 def nothing() -> Column:
@@ -68,10 +72,61 @@ def _rows(
     )
 
 
-def _of(snapshot: DataFrame, *kinds: str) -> DataFrame:
-    """The entities of some kinds, in the one form of JSON in which equal values are equal texts."""
+_STATE = ("ord", "owner", "attributes", "relationships", "meta")
+_VALUES = ("attributes", "relationships", "meta")
+
+
+class States:
+    """Both states of each entity in one row (kind, id, old, new), null where a snapshot doesn't have it.
+
+    Values are in the one form of JSON in which equal values are equal texts.
+    """
+
+    def __init__(self, rows: DataFrame):
+        self.rows = rows
+
+    @classmethod
+    def of(cls, old: DataFrame | States, new: DataFrame | None = None, *kinds: str) -> States:
+        """The states of some kinds in two snapshots (all kinds if none is named), or what has been joined already."""
+        if isinstance(old, States):
+            return old
+
+        def side(snapshot: DataFrame, name: str) -> DataFrame:
+            rows = snapshot.where(F.col("kind").isin(*kinds)) if kinds else snapshot
+            values = [canonical_values(F.col(c)).alias(c) if c in _VALUES else F.col(c) for c in _STATE]
+            return rows.select("kind", "id", F.struct(*values).alias(name))
+
+        return cls(side(old, "old").join(side(new, "new"), ["kind", "id"], "full"))
+
+    def stored(self) -> States:
+        """These rows, written once to the shared folder, a folder for each kind, so that a phase reads its own kinds only."""
+        spark, path = self.rows.sparkSession, new_path(self.rows.sparkSession)
+        self.rows.write.partitionBy("kind").parquet(path)
+        return States(spark.read.schema(self.rows.schema).parquet(path))
+
+    def side(self, name: str, *kinds: str) -> DataFrame:
+        """The entities of some kinds in one snapshot: id, what a state has, and kind where there are several."""
+        rows = self.rows.where(F.col("kind").isin(*kinds) & F.col(name).isNotNull())
+        return rows.select("id", f"{name}.*", *(["kind"] if len(kinds) > 1 else []))
+
+    def created(self, kind: str) -> DataFrame:
+        return self.rows.where((F.col("kind") == kind) & F.col("old").isNull() & F.col("new").isNotNull()).select("id", "new.*")
+
+    def deleted(self, kind: str) -> DataFrame:
+        return self.rows.where((F.col("kind") == kind) & F.col("new").isNull() & F.col("old").isNotNull()).select("id", "old.*")
+
+    def kept(self, kind: str) -> DataFrame:
+        """Both states of what both have, as columns with the prefixes old and new."""
+        rows = self.rows.where((F.col("kind") == kind) & F.col("old").isNotNull() & F.col("new").isNotNull())
+        return rows.select("id", *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in ("old", "new") for c in _STATE])
+
+
+def _of(snapshot: DataFrame | States, *kinds: str) -> DataFrame:
+    """The entities of some kinds in one snapshot, or in the new one of joined states."""
+    if isinstance(snapshot, States):
+        return snapshot.side("new", *kinds)
     rows = snapshot.where(F.col("kind").isin(*kinds))
-    rows = rows.withColumns({c: canonical_values(F.col(c)) for c in ("attributes", "relationships", "meta")})
+    rows = rows.withColumns({c: canonical_values(F.col(c)) for c in _VALUES})
     return rows.drop("kind") if len(kinds) == 1 else rows
 
 
@@ -90,32 +145,32 @@ class Simple:
     ignored: tuple[str, ...] = ()
     creates: bool = True
 
-    def plan(self, old: DataFrame, new: DataFrame) -> DataFrame:
-        old, new = _of(old, self.kind), _of(new, self.kind)
-        both = kept(old, new)
+    def plan(self, old: DataFrame | States, new: DataFrame | None = None) -> DataFrame:
+        states = States.of(old, new, self.kind)
+        both = states.kept(self.kind)
         differs = omit(changed(F.col("old_attributes"), F.col("new_attributes")), *self.ignored) if self.ignored else changed(F.col("old_attributes"), F.col("new_attributes"))
         both = both.withColumn("differs", differs).where(F.size("differs") > 0)
         out = _rows(both, self.phase, 2, self.kind, "update", F.col("new_attributes") if self.sends_all else F.col("differs"), ord_="new_ord")
         if self.creates:
-            out = out.unionByName(_rows(deleted(old, new), self.phase, 0, self.kind, "destroy"))
-            out = out.unionByName(_rows(created(old, new), self.phase, 1, self.kind, "create", F.col("attributes"), without_nulls(F.col("relationships"))))
+            out = out.unionByName(_rows(states.deleted(self.kind), self.phase, 0, self.kind, "destroy"))
+            out = out.unionByName(_rows(states.created(self.kind), self.phase, 1, self.kind, "create", F.col("attributes"), without_nulls(F.col("relationships"))))
         return out
 
 
-def plugins(old: DataFrame, new: DataFrame, phase: int = 3) -> DataFrame:
+def plugins(old: DataFrame | States, new: DataFrame | None = None, phase: int = 3) -> DataFrame:
     """Plugins, whose updates depend on whether the old one is a legacy or a public one and on the new version."""
-    old, new = _of(old, "plugin"), _of(new, "plugin")
+    states = States.of(old, new, "plugin")
     value = lambda m, k: F.coalesce(F.try_element_at(m, F.lit(k)), F.lit("null"))
     given = lambda m, k: ~value(m, k).isin("null", '""')
     a = F.col("attributes")
-    made = created(old, new)
+    made = states.created("plugin")
     legacy = value(F.col("meta"), "version").isin('"1"')
     sent = F.when(given(a, "package_name"), pick(a, "package_name")).when(legacy, omit(a, "parameters")).otherwise(omit(a, *PLUGIN_NOT_SENT))
-    out = _rows(deleted(old, new), phase, 0, "plugin", "destroy").unionByName(_rows(made, phase, 1, "plugin", "create", sent))
+    out = _rows(states.deleted("plugin"), phase, 0, "plugin", "destroy").unionByName(_rows(made, phase, 1, "plugin", "create", sent))
     settings = made.where(F.coalesce(F.try_element_at(a, F.lit("parameters")), F.lit("")) != "{}")
     out = out.unionByName(_rows(settings, phase, 1, "plugin", "update", pick(a, "parameters"), step=1))
 
-    both = kept(old, new).withColumn("differs", changed(F.col("old_attributes"), F.col("new_attributes")))
+    both = states.kept("plugin").withColumn("differs", changed(F.col("old_attributes"), F.col("new_attributes")))
     a, d = F.col("new_attributes"), F.col("differs")
     legacy, public = value(F.col("old_meta"), "version").isin('"1"'), given(F.col("old_attributes"), "package_name")
     version = given(a, "package_version")
@@ -137,12 +192,13 @@ def _block(attributes: str) -> Column:
     return F.coalesce(F.try_element_at(attributes, F.lit("modular_block")), F.lit("false")) == "true"
 
 
-def new_models(old: DataFrame, new: DataFrame, phase: int = 5) -> DataFrame:
+def new_models(old: DataFrame | States, new: DataFrame | None = None, phase: int = 5) -> DataFrame:
     """Created models with what goes beyond the defaults, their workflow, and the first schema menu entry that stands for each."""
-    made = created(_of(old, "item_type"), _of(new, "item_type"))
+    states = States.of(old, new, "item_type", "schema_menu_item")
+    made = states.created("item_type")
     sent = beyond_defaults(F.col("attributes"), MODEL_DEFAULTS)
     sent = F.when(_block("attributes"), omit(sent, *BLOCK_IGNORED)).otherwise(omit(sent, *MODEL_IGNORED))
-    entries = first_match(_of(new, "schema_menu_item").select(_linked("item_type").alias("id"), F.col("id").alias("entry"), F.col("ord").alias("entry_ord")).where("id is not null"), "id", "entry_ord")
+    entries = first_match(states.side("new", "schema_menu_item").select(_linked("item_type").alias("id"), F.col("id").alias("entry"), F.col("ord").alias("entry_ord")).where("id is not null"), "id", "entry_ord")
     made = made.join(entries.select("id", "entry"), "id", "left")
     entry = F.map_filter(F.create_map(F.lit("schema_menu_item"), F.col("entry")), lambda _, v: v.isNotNull())
     return _rows(made, phase, 0, "item_type", "create", sent, F.map_concat(without_nulls(pick(F.col("relationships"), "workflow")), entry))
@@ -152,7 +208,7 @@ def _position(attributes: str) -> Column:
     return F.coalesce(F.try_element_at(attributes, F.lit("position")).cast("long"), F.lit(0))
 
 
-def default_values(new: DataFrame) -> DataFrame:
+def default_values(new: DataFrame | States) -> DataFrame:
     """One row with the default of a field's value: null for a site of one locale, else an object of nulls (none: no such site)."""
     locales = F.from_json(F.try_element_at("attributes", F.lit("locales")), "array<string>")
     return _of(new, "site").select(canonical_default(locales).alias("default_value")).agg(F.min("default_value").alias("default_value"))
@@ -163,19 +219,18 @@ def canonical_default(locales: Column) -> Column:
     return locale_nulls(F.array_sort(locales))
 
 
-def new_fields(old: DataFrame, new: DataFrame, phase: int = 6) -> DataFrame:
+def new_fields(old: DataFrame | States, new: DataFrame | None = None, phase: int = 6) -> DataFrame:
     """Model by model, new models first, fieldsets, then fields, then slugs, each by position: stage is 0 for new models, step the model's place.
 
     The default of a value depends on the site's locales. A field takes its fieldset along.
     """
-    models = _of(new, "item_type").select(F.col("id").alias("owner"), F.col("ord").alias("model_ord"))
-    before = _of(old, "item_type").select(F.col("id").alias("owner"), F.lit(1).alias("stays"))
-    models = models.join(before, "owner", "left").select("owner", "model_ord", F.coalesce("stays", F.lit(0)).alias("stage"))
-    default = F.coalesce(default_values(new).scalar(), F.lit("null"))
+    states = States.of(old, new, "item_type", "fieldset", "field", "site")
+    models = states.rows.where("kind = 'item_type' and new is not null").select(F.col("id").alias("owner"), F.col("new.ord").alias("model_ord"), F.when(F.col("old").isNull(), 0).otherwise(1).alias("stage"))
+    default = F.coalesce(default_values(states).scalar(), F.lit("null"))
     slug = F.coalesce(F.try_element_at("attributes", F.lit("field_type")), F.lit("")) == '"slug"'
     out = None
     for kind in ("fieldset", "field"):
-        rows = created(_of(old, kind), _of(new, kind)).join(models, "owner")
+        rows = states.created(kind).join(models, "owner")
         if kind == "field":
             rows = rows.withColumn("default_value", default)
             plain = ~F.coalesce(F.try_element_at("attributes", F.lit("default_value")) == F.col("default_value"), F.lit(False))
@@ -184,79 +239,84 @@ def new_fields(old: DataFrame, new: DataFrame, phase: int = 6) -> DataFrame:
         else:
             sent, place, links = omit(beyond_defaults(F.col("attributes"), FIELDSET_DEFAULTS), "position"), F.lit(0), nothing()
         # One sort key: models in order, then fieldsets, fields and slugs, then positions.
-        step = place * F.lit(1 << 40) + _position("attributes")
+        step = place * F.lit(_PART) + _position("attributes")
         each = _rows(rows.withColumns({"sent": sent, "links": links, "step_": step}), phase, 0, kind, "create", F.col("sent"), F.col("links"), ord_="model_ord", more={"stage": F.col("stage"), "step": F.col("step_")})
         out = each if out is None else out.unionByName(each)
     return out
 
 
-def gone_fields(old: DataFrame, new: DataFrame, phase: int = 7) -> DataFrame:
-    """Fieldsets, then fields, that models which stay have lost."""
-    models = _of(new, "item_type").select(F.col("id").alias("owner"))
+def _staying(states: States) -> DataFrame:
+    """(owner, model_ord): the models that both snapshots have, with their place in the new one."""
+    return states.kept("item_type").select(F.col("id").alias("owner"), F.col("new_ord").alias("model_ord"))
+
+
+def gone_fields(old: DataFrame | States, new: DataFrame | None = None, phase: int = 7) -> DataFrame:
+    """Model by model, the fieldsets and then the fields that models which stay have lost."""
+    states = States.of(old, new, "item_type", "fieldset", "field")
     out = None
-    for stage, kind in enumerate(("fieldset", "field")):
-        lost = deleted(_of(old, kind), _of(new, kind)).join(models, "owner", "left_semi")
-        rows = _rows(lost, phase, stage, kind, "destroy")
+    for place, kind in enumerate(("fieldset", "field")):
+        lost = states.deleted(kind).join(_staying(states), "owner")
+        rows = _rows(lost, phase, 0, kind, "destroy", ord_="model_ord", more={"step": F.lit(place * _PART) + F.col("ord")})
         out = rows if out is None else out.unionByName(rows)
     return out
 
 
-def _arranged(snapshot: DataFrame) -> DataFrame:
+def _arranged(both: DataFrame) -> DataFrame:
     """Fields and fieldsets as (grp, key, scope, position, ord): a field's scope is its fieldset."""
     ref = _linked("fieldset")
-    both = _of(snapshot, "field", "fieldset")
     key = F.concat_ws(":", "kind", "id")
     scope = F.coalesce(F.concat(F.lit("fieldset:"), ref), F.lit(ROOT))
     return both.select(F.col("owner").alias("grp"), key.alias("key"), scope.alias("scope"), _position("attributes").alias("position"), F.struct("kind", "ord").alias("ord"))
 
 
-def changed_fields(old: DataFrame, new: DataFrame, phase: int = 8) -> DataFrame:
-    """Model by model: a field's new type first, then its other changes; then the moves of each model that stays."""
-    models = _of(new, "item_type").join(_of(old, "item_type").select("id"), "id", "left_semi").select(F.col("id").alias("grp"), F.col("ord").alias("model_ord"))
+def changed_fields(old: DataFrame | States, new: DataFrame | None = None, phase: int = 8) -> DataFrame:
+    """Model by model: a field's new type first, then its other changes, then those of fieldsets, then the model's moves."""
+    states = States.of(old, new, "item_type", "field", "fieldset")
+    models = _staying(states).withColumnRenamed("owner", "grp")
     out = None
-    for kind in ("field", "fieldset"):
-        both = kept(_of(old, kind), _of(new, kind)).withColumn("differs", changed(F.col("old_attributes"), F.col("new_attributes")))
+    for place, kind in enumerate(("field", "fieldset")):
+        both = states.kept(kind).withColumn("differs", changed(F.col("old_attributes"), F.col("new_attributes")))
         both = both.join(models, F.col("new_owner") == F.col("grp"))
         typed = F.array(F.struct(F.lit(0).alias("which"), pick(F.col("new_attributes"), "field_type", "validators", "appearance").alias("sent")))
         rest = omit(F.col("differs"), "appeareance", "field_type", "position")
         other = F.array(F.struct(F.lit(1).alias("which"), rest.alias("sent")))
         calls = F.concat(F.when(F.map_contains_key("differs", "field_type"), typed).otherwise(F.slice(typed, 1, 0)), F.when(F.size(rest) > 0, other).otherwise(F.slice(other, 1, 0)))
         both = both.select("id", "model_ord", "new_ord", F.inline(calls))
-        rows = _rows(both, phase, 0, kind, "update", F.col("sent"), ord_="model_ord", more={"step": F.col("new_ord") * 2 + F.col("which")})
+        rows = _rows(both, phase, 0, kind, "update", F.col("sent"), ord_="model_ord", more={"step": F.lit(place * _PART) + F.col("new_ord") * 2 + F.col("which")})
         out = rows if out is None else out.unionByName(rows)
-    side = lambda s: _arranged(s).join(models.select("grp"), "grp", "left_semi").withColumn("ord", F.col("ord.ord"))
-    moves = plan_groups(side(old), side(new), first="fieldset:").join(models, "grp")
+    side = lambda name: _arranged(states.side(name, "field", "fieldset")).join(models.select("grp"), "grp", "left_semi").withColumn("ord", F.col("ord.ord"))
+    moves = plan_groups(side("old"), side("new"), first="fieldset:").join(models, "grp")
     kind, id_ = F.split_part("key", F.lit(":"), F.lit(1)), F.split_part("key", F.lit(":"), F.lit(2))
     place = F.create_map(F.lit("position"), F.col("position").cast("string"))
     ref = F.create_map(F.lit("fieldset"), F.when(F.col("scope") == ROOT, "null").otherwise(F.split_part("scope", F.lit(":"), F.lit(2))))
     return out.unionByName(
         moves.select(
-            F.lit(phase).alias("phase"), F.lit(1).alias("stage"), F.col("model_ord").cast("long").alias("ord"), "step", kind.alias("kind"), F.concat(kind, F.lit(".update")).alias("call"), id_.alias("entity_id"),
+            F.lit(phase).alias("phase"), F.lit(0).alias("stage"), F.col("model_ord").cast("long").alias("ord"), (F.col("step") + 2 * _PART).alias("step"), kind.alias("kind"), F.concat(kind, F.lit(".update")).alias("call"), id_.alias("entity_id"),
             place.alias("attributes"), F.when(kind == "field", ref).otherwise(nothing()).alias("relationships"),
         )
     )
 
 
-def gone_models(old: DataFrame, new: DataFrame, references: DataFrame, phase: int = 9) -> DataFrame:
+def gone_models(old: DataFrame | States, new: DataFrame | None, references: DataFrame, phase: int = 9) -> DataFrame:
     """Deleted models, those that no other deleted one refers to first. ``references`` has (src, dst).
 
     Each connected part of the references is put in order on its own; its place among the others follows from the keys alone.
     """
-    lost = deleted(_of(old, "item_type"), _of(new, "item_type"))
+    lost = States.of(old, new, "item_type").deleted("item_type")
     keys = destroy_keys(lost.select(F.col("id").alias("node"), "ord"), references)
     rows = lost.drop("ord").join(keys.select(F.col("node").alias("id"), "left_over", F.col("reach").alias("ord"), "place"), "id")
     return _rows(rows, phase, 0, "item_type", "destroy", more={"stage": F.col("left_over"), "step": F.col("place")})
 
 
-def finished_models(old: DataFrame, new: DataFrame, phase: int = 10) -> DataFrame:
+def finished_models(old: DataFrame | States, new: DataFrame | None = None, phase: int = 10) -> DataFrame:
     """Links of new models beyond the defaults, and what changed in the others; a changed ordering field takes its direction along."""
-    old, new = _of(old, "item_type"), _of(new, "item_type")
+    states = States.of(old, new, "item_type")
     blank = F.create_map(*[F.lit(x) for k in MODEL_LINKS for x in (k, '{"data":null}')])
-    made = created(old, new).select(
+    made = states.created("item_type").select(
         "id", "ord", F.lit(0).alias("stage"), F.col("attributes").alias("new_attributes"), pick(F.col("attributes"), "ordering_direction", "ordering_meta").alias("differs"),
         omit(changed(blank, F.col("relationships")), "workflow").alias("links"),
     )
-    both = kept(old, new).select(
+    both = states.kept("item_type").select(
         "id", F.col("new_ord").alias("ord"), F.lit(1).alias("stage"), "new_attributes", changed(F.col("old_attributes"), F.col("new_attributes")).alias("differs"),
         changed(F.col("old_relationships"), F.col("new_relationships")).alias("links"),
     )
@@ -274,35 +334,36 @@ def finished_models(old: DataFrame, new: DataFrame, phase: int = 10) -> DataFram
 def _scopes(old: DataFrame, new: DataFrame) -> DataFrame:
     """(key, grp): entries that can get into each other's way when they move, by the connected parts of their scopes.
 
-    An entry ties the list that it is in to the one that it goes to; one that is gone ties its own list to the top one, where
-    what it held goes.
+    An entry ties the list that it is in to the one that it goes to; one that is gone and held something ties its own list to
+    the top one, where what it held goes.
     """
     both = old.select("key", F.col("scope").alias("a")).join(new.select("key", F.col("scope").alias("b")), "key", "full")
     ties = both.select(F.coalesce("a", "b").alias("src"), F.coalesce("b", "a").alias("dst"))
-    gone = both.where("b is null").select(F.col("key").alias("src"), F.lit(ROOT).alias("dst"))
+    held = old.select(F.col("scope").alias("key")).distinct()
+    gone = both.where("b is null").join(held, "key", "left_semi").select(F.col("key").alias("src"), F.lit(ROOT).alias("dst"))
     part = components(ties.union(gone).distinct())
     return both.select("key", F.coalesce("a", "b").alias("node")).join(part, "node").select("key", F.col("component").alias("grp"))
 
 
-def menus(old: DataFrame, new: DataFrame, kind: str, phase: int) -> DataFrame:
+def menus(old: DataFrame | States, new: DataFrame | None, kind: str, phase: int) -> DataFrame:
     """Menu entries: new ones with parents first, then lost ones, then changes, then moves, far movers first.
 
     Entries of a schema menu that stand for a model come and go with it, so they are neither created nor destroyed here.
     """
-    old, new = _of(old, kind), _of(new, kind)
+    states = States.of(old, new, kind)
     free = F.lit(True) if kind == "menu_item" else _linked("item_type").isNull()
-    made = created(old, new).where(free).withColumn("parent", _linked("parent"))
+    made = states.created(kind).where(free).withColumn("parent", _linked("parent"))
     deep = made.join(depths(made), "id")
     sent = beyond_defaults(F.col("attributes"), MENU_DEFAULTS) if kind == "menu_item" else F.col("attributes")
     # depth and place are one sort key, as the step comes last
-    out = _rows(deep.withColumn("ord", F.col("depth").cast("long") * (1 << 40) + F.col("ord")), phase, 0, kind, "create", omit(sent, "position"), omit(without_nulls(F.col("relationships")), "children"))
-    out = out.unionByName(_rows(deleted(old, new).where(free), phase, 1, kind, "destroy"))
-    both = kept(old, new)
+    out = _rows(deep.withColumn("ord", F.col("depth").cast("long") * _PART + F.col("ord")), phase, 0, kind, "create", omit(sent, "position"), omit(without_nulls(F.col("relationships")), "children"))
+    out = out.unionByName(_rows(states.deleted(kind).where(free), phase, 1, kind, "destroy"))
+    both = states.kept(kind)
     both = both.withColumn("differs", omit(changed(F.col("old_attributes"), F.col("new_attributes")), "position"))
     both = both.withColumn("links", omit(changed(F.col("old_relationships"), F.col("new_relationships")), "children", "parent")).where("size(differs) > 0 or size(links) > 0")
     out = out.unionByName(_rows(both, phase, 2, kind, "update", F.col("differs"), F.col("links"), ord_="new_ord"))
     flat = lambda s: s.select(F.col("id").alias("key"), F.coalesce(_linked("parent"), F.lit(ROOT)).alias("scope"), _position("attributes").alias("position"), "ord")
-    old, new = flat(old), flat(new)
+    old, new = flat(states.side("old", kind)), flat(states.side("new", kind))
     scopes = _scopes(old, new)
     moves = plan_groups(old.join(scopes, "key"), new.join(scopes, "key"))
     place, ref = F.create_map(F.lit("position"), F.col("position").cast("string")), F.create_map(F.lit("parent"), F.when(F.col("scope") == ROOT, "null").otherwise(F.col("scope")))
@@ -327,7 +388,7 @@ def permission_changes(rules: DataFrame, old_env: str, new_env: str) -> DataFram
     return deep_difference(new, old).withColumn("side", F.lit("add")).unionByName(deep_difference(old, new).withColumn("side", F.lit("remove")))
 
 
-def role_rules(new: DataFrame) -> DataFrame:
+def role_rules(new: DataFrame | States) -> DataFrame:
     """(id, ord, list, rule): every rule of the four lists of each role, as a map of name to canonical JSON."""
     names = F.array(*map(F.lit, PERMISSIONS))
     lists = _of(new, "role").select("id", "ord", "attributes", F.explode(names).alias("list"))
@@ -335,7 +396,7 @@ def role_rules(new: DataFrame) -> DataFrame:
     return each.withColumn("rule", F.transform_values("rule", lambda _, v: F.coalesce(F.to_json(v), F.lit("null"))))
 
 
-def roles(new: DataFrame, old_env: str, new_env: str, phase: int = 14) -> DataFrame:
+def roles(new: DataFrame | States, old_env: str, new_env: str, phase: int = 14) -> DataFrame:
     """One update for each role whose permissions differ between the environments; roles come from the new side only."""
     diff = permission_changes(role_rules(new), old_env, new_env)
     per_list = diff.groupBy("id", "ord", "list", "side").agg(F.sort_array(F.collect_list("rule")).alias("rules"))
@@ -344,11 +405,12 @@ def roles(new: DataFrame, old_env: str, new_env: str, phase: int = 14) -> DataFr
 
 
 def change_plan(old: DataFrame, new: DataFrame, references: DataFrame, old_env: str, new_env: str) -> DataFrame:
-    """The plan of all phases that turns ``old`` into ``new``."""
+    """The plan of all phases that turns ``old`` into ``new``; each snapshot is read once."""
+    states = States.of(old, new).stored()
     parts = [
-        Simple(1, "site", ignored=SITE_IGNORED, creates=False).plan(old, new), Simple(2, "workflow").plan(old, new), plugins(old, new), Simple(4, "upload_filter", sends_all=True).plan(old, new),
-        new_models(old, new), new_fields(old, new), gone_fields(old, new), changed_fields(old, new), gone_models(old, new, references), finished_models(old, new),
-        Simple(11, "item_type_filter").plan(old, new), menus(old, new, "menu_item", 12), menus(old, new, "schema_menu_item", 13), roles(new, old_env, new_env),
+        Simple(1, "site", ignored=SITE_IGNORED, creates=False).plan(states), Simple(2, "workflow").plan(states), plugins(states), Simple(4, "upload_filter", sends_all=True).plan(states),
+        new_models(states), new_fields(states), gone_fields(states), changed_fields(states), gone_models(states, None, references), finished_models(states),
+        Simple(11, "item_type_filter").plan(states), menus(states, None, "menu_item", 12), menus(states, None, "schema_menu_item", 13), roles(states, old_env, new_env),
     ]
     return reduce(DataFrame.unionByName, parts)
 
