@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..functions.canonical import json_string
 from ..plans import content, posts
 from ..session import table
+from ..sources import target
+from ..sources.folders import new_path
 
 _KINDS = ("Symbol", "Text", "Link", "Array", "RichText", "Link", "Integer")
 
@@ -111,6 +113,20 @@ def import_records(spark, sf_dir):
     return out.select("entry_id", F.col("created_at").cast("string").alias("created_at"), (F.col("first_published_at").isNotNull()).alias("dated"), "status", "has_links", *map(_attribute, ("word_key", "count_key", "one_key", "many_key")))
 
 
+def imported_records(spark, sf_dir):
+    """Records written to a target and published: entries without a word aren't written, but kept apart; the rest is read back."""
+    path = new_path(spark)
+    made = content.records(_entries(spark, sf_dir), _described(spark, sf_dir), ["en", "it"], "en")
+    rows = made.select("entry_id", "status", *map(_attribute, ("word_key", "count_key")))
+    rows = rows.withColumn("error", F.when(F.col("word_key") == "null", F.concat(F.lit("no word in "), "entry_id")))
+    target.write(rows, path, "records", on_error=target.KEEP)
+    schema = "entry_id string, status string, word_key string, count_key string"
+    there = target.read(spark, path, schema)
+    target.publish(there, path, "records")
+    failed = target.read(spark, path, schema, failed=True).withColumn("published", F.lit(False))
+    return target.with_publication(spark, path, there).withColumn("error", F.lit(None).cast("string")).unionByName(failed)
+
+
 def import_updates(spark, sf_dir):
     """Every record as it is after both passes."""
     out = content.updated(content.records(_entries(spark, sf_dir), _described(spark, sf_dir), ["en", "it"], "en"), _links(spark, sf_dir))
@@ -229,7 +245,7 @@ def import_texts(spark, sf_dir):
 
 
 QUERIES = (
-    import_models, import_fields, slug_tracking, import_block, import_locales, import_records, import_links, import_updates, blog_fields, blog_models_gone, blog_authors, blog_terms, category_tree, blog_pages, blog_articles,
+    import_models, import_fields, slug_tracking, import_block, import_locales, import_records, imported_records, import_links, import_updates, blog_fields, blog_models_gone, blog_authors, blog_terms, category_tree, blog_pages, blog_articles,
     blog_urls, import_texts,
 )
 
@@ -268,6 +284,9 @@ SQL = {
     "import_records": f"""SELECT 'e' || {_E} AS entry_id, CAST(ts AS VARCHAR) AS created_at, {_E} % 3 > 0 AS dated, CASE WHEN {_E} % 3 > 0 THEN 'published' ELSE 'draft' END AS status, true AS has_links,
         CASE WHEN {_E} % 4 = 0 THEN 'null' ELSE '"' || event_type || '"' END AS word_key, '{{"en":' || CASE WHEN {_K} = 0 THEN 'null' ELSE CAST({_K} AS VARCHAR) END || ',"it":' || CASE WHEN {_K} % 2 = 0 THEN 'null' ELSE '1' END || '}}' AS count_key,
         'null' AS one_key, '{{"en":[],"it":null}}' AS many_key FROM events WHERE user_id % 4 <> 3""",
+    "imported_records": f"""SELECT 'e' || {_E} AS entry_id, CASE WHEN {_E} % 3 > 0 THEN 'published' ELSE 'draft' END AS status, CASE WHEN {_E} % 4 = 0 THEN 'null' ELSE '"' || event_type || '"' END AS word_key,
+        '{{"en":' || CASE WHEN {_K} = 0 THEN 'null' ELSE CAST({_K} AS VARCHAR) END || ',"it":' || CASE WHEN {_K} % 2 = 0 THEN 'null' ELSE '1' END || '}}' AS count_key, {_E} % 3 > 0 AND {_E} % 4 > 0 AS published,
+        CASE WHEN {_E} % 4 = 0 THEN 'no word in e' || {_E} END AS error FROM events WHERE user_id % 4 <> 3""",
     "import_updates": f"""SELECT 'e' || {_E} AS entry_id, CASE WHEN {_E} % 3 > 0 THEN 'published' ELSE 'draft' END AS status, CASE WHEN {_E} % 4 = 0 THEN 'null' ELSE '"' || event_type || '"' END AS word_key,
         coalesce(CASE WHEN ({_E} + 1) % 3 < 2 THEN {_TARGET.format(n=1)} END, 'null') AS one_key, '{{"en":[' || concat_ws(',', {_TARGET.format(n=1)}, {_TARGET.format(n=5)}, {_TARGET.format(n=1)}) || '],"it":[]}}' AS many_key FROM events WHERE user_id % 4 <> 3""",
     "import_links": f"""SELECT 'e' || {_E} AS entry_id, coalesce(CASE WHEN ({_E} + 1) % 3 < 2 THEN {_TARGET.format(n=1)} END, 'null') AS one_key,

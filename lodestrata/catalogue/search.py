@@ -9,6 +9,7 @@ from ..operators import order
 from ..plans import ledger, search
 from ..session import table
 from ..sources import paged, settings
+from ..sources.folders import new_path
 
 
 def fuzzy_score(spark, sf_dir):
@@ -141,7 +142,17 @@ def domain_coalesce(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", names.without_suffix(domain, ".example.com").alias("domain"))
 
 
-QUERIES = (fuzzy_score, fuzzy_topk, exact_else_fuzzy, find_models, workspace_filter, contains_filter, suggestions_top20, name_match, script_order, paged_scan, workspace_projects, workspace_sites, models_of_sort, primary_environment, field_details, relaxed_json, script_names, domain_coalesce)
+def paged_stream(spark, sf_dir):
+    """Orders through the paged source as a stream that ends when it has read all there is: rows of each page and its first and last key."""
+    paged.register(spark)
+    path = new_path(spark)
+    stream = spark.readStream.format("paged").option("path", f"{sf_dir}/orders.parquet").option("pagesize", 250).load()
+    stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", f"{path}.offsets").trigger(availableNow=True).start().awaitTermination()
+    rows = spark.read.schema(stream.schema).parquet(path)
+    return rows.groupBy(F.col("page").cast("long").alias("page")).agg(F.count("*").alias("n"), F.min("o_orderkey").alias("first"), F.max("o_orderkey").alias("last"))
+
+
+QUERIES = (paged_stream, fuzzy_score, fuzzy_topk, exact_else_fuzzy, find_models, workspace_filter, contains_filter, suggestions_top20, name_match, script_order, paged_scan, workspace_projects, workspace_sites, models_of_sort, primary_environment, field_details, relaxed_json, script_names, domain_coalesce)
 
 
 def _score(q: str, t: str) -> str:
@@ -172,6 +183,7 @@ SQL = {
     "contains_filter": "SELECT p_partkey, p_name FROM part WHERE contains(lower(p_name), 'wid')",
     "suggestions_top20": "SELECT DISTINCT p_name FROM part WHERE p_name > 'P' ORDER BY p_name LIMIT 20",
     "name_match": "SELECT p_partkey, p_name FROM part WHERE lower(replace(p_name, ' ', '')) = 'smallwidget'",
+    "paged_stream": "SELECT o_orderkey // 250 AS page, count(*) AS n, min(o_orderkey) AS first, max(o_orderkey) AS last FROM orders GROUP BY 1",
     "paged_scan": "SELECT o_orderkey // 100 AS page, count(*) AS n, min(o_orderkey) AS first, max(o_orderkey) AS last FROM orders GROUP BY 1",
     "script_order": """SELECT filename, row_number() OVER (PARTITION BY user_id ORDER BY replace(filename, '_', ' ')) AS place FROM (SELECT user_id, event_id || '_' || CASE WHEN event_id % 2 = 0 THEN upper(event_type) ELSE event_type END || '.js' AS filename FROM events)""",
     "workspace_projects": f"""WITH r AS (SELECT c_custkey AS c, c_name, least(CASE WHEN c_custkey % 10 IN (SELECT s_suppkey FROM supplier) THEN c_custkey % 10 ELSE 99 END, CASE WHEN (c_custkey + 3) % 7 IN (SELECT s_suppkey FROM supplier) THEN (c_custkey + 3) % 7 ELSE 99 END) AS w FROM customer WHERE c_custkey % 5 <> 0)
