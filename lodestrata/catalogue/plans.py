@@ -191,7 +191,7 @@ def change_plan(spark, sf_dir):
     for env, new in (("old", False), ("2024", True)):
         snapshots.save(_catalog(spark, sf_dir, new), path, env)
     old, new = (snapshots.load(spark, path, env) for env in ("old", "2024"))
-    return _text(diff.change_plan(old, new, _references(spark, sf_dir), "old", "2024"))
+    return _text(diff.change_plan(old, new, _references(spark, sf_dir), "old", "2024", canonical=True))
 
 
 def site_update(spark, sf_dir):

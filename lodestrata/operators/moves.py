@@ -8,11 +8,14 @@ from __future__ import annotations
 from bisect import bisect_left
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
+
+from ..sources.folders import shared_folder
 
 ROOT = ""
 SCOPE_WEIGHT = 100
 BLOCK = 256
+GROUPS = 64
 
 
 class IllegalMove(Exception):
@@ -196,21 +199,51 @@ def replay(old: dict[str, tuple[str, int]], new: dict[str, tuple[str, int]], ste
     return state.places()
 
 
+def unsettled(old: DataFrame, new: DataFrame, first: str = "") -> DataFrame:
+    """The groups (grp) in which something has to move: the others are as wanted once things have been created and destroyed.
+
+    Where no list is left for another one, none that is gone held anything and no place is taken twice, what stays moves up by
+    those that are gone before it, and what is new follows the last, containers first: counts over each list tell where all are.
+    """
+    a = old.select("grp", "key", F.col("scope").alias("a"), F.col("position").alias("p"))
+    b = new.select("grp", "key", F.col("scope").alias("b"), F.col("position").alias("q"), "ord")
+    both = a.join(b, ["grp", "key"], "full").withColumn("list", F.coalesce("b", "a"))
+    lost, made = F.col("b").isNull(), F.col("a").isNull()
+    own = Window.partitionBy("grp", "list")
+    later = ~F.startswith("key", F.lit(first)) if first else F.lit(False)
+    placed = both.withColumns(
+        {
+            "gone": F.count_if(lost).over(own.orderBy(F.col("p").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)), "all_gone": F.count_if(lost).over(own), "last": F.coalesce(F.max("p").over(own), F.lit(0)),
+            "rank": F.count_if(made).over(own.orderBy(F.when(made, later), "q", "ord", "key").rowsBetween(Window.unboundedPreceding, 0)), "twice": F.count("p").over(Window.partitionBy("grp", "list", "p")) > 1,
+        }
+    )
+    at = F.when(made, F.col("last") + F.col("rank") - F.col("all_gone")).otherwise(F.col("p") - F.col("gone"))
+    stirred = placed.where(F.col("twice") | F.coalesce(F.col("a") != F.col("b"), F.lit(False)) | ~lost & (at != F.col("q"))).select("grp")
+    held = both.where(lost).join(a.select("grp", F.col("a").alias("key")).distinct(), ["grp", "key"], "left_semi").select("grp")
+    return stirred.union(held).distinct()
+
+
 def plan_groups(old: DataFrame, new: DataFrame, first: str = "") -> DataFrame:
     """(grp, step, key, scope, position, weight) for every group of ``old`` and ``new`` (grp, key, scope, position, ord).
 
-    Groups in which nothing has to move are left out before any task gets them.
+    Groups in which nothing has to move are left out before any task gets them; the others come to Python many at a time.
     """
     kind = dict(new.dtypes)["grp"]
-    same = ["grp", "key", "scope", "position"]
-    there = old.select(*same, F.lit(1).alias("old"), F.lit(0).alias("new")).unionByName(new.select(*same, F.lit(0).alias("old"), F.lit(1).alias("new")))
-    stirred = there.groupBy(*same).agg(F.sum("old").alias("old"), F.sum("new").alias("new")).where("old <> new").select("grp").distinct()
-
-    def run(key: tuple, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        side = lambda df: {k: (s, int(p)) for k, s, p in df.sort_values("ord")[["key", "scope", "position"]].itertuples(index=False)}
-        steps = weighed_plan(side(left), side(right), first)
-        return pd.DataFrame([(key[0], n, *s, w) for n, (w, *s) in enumerate(steps, 1)], columns=["grp", "step", "key", "scope", "position", "weight"])
+    shared_folder(old.sparkSession)
+    moving = unsettled(old, new, first).checkpoint()
+    sets = 1 + moving.count() // GROUPS
+
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        sides = []
+        for df in (left, right):
+            groups: dict = {}
+            for g, k, s, p in df.sort_values("ord", kind="stable")[["grp", "key", "scope", "position"]].itertuples(index=False):
+                groups.setdefault(g, {})[k] = (s, int(p))
+            sides.append(groups)
+        steps = [(g, n, *s, w) for g in {**sides[0], **sides[1]} for n, (w, *s) in enumerate(weighed_plan(sides[0].get(g, {}), sides[1].get(g, {}), first), 1)]
+        return pd.DataFrame(steps, columns=["grp", "step", "key", "scope", "position", "weight"])
 
     # Named anew, as both sides may come from one table.
-    of = lambda side: side.join(stirred, "grp", "left_semi").select(*[F.col(c).alias(c) for c in (*same, "ord")]).groupBy("grp")
+    columns = ("grp", "key", "scope", "position", "ord")
+    of = lambda side: side.join(moving, "grp", "left_semi").select(F.pmod(F.xxhash64("grp"), F.lit(sets)).alias("set"), *[F.col(c).alias(c) for c in columns]).groupBy("set")
     return of(old).cogroup(of(new)).applyInPandas(run, f"grp {kind}, step long, key string, scope string, position long, weight long")

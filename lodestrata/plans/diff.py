@@ -86,14 +86,17 @@ class States:
         self.rows = rows
 
     @classmethod
-    def of(cls, old: DataFrame | States, new: DataFrame | None = None, *kinds: str) -> States:
-        """The states of some kinds in two snapshots (all kinds if none is named), or what has been joined already."""
+    def of(cls, old: DataFrame | States, new: DataFrame | None = None, *kinds: str, canonical: bool = False) -> States:
+        """The states of some kinds in two snapshots (all kinds if none is named), or what has been joined already.
+
+        With ``canonical`` the snapshots' values are in that form already.
+        """
         if isinstance(old, States):
             return old
 
         def side(snapshot: DataFrame, name: str) -> DataFrame:
             rows = snapshot.where(F.col("kind").isin(*kinds)) if kinds else snapshot
-            values = [canonical_values(F.col(c)).alias(c) if c in _VALUES else F.col(c) for c in _STATE]
+            values = [canonical_values(F.col(c)).alias(c) if c in _VALUES and not canonical else F.col(c) for c in _STATE]
             return rows.select("kind", "id", F.struct(*values).alias(name))
 
         return cls(side(old, "old").join(side(new, "new"), ["kind", "id"], "full"))
@@ -404,9 +407,12 @@ def roles(new: DataFrame | States, old_env: str, new_env: str, phase: int = 14)
     return _rows(per_role, phase, 0, "role", "update", F.col("attributes"))
 
 
-def change_plan(old: DataFrame, new: DataFrame, references: DataFrame, old_env: str, new_env: str) -> DataFrame:
-    """The plan of all phases that turns ``old`` into ``new``; each snapshot is read once."""
-    states = States.of(old, new).stored()
+def change_plan(old: DataFrame, new: DataFrame, references: DataFrame, old_env: str, new_env: str, canonical: bool = False) -> DataFrame:
+    """The plan of all phases that turns ``old`` into ``new``; each snapshot is read once.
+
+    With ``canonical`` both have their values in canonical JSON, as saved snapshots do.
+    """
+    states = States.of(old, new, canonical=canonical).stored()
     parts = [
         Simple(1, "site", ignored=SITE_IGNORED, creates=False).plan(states), Simple(2, "workflow").plan(states), plugins(states), Simple(4, "upload_filter", sends_all=True).plan(states),
         new_models(states), new_fields(states), gone_fields(states), changed_fields(states), gone_models(states, None, references), finished_models(states),

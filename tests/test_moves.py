@@ -104,3 +104,41 @@ def test_long_lists():
     for k in r.sample(order, 5000):
         state.move(k, "", new[k][1], False)
     assert time.process_time() - began < 20
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_groups_that_are_left_out_have_no_steps(spark, seed):
+    """Every group planned in plain Python: exactly those with steps go to a task, with the steps that they have alone."""
+    r = random.Random(seed)
+    old, new, want = [], [], {}
+    for g in range(60):
+        keys = [r.choice(["", "box:"]) + f"e{k}" for k in range(r.randrange(1, 9))]
+        boxes = [k for k in keys if k.startswith("box:")]
+        a, b, lists = {}, {}, ({}, {})
+        for k in keys:
+            scope = r.choice(["", *boxes]) if not k.startswith("box:") and boxes else ""
+            for side, own, chance in ((a, lists[0], 0.85), (b, lists[1], 0.85)):
+                if r.random() < chance:
+                    s = r.choice(["", *boxes]) if r.random() < 0.1 and not k.startswith("box:") else scope
+                    side[k] = s if s in side else ""
+                    own.setdefault(side[k], []).append(k)
+        if g % 3 == 0:
+            r.shuffle(lists[1].get("", []))
+        elif g % 3 == 1:  # what is new comes last, boxes first
+            lists[1][""] = [k for k in lists[1].get("", []) if k in a] + sorted((k for k in lists[1].get("", []) if k not in a), key=lambda k: not k.startswith("box:"))
+        sides = []
+        for side, own in ((a, lists[0]), (b, lists[1])):
+            sides.append({k: (s, n) for s, ks in own.items() for n, k in enumerate(ks, 1)})
+        for out, side in ((old, sides[0]), (new, sides[1])):
+            out += [(g, k, *side[k], n) for n, k in enumerate(side)]
+        steps = moves.weighed_plan(*sides, "box:")
+        if steps:
+            want[g] = [(n, *s, w) for n, (w, *s) in enumerate(steps, 1)]
+    schema = "grp int, key string, scope string, position int, ord int"
+    a, b = spark.createDataFrame(old, schema), spark.createDataFrame(new, schema)
+    got = {}
+    for x in moves.plan_groups(a, b, "box:").orderBy("grp", "step").collect():
+        got.setdefault(x.grp, []).append((x.step, x.key, x.scope, x.position, x.weight))
+    assert got == want and 5 < len(want) < 60
+    sent = {x.grp for x in moves.unsettled(a, b, "box:").collect()}
+    assert set(want) <= sent and len(sent) < 60
