@@ -12,9 +12,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.canonical import json_array, json_object, json_string
-from ..plans import diff, render
+from ..plans import diff, forks, render
 from ..session import table
-from ..sources import snapshots
+from ..sources import environments, snapshots
 from ..sources.folders import new_path
 
 _LOCALES = '{"de":null,"en":null,"es":null,"fr":null}'
@@ -276,8 +276,20 @@ def remapped_script(spark, sf_dir):
     return render.script(plan).select("phase", F.col("ord").alias("seq"), "line")
 
 
+def forked_plan(spark, sf_dir):
+    """The plan between an environment and a fork of it with other names for some models: buckets that are the same aren't read."""
+    path = new_path(spark)
+    main = reduce(DataFrame.unionByName, [k(spark, sf_dir, False) for k in (_site, _models, _fields, _workflows)])
+    environments.save(main, path, "main")
+    environments.fork(spark, path, "main", "sandbox")
+    other = (F.col("kind") == "item_type") & (F.col("ord") % 500 == 7)
+    name = F.map_from_arrays(F.array(F.lit("name")), F.array(_string(F.concat(F.lit("model "), "id"))))
+    environments.save(main.withColumn("attributes", F.when(other, F.map_concat(diff.omit(F.col("attributes"), "name"), name)).otherwise(F.col("attributes"))), path, "sandbox")
+    return _text(forks.plan(spark, path, "main", "sandbox", _references(spark, sf_dir)))
+
+
 QUERIES = (
-    change_plan, site_update, workflow_plan, plugin_updates, upload_filter_plan, new_models_plan, new_fields_plan, gone_fields_plan, changed_fields_plan, gone_models_plan, finished_models_plan,
+    change_plan, forked_plan, site_update, workflow_plan, plugin_updates, upload_filter_plan, new_models_plan, new_fields_plan, gone_fields_plan, changed_fields_plan, gone_models_plan, finished_models_plan,
     item_type_filter_plan, menu_plan, schema_menu_plan, role_updates, plan_comments, remapped_script,
 )
 
@@ -369,6 +381,7 @@ _TYPE_NAME = "CASE type WHEN 'json' THEN 'JSON' WHEN 'string' THEN 'Single-line
 _NEW_NAME = f"CASE WHEN {_C} % 7 = 0 THEN lower(c_name) ELSE c_name END"
 _OWNER = f"coalesce(' of ' || (SELECT {_MODEL(_C, _NEW_NAME)} FROM customer WHERE {_C} = f.own AND {_C} % 10 <> 1), '')"
 SQL = _PHASES | {
+    "forked_plan": f"""SELECT {_row(10, "1", _C, "'item_type.update'", _C, f"'name=\"model ' || {_C} || '\"'")} FROM customer WHERE {_C} % 500 = 7""",
     "change_plan": " UNION ALL ".join(f"SELECT * FROM ({q})" for q in _PHASES.values()),
     "plan_comments": f"""WITH f AS (SELECT {_P}, p_name, {_P} % 149 + 2 AS own, d, s OR t AS differs FROM {_PART})
         SELECT CAST(11 AS INTEGER) AS phase, CAST({_P} AS VARCHAR) AS entity_id, 'Create filter "' || p_name || '"' || {_OWNER} AS message FROM f WHERE d = 0
