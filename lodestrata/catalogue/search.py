@@ -142,6 +142,16 @@ def domain_coalesce(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", names.without_suffix(domain, ".example.com").alias("domain"))
 
 
+def fuzzy_pruned(spark, sf_dir):
+    """The best names for a query that many names have as a part, and for one whose letters are apart: letters are walked through for the second only."""
+    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    name, out = F.lower("c_name"), None
+    for query in ("omer#", "cst15"):
+        found = order.top_fuzzy(rows, query, [name], 20, "c_custkey").select(F.lit(query).alias("query"), "c_custkey", F.col("score").cast("long").alias("score"))
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 def paged_stream(spark, sf_dir):
     """Orders through the paged source as a stream that ends when it has read all there is: rows of each page and its first and last key."""
     paged.register(spark)
@@ -152,7 +162,7 @@ def paged_stream(spark, sf_dir):
     return rows.groupBy(F.col("page").cast("long").alias("page")).agg(F.count("*").alias("n"), F.min("o_orderkey").alias("first"), F.max("o_orderkey").alias("last"))
 
 
-QUERIES = (paged_stream, fuzzy_score, fuzzy_topk, exact_else_fuzzy, find_models, workspace_filter, contains_filter, suggestions_top20, name_match, script_order, paged_scan, workspace_projects, workspace_sites, models_of_sort, primary_environment, field_details, relaxed_json, script_names, domain_coalesce)
+QUERIES = (paged_stream, fuzzy_pruned, fuzzy_score, fuzzy_topk, exact_else_fuzzy, find_models, workspace_filter, contains_filter, suggestions_top20, name_match, script_order, paged_scan, workspace_projects, workspace_sites, models_of_sort, primary_environment, field_details, relaxed_json, script_names, domain_coalesce)
 
 
 def _score(q: str, t: str) -> str:
@@ -172,6 +182,7 @@ def _score(q: str, t: str) -> str:
 
 SQL = {
     "fuzzy_score": f"SELECT p_partkey, {_score('pt', 'lower(p_name)')} AS score_pt, {_score('part', 'lower(p_name)')} AS score_part, {_score('a2', 'lower(p_name)')} AS score_a2 FROM part",
+    "fuzzy_pruned": " UNION ALL ".join(f"(SELECT '{q}' AS query, c_custkey, score FROM (SELECT c_custkey, {_score(q, 'lower(c_name)')} AS score FROM customer) WHERE score > 0 ORDER BY score DESC, c_custkey LIMIT 20)" for q in ("omer#", "cst15")),
     "fuzzy_topk": f"SELECT c_custkey, score FROM (SELECT c_custkey, {_score('Cst15', 'c_name')} AS score FROM customer) WHERE score > 0 ORDER BY score DESC, c_custkey LIMIT 20",
     "exact_else_fuzzy": f"""SELECT '7' AS query, CAST(s_suppkey AS VARCHAR) AS id, CAST(1000 AS BIGINT) AS score FROM supplier WHERE s_suppkey = 7
         UNION ALL (SELECT 'ier#0000', CAST(s_suppkey AS VARCHAR), score FROM (SELECT s_suppkey, greatest({_score('ier#0000', 'lower(s_name)')}, {_score('ier#0000', "(lower(s_name) || '.example')")}) AS score FROM supplier)

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.names import fuzzy_score, letters, sure_score
+
 
 def top(rows: DataFrame, score: Column, k: int | None, *ties: str) -> DataFrame:
     """Rows with a score over 0, best first, ties in the given order: at most k of them."""
@@ -11,6 +15,29 @@ def top(rows: DataFrame, score: Column, k: int | None, *ties: str) -> DataFrame:
     return ranked if k is None else ranked.limit(k)
 
 
+def top_fuzzy(rows: DataFrame, query: str, columns: list[Column], k: int, *ties: str, signatures: list[Column] | None = None) -> DataFrame:
+    """The k best rows by the greatest fuzzy score of some columns, as ``top`` gives them, with as few walks through letters as it takes.
+
+    A query of n letters that a column has in order, but not in one piece, scores 3 n - 2 at most. If k rows score more than that by
+    equality, prefix or part alone, they are the best, and no other row is scored. Else only columns are that have all the
+    query's letters, by ``signatures`` (``letters`` of the columns, which can be stored beside them) where they are given.
+    """
+    q = F.lit(query)
+    greatest = lambda cs: F.greatest(*cs) if len(cs) > 1 else cs[0]
+    best = top(rows, greatest([F.coalesce(sure_score(q, c), F.lit(0)) for c in columns]), k, *ties)
+    found = best.agg(F.count("*").alias("n"), F.min("score").alias("least")).first()
+    if found["n"] == k and found["least"] > 3 * len(query) - 2:
+        return best
+    return top(candidates(rows, query, columns, signatures), greatest([fuzzy_score(q, c) for c in columns]), k, *ties)
+
+
+def candidates(rows: DataFrame, query: str, columns: list[Column], signatures: list[Column] | None = None) -> DataFrame:
+    """The rows that can score: with a column that has all of the query's letters."""
+    wanted = letters(F.lit(query))
+    has = [s.bitwiseAND(wanted) == wanted for s in signatures or map(letters, columns)]
+    return rows.where(reduce(lambda a, b: a | b, [F.coalesce(h, F.lit(False)) for h in has])) if query else rows.where("false")
+
+
 def exact_else_fuzzy(rows: DataFrame, exact: Column, score: Column, k: int | None, *ties: str) -> DataFrame:
     """All exact rows if there are any, whatever k; else the best by score."""
     hits = rows.where(exact).withColumn("score", F.lit(1000))
