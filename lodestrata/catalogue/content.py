@@ -72,6 +72,13 @@ def import_block(spark, sf_dir):
     return content.block_model(table(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("id"), F.lower("o_orderpriority").alias("api_key")))
 
 
+def import_blocks(spark, sf_dir):
+    """The asset block of each site: some have one, or several, of which the first counts; the others get a new one."""
+    key = F.col("p_partkey")
+    models = table(spark, sf_dir, "part").select((key % 97).alias("site"), key.cast("string").alias("id"), F.when(key % 40 == 3, content.ASSET_BLOCK).otherwise(F.lower("p_type")).alias("api_key"))
+    return content.block_models(models)
+
+
 def import_locales(spark, sf_dir):
     """The languages of documents in the order of their first document, and the first of those whose first document is odd."""
     rows = table(spark, sf_dir, "documents").groupBy(F.col("lang").alias("code")).agg(F.min("doc_id").alias("ord"))
@@ -245,7 +252,7 @@ def import_texts(spark, sf_dir):
 
 
 QUERIES = (
-    import_models, import_fields, slug_tracking, import_block, import_locales, import_records, imported_records, import_links, import_updates, blog_fields, blog_models_gone, blog_authors, blog_terms, category_tree, blog_pages, blog_articles,
+    import_models, import_fields, slug_tracking, import_block, import_blocks, import_locales, import_records, imported_records, import_links, import_updates, blog_fields, blog_models_gone, blog_authors, blog_terms, category_tree, blog_pages, blog_articles,
     blog_urls, import_texts,
 )
 
@@ -280,6 +287,7 @@ SQL = {
     "slug_tracking": """WITH l AS (SELECT DISTINCT l_orderkey AS k, l_linenumber AS n FROM lineitem), w AS (SELECT *, CASE WHEN k % 2 = 0 THEN 1 ELSE 2 END AS t FROM l WHERE n % 2 = 1)
         SELECT 't' || k AS type_id, 'f' || n AS field_id, CASE WHEN t = 1 THEN 'slugEditor' ELSE 'markdown' END AS widget, 'f' || t AS tracking, CASE WHEN EXISTS (SELECT 1 FROM l WHERE l.k = w.k AND l.n = w.t) THEN 't' || k || '.f' || t END AS title_field_id, 't' || k || '.f' || n AS id FROM w""",
     "import_block": "SELECT 'new:structured_text_asset' AS id, 'structured_text_asset' AS api_key, count(*) >= 0 AS made FROM orders",
+    "import_blocks": "SELECT p_partkey % 97 AS site, coalesce(min(CAST(p_partkey AS VARCHAR)) FILTER (WHERE p_partkey % 40 = 3), 'new:structured_text_asset') AS id, 'structured_text_asset' AS api_key, count(*) FILTER (WHERE p_partkey % 40 = 3) = 0 AS made FROM part GROUP BY 1",
     "import_locales": "WITH f AS (SELECT lang, min(doc_id) AS d FROM documents GROUP BY 1) SELECT string_agg(lang, ',' ORDER BY d) AS codes, min_by(lang, d) FILTER (WHERE d % 2 = 1) AS default_locale FROM f",
     "import_records": f"""SELECT 'e' || {_E} AS entry_id, CAST(ts AS VARCHAR) AS created_at, {_E} % 3 > 0 AS dated, CASE WHEN {_E} % 3 > 0 THEN 'published' ELSE 'draft' END AS status, true AS has_links,
         CASE WHEN {_E} % 4 = 0 THEN 'null' ELSE '"' || event_type || '"' END AS word_key, '{{"en":' || CASE WHEN {_K} = 0 THEN 'null' ELSE CAST({_K} AS VARCHAR) END || ',"it":' || CASE WHEN {_K} % 2 = 0 THEN 'null' ELSE '1' END || '}}' AS count_key,

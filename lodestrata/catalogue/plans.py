@@ -269,6 +269,13 @@ def plan_comments(spark, sf_dir):
     return render.comments(plan, old, new).select("phase", "entity_id", "message")
 
 
+def menu_comments(spark, sf_dir):
+    """The comment of each call on menu entries: by their labels, or by the model that an entry stands for."""
+    old, new = (reduce(DataFrame.unionByName, [k(spark, sf_dir, side) for k in (_menu, _schema_menu, _models)]) for side in (False, True))
+    plan = diff.menus(old, new, "menu_item", 12).unionByName(diff.menus(old, new, "schema_menu_item", 13))
+    return render.comments(plan, old, new).select("phase", "entity_id", "message")
+
+
 def remapped_script(spark, sf_dir):
     """Lines of a script for created models: declarations, and calls that note the new ids and look up those of others."""
     old, new = _sides(_models, spark, sf_dir)
@@ -290,7 +297,7 @@ def forked_plan(spark, sf_dir):
 
 QUERIES = (
     change_plan, forked_plan, site_update, workflow_plan, plugin_updates, upload_filter_plan, new_models_plan, new_fields_plan, gone_fields_plan, changed_fields_plan, gone_models_plan, finished_models_plan,
-    item_type_filter_plan, menu_plan, schema_menu_plan, role_updates, plan_comments, remapped_script,
+    item_type_filter_plan, menu_plan, schema_menu_plan, role_updates, plan_comments, menu_comments, remapped_script,
 )
 
 
@@ -391,6 +398,15 @@ SQL = _PHASES | {
         UNION ALL SELECT 7, CAST(o_orderkey AS VARCHAR), 'Delete ' || CASE o_orderstatus WHEN 'O' THEN 'Single-line string' WHEN 'F' THEN 'Slug' ELSE 'Multiple-paragraph text' END || ' field "l' || o_orderkey || '" (`k' || o_orderkey || '`) in ' || {_MODEL(_C, "c_name")}
             FROM orders JOIN customer ON o_custkey = {_C} WHERE o_orderkey % 8 = 1 AND {_C} % 10 > 1
         UNION ALL SELECT 7, 'h' || {_C}, 'Delete fieldset "t' || {_C} || '" in ' || {_MODEL(_C, "c_name")} FROM customer WHERE {_C} % 10 = 3""",
+    "menu_comments": f"""SELECT * FROM ({_TREE}, t AS (SELECT *, CASE WHEN k % 7 = 0 THEN upper(p_name) ELSE p_name END AS label FROM q)
+            SELECT CAST(12 AS INTEGER) AS phase, CAST(k AS VARCHAR) AS entity_id, 'Create menu item "' || label || '"' AS message FROM t WHERE NOT in_old
+            UNION ALL SELECT 12, CAST(k AS VARCHAR), 'Delete menu item "' || p_name || '"' FROM t WHERE NOT in_new
+            UNION ALL SELECT 12, CAST(k AS VARCHAR), 'Update menu item "' || label || '"' FROM t WHERE stays AND k % 7 = 0 AND upper(p_name) <> p_name
+            UNION ALL SELECT 12, CAST(k AS VARCHAR), 'Update menu item "' || label || '"' FROM t WHERE stays AND up % 5 = 0 AND n >= 3 AND k = last)
+        UNION ALL SELECT 13, 's' || {_C}, 'Update model schema menu item for ' || {_MODEL(_C, _NEW_NAME)} FROM customer WHERE {_C} % 10 > 1 AND {_C} % 5 = 0
+        UNION ALL SELECT 13, 'g' || k, 'Update model schema menu item "G' || k || '"' FROM (SELECT DISTINCT {_C} // 8 AS k FROM customer) WHERE k % 5 = 0
+        UNION ALL SELECT 13, 'e' || {_C}, 'Create model schema menu item "G' || {_C} || '"' FROM customer WHERE {_C} % 10 = 0
+        UNION ALL SELECT 13, 'e' || {_C}, 'Delete model schema menu item "e' || {_C} || '"' FROM customer WHERE {_C} % 10 = 1""",
     "remapped_script": f"""WITH w AS (SELECT {_S} AS k FROM supplier WHERE {_S} % 10 = 0)
         SELECT CAST(0 AS INTEGER) AS phase, CAST(0 AS BIGINT) AS seq, 'const newItemTypes = {{}};' AS line WHERE EXISTS (SELECT 1 FROM customer WHERE {_C} % 10 = 0) UNION ALL SELECT 0, 0, 'const newWorkflows = {{}};' WHERE EXISTS (SELECT 1 FROM w)
         UNION ALL SELECT 2, {_S}, 'newWorkflows["' || {_S} || '"] = workflow.create(' || {_S} || ', {{name: "' || s_name || '", stage: ' || CASE WHEN {_S} % 4 = 2 THEN s_nationkey + 1 ELSE s_nationkey END || '}}, {{}})' FROM supplier WHERE {_S} % 10 = 0

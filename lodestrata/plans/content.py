@@ -46,6 +46,12 @@ def block_model(there: DataFrame) -> DataFrame:
     return found.select(F.coalesce("id", F.lit(f"new:{ASSET_BLOCK}")).alias("id"), F.lit(ASSET_BLOCK).alias("api_key"), F.col("id").isNull().alias("made"))
 
 
+def block_models(there: DataFrame) -> DataFrame:
+    """(site, id, api_key, made): for each site of the models ``there`` (site, id, api_key) its block for assets, or a new one if it has none."""
+    found = there.groupBy("site").agg(F.min(F.when(F.col("api_key") == ASSET_BLOCK, F.col("id"))).alias("id"))
+    return found.select("site", F.coalesce("id", F.lit(f"new:{ASSET_BLOCK}")).alias("id"), F.lit(ASSET_BLOCK).alias("api_key"), F.col("id").isNull().alias("made"))
+
+
 def fields(types: DataFrame) -> DataFrame:
     """(type_id, display, position, and the parts of FIELD): a row for each field, its position the index."""
     each = types.select("type_id", "display", F.posexplode("fields").alias("position", "field"))
