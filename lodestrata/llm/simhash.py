@@ -138,8 +138,11 @@ def links_between(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
     Components that meet in a bucket are paired first, so that a bucket of one component costs its rows, however dense it is.
     """
-    probe, index = (df for df in _probes(fps, distance, "component"))
-    probe, index = cut(probe.withColumnRenamed("component", "c")), cut(index.withColumnRenamed("component", "d"))
+    probe, index = _probes(fps, distance, "component")
+    probe, index = probe.withColumnRenamed("component", "c"), cut(index.withColumnRenamed("component", "d"))
+    # Most probes find no bucket, or one of their own component only: they go before anything is stored.
+    others = index.groupBy("start", "key").agg(F.min("d").alias("low"), F.max("d").alias("high"))
+    probe = cut(probe.join(others, ["start", "key"]).where("c <> low or c <> high").select("start", "key", "a", "c"))
     met = probe.select("start", "key", "c").distinct().join(index.select("start", "key", "d").distinct(), ["start", "key"]).where("c <> d")
     half = probe.join(met, ["start", "key", "c"]).select("start", "key", "a", "d")
     return _checked(half.join(index, ["start", "key", "d"]), distance)
