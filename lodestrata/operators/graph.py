@@ -5,13 +5,12 @@ Loops are over rounds; each round is one distributed join, and a checkpoint cuts
 
 from __future__ import annotations
 
-import heapq
 from functools import reduce
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..sources.folders import shared_folder
+from .order import numbered
 
 
 def _kept(df: DataFrame) -> DataFrame:
@@ -101,56 +100,80 @@ def components(edges: DataFrame) -> DataFrame:
     return nodes.join(pairs.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left").select("node", F.coalesce("root", "node").alias("component"))
 
 
-def _in_order(rows: pd.DataFrame, links: pd.DataFrame) -> list[tuple]:
-    """(node, left_over, reach, place) of one connected part: always the earliest node that no remaining one leads to."""
-    place = dict(zip(rows["node"], rows["ord"], strict=True))
-    out: dict = {n: set() for n in place}
-    waiting = dict.fromkeys(place, 0)
-    for s, d in set(zip(links["src"], links["dst"], strict=True)):
-        out[s].add(d)
-        waiting[d] += 1
-    ready = [(place[n], n) for n, w in waiting.items() if w == 0]
-    heapq.heapify(ready)
-    done, reach = [], None
-    while ready:
-        at, n = heapq.heappop(ready)
-        reach = at if reach is None else max(reach, at)
-        done.append((n, 0, reach, len(done)))
-        for d in out[n]:
-            waiting[d] -= 1
-            if waiting[d] == 0:
-                heapq.heappush(ready, (place[d], d))
-    gone = {n for n, *_ in done}
-    return done + [(n, 1, at, 0) for n, at in place.items() if n not in gone]
+def _chains(nodes: DataFrame, live: DataFrame) -> DataFrame:
+    """(own, up, most, stack, open) of nodes that one node alone leads to: the nearest one above that none or several lead to, and what
+    the way from there does to a key (``_along``). Ways double each round. Open ones hang on a cycle."""
+    one = live.groupBy(F.col("dst").alias("own")).agg(F.count("*").alias("n"), F.max("src").alias("up")).where("n = 1")
+    state = one.join(nodes, "own").select("own", "up", F.col("at").alias("most"), F.array("at").alias("stack"))
+    ended = lambda s: s.join(s.select(F.col("own").alias("up"), F.lit(True).alias("open")), "up", "left").withColumn("open", F.coalesce("open", F.lit(False)))
+    state = _kept(ended(state))
+    done, state = [state.where("not open")], state.where("open")
+    left, n, columns = None, state.count(), ("own", "up", "most", "stack", "open")
+    while n and n != left:
+        # Those that have arrived are looked up by the others, but not joined again themselves.
+        above = reduce(DataFrame.unionByName, [*done, state]).select(F.col("own").alias("up"), F.col("up").alias("next"), F.col("most").alias("peak"), F.col("stack").alias("before"), F.col("open").alias("onward"))
+        moved = _kept(state.drop("open").join(above, "up").select("own", F.col("next").alias("up"), F.greatest("most", "peak").alias("top"), _along("before", "most", "stack").alias("way"), F.col("onward").alias("open")).toDF(*columns))
+        done.append(moved.where("not open"))
+        state = moved.where("open")
+        left, n = n, state.count()
+    return reduce(DataFrame.unionByName, [*done, state])
 
 
-def destroy_keys(groups: DataFrame, edges: DataFrame) -> DataFrame:
-    """(node, left_over, reach, place): sort keys of an order in which the earliest node goes first that no remaining one leads to.
+def _along(key: str, most: str, stack: str | Column) -> Column:
+    """A key after a way: what is beyond all of the way stays, then follows what the way has put on top."""
+    return F.concat(F.filter(key, lambda x: x > F.col(most)), stack)
+
+
+def _keyed(groups: DataFrame, edges: DataFrame) -> DataFrame:
+    """(grp, node, left_over, key): the key sorts nodes as destroy_keys says.
+
+    A node waits until the last one that leads to it has gone. By then all earlier nodes are gone but those which wait for a node
+    beyond the current one. So its key is that of the last node that leads to it, cut down to what is beyond the node, and the
+    node itself: a list of falling places, in which a list comes right before what continues it.
 
-    ``groups`` has (node, ord), ``edges`` (src, dst); both may have grp, which then comes out, too. Connected parts are put in
-    order apart, in tasks of their own; sorting by left_over, reach (the highest ord so far in the part) and place in the part
-    gives the order of the whole, as a part that has begun goes on while its next node is earlier than all others' first.
-    left_over is 1 for what a cycle holds back; that follows by ord.
+    Keys move forward in rounds: a node that several lead to takes the greatest key of all when the last has one. Runs of nodes
+    that one node alone leads to are one step, which takes a logarithm of their length to find. So there are as many rounds as a
+    path has nodes that several lead to, and no part of the graph is ever in one task.
     """
     keys = [c for c in ("grp",) if c in groups.columns]
-    node = F.struct(*keys, "node")
-    there = groups.select(*keys, F.col("node"))
+    nodes = _kept(groups.select(F.struct(*keys, "node").alias("own"), F.struct(F.col("ord").cast("long").alias("ord"), "node").alias("at")))
+    there = groups.select(*keys, "node")
     live = edges.where("src <> dst").join(there.withColumnRenamed("node", "src"), [*keys, "src"], "left_semi").join(there.withColumnRenamed("node", "dst"), [*keys, "dst"], "left_semi").distinct()
     live = _kept(live.select(F.struct(*keys, F.col("src").alias("node")).alias("src"), F.struct(*keys, F.col("dst").alias("node")).alias("dst")))
-    part = components(live).select(F.col("node").alias("own"), F.col("component").alias("part"))
-    rows = groups.withColumn("own", node).join(part, "own", "left")
-    alone = rows.where("part is null").select(*keys, "node", F.lit(0).alias("left_over"), F.col("ord").cast("long").alias("reach"), F.lit(0).cast("long").alias("place"))
-    kind = dict(groups.dtypes)
-    tied = rows.where("part is not null").select(F.col("part").alias("part"), "node", "ord", *keys)
-    links = live.join(part.withColumnRenamed("own", "src"), "src").select(F.col("part").alias("part"), F.col("src.node").alias("src"), F.col("dst.node").alias("dst"))
+    chains = _kept(_chains(nodes, live))
+    several = live.groupBy(F.col("dst").alias("own")).agg(F.count("*").alias("waiting")).where("waiting > 1")
+    free = nodes.join(live.select(F.col("dst").alias("own")), "own", "left_anti")
+    frontier = _kept(free.select("own", F.array("at").alias("key")))
+    pending = _kept(several.join(nodes, "own").select("own", "at", "waiting", F.lit(None).cast(dict(frontier.dtypes)["key"]).alias("best")))
+    into = live.join(pending.select(F.col("own").alias("dst")), "dst", "left_semi").join(chains.select(F.col("own").alias("src"), "up", "most", "stack"), "src", "left")
+    into = _kept(into.select("dst", F.coalesce("up", "src").alias("own"), "most", "stack"))
+    done = [frontier]
+    while not pending.isEmpty():
+        told = into.join(frontier, "own").select("dst", F.when(F.col("most").isNull(), F.col("key")).otherwise(_along("key", "most", "stack")).alias("key"))
+        told = told.groupBy(F.col("dst").alias("own")).agg(F.count("*").alias("n"), F.max("key").alias("last"))
+        state = _kept(pending.join(told, "own", "left").select("own", "at", (F.col("waiting") - F.coalesce("n", F.lit(0))).alias("waiting"), F.greatest("best", "last").alias("best")))
+        frontier = state.where("waiting = 0").select("own", _along("best", "at", F.array("at")).alias("key"))
+        if frontier.isEmpty():
+            break
+        done.append(frontier)
+        pending = state.where("waiting > 0")
+    settled = reduce(DataFrame.unionByName, done)
+    below = chains.where("not open").join(settled.withColumnRenamed("own", "up"), "up").select("own", _along("key", "most", "stack").alias("key"))
+    rows = nodes.join(settled.unionByName(below), "own", "left")
+    return rows.select("own.*", F.col("key").isNull().cast("int").alias("left_over"), F.coalesce("key", F.array("at")).alias("key"))
 
-    def order(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        out = pd.DataFrame(_in_order(left, right), columns=["node", "left_over", "reach", "place"])
-        return out.assign(grp=left["grp"].iloc[0]) if keys else out
 
-    schema = ", ".join([f"node {kind['node']}, left_over int, reach long, place long", *(f"grp {kind['grp']}" for _ in keys)])
-    ordered = tied.groupBy("part").cogroup(links.groupBy("part")).applyInPandas(order, schema)
-    return alone.unionByName(ordered)
+def destroy_keys(groups: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node, left_over, reach, place): sort keys of an order in which the earliest node goes first that no remaining one leads to.
+
+    ``groups`` has (node, ord), each node once, ``edges`` (src, dst); both may have grp, which then comes out, too. reach is the
+    highest ord so far, place a running number from 0 among the nodes that go at this reach. left_over is 1 for what a cycle
+    holds back; that follows by ord. Where ords are equal the lesser node is the earlier. Edges from a node to itself, to or from
+    a node that isn't there, and repeated ones don't count.
+    """
+    keys = [c for c in ("grp",) if c in groups.columns]
+    rows = _keyed(groups, edges).withColumn("reach", F.col("key")[0]["ord"])
+    return numbered(rows, [*keys, "left_over", "reach"], "key", name="place").select("node", "left_over", "reach", (F.col("place") - 1).alias("place"), *keys)
 
 
 def destroy_order(groups: DataFrame, edges: DataFrame) -> DataFrame:
@@ -158,8 +181,7 @@ def destroy_order(groups: DataFrame, edges: DataFrame) -> DataFrame:
 
     If a cycle is left, its nodes and all that depend on them follow in their own order.
     """
-    place = F.row_number().over(Window.partitionBy("grp").orderBy("left_over", "reach", "place"))
-    return destroy_keys(groups, edges).select("grp", "node", place.cast("long").alias("rank"))
+    return numbered(_keyed(groups, edges), ["grp"], "left_over", "key", name="rank").select("grp", "node", "rank")
 
 
 def first_arrival(visits: DataFrame, key: str, *order: str) -> DataFrame:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.names import fuzzy_score, letters, sure_score
+from ..sources.folders import shared_folder
 
 
 def top(rows: DataFrame, score: Column, k: int | None, *ties: str) -> DataFrame:
@@ -49,3 +50,19 @@ def exact_else_fuzzy(rows: DataFrame, exact: Column, score: Column, k: int | Non
 def next_position(rows: DataFrame, scope: str, position: str) -> DataFrame:
     """(scope, next_position): one more than the highest position in each scope, 0 being the least."""
     return rows.groupBy(scope).agg((F.greatest(F.max(position), F.lit(0)) + 1).alias("next_position"))
+
+
+def numbered(rows: DataFrame, by: list[str], *order: str, name: str) -> DataFrame:
+    """``rows`` with a running number from 1 among those with the same ``by``, in ``order``; no task has a whole group.
+
+    Rows are sorted into ranges and numbered there. What a group has in earlier ranges is added: that is a row for each border
+    between ranges at most, so it is broadcast. Rows that are equal in all these columns are in one range.
+    """
+    shared_folder(rows.sparkSession)
+    ranges = rows.repartitionByRange(*by, *order).withColumn("__range", F.spark_partition_id()).checkpoint()
+    held = ranges.groupBy("__range", *by).agg(F.count("*").alias("__n"))
+    before = F.sum("__n").over(Window.partitionBy(*by).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1))
+    earlier = held.withColumn("__before", before).where("__before > 0").select(F.col("__range").alias("__there"), *[F.col(c).alias(f"__{c}") for c in by], "__before")
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by], F.col("__range") == F.col("__there"))
+    own = F.row_number().over(Window.partitionBy("__range", *by).orderBy(*order))
+    return ranges.withColumn(name, own.cast("long")).join(F.broadcast(earlier), same, "left").select(*rows.columns, (F.col(name) + F.coalesce("__before", F.lit(0))).alias(name))

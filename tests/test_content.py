@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from lodestrata.functions import canonical, documents, names
 from lodestrata.operators import graph, moves
+from lodestrata.operators.order import numbered
 from lodestrata.plans import content, diff, posts, render, search
 from lodestrata.sources import paged, settings, sinks, snapshots
 
@@ -287,3 +288,37 @@ def test_destroying_models(spark):
     gone = spark.createDataFrame([("b",)], "model string")
     assert [tuple(r) for r in sinks.narrowed(fields, "id", "models", gone, "model").collect()] == [("f", 2, 1)]
     assert sinks.without(spark.createDataFrame([("a",), ("b",)], "model string"), gone, "model").count() == 1
+
+
+def keys_of(spark, nodes, edges):
+    keys = graph.destroy_keys(spark.createDataFrame(list(nodes.items()), "node string, ord long"), spark.createDataFrame(edges, "src string, dst string"))
+    return [row.node for row in keys.orderBy("left_over", "reach", "place").collect()]
+
+
+def test_destroy_order_of_one_connected_part(spark):
+    """A dense graph without cycles, whose nodes wait for each other all the time, and a long chain against the order."""
+    r = random.Random(11)
+    names = [f"n{k}" for k in range(70)]
+    nodes = dict(zip(names, r.sample(range(900), 70), strict=True))
+    edges = [(names[a], names[b]) for a, b in (sorted(r.sample(range(70), 2)) for _ in range(160))]
+    edges += [(names[k], names[k + 1]) for k in range(0, 60, 2)]
+    assert keys_of(spark, nodes, edges) == slow_order(nodes, edges)
+    chain = {f"c{k:03d}": 500 - k for k in range(200)}
+    assert keys_of(spark, chain, list(zip(chain, list(chain)[1:], strict=False))) == list(chain)
+
+
+def test_destroy_order_of_awkward_graphs(spark):
+    """Ties in ord go by node; nothing at all; only a cycle with what hangs on it; repeated edges and edges to nowhere."""
+    nodes = {"b": 1, "a": 1, "c": 0, "d": 2}
+    assert keys_of(spark, nodes, [("d", "c"), ("d", "c"), ("x", "a"), ("a", "a")]) == ["a", "b", "d", "c"]
+    assert keys_of(spark, nodes, [("a", "b"), ("b", "a"), ("b", "c"), ("c", "d"), ("a", "d")]) == ["c", "a", "b", "d"]
+    empty = spark.createDataFrame([], "node string, ord long")
+    assert graph.destroy_keys(empty, spark.createDataFrame([("a", "b")], "src string, dst string")).count() == 0
+
+
+def test_running_numbers_over_ranges(spark):
+    """One group that fills most ranges, many small ones, a null one: each counts from 1 without gaps."""
+    rows = [(None if k % 7 == 0 else "hot" if k % 3 else f"g{k % 50}", k * 37 % 1000) for k in range(1000)]
+    got = [tuple(x) for x in numbered(spark.createDataFrame(rows, "g string, v int").repartition(6), ["g"], "v", name="n").collect()]
+    for group in {g for g, _ in rows}:
+        assert [(v, n) for v, n in sorted((v, n) for g, v, n in got if g == group)] == list(zip(sorted(v for g, v in rows if g == group), range(1, 2000), strict=False))
