@@ -258,6 +258,67 @@ def test_structured_document(spark):
     assert c[10]["style"] == "numbered" and [x["type"] for x in c[10]["children"]] == ["listItem", "listItem"] and c[11]["value"] == "** missing or inaccessible: lost **"
 
 
+def rebuilt(node, targets, parent=""):
+    """What becomes of a node, one after the other: a list of new nodes."""
+    kind, data = node["nodeType"], node.get("data") or {}
+    to = ((data.get("target") or {}).get("sys") or {}).get("id")
+    content_ = node.get("content", [])
+    if kind == "paragraph" and len(content_) == 1 and content_[0]["nodeType"] == "text" and [m["type"] for m in content_[0]["marks"]] == ["code"]:
+        return [{"type": "code", "code": content_[0]["value"]}]
+    own = "heading" if kind.startswith("heading-") else documents.TYPES.get(kind, kind)
+    inline, found = parent in documents.INLINE_PARENTS, to in targets
+    id_, model, url = targets.get(to, (None, None, None))
+    kept = own in ("root", "paragraph", "heading", "blockquote", "list", "listItem") or inline and own in documents.INLINE_PARENTS
+    inner = lambda: [x for c in content_ for x in rebuilt(c, targets, own if kept else parent)]
+    missing, item = [{"type": "span", "value": f"** missing or inaccessible: {to or ''} **"}], {"type": "inlineItem", "item": id_}
+    if kind == documents.INLINE_ENTRY:
+        return [] if not found or model not in ("m1", "m2") else [item] if inline else missing
+    if kind == documents.BLOCK_ENTRY:
+        return missing if not found else [] if model not in ("m1", "m2") else [item] if inline else [{"type": "paragraph", "children": [item]}]
+    if kind == documents.BLOCK_ASSET:
+        return missing if not found else [{"type": "block", "item": {"type": "item", "attributes": {"file": {"upload_id": id_}}}}] if parent == "root" else []
+    if kind == documents.ENTRY_LINK and not (found and inline) or kind == documents.ASSET_LINK and found and not inline:
+        return inner()
+    if kind == documents.ASSET_LINK and not found:
+        return []
+    out = {"type": own}
+    if kind == "text":
+        marks = [documents.MARKS[m["type"]] for m in node["marks"] if m["type"] in documents.MARKS]
+        return [out | {"value": node["value"]} | ({"marks": marks} if marks else {})]
+    if kind == "hr":
+        return [out]
+    more = {"level": int(kind[-1])} if own == "heading" else {"style": documents.STYLES[kind]} if kind in documents.STYLES else {}
+    more |= {"item": id_} if kind == documents.ENTRY_LINK else {"url": url or ""} if kind == documents.ASSET_LINK else {"url": data["uri"]} if "uri" in data else {}
+    return [out | more | {"children": inner()}]
+
+
+def test_structured_documents_against_a_walk(spark):
+    """Random documents, one of them 20 levels deep, with quotes, control characters and brackets in their texts; others without a body. No Python worker."""
+    r = random.Random(5)
+    values = ["plain", 'a "b" \\ c', "[,\x01[", "line\nbreak\ttab", "Ünïcode 😀", "", "~"]
+    ids = ["t1", "t2", "t3", "t4", "lost"]
+    kinds = ["paragraph", "blockquote", "heading-3", "ordered-list", "unordered-list", "list-item", "hyperlink", "table", "hr", documents.INLINE_ENTRY, documents.BLOCK_ENTRY, documents.ENTRY_LINK, documents.ASSET_LINK, documents.BLOCK_ASSET]
+
+    def made(depth):
+        if depth == 0 or r.random() < 0.3:
+            return rich("text", value=r.choice(values), marks=r.sample(["bold", "code", "odd"], r.randrange(3)))
+        kind = r.choice(kinds)
+        return rich(kind, *[made(depth - 1) for _ in range(r.randrange(4))], to=r.choice(ids) if "-" in kind and "list" not in kind and "heading" not in kind else None, uri="https://x/?a=1&b" if kind == "hyperlink" else None)
+
+    deep = rich("text", value="bottom")
+    for n in range(19):
+        deep = rich("blockquote" if n % 2 else "paragraph", rich("text", value=f"{n}"), deep)
+    bodies = [rich("document", *[made(5) for _ in range(r.randrange(6))]) for _ in range(60)] + [rich("document", deep), rich("document")]
+    targets = {"t1": ("r1", "m1", "https://x/1"), "t2": ("r2", "m2", None), "t3": ("r3", "m3", "https://x/3"), "t4": ('r"4', "m1", "")}
+    table = spark.createDataFrame([(k, *v) for k, v in targets.items()], "source string, id string, model string, url string")
+    docs = spark.createDataFrame([(n, json.dumps(b)) for n, b in enumerate(bodies)] + [(-1, None), (-2, "")], "document int, body string").repartition(3)
+    out = documents.convert(docs, table, ("m1", "m2"))
+    got = {row.document: json.loads(row.body) for row in out.collect()}
+    assert got == {n: {"schema": "dast", "document": rebuilt(b, targets)[0]} for n, b in enumerate(bodies)}
+    assert "Python" not in out._jdf.queryExecution().toString() and "Pandas" not in out._jdf.queryExecution().toString()
+    assert documents.convert(docs.where("document = -1"), table).count() == 0
+
+
 def test_blog(spark):
     category = [(1, "top", "top", "Some description.", 0), (2, "sub", "sub", "", 1), (3, "third", "third", "", 2), (4, "lone", "lone", "", None)]
     rows = spark.createDataFrame(category, "id long, name string, slug string, description string, parent long")
