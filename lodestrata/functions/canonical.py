@@ -6,11 +6,19 @@ from pyspark.sql import Column, functions as F
 
 _ID_LENGTH = 22
 _KEY_LIMIT = 2**32 - 2
+# Printable ASCII that JSON strings have as it is, and values that are in canonical form already: constants, strings of
+# such letters, integers, nothing in brackets, and references.
+_PLAIN = r'[ !#-\[\]-~]*'
+_PLAIN_TEXT = rf"\A{_PLAIN}\z"
+_SETTLED = rf'\A(?:null|true|false|0|-?[1-9][0-9]{{0,17}}|\{{\}}|\[\]|"{_PLAIN}"|\{{"data":(?:null|\{{"id":"{_PLAIN}"\}})\}})\z'
 
 
 def canonical(json: Column) -> Column:
-    """JSON text with sorted keys and one form for each number: equal texts are deeply equal values."""
-    return F.to_json(F.parse_json(json))
+    """JSON text with sorted keys and one form for each number: equal texts are deeply equal values.
+
+    Most values are in that form as they come, which a pattern tells; only the others are parsed.
+    """
+    return F.when(json.rlike(_SETTLED), json).otherwise(F.to_json(F.parse_json(json)))
 
 
 def canonical_values(attributes: Column) -> Column:
@@ -27,12 +35,12 @@ def truthy(json: Column) -> Column:
 def json_string(text: Column) -> Column:
     """A text as a JSON string."""
     quoted = F.to_json(F.array(text))
-    return F.substring(quoted, F.lit(2), F.length(quoted) - 2)
+    return F.when(text.rlike(_PLAIN_TEXT), F.concat(F.lit('"'), text, F.lit('"'))).otherwise(F.substring(quoted, F.lit(2), F.length(quoted) - 2))
 
 
 def json_object(values: Column) -> Column:
     """A map of name to JSON text as a JSON object, names in order."""
-    each = F.transform(F.array_sort(F.map_entries(values)), lambda e: F.concat(json_string(e["key"]), F.lit(":"), e["value"]))
+    each = F.transform(F.sort_array(F.map_entries(values)), lambda e: F.concat(json_string(e["key"]), F.lit(":"), e["value"]))
     return F.concat(F.lit("{"), F.array_join(each, ","), F.lit("}"))
 
 

@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
+def wide(rows: DataFrame) -> DataFrame:
+    """``rows`` for a join in which they grow with the input: never broadcast, however small the files that they come from."""
+    return rows.hint("merge")
+
+
 def created(old: DataFrame, new: DataFrame, key: str = "id") -> DataFrame:
     """Rows of ``new`` that ``old`` has no key for."""
     return new.join(old.select(key), key, "left_anti")
@@ -24,7 +29,7 @@ def kept(old: DataFrame, new: DataFrame, key: str = "id") -> DataFrame:
 def deep_difference(left: DataFrame, right: DataFrame) -> DataFrame:
     """Rows of ``left`` that no row of ``right`` equals in all columns, nulls included; repeated rows stay repeated."""
     same = F.lit(True)
-    a, b = left.alias("a"), right.distinct().alias("b")
+    a, b = left.alias("a"), wide(right.distinct()).alias("b")
     for c in left.columns:
         same = same & F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}"))
     return a.join(b, same, "left_anti")
