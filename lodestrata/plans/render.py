@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.canonical import json_array, json_object, json_string, survives
 from ..functions.names import camel_case, upper_first
+from ..operators.joins import wide
 
 # Names of references, and the kind that each points to.
 REFERENCES = {
@@ -177,11 +178,11 @@ def comments(plan: DataFrame, old: DataFrame, new: DataFrame) -> DataFrame:
     for gone, snapshot in ((True, old), (False, new)):
         rows = snapshot.select("kind", F.col("id").alias("entity_id"), "attributes", F.coalesce("owner", _linked("item_type")).alias("model_id"))
         models = snapshot.where("kind = 'item_type'").select(F.col("id").alias("model_id"), title(F.col("kind"), F.col("attributes")).alias("model"))
-        sides.append(rows.join(models, "model_id", "left").select(F.lit(gone).alias("gone"), "kind", "entity_id", title(F.col("kind"), F.col("attributes")).alias("title"), "model"))
+        sides.append(rows.join(wide(models), "model_id", "left").select(F.lit(gone).alias("gone"), "kind", "entity_id", title(F.col("kind"), F.col("attributes")).alias("title"), "model"))
     named = sides[0].unionByName(sides[1])
     verb = F.split_part("call", F.lit("."), F.lit(2))
     rows = plan.withColumns({"gone": verb == "destroy", "verb": F.when(verb == "create", "Create ").when(verb == "destroy", "Delete ").otherwise("Update ")})
-    rows = rows.join(named, ["gone", "kind", "entity_id"], "left")
+    rows = rows.join(wide(named), ["gone", "kind", "entity_id"], "left")
     entry = F.concat(F.element_at(F.split("title", " schema"), 1), F.lit(" schema menu item for "), "model")
     within = F.when(F.col("kind").isin("field", "fieldset"), F.concat(F.lit(" in "), "model")).when(F.col("kind") == "item_type_filter", F.concat(F.lit(" of "), "model"))
     what = F.when((F.col("kind") == "schema_menu_item") & F.col("model").isNotNull(), entry).otherwise(F.concat(F.col("title"), F.coalesce(within, F.lit(""))))

@@ -3,6 +3,7 @@
 import pytest
 
 from lodestrata.functions.canonical import canonical, json_string
+from lodestrata.operators import moves
 from lodestrata.plans import diff
 from pyspark.sql import functions as F
 
@@ -31,3 +32,22 @@ def test_plain_texts_are_quoted_as_others(spark, text):
     quoted = F.to_json(F.array("v"))
     row = spark.createDataFrame([(text,)], "v string").select(json_string(F.col("v")).alias("quick"), F.substring(quoted, F.lit(2), F.length(quoted) - 2).alias("parsed")).first()
     assert row.quick == row.parsed
+
+
+def _models(spark, *rows):
+    empty = diff.nothing()
+    made = spark.createDataFrame(list(rows), "id string, ord long, name string")
+    return made.select(F.lit("item_type").alias("kind"), "id", "ord", F.lit(None).cast("string").alias("owner"), F.create_map(F.lit("name"), "name").alias("attributes"), empty.alias("relationships"), empty.alias("meta"))
+
+
+def test_phases_read_states_that_are_joined_once(spark):
+    out = diff.finished_models(_models(spark, ("1", 1, '"a"'), ("2", 2, '"b"')), _models(spark, ("1", 1, '"c"'), ("2", 2, '"b"'), ("3", 3, ' "d"')))
+    assert [(r.entity_id, r.attributes) for r in out.collect()] == [("1", {"name": '"c"'})]
+    assert "Join" not in _plan(out)
+
+
+def test_moves_take_both_sides_from_one_table(spark):
+    side = lambda *keys: spark.createDataFrame([(g, k, "", n, n) for g in (1, 2) for n, k in enumerate(keys[g - 1], 1)], "grp long, key string, scope string, position long, ord long")
+    out = moves.plan_groups(side("abc", "xy"), side("cab", "xy"))
+    assert [tuple(r)[:5] for r in out.collect()] == [(1, 1, "c", "", 1)]
+    assert "CoGroup" not in _plan(out)
