@@ -11,11 +11,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..sources.folders import shared_folder
+from .joins import wide
 
 ROOT = ""
 SCOPE_WEIGHT = 100
 BLOCK = 256
-GROUPS = 64
+ROWS = 8192
 
 
 class IllegalMove(Exception):
@@ -199,15 +200,24 @@ def replay(old: dict[str, tuple[str, int]], new: dict[str, tuple[str, int]], ste
     return state.places()
 
 
+def _both(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Each key's old list, place and order (a, p, m) and its new ones (b, q, ord) in one row."""
+    a = old.select("grp", "key", F.col("scope").alias("a"), F.col("position").alias("p"), F.col("ord").alias("m"))
+    b = new.select("grp", "key", F.col("scope").alias("b"), F.col("position").alias("q"), "ord")
+    return wide(a).join(wide(b), ["grp", "key"], "full")
+
+
 def unsettled(old: DataFrame, new: DataFrame, first: str = "") -> DataFrame:
     """The groups (grp) in which something has to move: the others are as wanted once things have been created and destroyed.
 
     Where no list is left for another one, none that is gone held anything and no place is taken twice, what stays moves up by
     those that are gone before it, and what is new follows the last, containers first: counts over each list tell where all are.
     """
-    a = old.select("grp", "key", F.col("scope").alias("a"), F.col("position").alias("p"))
-    b = new.select("grp", "key", F.col("scope").alias("b"), F.col("position").alias("q"), "ord")
-    both = a.join(b, ["grp", "key"], "full").withColumn("list", F.coalesce("b", "a"))
+    return _unsettled(_both(old, new), first)
+
+
+def _unsettled(both: DataFrame, first: str) -> DataFrame:
+    both = both.withColumn("list", F.coalesce("b", "a"))
     lost, made = F.col("b").isNull(), F.col("a").isNull()
     own = Window.partitionBy("grp", "list")
     later = ~F.startswith("key", F.lit(first)) if first else F.lit(False)
@@ -219,7 +229,8 @@ def unsettled(old: DataFrame, new: DataFrame, first: str = "") -> DataFrame:
     )
     at = F.when(made, F.col("last") + F.col("rank") - F.col("all_gone")).otherwise(F.col("p") - F.col("gone"))
     stirred = placed.where(F.col("twice") | F.coalesce(F.col("a") != F.col("b"), F.lit(False)) | ~lost & (at != F.col("q"))).select("grp")
-    held = both.where(lost).join(a.select("grp", F.col("a").alias("key")).distinct(), ["grp", "key"], "left_semi").select("grp")
+    lists = both.where("a is not null").select("grp", F.col("a").alias("key")).distinct()
+    held = both.where(lost).join(wide(lists), ["grp", "key"], "left_semi").select("grp")
     return stirred.union(held).distinct()
 
 
@@ -230,20 +241,19 @@ def plan_groups(old: DataFrame, new: DataFrame, first: str = "") -> DataFrame:
     """
     kind = dict(new.dtypes)["grp"]
     shared_folder(old.sparkSession)
-    moving = unsettled(old, new, first).checkpoint()
-    sets = 1 + moving.count() // GROUPS
+    both = _both(old, new).checkpoint()
+    stirred = both.join(wide(_unsettled(both, first)), "grp", "left_semi").checkpoint()
+    sets = 1 + stirred.count() // ROWS
 
-    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
         sides = []
-        for df in (left, right):
+        for s, p, m in (("a", "p", "m"), ("b", "q", "ord")):
             groups: dict = {}
-            for g, k, s, p in df.sort_values("ord", kind="stable")[["grp", "key", "scope", "position"]].itertuples(index=False):
-                groups.setdefault(g, {})[k] = (s, int(p))
+            for g, k, scope, place in rows[rows[s].notna()].sort_values(m, kind="stable")[["grp", "key", s, p]].itertuples(index=False):
+                groups.setdefault(g, {})[k] = (scope, int(place))
             sides.append(groups)
         steps = [(g, n, *s, w) for g in {**sides[0], **sides[1]} for n, (w, *s) in enumerate(weighed_plan(sides[0].get(g, {}), sides[1].get(g, {}), first), 1)]
         return pd.DataFrame(steps, columns=["grp", "step", "key", "scope", "position", "weight"])
 
-    # Named anew, as both sides may come from one table.
-    columns = ("grp", "key", "scope", "position", "ord")
-    of = lambda side: side.join(moving, "grp", "left_semi").select(F.pmod(F.xxhash64("grp"), F.lit(sets)).alias("set"), *[F.col(c).alias(c) for c in columns]).groupBy("set")
-    return of(old).cogroup(of(new)).applyInPandas(run, f"grp {kind}, step long, key string, scope string, position long, weight long")
+    dealt = stirred.withColumn("set", F.pmod(F.xxhash64("grp"), F.lit(sets)))
+    return dealt.groupBy("set").applyInPandas(run, f"grp {kind}, step long, key string, scope string, position long, weight long")
