@@ -12,13 +12,13 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
+from ..sources.folders import shared_folder
+from .storage import stored
 from .tokens import SPACE, U64, Words, mix, slices, span_hash
 
 BUCKETS = 1 << 16
-LABELLED = 20_000
 CUT_FOLDS = 3
 MIN_WORDS = 10
 WINDOW = 5
@@ -94,57 +94,72 @@ def ratio_scores(words: Words, weights: np.ndarray) -> np.ndarray:
     return total / np.maximum(n, 1)
 
 
-def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, id_col: str = "doc_id", text_col: str = "text") -> Ratio:
-    """Fit the ratio: raw counts over every text, trusted counts over texts that ``labels`` (id, quality) marks 1.
+def _tally(rows: DataFrame) -> np.ndarray:
+    """How often each bucket occurs in the texts of ``rows``."""
 
-    At most ``labelled`` labelled ids are used, those with the smallest hash, so that the broadcast is bounded. One in
-    CUT_FOLDS of them isn't counted as trusted and sets the threshold. Labels that are null or contradict each other are ignored. Without labelled texts every weight is 0 and all texts pass.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(BUCKETS, np.int64)
+        for batch in batches:
+            for part in slices(batch, "text"):
+                one, two, _ = _grams(Words(part.column("text")))
+                total += np.bincount(one, minlength=BUCKETS) + np.bincount(two, minlength=BUCKETS)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["bucket", "n"])
+
+    table = rows.select("text").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(BUCKETS)
+    out[table["bucket"]] = table["n"]
+    return out
+
+
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Ratio:
+    """Fit the ratio: raw counts over every text, trusted counts over all texts that ``labels`` (id, quality) marks 1.
+
+    One labelled id in CUT_FOLDS isn't counted as trusted; these set the threshold. Labels that are null or contradict each
+    other are ignored. Labelled texts are stored once. Without labelled texts every weight is 0 and all texts pass.
     """
     marked = labels.select(F.col(id_col).cast("long").alias("id"), F.col("quality").cast("int").alias("mark")).where("id is not null and mark in (0, 1)")
     marked = marked.groupBy("id").agg(F.min("mark").alias("mark"), F.max("mark").alias("most")).where("mark = most").drop("most")
-    marked = marked.withColumn("order", F.xxhash64("id")).orderBy("order", "id").limit(labelled)
-    marked = marked.select("id", "mark", (F.pmod("order", F.lit(CUT_FOLDS)) == 0).alias("cut"))
+    marked = marked.withColumn("cut", F.pmod(F.xxhash64("id"), F.lit(CUT_FOLDS)) == 0)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    source = texts.join(F.broadcast(marked), "id", "left").select("text", "mark", F.coalesce("cut", F.lit(False)).alias("cut"))
+    labelled = stored(texts.join(marked, "id").where("cut or mark = 1"))
 
-    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, good = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
-        for batch in batches:
-            for part in slices(batch, "text"):
-                words = Words(part.column("text"))
-                trusted = pc.and_(pc.equal(part.column("mark"), 1).fill_null(False), pc.invert(part.column("cut"))).to_numpy(zero_copy_only=False)
-                one, two, own = _grams(words)
-                for grams, of in ((one, words.owner), (two, own)):
-                    raw += np.bincount(grams, minlength=BUCKETS)
-                    good += np.bincount(grams[trusted[of]], minlength=BUCKETS)
-        some = np.flatnonzero(raw)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(raw[some]), pa.array(good[some])], names=["bucket", "raw", "good"])
-
-    table = source.mapInArrow(tally, "bucket long, raw long, good long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("good").alias("good")).toPandas()
-    raw, good = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    raw[table["bucket"]], good[table["bucket"]] = table["raw"], table["good"]
+    good = _tally(labelled.where("not cut"))
     if not good.any():
         return Ratio(np.zeros(BUCKETS), -np.inf)
+    raw = _tally(texts)
     weights = np.log((good + 1) / (good.sum() + BUCKETS)) - np.log((raw + 1) / (raw.sum() + BUCKETS))
 
-    # An id that many rows have counts once, with the lowest ratio of its texts: no more values than labelled ids are fetched.
-    cut = texts.join(F.broadcast(marked.where("cut")), "id")
-    marks = judge(cut, Ratio(weights, -np.inf)).where("not base_failed").groupBy("id").agg(F.first("mark").alias("mark"), F.min("ratio").alias("ratio")).toPandas()
-    return Ratio(weights, _threshold(marks["ratio"].to_numpy(), marks["mark"].to_numpy()))
+    # An id that many rows have counts once, with the lowest ratio of its texts.
+    judged = judge(labelled.where("cut"), Ratio(weights, -np.inf)).where("not base_failed")
+    return Ratio(weights, _threshold(judged.groupBy("id").agg(F.first("mark").alias("mark"), F.min("ratio").alias("ratio"))))
 
 
-def _threshold(score: np.ndarray, mark: np.ndarray) -> float:
-    """The cut with the best balanced accuracy, in the middle of the widest gap of those. All pass if a class is missing."""
-    if not (mark == 1).any() or not (mark == 0).any():
+def _threshold(marks: DataFrame) -> float:
+    """The cut of ``marks`` (ratio, mark) with the best balanced accuracy, in the middle of the widest gap of those. All pass if a class is missing.
+
+    Ratios are sorted into ranges; what earlier ranges have, and where the next one begins, is a row for each range.
+    """
+    shared_folder(marks.sparkSession)
+    ranges = marks.groupBy("ratio").agg(F.count_if(F.col("mark") == 1).alias("good"), F.count_if(F.col("mark") == 0).alias("bad")).repartitionByRange("ratio").withColumn("range", F.spark_partition_id()).checkpoint()
+    held = ranges.groupBy("range").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"), F.min("ratio").alias("least")).orderBy("range").collect()
+    good, bad = sum(r["good"] for r in held), sum(r["bad"] for r in held)
+    if not good or not bad:
         return -np.inf
-    order = np.unique(score)
-    good, bad = np.sort(score[mark == 1]), np.sort(score[mark == 0])
-    cuts = np.concatenate(([order[0] - 1], (order[1:] + order[:-1]) / 2, [order[-1] + 1]))
-    gap = np.concatenate(([0], np.diff(order), [0]))
-    kept = 1 - np.searchsorted(good, cuts) / len(good)
-    dropped = np.searchsorted(bad, cuts) / len(bad)
-    best = np.isclose(kept + dropped, (kept + dropped).max())
-    return float(cuts[np.argmax(np.where(best, gap, -1))])
+    before, g, b = [], 0, 0
+    for k, r in enumerate(held):
+        before.append((r["range"], g, b, held[k + 1]["least"] if k + 1 < len(held) else None))
+        g, b = g + r["good"], b + r["bad"]
+    before = ranges.sparkSession.createDataFrame(before, "range int, g long, b long, following double")
+    own = Window.partitionBy("range").orderBy("ratio")
+    so_far = own.rowsBetween(Window.unboundedPreceding, 0)
+    rows = ranges.withColumns({"good": F.sum("good").over(so_far), "bad": F.sum("bad").over(so_far), "next": F.lead("ratio").over(own)}).join(F.broadcast(before), "range")
+    rows = rows.select("ratio", F.coalesce("next", "following").alias("next"), (F.lit(1.0) - (F.col("g") + F.col("good")) / good + (F.col("b") + F.col("bad")) / bad).alias("value"))
+    cuts = rows.where("next is not null").select("value", (F.col("next") - F.col("ratio")).alias("gap"), ((F.col("next") + F.col("ratio")) / 2).alias("cut"))
+    # A cut below all ratios keeps all good and no bad texts.
+    most = max(cuts.agg(F.max("value")).first()[0] or 1.0, 1.0)
+    best = cuts.where(F.abs(F.col("value") - most) <= 1e-8 + 1e-5 * most).orderBy(F.desc("gap"), "cut").first()
+    return float(held[0]["least"] - 1 if best is None else best["cut"])
 
 
 def judge(docs: DataFrame, model: Ratio, text_col: str = "text") -> DataFrame:
@@ -174,6 +189,6 @@ def judge(docs: DataFrame, model: Ratio, text_col: str = "text") -> DataFrame:
     return docs.select(*keep).mapInArrow(run, schema)
 
 
-def rules(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def rules(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fit on ``docs`` and ``labels`` and judge every row of ``docs``."""
-    return judge(docs, fit(docs, labels, labelled, id_col, text_col), text_col)
+    return judge(docs, fit(docs, labels, id_col, text_col), text_col)

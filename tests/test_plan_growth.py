@@ -1,5 +1,8 @@
 """What the plans must not do as the snapshots grow: broadcast one, derive it again and again, or parse what is settled."""
 
+import math
+import random
+
 import pytest
 
 from lodestrata.functions.canonical import canonical, json_string
@@ -51,3 +54,28 @@ def test_moves_take_both_sides_from_one_table(spark):
     out = moves.plan_groups(side("abc", "xy"), side("cab", "xy"))
     assert [tuple(r)[:5] for r in out.collect()] == [(1, 1, "c", "", 1)]
     assert "CoGroup" not in _plan(out)
+
+
+def test_quality_rules_learn_from_all_labels(spark):
+    from lodestrata.llm import quality_rules
+
+    docs = spark.range(24_000).select(F.col("id").alias("doc_id"), F.lit("seldom").alias("text"))
+    model = quality_rules.fit(docs, docs.select("doc_id", F.lit(1).alias("quality")))
+    cut = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(quality_rules.CUT_FOLDS)) == 0).count()
+    good, n = 24_000 - cut, quality_rules.BUCKETS
+    assert model.weights.min() == pytest.approx(math.log((good + 1) / (good + n)) - math.log(24_001 / (24_000 + n)))
+
+
+def test_threshold_as_by_trying_all_cuts(spark):
+    from lodestrata.llm import quality_rules
+
+    r = random.Random(3)
+    for n in (2, 7, 300):
+        rows = [(round(r.gauss(m, 1), 2), m) for m in (0, 1) for _ in range(n)]
+        values = sorted({s for s, _ in rows})
+        cuts = [(0, values[0] - 1), *((b - a, (a + b) / 2) for a, b in zip(values, values[1:]))]
+        balance = lambda c: sum((s >= c) == bool(m) for s, m in rows)
+        best = max(balance(c) for _, c in cuts)
+        want = max((c for c in cuts if balance(c[1]) == best), key=lambda c: (c[0], -c[1]))[1]
+        assert quality_rules._threshold(spark.createDataFrame(rows, "ratio double, mark int")) == pytest.approx(want)
+    assert quality_rules._threshold(spark.createDataFrame([(1.0, 1)], "ratio double, mark int")) == -math.inf
