@@ -122,7 +122,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     marked = marked.groupBy("id").agg(F.min("mark").alias("mark"), F.max("mark").alias("most")).where("mark = most").drop("most")
     marked = marked.withColumn("cut", F.pmod(F.xxhash64("id"), F.lit(CUT_FOLDS)) == 0)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    labelled = stored(texts.join(marked, "id").where("cut or mark = 1"))
+    # A shuffle of the texts at every size: labels grow with them, so they are never broadcast.
+    labelled = stored(texts.join(marked.where("cut or mark = 1").hint("merge"), "id"))
 
     good = _tally(labelled.where("not cut"))
     if not good.any():
