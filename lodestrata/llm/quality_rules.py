@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..sources.folders import shared_folder
-from .storage import stored
+from .storage import let_go, stored
 from .tokens import SPACE, U64, Words, mix, slices, span_hash
 
 BUCKETS = 1 << 16
@@ -127,13 +127,16 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     good = _tally(labelled.where("not cut"))
     if not good.any():
+        let_go(labelled)
         return Ratio(np.zeros(BUCKETS), -np.inf)
     raw = _tally(texts)
     weights = np.log((good + 1) / (good.sum() + BUCKETS)) - np.log((raw + 1) / (raw.sum() + BUCKETS))
 
     # An id that many rows have counts once, with the lowest ratio of its texts.
     judged = judge(labelled.where("cut"), Ratio(weights, -np.inf)).where("not base_failed")
-    return Ratio(weights, _threshold(judged.groupBy("id").agg(F.first("mark").alias("mark"), F.min("ratio").alias("ratio"))))
+    threshold = _threshold(judged.groupBy("id").agg(F.first("mark").alias("mark"), F.min("ratio").alias("ratio")))
+    let_go(labelled)
+    return Ratio(weights, threshold)
 
 
 def _threshold(marks: DataFrame) -> float:

@@ -10,6 +10,7 @@ row, and what is left gets the full Hamming check.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .columns import spare
 from .components import components
-from .storage import cut, stored
+from .storage import cut, let_go, stored
 from .tokens import U64, list_array, mix, slices
 
 SHINGLE = 3
@@ -185,13 +186,15 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
 
 
 def similar(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """The ``pairs`` (a, b) whose texts (node, text) have a Jaccard similarity of at least ``similarity`` over their shingles."""
+    """The ``pairs`` (a, b) whose texts (node, text) have a Jaccard similarity of at least ``similarity`` over their shingles, stored."""
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     sets = stored(shingle_sets(texts.join(nodes, "node", "left_semi"), words))
     side = lambda c: sets.select(F.col("node").alias(c), F.col("grams").alias(f"of_{c}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
     shared = F.size(F.array_intersect("of_a", "of_b"))
-    return both.where(shared >= similarity * (F.size("of_a") + F.size("of_b") - shared)).select("a", "b")
+    out = stored(both.where(shared >= similarity * (F.size("of_a") + F.size("of_b") - shared)).select("a", "b"))
+    let_go(sets)
+    return out
 
 
 def _needed(size, similarity: float):
@@ -284,19 +287,25 @@ def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8, rounds: i
     source = source.withColumnRenamed("node", "digest")
 
     def checked(pairs: DataFrame) -> DataFrame:
-        pairs = stored(_screened(stored(pairs.distinct()), distinct, similarity))
+        asked = stored(pairs.distinct())
+        pairs = stored(_screened(asked, distinct, similarity))
+        let_go(asked)
         ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(distinct.select("node", F.col("digest").alias("of"), F.col("first.first").alias("id")), "node")
         ends = stored(ends)
-        ends = F.broadcast(ends) if ends.count() <= FEW else ends
+        few = F.broadcast(ends) if ends.count() <= FEW else ends
         # Only the first row of a text is asked for: its copies are dealt out by their ids and match nothing.
-        texts = source.join(ends, (source["digest"] == ends["of"]) & source["first"].eqNullSafe(ends["id"])).groupBy("node").agg(F.first("text").alias("text"))
-        return stored(similar(pairs, texts, words, similarity))
+        texts = source.join(few, (source["digest"] == few["of"]) & source["first"].eqNullSafe(few["id"])).groupBy("node").agg(F.first("text").alias("text"))
+        out = similar(pairs, texts, words, similarity)
+        let_go(pairs, ends)
+        return out
 
-    edges = checked(_fingerprint_pairs(distinct))
+    found = [checked(_fingerprint_pairs(distinct))]
     keys = distinct.select("node", "size", F.posexplode("keys").alias("at", "k"))
     repeated = stored(keys.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").select("k"))
     shared = stored(keys.join(repeated, "k"))
+    let_go(repeated)
     for k in range(rounds + 1):
+        edges = reduce(DataFrame.union, found)
         label = stored(components(edges, distinct.select(F.col("node").alias("fp"), F.col("node").alias("least")))).select(F.col("fp").alias("node"), F.col("component").alias("comp"))
         placed = shared.join(label, "node")
         if k < rounds:
@@ -309,11 +318,15 @@ def keep_one(docs: DataFrame, words: int = 5, similarity: float = 0.8, rounds: i
             met = groups.alias("p").join(groups.alias("q"), "k").where("p.comp < q.comp").select("k", F.col("p.comp").alias("c"), F.col("q.comp").alias("d"))
             half = met.join(placed.withColumnRenamed("comp", "c"), ["k", "c"]).select("k", "d", F.struct("node", "size", "at").alias("x"))
             pairs = half.join(placed.select("k", F.col("comp").alias("d"), F.struct("node", "size", "at").alias("y")), ["k", "d"])
-        edges = edges.union(checked(pairs.where(_within_reach(similarity)).select(F.expr("least(x.node, y.node)").alias("a"), F.expr("greatest(x.node, y.node)").alias("b"))))
-    group = components(edges, distinct.select(F.col("node").alias("fp"), F.col("node").alias("least"))).withColumnsRenamed({"fp": "node"})
+        found.append(checked(pairs.where(_within_reach(similarity)).select(F.expr("least(x.node, y.node)").alias("a"), F.expr("greatest(x.node, y.node)").alias("b"))))
+        let_go(label, *([groups] if k == rounds else []))
+    let_go(shared)
+    group = components(reduce(DataFrame.union, found), distinct.select(F.col("node").alias("fp"), F.col("node").alias("least"))).withColumnsRenamed({"fp": "node"})
     best = group.join(distinct.select("node", "first", "digest"), "node").groupBy("component").agg(F.min(F.struct("first", "digest")).alias("best"))
     id_, digest_ = spare(docs, "id", "digest")
     keyed = docs.withColumns({id_: F.col(id_col).cast("long"), digest_: digest})
-    kept = best.select(F.col("best.first.first").alias("of_id"), F.col("best.digest").alias("of_digest"))
+    # What is left of the search is a row for each group; all else goes before the texts are shuffled.
+    kept = stored(best.select(F.col("best.first.first").alias("of_id"), F.col("best.digest").alias("of_digest")))
+    let_go(distinct, *found)
     own = keyed.join(kept, keyed[id_].eqNullSafe(kept["of_id"]) & (keyed[digest_] == kept["of_digest"]), "left_semi")
     return own.dropDuplicates([id_, digest_]).select(*docs.columns)
