@@ -14,6 +14,7 @@ from ..functions.canonical import json_array, json_object, json_string, truthy
 from ..functions.maps import overlay
 from ..operators.joins import first_match, resolve_list
 from ..operators.rewrite import rewrite
+from ..sources.folders import new_path
 
 FIELD = (
     "struct<id:string,name:string,type:string,link:string,localized:boolean,required:boolean,item_type:string,item_link:string,links:array<string>,item_links:array<string>,"
@@ -24,6 +25,8 @@ MODEL = {
     "modular_block": "false", "ordering_direction": "null", "ordering_field": "null", "singleton": "false", "sortable": "false", "tree": "false", "draft_mode_active": "true",
     "all_locales_required": "false",
 }
+#: So many of the commonest targets of links are looked up beside the shuffle.
+HOT = 256
 ASSET_BLOCK, ASSET_FIELD = "structured_text_asset", "file"
 LINK_TYPES = ("link", "links", "file", "gallery", "structured_text")
 TITLE_EDITOR = '{"editor":"single_line","parameters":{"heading":true},"addons":[]}'
@@ -202,7 +205,7 @@ def link_values(entries: DataFrame, described: DataFrame, made: DataFrame, uploa
     of_asset = F.col("field_type").isin("file", "gallery")
     links = each.select(*key, "field_type", "localized", "unrestricted", "item_types", of_asset.alias("of_asset"), F.posexplode_outer(targets).alias("at", "target"))
     ids = made.select(F.lit(False).alias("of_asset"), F.col("entry_id").alias("target"), "id", "model").unionByName(uploads.select(F.lit(True).alias("of_asset"), F.col("asset_id").alias("target"), "id", F.lit(None).cast("string").alias("model")))
-    found = links.join(ids, ["of_asset", "target"], "left")
+    found = looked_up(links, ids)
     may = F.col("of_asset") | F.coalesce(F.col("unrestricted"), F.lit(True)) | F.array_contains(F.col("item_types"), F.col("model")) | (F.col("field_type") == "links")
     upload = F.concat(F.lit('{"upload_id":'), json_string(F.col("id")), F.lit(',"alt":null,"title":null,"custom_data":{}}'))
     shown = F.when(F.col("id").isNotNull() & F.coalesce(may, F.lit(False)), F.when(F.col("of_asset"), upload).otherwise(json_string(F.col("id"))))
@@ -214,6 +217,28 @@ def link_values(entries: DataFrame, described: DataFrame, made: DataFrame, uploa
     return per_field.groupBy("entry_id").agg(F.map_from_entries(F.collect_list(F.struct("api_key", whole))).alias("attributes"))
 
 
+def looked_up(links: DataFrame, ids: DataFrame) -> DataFrame:
+    """``links`` (entry_id, of_asset, target, ...) and the id and model of their target in ``ids``; null if there is none.
+
+    All links to one target would be in one task. Those to the commonest targets get theirs from a broadcast of HOT targets at
+    most and are shuffled by entry, as those without a target are. What counts as common only says how a link is looked up.
+    The links are stored once for both.
+    """
+    spark, path = links.sparkSession, new_path(links.sparkSession)
+    links.write.parquet(path)
+    links = spark.read.schema(links.schema).parquet(path)
+    name = F.concat(F.when(F.col("of_asset"), "a").otherwise("r"), "target")
+    top = links.where("target is not null").select(name.alias("name")).agg(F.expr(f"approx_top_k(name, {HOT})").alias("top")).first()["top"]
+    top = spark.createDataFrame([(t["item"], True) for t in top], "__name string, __hot boolean")
+    there = ids.withColumn("__name", name).join(F.broadcast(top), "__name").select("__name", F.col("id").alias("__id"), F.col("model").alias("__model"))
+    out = links.withColumn("__name", name).join(F.broadcast(top.join(F.broadcast(there), "__name", "left")), "__name", "left")
+    apart = F.coalesce("__hot", F.col("target").isNull())
+    out = out.withColumns({"__apart": apart, "__to": F.when(apart, F.col("entry_id")).otherwise(F.col("target"))})
+    others = ids.select("of_asset", F.lit(False).alias("__apart"), F.col("target").alias("__to"), "id", "model")
+    found = out.join(others, ["of_asset", "__apart", "__to"], "left").withColumns({"id": F.coalesce("__id", "id"), "model": F.coalesce("__model", "model")})
+    return found.drop("__name", "__hot", "__id", "__model", "__apart", "__to")
+
+
 def updated(rows: DataFrame, links: DataFrame) -> DataFrame:
     """Records after the second pass: attributes with their links (entry_id, attributes), which count where both have a key."""
     more = links.select("entry_id", F.col("attributes").alias("__links"))
