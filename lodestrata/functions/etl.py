@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, functions as F
 
 # Source field type to target field type.
@@ -51,6 +53,11 @@ def range_json(low: Column, high: Column) -> Column:
 VALIDATIONS = "array<struct<size:struct<min:long,max:long>,unique:boolean,in:array<string>,regexp:string,range:struct<min:double,max:double>,dateRange:struct<min:string,max:string>,assetFileSize:struct<min:long,max:long>>>"
 
 
+def _once(value: Column, made: Callable[[Column], Column]) -> Column:
+    """``made(value)`` with the value computed once, however often it is mentioned."""
+    return F.get(F.transform(F.array(value), made), F.lit(0))
+
+
 def _last(validations: Column, name: str) -> Column:
     """The last validation of a kind; null if there is none."""
     have = F.filter(F.transform(validations, lambda v: v[name]), lambda x: x.isNotNull())
@@ -104,7 +111,11 @@ def list_validators(required: Column, validations: Column) -> Column:
 
 
 def field_validators(target: Column, required: Column, validations: Column) -> Column:
-    """The validators of a field of the target type (a map of name to JSON)."""
+    """The validators of a field of the target type (a map of name to JSON). ``validations`` may be parsed from a text: it is, once."""
+    return _once(validations, lambda v: _of_type(target, required, v))
+
+
+def _of_type(target: Column, required: Column, validations: Column) -> Column:
     v = {k: f(required, validations) for k, f in (("s", string_validators), ("n", number_validators), ("d", date_validators), ("a", asset_validators), ("l", list_validators))}
     only = _entries(("required", F.when(required, "{}")))
     return (

@@ -49,3 +49,12 @@ def test_links_to_one_target_are_in_many_tasks(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_validations_are_parsed_once(spark):
+    made = etl.field_validators(F.col("target"), F.lit(True), F.from_json("body", etl.VALIDATIONS))
+    body = '[{"size":{"min":1,"max":3},"unique":true,"range":{"min":1.5},"dateRange":{"min":"2026-06-01T00:00:00Z"},"assetFileSize":{"max":9}}]'
+    rows = spark.range(7).select(F.get(F.array(*map(F.lit, ("string", "float", "date", "file", "links", "json", "slug"))), F.col("id").cast("int")).alias("target"), F.when(F.col("id") != 6, body).alias("body"))
+    out = rows.select("target", made.alias("made"))
+    assert _plan(out).split("Project")[1].count("from_json") <= 1
+    assert {r.target: sorted(r.made) for r in out.collect()} == {"string": ["length", "required", "unique"], "float": ["number_range", "required"], "date": ["date_time_range", "required"], "file": ["file_size", "required"], "links": ["size"], "json": ["required"], "slug": ["required"]}
