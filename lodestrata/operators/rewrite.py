@@ -9,7 +9,7 @@ cut into parts of bounded size, in order; each part is one pass over the texts.
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import ahocorasick
 import pyarrow as pa
@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame, functions as F
 from ..sources.folders import shared_folder
 
 PART_BYTES = 8 << 20
+#: So many bytes of rows are Python objects at once, of a batch of any size; a longer row is alone.
+TEXT_BYTES = 2 << 20
 
 
 class _Fold(dict):
@@ -38,15 +40,15 @@ class Rewriter:
 
     def __init__(self, pairs: list[tuple[str, str]], every: bool = True, fold: bool = True):
         self.every, self.fold, self.pairs = every, fold, pairs
-        self.old = [self.folded(old) for old, _ in pairs]
-        self.reach = max(map(len, self.old), default=1) - 1
-        self.automaton = ahocorasick.Automaton()
-        places: dict[str, list[int]] = {}
-        for k, old in enumerate(self.old):
-            places.setdefault(old, []).append(k)
-        for old, at in places.items():
-            self.automaton.add_word(old, at)
-        if places:
+        self.reach = max((len(old) for old, _ in pairs), default=1) - 1
+        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        self.same: dict[int, int] = {}  # the next pair whose old string is the same but for its case
+        for k in reversed(range(len(pairs))):
+            old = self.folded(pairs[k][0])
+            if (later := self.automaton.get(old, -1)) >= 0:
+                self.same[k] = later
+            self.automaton.add_word(old, k)
+        if pairs:
             self.automaton.make_automaton()
 
     def folded(self, text: str) -> str:
@@ -55,9 +57,11 @@ class Rewriter:
 
     def found(self, text: str) -> Iterator[tuple[int, int]]:
         """(pair, first character) of every occurrence, by last character."""
-        for end, at in self.automaton.iter(self.folded(text)):
-            for k in at:
-                yield k, end + 1 - len(self.old[k])
+        for end, k in self.automaton.iter(self.folded(text)):
+            at = end + 1 - len(self.pairs[k][0])
+            while k is not None:
+                yield k, at
+                k = self.same.get(k)
 
     def __call__(self, text: str | None) -> str | None:
         if not text or not self.pairs:
@@ -71,7 +75,8 @@ class Rewriter:
         """The occurrences that no earlier pair has broken, each replaced where it is."""
         gone, value, start = bytearray(len(text)), {}, {}
         for k in sorted(hits):
-            size, new, made, last = len(self.old[k]), self.pairs[k][1], [], 0
+            (old, new), made, last = self.pairs[k], [], 0
+            size = len(old)
             for at in hits[k]:
                 if at < last or gone.find(1, at, at + size) >= 0:
                     continue
@@ -84,7 +89,7 @@ class Rewriter:
             for at in made:
                 left, right = self._before(text, at, gone, value, start), self._after(text, at + size, gone, value)
                 low, high = len(left), len(left) + len(new)
-                if any(j > k and a < high and a + len(self.old[j]) > low for j, a in self.found(left + new + right)):
+                if any(j > k and a < high and a + len(self.pairs[j][0]) > low for j, a in self.found(left + new + right)):
                     return self._one_by_one(text)
         out, at = [], 0
         for s in sorted(value):
@@ -127,7 +132,7 @@ class Rewriter:
             k = heapq.heappop(waiting)
             if k <= last:
                 continue
-            last, whole, old, new = k, self.folded(text), self.old[k], self.pairs[k][1]
+            last, whole, old, new = k, self.folded(text), self.folded(self.pairs[k][0]), self.pairs[k][1]
             out, at, hit = [], 0, whole.find(old)
             while hit >= 0:
                 out += [text[at:hit], new]
@@ -150,6 +155,21 @@ def _rewriter(shared: Broadcast, every: bool, fold: bool) -> Rewriter:
     return _built[key]
 
 
+def changed(batches: Iterator[pa.RecordBatch], change: Callable[[str | None], str | None], places: list[int]) -> Iterator[pa.RecordBatch]:
+    """``batches`` with ``change`` applied to each text of the columns at ``places``, in pieces of some TEXT_BYTES."""
+    for batch in batches:
+        step = max(1, batch.num_rows * TEXT_BYTES // max(1, batch.nbytes))
+        for first in range(0, batch.num_rows, step):
+            piece = batch.slice(first, step)
+            arrays = list(piece.columns)
+            for at in places:
+                kind = arrays[at].type
+                texts = arrays[at].to_pylist()
+                new = [None if t is None else [change(x) for x in t] for t in texts] if pa.types.is_list(kind) else list(map(change, texts))
+                arrays[at] = pa.array(new, kind)
+            yield pa.RecordBatch.from_arrays(arrays, schema=piece.schema)
+
+
 def in_order(pairs: DataFrame) -> DataFrame:
     """``pairs`` (old, new, ord) with each old string once, at its first place with its last value; null and empty ones are left out."""
     some = pairs.where(F.length("old") > 0)
@@ -186,15 +206,7 @@ def rewrite(rows: DataFrame, columns: list[str], pairs: DataFrame, every: bool =
         shared = context.broadcast(table)
 
         def run(batches: Iterator[pa.RecordBatch], shared: Broadcast = shared) -> Iterator[pa.RecordBatch]:
-            change = _rewriter(shared, every, fold)
-            for batch in batches:
-                arrays = list(batch.columns)
-                for at in places:
-                    kind = arrays[at].type
-                    texts = arrays[at].to_pylist()
-                    new = [None if t is None else [change(x) for x in t] for t in texts] if pa.types.is_list(kind) else list(map(change, texts))
-                    arrays[at] = pa.array(new, kind)
-                yield pa.RecordBatch.from_arrays(arrays, schema=batch.schema)
+            yield from changed(batches, _rewriter(shared, every, fold), places)
 
         rows = rows.mapInArrow(run, schema)
         if number + 1 < len(parts):

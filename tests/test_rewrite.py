@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from lodestrata.operators.rewrite import Rewriter, in_order, rewrite
+from lodestrata.operators.rewrite import Rewriter, changed, in_order, rewrite
 
 ALPHABETS = ("ab", "aAbB", "abc", "aé", "aßſK")
 
@@ -84,3 +86,21 @@ def test_fixed_texts_of_imports(spark):
     pairs = spark.createDataFrame([("http://x/a", "https://c/1", 1), ("http://x/a-t", "https://c/1?w=1", 2), ("https://c/1-t", "seen", 3)], "old string, new string, ord int")
     rows = spark.createDataFrame([("http://x/A http://x/a-t",)], "text string")
     assert rewrite(rows, ["text"], pairs).first().text == "https://c/1 seen"
+
+
+def test_texts_of_a_batch_are_not_all_objects_at_once():
+    """A batch of 32 MB is changed in pieces; a row longer than a piece, a null and lists come out as they should."""
+    texts = [*[f"{k} " + "x" * 4000 for k in range(8000)], None, "x" * (4 << 20), ""]
+    batch = pa.RecordBatch.from_pydict({"n": list(range(len(texts))), "text": pa.array(texts), "more": pa.array([[t and t[:3], None] if n % 2 else None for n, t in enumerate(texts)], pa.list_(pa.string()))})
+    change = Rewriter([("x", "y"), ("X", "z")])
+    tracemalloc.start()
+    got, rows = [], 0
+    for out in changed(iter([batch, batch.slice(0, 0)]), lambda t: t and t.replace("x", "y"), [1, 2]):
+        assert out.schema == batch.schema
+        rows += out.num_rows
+        got.append(out)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 16 << 20 and rows == len(texts)
+    assert pa.Table.from_batches(got).to_pydict() == pa.Table.from_batches(changed(iter([batch]), change, [1, 2])).to_pydict()
+    assert got[-1].column(1).to_pylist()[-1] == "" and sum(b.column(1).null_count for b in got) == 1
