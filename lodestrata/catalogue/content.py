@@ -18,21 +18,26 @@ def _t(key: Column | str) -> Column:
 
 
 def _types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as types, their lines as fields."""
-    line = table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("p"), F.min("l_suppkey").alias("s"))
-    p, s, k = F.col("p"), F.col("s"), F.col("l_orderkey")
+    """Orders as types, their lines as fields. Lines are dealt by order once, which serves both groupings and every reading."""
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").repartition("l_orderkey")
+    line = rows.groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("p"), F.min("l_suppkey").alias("s"))
+    lines = F.sort_array(F.collect_list(F.struct("l_linenumber", "p", "s")))
+    fields = F.transform("lines", lambda x: _field(F.col("l_orderkey"), x["l_linenumber"], x["p"], x["s"]).cast(content.FIELD))
+    return line.groupBy("l_orderkey").agg(lines.alias("lines")).select(_t("l_orderkey").alias("type_id"), F.concat(F.lit("Order "), "l_orderkey").alias("name"), F.lit("f1").alias("display"), fields.alias("fields"))
+
+
+def _field(k: Column, n: Column, p: Column, s: Column) -> Column:
+    """A line as a field, by the numbers of its order, itself, its part and its supplier."""
     null = F.lit(None).cast("array<string>")
     kind = F.element_at(F.array(*map(F.lit, _KINDS)), (p % 7 + 1).cast("int"))
     two = F.array(_t(k + 1), _t(k * 2))
     links = F.when(s % 3 == 0, null).when(s % 3 == 1, F.array().cast("array<string>")).otherwise(two)
     one = F.when(kind == "Link", F.when(p % 7 == 2, "Entry").otherwise("Asset"))
-    field = F.struct(
-        F.concat(F.lit("f"), "l_linenumber").alias("id"), F.concat(F.lit("N"), "l_linenumber").alias("name"), kind.alias("type"), one.alias("link"), (p % 2 == 0).alias("localized"), (p % 3 == 0).alias("required"),
+    return F.struct(
+        F.concat(F.lit("f"), n).alias("id"), F.concat(F.lit("N"), n).alias("name"), kind.alias("type"), one.alias("link"), (p % 2 == 0).alias("localized"), (p % 3 == 0).alias("required"),
         F.when(kind == "Array", "Link").alias("item_type"), F.when(kind == "Array", "Entry").alias("item_link"), F.when(kind == "Link", links).alias("links"), F.when(kind == "Array", links).alias("item_links"),
         F.when(s % 4 == 1, F.array().cast("array<string>")).when(s % 4 > 1, F.array(_t(k))).alias("blocks"), F.when(s % 2 == 1, F.array(_t(k), _t(k + 1))).alias("inlines"),
     )
-    fields = F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", field.alias("field")))), lambda x: x["field"].cast(content.FIELD))
-    return line.groupBy("l_orderkey").agg(fields.alias("fields")).select(_t("l_orderkey").alias("type_id"), F.concat(F.lit("Order "), "l_orderkey").alias("name"), F.lit("f1").alias("display"), "fields")
 
 
 def _controls(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
@@ -57,15 +59,17 @@ def resolve(links: DataFrame, targets: DataFrame, link: str, source: str, target
     return found if allowed is None else found.withColumn(target, F.when(allowed, F.col(target)))
 
 
-def resolve_list(rows: DataFrame, key: str, links: str, targets: DataFrame, source: str, target: str, holes: bool = False) -> DataFrame:
+def resolve_list(rows: DataFrame, key: str | list[str], links: str, targets: DataFrame, source: str, target: str, holes: bool = False, along: Sequence[str] = ()) -> DataFrame:
     """(key, links): each list's links replaced by their targets, in order and with repeats.
 
     A link without a target is left out, or stays as null where ``holes`` is set. Lists that are empty or null give empty lists.
+    Columns ``along``, which have one value for each key, are taken along, so that ``rows`` need not be read again for them.
     """
-    each = rows.select(key, F.posexplode_outer(links).alias("__at", "__link"))
+    key = [key] if isinstance(key, str) else key
+    each = rows.select(*key, *along, F.posexplode_outer(links).alias("__at", "__link"))
     found = each.join(targets.select(F.col(source).alias("__link"), F.col(target).alias("__to")), "__link", "left")
     there = F.col("__at").isNotNull() if holes else F.col("__to").isNotNull()
-    made = found.groupBy(key).agg(F.sort_array(F.collect_list(F.when(there, F.struct("__at", "__to")))).alias(links))
+    made = found.groupBy(*key).agg(F.sort_array(F.collect_list(F.when(there, F.struct("__at", "__to")))).alias(links), *[F.max(c).alias(c) for c in along])
     return made.withColumn(links, F.transform(links, lambda x: x["__to"]))
 
 

@@ -98,11 +98,10 @@ def linked_models(rows: DataFrame, made: DataFrame) -> DataFrame:
     both = F.concat(F.coalesce(F.col("blocks"), none), F.coalesce(F.col("inlines"), none))
     listed = F.when(is_single_link(), one).when(is_many_links(), many).when(rich, both)
     free = F.when(rich, F.col("blocks").isNull() & F.col("inlines").isNull()).otherwise(F.size(listed) == 0)
-    some = rows.where(is_single_link() | is_many_links() | rich).select(F.struct("type_id", "field_id").alias("__field"), listed.alias("names"), free.alias("unrestricted"), rich.alias("__rich"))
-    found = resolve_list(some, "__field", "names", made.select(F.col("type_id").alias("source"), "id"), "source", "id")
-    out = some.drop("names").join(found, "__field")
+    some = rows.where(is_single_link() | is_many_links() | rich).select("type_id", "field_id", listed.alias("names"), free.alias("unrestricted"), rich.alias("__rich"))
+    out = resolve_list(some, ["type_id", "field_id"], "names", made.select(F.col("type_id").alias("source"), "id"), "source", "id", along=["unrestricted", "__rich"])
     listed = F.when(~F.col("unrestricted"), F.when(F.col("__rich"), F.array_distinct("names")).otherwise(F.col("names")))
-    return out.select("__field.type_id", "__field.field_id", "unrestricted", listed.alias("item_types"))
+    return out.select("type_id", "field_id", "unrestricted", listed.alias("item_types"))
 
 
 def describe(types: DataFrame, controls: DataFrame, made: DataFrame, block: str | None = None) -> DataFrame:

@@ -1,6 +1,7 @@
 """What imports must not do as their tables grow: one task for all links to a target, one parse for each mention of a value."""
 
 import pytest
+from lodestrata.catalogue import content as catalogue
 from lodestrata.functions import etl
 from lodestrata.plans import content
 from pyspark.sql import functions as F
@@ -58,3 +59,21 @@ def test_validations_are_parsed_once(spark):
     out = rows.select("target", made.alias("made"))
     assert _plan(out).split("Project")[1].count("from_json") <= 1
     assert {r.target: sorted(r.made) for r in out.collect()} == {"string": ["length", "required", "unique"], "float": ["number_range", "required"], "date": ["date_time_range", "required"], "file": ["file_size", "required"], "links": ["size"], "json": ["required"], "slug": ["required"]}
+
+
+def test_fields_are_read_once_for_their_models(spark):
+    """The lists of models are looked up in one join, and their fields aren't read again to join what else is known of them."""
+    types = spark.range(50).select(
+        F.concat(F.lit("t"), "id").alias("type_id"), F.lit("f0").alias("display"),
+        F.transform(F.sequence(F.lit(0), F.lit(5)), lambda n: F.struct(F.concat(F.lit("f"), n).alias("id"), F.lit("N").alias("name"), F.when(n < 4, "RichText").otherwise("Link").alias("type"), F.lit("Entry").alias("link"), F.lit(True).alias("localized"), F.lit(True).alias("required"), F.lit(None).cast("string").alias("item_type"), F.lit(None).cast("string").alias("item_link"),
+            F.when(n == 5, F.array(F.lit("t1"), F.lit("t99"), F.lit("t2"), F.lit("t1"))).alias("links"), F.lit(None).cast("array<string>").alias("item_links"), F.when(n == 1, F.array().cast("array<string>")).when(n > 1, F.array(F.lit("t2"), F.lit("t1"))).alias("blocks"), F.when(n == 3, F.array(F.lit("t1"))).alias("inlines"))).cast(f"array<{content.FIELD}>").alias("fields"),
+    )
+    made = spark.range(50).select(F.concat(F.lit("t"), "id").alias("type_id"), F.concat(F.lit("m"), "id").alias("id"))
+    out = content.linked_models(content.fields(types), made)
+    assert _plan(out).count("Join") == 1
+    got = {(r.field_id, r.unrestricted, None if r.item_types is None else tuple(r.item_types)) for r in out.collect()}
+    assert out.count() == 300 and got == {("f0", True, None), ("f1", False, ()), ("f2", False, ("m2", "m1")), ("f3", False, ("m2", "m1")), ("f4", True, None), ("f5", False, ("m1", "m2", "m1"))}
+
+
+def test_lines_are_dealt_once_for_their_types(spark):
+    assert _plan(catalogue._types(spark, "/root/testdata/sf0.001")).count("Exchange") == 1
